@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from capturelake.llm import neardup
+from capturelake.llm import neardup, toxicity
 
 QUERIES = {
+    "op8_toxicity": toxicity.op8_toxicity,
     "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
 }
 SQL: dict[str, str] = {}

@@ -166,3 +166,39 @@ def distinct(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
         np.concatenate(parts) if parts else np.zeros(0, np.uint64),
         np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)]).astype(np.int64),
     )
+
+
+_PUNCT = np.zeros(256, bool)
+_PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+def plain(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text without ASCII punctuation and with A-Z and the capitals of Latin-1 folded, and its offsets."""
+    if not len(buf):
+        return buf, offs
+    out = _LOWER[buf]
+    second = np.flatnonzero(buf[:-1] == 0xC3) + 1
+    second = second[(buf[second] >= 0x80) & (buf[second] <= 0x9E) & (buf[second] != 0x97)]
+    out[second] += 0x20
+    keep = ~_PUNCT[buf]
+    place = np.concatenate([[0], np.cumsum(keep)])
+    return out[keep], place[offs]
+
+
+def heads(buf: np.ndarray, words: Words) -> np.ndarray:
+    """A hash of the first eight bytes of every word."""
+    out = np.zeros(len(words), np.uint64)
+    sizes = words.end - words.start
+    for i in range(8):
+        at = np.minimum(words.start + i, len(buf) - 1)
+        out |= np.where(sizes > i, buf[at], 0).astype(np.uint64) << np.uint64(8 * i)
+    return mix(out + np.uint64(0x2545F4914F6CDD1D))
+
+
+def lookup(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Positions of values in the sorted keys, -1 where absent."""
+    if not len(keys):
+        return np.full(len(values), -1, np.int64)
+    at = np.searchsorted(keys, values)
+    at[at == len(keys)] = 0
+    return np.where(keys[at] == values, at, -1)
