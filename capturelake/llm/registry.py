@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from capturelake.llm import decontam, neardup, toxicity
+from capturelake.llm import decontam, neardup, pii, toxicity
 
 QUERIES = {
+    "op6_pii": pii.op6_pii,
     "op4_decontamination": decontam.op4_decontamination,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
