@@ -139,13 +139,15 @@ class Items:
         return float(low / total) if total else 0.0
 
 
-def _search(items, least: float):
+def _search(items, least: float, text: str = "text", at_column: int = 1, only: bool = False):
+    """Matches of the text column; with ``only`` instead the rows that have none."""
+
     def run(batches):
         it, cache = items.value, {}
         lengths = sorted({min(it.k, n) for n in it.of_size})
         for batch in batches:
-            for part in tx.slices(batch, "text"):
-                words, rows = words_of(part.column(1))
+            for part in tx.slices(batch, text):
+                words, rows = words_of(part.column(at_column))
                 first = words.bounds(rows)
                 found = []
                 for length in lengths:
@@ -171,7 +173,11 @@ def _search(items, least: float):
                         begin = np.unique(np.concatenate(some))
                         end = np.minimum(begin + n, first[words.doc[begin] + 1])
                         found += _windows(it, grams, begin, end - length + 1, n, cache, words.doc[begin], first, least)
-                if found:
+                if found and only:
+                    yield part.filter(pa.array(~np.isin(np.arange(rows), [f[0] for f in found])))
+                elif only:
+                    yield part
+                elif found:
                     ids = part.column(0).to_pylist()
                     yield pa.RecordBatch.from_pylist(
                         [{"id": ids[d], "item": it.ids[i], "first_word": int(a), "n_words": int(n), "distance": int(r), "similarity": s} for d, i, a, n, r, s in found],
@@ -205,16 +211,26 @@ def _windows(it, grams, begin, end, size, cache, doc, first, least):
     return [(d, i, m[1], m[2], m[3], -m[0]) for (d, i), m in best.items()]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle_words: int = 5, id_col="doc_id", text_col="text", item_col="item_id", item_text="text") -> DataFrame:
-    """(id, item, first_word, n_words, distance, similarity): the best window of each document for each item it holds."""
-    spark = docs.sparkSession
+def sent_items(benchmark: DataFrame, shingle_words: int, item_col: str, item_text: str):
+    spark = benchmark.sparkSession
     ship(spark)
     got = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null").limit(MOST_ITEMS + 1).toArrow()
-    items = spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words))
+    return spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle_words: int = 5, id_col="doc_id", text_col="text", item_col="item_id", item_text="text") -> DataFrame:
+    """(id, item, first_word, n_words, distance, similarity): the best window of each document for each item it holds."""
+    items = sent_items(benchmark, shingle_words, item_col, item_text)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return texts.mapInArrow(_search(items, similarity), "id long, item long, first_word long, n_words long, distance int, similarity double")
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle_words: int = 5, text_col="text", item_col="item_id", item_text="text") -> DataFrame:
+    """The rows of docs that hold no item, unchanged; in one pass without a shuffle."""
+    items = sent_items(benchmark, shingle_words, item_col, item_text)
+    return docs.mapInArrow(_search(items, similarity, text_col, docs.columns.index(text_col), only=True), docs.schema)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

@@ -203,10 +203,13 @@ def pseudonym(key: str, kind: Column, m: Column) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str = "rotate-me", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, found): the text with pseudonyms, and found array<struct<kind, original digest, pseudonym>>."""
+def pseudonymise(docs: DataFrame, key: str = "rotate-me", id_col: str = "doc_id", text_col: str = "text", keep: tuple | list = ()) -> DataFrame:
+    """(id, text, found) and the columns in keep: the text with pseudonyms, and found array<struct<kind, link, now>>.
+
+    link is a keyed digest of the original value, now its pseudonym.
+    """
     text = F.col("text")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *keep)
     maybe = text.rlike("[0-9@]|AKIA|sk-|gh[opsu]_")
     # texts without a candidate are not split; -1 keeps trailing empty pieces, so there is one more than matches
     rows = rows.withColumn("matches", F.when(maybe, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))))
@@ -223,6 +226,7 @@ def pseudonymise(docs: DataFrame, key: str = "rotate-me", id_col: str = "doc_id"
         "id",
         F.when(has, joined).otherwise(text).alias("text"),
         F.transform(found, lambda d: F.struct(d["kind"].alias("kind"), keyed(key, F.lit("link"), d["was"]).alias("link"), d["now"].alias("now"))).alias("found"),
+        *keep,
     )
 
 

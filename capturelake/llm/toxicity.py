@@ -146,16 +146,18 @@ def _features(model):
     return run
 
 
+def _probabilities(model, weights, part: pa.RecordBatch, column: int) -> np.ndarray:
+    if model is None:
+        return np.zeros(part.num_rows)
+    f = model.value.features(part, column)
+    return 1 / (1 + np.exp(-np.clip(weights[0] + f @ weights[1:], -40, 40)))
+
+
 def _scores(model, weights):
     def run(batches):
         for batch in batches:
             for part in tx.slices(batch, "text"):
-                if model is None:
-                    p = np.zeros(part.num_rows)
-                else:
-                    f = model.value.features(part, 1)
-                    p = 1 / (1 + np.exp(-np.clip(weights[0] + f @ weights[1:], -40, 40)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p)], ["id", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_probabilities(model, weights, part, 1))], ["id", "score"])
 
     return run
 
@@ -222,6 +224,18 @@ class Toxicity:
         return texts.mapInArrow(_scores(self.sent if self.model else None, self.weights), "id long, score double")
 
 
+    def keep(self, docs: DataFrame, least: float = 0.5, text_col="text") -> DataFrame:
+        """The rows of docs that score less, unchanged; in one pass without a shuffle."""
+        model, weights = self.sent if self.model else None, self.weights
+        at = docs.columns.index(text_col)
+
+        def run(batches):
+            for batch in batches:
+                for part in tx.slices(batch, text_col):
+                    yield part.filter(pa.array(_probabilities(model, weights, part, at) < least))
+
+        return docs.mapInArrow(run, docs.schema)
+
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

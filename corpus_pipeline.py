@@ -1,12 +1,70 @@
-"""A training corpus from ``documents``."""
+"""A training corpus from ``documents``: five stages, each over all that the one before kept.
+
+1. toxicity: rows that score 0.5 or more go.
+2. near_duplicates: of each component of five-word-shingle similarity 0.8 or more the
+   smallest doc_id stays, of repeated rows of that id one.
+3. decontamination: rows that hold a benchmark item (similarity 0.8 or more) go.
+4. personal_data: numbers, dates, names of mail addresses and secrets become pseudonyms;
+   n_chars follows the new text.
+5. tokens: each text as ids, with its decoded digest.
+
+All stages but the last return the columns of documents. Rows with a null doc_id are kept
+by the filters as far as their text allows. Empty tables pass through.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from capturelake.llm import bpe, decontam, neardup, pii
+from capturelake.llm.toxicity import Toxicity
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = Toxicity(spark).fit(docs, labels, F.expr("crc32(cast(id as string)) % 5 <> 0"))
+    return model.keep(docs.select(*COLUMNS))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(docs, percent=80)
+    gone = found.where("not kept").select(F.col("id").alias("doc_id")).distinct()
+    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    # repeated rows of one id are copies too; a null id is no id
+    again = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return again.unionByName(kept.where("doc_id is null")).select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontam.clean(docs.select(*COLUMNS), bench)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = pii.pseudonymise(docs, keep=["lang", "source"])
+    return out.select(F.col("id").alias("doc_id"), "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ids=True)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("tokens", tokens),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
