@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from capturelake.llm import bpe, decontam, neardup, pii, toxicity
+from capturelake.llm import bpe, decontam, neardup, pii, rans, toxicity
 
 QUERIES = {
+    "op1_token_ids": rans.op1_token_ids,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op6_pii": pii.op6_pii,
     "op4_decontamination": decontam.op4_decontamination,
