@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from capturelake.llm import bpe, decontam, neardup, pii, rans, toxicity
+from capturelake.llm import bpe, decontam, neardup, pii, quality, rans, toxicity
 
 QUERIES = {
+    "op3_quality_rules": quality.op3_quality_rules,
     "op1_token_ids": rans.op1_token_ids,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op6_pii": pii.op6_pii,
@@ -12,4 +13,6 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_quality_rules": quality.OP3_SQL,
+}
