@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from capturelake.llm import bpe, decontam, langid, neardup, pii, quality, rans, toxicity
+from capturelake.llm import bpe, decontam, langid, neardup, pii, pseudolm, quality, rans, toxicity
 
 QUERIES = {
+    "op9_lm_scoring": pseudolm.op9_lm_scoring,
     "op5_language_id": langid.op5_language_id,
     "op3_quality_rules": quality.op3_quality_rules,
     "op1_token_ids": rans.op1_token_ids,
