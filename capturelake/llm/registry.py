@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from capturelake.llm import bpe, decontam, langid, neardup, pii, pseudolm, quality, rans, toxicity
+from capturelake.llm import bpe, decontam, langid, neardup, pii, pseudolm, quality, rans, toxicity, urlfilter
 
 QUERIES = {
+    "op7_url_filters": urlfilter.op7_url_filters,
     "op9_lm_scoring": pseudolm.op9_lm_scoring,
     "op5_language_id": langid.op5_language_id,
     "op3_quality_rules": quality.op3_quality_rules,
@@ -17,4 +18,5 @@ QUERIES = {
 }
 SQL: dict[str, str] = {
     "op3_quality_rules": quality.OP3_SQL,
+    "op7_url_filters": urlfilter.OP7_SQL,
 }
