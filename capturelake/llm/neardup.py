@@ -3,12 +3,19 @@
 Method. A document is the set of its distinct k-word shingles (64-bit hashes of
 words folded A-Z to a-z). Equal sets form a class with one representative, so
 exact copies never meet in a pair. Representatives get a MinHash signature; bands
-of it are buckets. In each bucket the members meet a few pivots first (not each
-other); pairs are compared batch by batch of the signature and dropped as soon as
-the posterior probability of reaching the threshold falls under ``miss``; the
-survivors are verified on their full sets. Then only members of one bucket that
-are still in different components meet, so a group of n near copies costs O(n)
-pairs while every link between components is still found and checked.
+of it are buckets. The members of a bucket first meet its pivot only, the member that
+shares most buckets. Pairs are compared batch by batch of the signature and dropped
+as soon as the posterior probability of reaching the threshold falls under ``miss``;
+the survivors are verified on their full sets.
+
+Members of one pivot P that are then in different components still have to be told
+apart, without meeting all pairs of a large group. If A is not similar to P, a link
+of A and B needs |A & B| >= r (|A| + |B|) with r = t / (1 + t), while A & B holds at
+most |A & P| shingles of P. So either B is so small that |A & P| is enough, which its
+size tells, or both share shingles that P lacks, at least as many as are wanting. Those
+pairs come from an index of such shingles, of which each A looks up only as many of
+its rarest as it must share one of (prefix filtering). Both are exact, so every link
+inside a pivot's group is found, with about as many pairs as shared edits.
 
 Bands find a pair of similarity s with probability 1 - (1 - s^rows)^bands: with
 25 bands of 5 rows 0.9999996 at 0.85 and 0.99995 at 0.8. There is no cap on
@@ -200,38 +207,29 @@ class NearDuplicates:
         several = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("id", "a")
         bridges = member.join(several, "id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
 
-        keys = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> struct(b % 4 as turn, xxhash64(b, substring(sig, b * {4 * ROWS} + 1, {4 * ROWS})) as key))")
-        # one row per class, not per id: an id that stands for several classes has all their bands
-        bands = classes.select(F.col("rep").alias("id"), F.explode(keys).alias("band")).select("id", "band.turn", "band.key").distinct()
-        pivots = bands.groupBy("key", "turn").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "turn")).alias("pivot")).where("n > 1")
-        bucket = work.save(bands.join(pivots.select("key", "pivot"), "key").select("key", "id", "pivot"), "bucket")
+        keys = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(sig, b * {4 * ROWS} + 1, {4 * ROWS})))")
+        bands = classes.select(F.col("rep").alias("id"), F.explode(keys).alias("key"))
+        sizes = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        bucket = work.save(bands.join(sizes, "key"), "bucket")
+        central = bucket.groupBy("id").agg(F.sum("n").alias("central"))
+        pivots = bucket.join(central, "id").groupBy("key").agg(F.max_by("id", F.struct("central", -F.col("id"))).alias("pivot"))
+        stars = work.save(bucket.select("key", "id").join(pivots, "key").where("id <> pivot").select("pivot", "id").distinct(), "stars")
 
-        stars = bucket.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), F.col("id").alias("who")).distinct()
-        tried = work.save(stars.select("a", "b").distinct(), "tried")
-        alive = work.save(self._pairs(tried, sketches), "alive")
         involved = bucket.select("id").distinct()
         # grouped before Python runs, so that it reuses the join's partitioning
         texts = rows.where("id is not null").join(involved, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-        sets = texts.mapInArrow(_sets(self.k), "id long, shingles array<long>")
-        sets = work.save(sets, "sets")
+        sets = work.save(texts.mapInArrow(_sets(self.k), "id long, shingles array<long>"), "sets")
 
-        # first each member's likeliest pivot, then what is still apart
-        best = alive.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b")
-        best = best.union(alive.groupBy("a").agg(F.max_by("b", F.struct("matches", -F.col("b"))).alias("b"))).distinct()
-        links = work.save(self._verified(best, sets).union(bridges), "links-1")
+        tried = stars.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+        links = work.save(self._verified(self._pairs(tried, sketches), sets).union(bridges), "links-1")
         comps = components(links, work, "comp-1")
-        apart = self._apart(alive.join(best, ["a", "b"], "left_anti"), comps)
-        more = work.save(self._verified(apart, sets), "links-2")
-        if not more.isEmpty():
-            links = links.union(more)
-            comps = components(links, work, "comp-2")
-
-        cross = self._across(bucket, comps).join(tried, ["a", "b"], "left_anti")
-        rest = work.save(self._verified(self._pairs(cross, sketches), sets), "links-3")
-        if not rest.isEmpty():
-            links = links.union(rest)
-            comps = components(links, work, "comp-3")
-        work.drop("alive", "tried", "bucket", "sets")
+        cross = self._across(stars, comps, sets)
+        if cross is not None:
+            rest = work.save(self._verified(self._pairs(cross, sketches), sets), "links-2")
+            if not rest.isEmpty():
+                links = links.union(rest)
+                comps = components(links, work, "comp-2")
+        work.drop("bucket", "sets", "stars", "apart", "classes")
         self.links = links
 
         reps = member.groupBy("id").agg(F.min("rep").alias("rep"))
@@ -241,24 +239,53 @@ class NearDuplicates:
         component = F.coalesce("component", "id")
         return out.select("id", "n_shingles", component.alias("component"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
-    @staticmethod
-    def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-        one = comps.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        two = comps.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        both = pairs.join(one, "a", "left").join(two, "b", "left")
-        return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-    @staticmethod
-    def _across(bucket: DataFrame, comps: DataFrame) -> DataFrame:
-        """Pairs of one bucket in different components: each member outside its largest component, with all others."""
-        placed = bucket.select("key", "id").join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-        sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-        mixed = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("m")).where("m > 1").select("key", "main")
-        placed = placed.join(mixed, "key")
-        minor = placed.where("comp <> main").select("key", F.col("id").alias("x"), F.col("comp").alias("cx"))
-        other = placed.select("key", F.col("id").alias("y"), F.col("comp").alias("cy"), (F.col("comp") == F.col("main")).alias("in_main"))
-        met = minor.join(other, "key").where("cx <> cy and (in_main or x < y)")
-        return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    def _across(self, stars: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame | None:
+        """Pairs (a, b) under one pivot, in different components, that may be similar; see the module."""
+        of = comps.select("id", "component")
+        placed = stars.join(of, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+        placed = placed.join(of.select(F.col("id").alias("pivot"), F.col("component").alias("pc")), "pivot", "left")
+        placed = placed.withColumn("apart", F.col("comp") != F.coalesce("pc", "pivot")).drop("pc")
+        # a group needs a member apart from the pivot and another one
+        mixed = placed.groupBy("pivot").agg(F.max("apart").alias("some"), F.count("*").alias("m")).where("some and m > 1").select("pivot")
+        placed = placed.join(mixed, "pivot")
+        own = sets.select("id", "shingles")
+        core = sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("core"))
+        apart = placed.join(own, "id").join(core, "pivot").select(
+            "pivot", "id", "comp", "apart", F.size("shingles").alias("n"), F.array_except("shingles", "core").alias("extra")
+        )
+        apart = self.work.save(apart.withColumn("shared", F.col("n") - F.size("extra")), "apart")
+        if apart.isEmpty():
+            return None
+        least = apart.groupBy("pivot").agg(F.min("n").alias("smallest"))
+        p, q = self.percent, 100 + self.percent
+        minor = apart.where("apart").join(least, "pivot").select(
+            "pivot",
+            "id",
+            "comp",
+            "n",
+            # the smallest partner, the largest one that needs no shingle beyond the pivot's, and the wanting shingles
+            F.expr(f"greatest(smallest, cast(ceil({p} * n / 100) as int))").alias("lo"),
+            F.expr(f"cast(floor({q} * shared / {p}) as int) - n").alias("hi"),
+            "shared",
+            "extra",
+        )
+        minor = minor.withColumn("want", F.expr(f"greatest(1, cast(ceil({p} * (n + lo) / {q}) as int) - shared)"))
+        small = minor.where("hi >= lo").select("pivot", F.col("id").alias("x"), F.col("comp").alias("cx"), "lo", "hi")
+        others = apart.select("pivot", F.col("id").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
+        by_size = small.join(others, (small["pivot"] == others["pivot"]) & F.col("ny").between(F.col("lo"), F.col("hi")) & (F.col("cx") != F.col("cy")))
+
+        index = apart.select("pivot", "id", "comp", F.explode("extra").alias("e"))
+        spread = index.groupBy("pivot", "e").agg(F.count("*").alias("df")).where("df > 1")
+        # how many of an A's shingles nobody shares follows from their number; those are its rarest
+        shared = minor.select("pivot", "id", "comp", "want", F.size("extra").alias("ne"), F.explode("extra").alias("e")).join(spread, ["pivot", "e"])
+        each = shared.groupBy("pivot", "id", "comp", "want", "ne").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("by_df"))
+        # with the last (want - 1) of all left out, one of the rest must be shared
+        prefix = each.select("pivot", F.col("id").alias("x"), F.col("comp").alias("cx"), F.explode(F.expr("slice(by_df, 1, greatest(0, size(by_df) - want + 1))")).alias("s"))
+        prefix = prefix.select("pivot", "x", "cx", F.col("s.e").alias("e"))
+        known = index.join(spread, ["pivot", "e"]).select("pivot", "e", F.col("id").alias("y"), F.col("comp").alias("cy"))
+        by_edit = prefix.join(known, ["pivot", "e"]).where("cx <> cy")
+        both = by_size.select("x", "y").union(by_edit.select("x", "y"))
+        return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
