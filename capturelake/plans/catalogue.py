@@ -1,10 +1,621 @@
-"""Every query of the library by name, with the SQL that gives the same rows."""
+"""Every query of the library by name, with the SQL that gives the same rows.
+
+The test tables hold no archives, so queries run on views derived from them: ``captures_doc`` has a
+capture for each document, ``captures_page`` one for each page. Each query reads its tables whole.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from capturelake.functions import dates, mime, text, urls
+from capturelake.operators import captures, facets, graph, html, lang, relevance, search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def register(f):
+        QUERIES[name] = f
+        if sql is not None:
+            SQL[name] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def captures_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of documents as parsed records; every fifth has no content."""
+    t = table(spark, sf_dir, "documents")
+    plain = F.struct(F.lit("text").alias("top"), F.lit("plain").alias("sub"), F.lit("utf-8").alias("charset"))
+    return t.select(
+        F.col("doc_id").alias("rec_seq"),
+        F.concat(F.lit("crawl-"), (F.col("doc_id") % 4).cast("string"), F.lit(".warc.gz")).alias("filename"),
+        F.concat(F.lit("http://www.example.org/"), "lang").alias("url"),
+        F.sha1("text").alias("digest"),
+        F.col("source").alias("job"),
+        F.when(F.col("doc_id") % 5 != 0, F.col("text")).alias("content"),
+        F.col("n_chars").alias("length"),
+        F.lit(None).cast("string").alias("title"),
+        F.timestamp_seconds(F.lit(1700000000) + F.col("doc_id")).alias("date"),
+        plain.alias("suppliedContentType"),
+        F.lit(None).cast(plain_type()).alias("detectedContentType"),
+        F.array().cast("array<bigint>").alias("outlinks"),
+    )
+
+
+def plain_type() -> str:
+    return "struct<top:string,sub:string,charset:string>"
+
+
+def captures_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "pages")
+    return t.select(
+        F.col("page_id").alias("rec_seq"),
+        F.concat(F.lit("crawl-"), (F.col("page_id") % 4).cast("string"), F.lit(".warc.gz")).alias("filename"),
+        "url",
+        F.sha1("html").alias("digest"),
+        F.lit("text/html; charset=utf-8").alias("content_type"),
+        "html",
+    )
+
+
+def _projected(c: DataFrame) -> DataFrame:
+    canonical = urls.canonicalize(F.col("url"))
+    return c.select(
+        captures.document_id(canonical, F.col("digest"), "x").alias("id"),
+        "digest",
+        urls.host(canonical).alias("host"),
+        "url",
+        canonical.alias("canonicalurl"),
+        urls.fingerprint(canonical).alias("urlfp"),
+        mime.suppress(F.col("content"), F.col("suppliedContentType"), F.col("detectedContentType")).alias("content"),
+        F.col("length").alias("contentlength"),
+        F.col("filename").alias("arcname"),
+        "date",
+        "job",
+        "rec_seq",
+    )
+
+
+def canonical_sql(u: str) -> str:
+    low = rf"regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(trim({u}), '#.*$', '')), '^(https?://)www\d*\.', '\1'), '^(http://[^/?]*):80([/?]|$)', '\1\2'), '^(https://[^/?]*):443([/?]|$)', '\1\2')"
+    base = rf"regexp_replace(regexp_extract({low}, '^([^?]*)', 1), '^(https?://[^/]+)$', '\1/')"
+    q = rf"regexp_extract({low}, '^[^?]*\?(.*)$', 1)"
+    return rf"case when regexp_matches({low}, '^https?://[^/?]') then {base} || case when {q} = '' then '' else '?' || array_to_string(list_sort(string_split({q}, '&')), '&') end else {u} end"
+
+
+def host_sql(c: str) -> str:
+    return rf"nullif(regexp_extract({c}, '^[a-z][a-z0-9+.-]*://(?:[^/?@]*@)?([^/?:]+)', 1), '')"
+
+
+def fp_sql(c: str) -> str:
+    return f"('0x' || substr(md5({c}), 1, 15))::bigint"
+
+
+DOC = f"""
+captures_doc as (
+  select doc_id as rec_seq, concat('crawl-', cast(doc_id % 4 as varchar), '.warc.gz') as arcname,
+         concat('http://www.example.org/', lang) as url, sha1(text) as digest, source as job,
+         case when doc_id % 5 <> 0 then text end as content, n_chars as contentlength
+  from documents
+), doc as (
+  select *, canonicalurl || '.' || coalesce(digest, '-') || '.x' as id
+  from (select *, {canonical_sql("url")} as canonicalurl from captures_doc)
+), firsts as (
+  select * from (select *, row_number() over (partition by id order by arcname, rec_seq) as r from doc) where r = 1
+), contents as (
+  select id, content from (
+    select id, content, row_number() over (partition by id order by arcname, rec_seq) as r from doc where content <> '') where r = 1
+), occ as (
+  select id, arcname, job from (
+    select *, row_number() over (partition by id, arcname order by rec_seq) as r from doc) where r = 1
+)"""
+
+
+@query(
+    "index_documents",
+    f"with {DOC} select rec_seq, id, digest, {host_sql('canonicalurl')} as host, url, canonicalurl, {fp_sql('canonicalurl')} as urlfp, contentlength, arcname, job, length(content) as content_chars from doc",
+)
+def index_documents(spark, sf_dir):
+    return _projected(captures_doc(spark, sf_dir)).select(
+        "rec_seq", "id", "digest", "host", "url", "canonicalurl", "urlfp", "contentlength", "arcname", "job", F.length("content").cast("bigint").alias("content_chars")
+    )
+
+
+@query(
+    "dedupe_in_archive",
+    f"with {DOC} select arcname, id, rec_seq, job from (select *, row_number() over (partition by arcname, id order by rec_seq) as r from doc) where r = 1",
+)
+def dedupe_in_archive(spark, sf_dir):
+    return captures.dedupe_in_archive(_projected(captures_doc(spark, sf_dir)).select("arcname", "id", "rec_seq", "job"))
+
+
+def _merged(spark, sf_dir):
+    return captures.merge(_projected(captures_doc(spark, sf_dir)))
+
+
+@query(
+    "merge_captures",
+    f"""with {DOC}, o as (
+      select id, count(*) as n_occurrences, string_agg(arcname, ',' order by arcname) as arcnames, string_agg(job, ',' order by arcname) as jobs from occ group by id)
+    select id, f.url, f.contentlength, o.n_occurrences, o.arcnames, o.jobs, length(c.content) as content_chars
+    from firsts f join o using (id) left join contents c using (id)""",
+)
+def merge_captures(spark, sf_dir):
+    docs, occurrences = _merged(spark, sf_dir)
+    v = captures.view(docs, occurrences)
+    return v.select(
+        "id", "url", "contentlength", F.size("arcname").cast("bigint").alias("n_occurrences"), F.array_join("arcname", ",").alias("arcnames"),
+        F.array_join("job", ",").alias("jobs"), F.length("content").cast("bigint").alias("content_chars"),
+    )
+
+
+@query(
+    "remove_archive",
+    f"with {DOC} select id, count(*) as n_occurrences, min(arcname) as first_arcname from occ where arcname <> 'crawl-1.warc.gz' group by id",
+)
+def remove_archive(spark, sf_dir):
+    docs, left = captures.remove(*_merged(spark, sf_dir), ["crawl-1.warc.gz"])
+    return docs.join(left.drop("date", "job"), "id").groupBy("id").agg(F.count("*").alias("n_occurrences"), F.min("arcname").alias("first_arcname"))
+
+
+@query("set_fields", f"with {DOC} select id, case when contentlength >= 2000 then 'long,checked' end as tag from firsts")
+def set_fields(spark, sf_dir):
+    docs, _ = _merged(spark, sf_dir)
+    hit = search.Search(docs).compile("contentlength:[2000 TO *]")
+    return captures.set_fields(docs, hit, {"tag": ["long", "checked"]}).select("id", F.array_join("tag", ",").alias("tag"))
+
+
+@query("add_field_values", f"with {DOC} select id, case when job = 'src1' then 'old,new' else 'old' end as tag from firsts f")
+def add_field_values(spark, sf_dir):
+    first = captures.first_by(_projected(captures_doc(spark, sf_dir)).select("id", "arcname", "rec_seq", "job"), ["id"], ["arcname", "rec_seq"])
+    tagged = captures.set_fields(first, F.lit(True), {"tag": ["old"]})
+    return captures.add_values(tagged, F.col("job") == "src1", "tag", ["new"]).select("id", F.array_join("tag", ",").alias("tag"))
+
+
+@query("delete_by_id", f"with {DOC} select id from firsts where id not in (select id from doc where job = 'src2')")
+def delete_by_id(spark, sf_dir):
+    docs, _ = _merged(spark, sf_dir)
+    gone = _projected(captures_doc(spark, sf_dir)).where("job = 'src2'").select("id").distinct()
+    return captures.delete(docs, gone).select("id")
+
+
+@query("union_indexes", f"with {DOC} select id, count(*) as n_occurrences from occ group by id")
+def union_indexes(spark, sf_dir):
+    every = _projected(captures_doc(spark, sf_dir))
+    old = captures.merge(every.where("arcname in ('crawl-0.warc.gz', 'crawl-1.warc.gz')"))
+    # the second batch repeats an archive, which adds nothing
+    _, occurrences = captures.add(*old, every.where("arcname <> 'crawl-0.warc.gz'"))
+    return occurrences.groupBy("id").agg(F.count("*").alias("n_occurrences"))
+
+
+_REQUESTED = [f"crawl-{i}.warc.gz" for i in range(6)]
+_REQUESTED_SQL = "(values " + ", ".join(f"('{a}')" for a in _REQUESTED) + ") t(arcname)"
+
+
+@query("unparsed_archives", f"with {DOC} select arcname from {_REQUESTED_SQL} where arcname not in (select arcname from doc)")
+def unparsed_archives(spark, sf_dir):
+    requested = spark.createDataFrame([(a,) for a in _REQUESTED], "arcname string")
+    return requested.join(captures_doc(spark, sf_dir).select(F.col("filename").alias("arcname")).distinct(), "arcname", "left_anti")
+
+
+@query("empty_archives", f"with {DOC} select t.arcname, count(rec_seq) as n_records, case when count(rec_seq) = 0 then 'empty' else 'ok' end as status from {_REQUESTED_SQL} left join doc using (arcname) group by 1")
+def empty_archives(spark, sf_dir):
+    requested = spark.createDataFrame([(a,) for a in _REQUESTED], "arcname string")
+    found = captures_doc(spark, sf_dir).groupBy(F.col("filename").alias("arcname")).agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return requested.join(found, "arcname", "left").select("arcname", n.alias("n_records"), F.when(n == 0, "empty").otherwise("ok").alias("status"))
+
+
+_MIMES = [
+    "text/html; charset=utf-8", "text/plain", "xxx", "image/png", "video/mpeg", "audio/mpeg", "application/pdf", "application/zip", "application/x-gzip", "application/msword",
+    "application/vnd.ms-excel", "application/XXXX", "application/xhtml+xml", "Text/HTML", "text/css", "text/javascript", "application/javascript", "text/html;charset=ISO-8859-1, text/plain", "",
+]
+_MIME_SQL = (
+    "m as (select *, case when regexp_matches(name, form) then regexp_extract(name, form, 1) end as top, case when regexp_matches(name, form) then regexp_extract(name, form, 2) end as sub,"
+    " case when regexp_matches(name, form) then nullif(regexp_extract(head, '(?i);\\s*charset\\s*=\\s*\"?([^\";\\s]+)\"?', 1), '') end as charset from (select line, head, trim(regexp_extract(head, '^([^;]*)', 1)) as name,"
+    " '^(application|audio|image|text|video)/([a-zA-Z0-9.\\-]+)$' as form from (select line, trim(regexp_extract(line, '^([^,]*)', 1)) as head from (values " + ", ".join(f"('{m}')" for m in _MIMES) + ") t(line))))"
+)
+
+
+def _mimes(spark):
+    return spark.createDataFrame([(m,) for m in _MIMES], "line string")
+
+
+@query("mime_parse", f"with {_MIME_SQL} select line, top, sub, charset, coalesce(top, 'application') || '/' || coalesce(sub, 'octet-string') || coalesce('; charset=' || charset, '') as forced from m")
+def mime_parse(spark, sf_dir):
+    t = mime.parse(F.col("line"))
+    return _mimes(spark).select("line", t["top"].alias("top"), t["sub"].alias("sub"), t["charset"].alias("charset"), mime.shown(mime.force_parse(F.col("line"))).alias("forced"))
+
+
+@query(
+    "mime_group",
+    f"""with {_MIME_SQL} select line, case when top in ('audio', 'video', 'image') then top when top = 'text' and sub = 'html' then 'html' when top <> 'application' then null
+        when sub = 'pdf' then 'pdf' when sub in ('zip', 'x-gzip') then 'compressed' when sub like 'ms%' or sub like 'vnd.ms%' then 'office' end as kind from m""",
+)
+def mime_group(spark, sf_dir):
+    return _mimes(spark).select("line", mime.group(mime.parse(F.col("line"))).alias("kind"))
+
+
+_INDEXABLE_SQL = "not ({0}.top in ('audio', 'video', 'image') or ({0}.top = 'text' and {0}.sub in ('javascript', 'css')) or ({0}.top = 'application' and {0}.sub = 'zip'))"
+
+
+@query(
+    "content_suppression",
+    f"""with {_MIME_SQL}, n as (select line, coalesce(top, 'application') as top, coalesce(sub, 'octet-string') as sub, row_number() over (order by line) - 1 as i from m),
+    p as (select page_id, html, page_id % {len(_MIMES)} as i, (page_id // 7) % {len(_MIMES)} as j from pages)
+    select page_id, a.line as supplied, b.line as detected, {_INDEXABLE_SQL.format("a")} or {_INDEXABLE_SQL.format("b")} as kept,
+           case when {_INDEXABLE_SQL.format("a")} or {_INDEXABLE_SQL.format("b")} then length(html) end as chars
+    from p join n a on p.i = a.i join n b on p.j = b.i""",
+)
+def content_suppression(spark, sf_dir):
+    lines = spark.createDataFrame(list(enumerate(sorted(_MIMES))), "i long, line string")
+    p = table(spark, sf_dir, "pages").select("page_id", "html", (F.col("page_id") % len(_MIMES)).alias("i"), (F.floor(F.col("page_id") / 7) % len(_MIMES)).alias("j"))
+    # lists of a fixed length
+    rows = p.join(F.broadcast(lines.withColumnRenamed("line", "supplied")), "i").join(F.broadcast(lines.select(F.col("i").alias("j"), F.col("line").alias("detected"))), "j")
+    content = mime.suppress(F.col("html"), mime.parse(F.col("supplied")), mime.parse(F.col("detected")))
+    return rows.select("page_id", "supplied", "detected", content.isNotNull().alias("kept"), F.length(content).cast("bigint").alias("chars"))
+
+
+@query("canonicalize_urls", f"select page_id, {canonical_sql('url')} as canonicalurl from pages")
+def canonicalize_urls(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.canonicalize(F.col("url")).alias("canonicalurl"))
+
+
+@query("url_host", f"select page_id, {host_sql(canonical_sql('url'))} as host from pages")
+def url_host(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.host(urls.canonicalize(F.col("url"))).alias("host"))
+
+
+@query("url_fingerprint", f"select page_id, {fp_sql(canonical_sql('url'))} as fp from pages")
+def url_fingerprint(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.fingerprint(urls.canonicalize(F.col("url"))).alias("fp"))
+
+
+@query(
+    "fp_codecs",
+    f"with f as (select page_id, {fp_sql(canonical_sql('url'))} as fp from pages) select page_id, lpad(lower(to_hex(fp)), 16, '0') as hex, to_base64(unhex(lpad(to_hex(fp), 16, '0'))) as b64, fp as back, cast(page_id as integer) as small from f",
+)
+def fp_codecs(spark, sf_dir):
+    fp = urls.fingerprint(urls.canonicalize(F.col("url")))
+    return table(spark, sf_dir, "pages").select(
+        "page_id", urls.hex16(fp).alias("hex"), urls.fp_to_string(fp).alias("b64"), urls.string_to_fp(urls.fp_to_string(fp)).alias("back"), urls.bytes_to_int(urls.int_to_bytes(F.col("page_id"))).alias("small")
+    )
+
+
+@query(
+    "fp_date_codec",
+    f"""with e as (select event_id, {fp_sql("cast(event_id as varchar)")} as fp, cast(floor(epoch(ts)) as bigint) as s from events)
+    select event_id, to_base64(unhex(lpad(to_hex(fp), 16, '0') || lpad(to_hex(s), 8, '0'))) as code, fp as back_fp, s as back_seconds from e""",
+)
+def fp_date_codec(spark, sf_dir):
+    fp, ts = urls.fingerprint(F.col("event_id").cast("string")), F.date_trunc("second", F.col("ts")).cast("timestamp")
+    code = urls.encode_fp_date(fp, ts)
+    rows = table(spark, sf_dir, "events").select("event_id", code.alias("code")).withColumn("back", urls.decode_fp_date(F.col("code")))
+    return rows.select("event_id", "code", F.col("back.fp").alias("back_fp"), F.unix_seconds("back.date").alias("back_seconds"))
+
+
+@query(
+    "digest_base32",
+    """select page_id, list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([15, 10, 5, 0],
+         lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha1(html), cast(i * 5 + 1 as integer), 5))::integer >> s) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '') as digest from pages""",
+)
+def digest_base32(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.payload_digest(F.col("html").cast("binary")).alias("digest"))
+
+
+_PATHS = ["/a/foo.arc.gz", "hdfs://x/b.warc.gz.open", "b.warc.gz.gz", "a_b.warc.gz", "nothing.txt", "CDL-2012.arc.gz", ""]
+
+
+@query("extract_arcname", r"select p, nullif(regexp_extract(p, '^.*?([A-Za-z0-9\.-]+arc\.gz)(?:\.open|\.gz)?$', 1), '') as arcname from (values " + ", ".join(f"('{p}')" for p in _PATHS) + ") t(p)")
+def extract_arcname(spark, sf_dir):
+    return spark.createDataFrame([(p,) for p in _PATHS], "p string").select("p", urls.extract_arcname(F.col("p")).alias("arcname"))
+
+
+@query("strip_json_suffix", r"select p, regexp_replace(p || '.json.gz', '\.json(\.gz)?$', '') as a, regexp_replace(p || '.json', '\.json(\.gz)?$', '') as b from (values " + ", ".join(f"('{p}')" for p in _PATHS) + ") t(p)")
+def strip_json_suffix(spark, sf_dir):
+    p = F.col("p")
+    return spark.createDataFrame([(x,) for x in _PATHS], "p string").select("p", urls.strip_json_suffix(F.concat(p, F.lit(".json.gz"))).alias("a"), urls.strip_json_suffix(F.concat(p, F.lit(".json"))).alias("b"))
+
+
+@query(
+    "date_codec",
+    "select o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as iso, cast(floor(epoch(o_orderdate)) as bigint) * 1000 as ms, cast(floor(epoch(o_orderdate)) as bigint) as from_digits, cast(null as bigint) as from_other from orders",
+)
+def date_codec(spark, sf_dir):
+    d = F.date_trunc("second", F.col("o_orderdate")).cast("timestamp")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", dates.shown(d).alias("iso"), dates.millis(dates.parse(dates.shown(d))).alias("ms"), F.unix_seconds(dates.parse(F.date_format(d, "yyyyMMddHHmmss"))).alias("from_digits"),
+        F.unix_seconds(dates.parse(F.date_format(d, "yyyyMMdd"))).alias("from_other"),
+    )
+
+
+@query("collapse_whitespace", r"select doc_id, length(t) as chars, md5(t) as digest from (select doc_id, regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g') as t from documents)")
+def collapse_whitespace(spark, sf_dir):
+    t = text.collapse(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.length(t).cast("bigint").alias("chars"), F.md5(t).alias("digest"))
+
+
+@query("json_roundtrip", f"with {DOC} select rec_seq, arcname, url, digest, contentlength as length, 1700000000000 + rec_seq * 1000 as ms, length(content) as content_chars, 'text' as top from doc")
+def json_roundtrip(spark, sf_dir):
+    from capturelake.schema import JSON_RECORD
+    from capturelake.sources.records import as_json
+
+    rows = captures_doc(spark, sf_dir).withColumn("isRevisit", F.lit(None).cast("boolean"))
+    back = rows.select("rec_seq", F.from_json(as_json(), JSON_RECORD).alias("r"))
+    return back.select(
+        "rec_seq", F.col("r.filename").alias("arcname"), F.col("r.url").alias("url"), F.col("r.digest").alias("digest"), F.col("r.length").alias("length"), F.col("r.date").alias("ms"),
+        F.length("r.content").cast("bigint").alias("content_chars"), F.col("r.suppliedContentType.top").alias("top"),
+    )
+
+
+@query("json_props", "select event_id, json_extract_string(props, '$.page') as page, json_valid(props) as valid from events")
+def json_props(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.page").alias("page"), F.get_json_object("props", "$").isNotNull().alias("valid"))
+
+
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", F.col("text").alias("content"))
+
+
+def _found(spark, sf_dir, q):
+    return search.search(_docs(spark, sf_dir), q).select("doc_id")
+
+
+_WORDS = r"""w as (
+  select doc_id, lang, source, n_chars, list_distinct(list_filter(regexp_split_to_array(lower(
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[^\p{L}\p{N}]+', ' ', 'g'), '(\p{Ll})(\p{Lu})', '\1 \2', 'g'), '(\p{L})(\p{N})', '\1 \2', 'g'), '(\p{N})(\p{L})', '\1 \2', 'g')), ' +'), lambda x: x <> '')) as terms
+  from documents)"""
+
+
+@query("search_exact", "select doc_id from documents where lang = 'de'")
+def search_exact(spark, sf_dir):
+    return _found(spark, sf_dir, "lang:de")
+
+
+@query("search_phrase", "select doc_id from documents where source = 'src3'")
+def search_phrase(spark, sf_dir):
+    return _found(spark, sf_dir, 'source:"src3"')
+
+
+@query("search_range", "select doc_id from documents where n_chars >= 500 and n_chars < 2000")
+def search_range(spark, sf_dir):
+    return _found(spark, sf_dir, "n_chars:[500 TO 2000}")
+
+
+@query("search_bool", "select doc_id from documents where (lang = 'en' or lang = 'fr') and n_chars > 1000 and not source = 'src0'")
+def search_bool(spark, sf_dir):
+    return _found(spark, sf_dir, "+(lang:en OR lang:fr) +n_chars:{1000 TO *} -source:src0")
+
+
+@query("search_term", f"with {_WORDS} select doc_id from w where list_contains(terms, 'worthless') or list_contains(terms, 'moron')")
+def search_term(spark, sf_dir):
+    return _found(spark, sf_dir, "worthless moron")
+
+
+@query("match_all", "select count(*) as n from documents")
+def match_all(spark, sf_dir):
+    return search.search(_docs(spark, sf_dir), "*:*").agg(F.count("*").alias("n"))
+
+
+@query("id_disjunction", f"with {DOC} select id from firsts where id in (select id from doc where rec_seq % 10 = 3)")
+def id_disjunction(spark, sf_dir):
+    wanted = _projected(captures_doc(spark, sf_dir)).where("rec_seq % 10 = 3").select("id").distinct()
+    return search.by_ids(_merged(spark, sf_dir)[0], wanted).select("id")
+
+
+@query("page_offset", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 20 offset 40")
+def page_offset(spark, sf_dir):
+    return search.page(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 40, 20)
+
+
+@query("page_keyset", "select o_orderkey, o_custkey from orders where o_orderkey > 100 order by o_orderkey limit 25")
+def page_keyset(spark, sf_dir):
+    return search.page_after(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 100, 25)
+
+
+@query("terms", "select distinct source from documents where source is not null order by source")
+def terms(spark, sf_dir):
+    return search.terms(_docs(spark, sf_dir), "source")
+
+
+@query("facet_field", "select source as value, count(*) as n from documents where source is not null group by source")
+def facet_field(spark, sf_dir):
+    return facets.field(_docs(spark, sf_dir), "source")
+
+
+@query("facet_query", "select count(*) filter (lang = 'en') as english, count(*) filter (n_chars >= 5000) as long_ones from documents")
+def facet_query(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    s = search.Search(d)
+    return facets.queries(d, {"english": s.compile("lang:en"), "long_ones": s.compile("n_chars:[5000 TO *]")})
+
+
+@query(
+    "facet_range",
+    """select case when n_chars < 500 then 'before' when n_chars >= 3000 then 'after' else cast(cast(500 + floor((n_chars - 500) / 250.0) * 250 as bigint) as varchar) end as bucket, count(*) as n
+       from documents where n_chars is not null group by 1""",
+)
+def facet_range(spark, sf_dir):
+    return facets.ranges(_docs(spark, sf_dir), "n_chars", 500, 3000, 250)
+
+
+@query("facet_dates", "select strftime(o_orderdate, '%Y-%m') as bucket, count(*) as n from orders group by 1")
+def facet_dates(spark, sf_dir):
+    return table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query("facet_pivot", "select lang, source, count(*) as n, cast(grouping(lang, source) as bigint) as level from documents group by rollup(lang, source) having grouping(lang, source) < 3")
+def facet_pivot(spark, sf_dir):
+    return facets.pivot(_docs(spark, sf_dir), "lang", "source")
+
+
+@query(
+    "group_top_docs",
+    """select o_orderpriority, o_orderkey, o_totalprice, rank, num_found from (
+         select *, cast(row_number() over (partition by o_orderpriority order by o_totalprice desc, o_orderkey) as integer) as rank, count(*) over (partition by o_orderpriority) as num_found from orders) where rank <= 3""",
+)
+def group_top_docs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return facets.group_top(o, "o_orderpriority", [F.desc("o_totalprice"), "o_orderkey"], 3)
+
+
+@query("extract_title", r"select page_id, replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') as title from pages")
+def extract_title(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", html.extract("html")["title"].alias("title"))
+
+
+def _links(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", html.extract("html").alias("p"))
+    return rows.select("page_id", "url", html.resolve(F.col("url"), F.transform("p.links", lambda x: x["to"])).alias("targets"))
+
+
+_LINKS = """l as (
+  select page_id, url, case when h like 'http%' then h else regexp_extract(url, '^([a-z]+://[^/]*)', 1) || h end as target
+  from (select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as h from pages) where not (h like 'javascript%' or h like 'mailto%')
+)"""
+_EDGES = f"{_LINKS}, e as (select distinct {canonical_sql('url')} as src, {canonical_sql('target')} as dst from l)"
+
+
+@query("extract_outlinks", f"with {_LINKS} select page_id, count(*) as n_links, count(distinct {canonical_sql('target')}) as n_targets, min({fp_sql(canonical_sql('target'))}) as least_fp from l group by page_id")
+def extract_outlinks(spark, sf_dir):
+    rows = _links(spark, sf_dir).withColumn("fps", html.outlinks(F.col("targets"))).where("size(targets) > 0")
+    return rows.select("page_id", F.size("targets").cast("bigint").alias("n_links"), F.size("fps").cast("bigint").alias("n_targets"), F.element_at("fps", 1).alias("least_fp"))
+
+
+@query("html_text")
+def html_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", html.extract("html")["text"].alias("content"))
+
+
+@query("link_edges", f"with {_EDGES} select src, dst, {fp_sql('src')} as src_fp, {fp_sql('dst')} as dst_fp from e")
+def link_edges(spark, sf_dir):
+    return graph.edges(_links(spark, sf_dir))
+
+
+@query("node_ids", f"with {_EDGES} select row_number() over (order by url) - 1 as node_id, url from (select src as url from e union select dst from e)")
+def node_ids(spark, sf_dir):
+    return graph.nodes(graph.edges(_links(spark, sf_dir)))
+
+
+@query("successors", f"with {_EDGES}, n as (select row_number() over (order by url) - 1 as node_id, url from (select src as url from e union select dst from e)) select a.node_id, string_agg(cast(b.node_id as varchar), ',' order by b.node_id) as successors from e join n a on a.url = src join n b on b.url = dst group by 1")
+def successors(spark, sf_dir):
+    found = graph.edges(_links(spark, sf_dir))
+    return graph.successors(found, graph.nodes(found)).select("node_id", F.array_join("successors", ",").alias("successors"))
+
+
+@query("outdegree", f"with {_EDGES} select src, count(*) as outdegree from e group by src")
+def outdegree(spark, sf_dir):
+    return graph.outdegree(graph.edges(_links(spark, sf_dir)))
+
+
+def _pagerank_sql(rounds: int) -> str:
+    parts = [_EDGES, "d as (select src, count(*) as deg from e group by src)", "v as (select url, deg from (select src as url from e union select dst from e) left join d on src = url)", "n as (select cast(count(*) as double) as n from v)"]
+    parts.append("r0 as (select url, deg, 1 / n as rank from v, n)")
+    for i in range(1, rounds + 1):
+        p = f"r{i - 1}"
+        parts.append(f"g{i} as (select dst as url, sum(rank / deg) as got from e join {p} on {p}.url = e.src group by dst)")
+        parts.append(f"r{i} as (select {p}.url, deg, 0.15 / n + 0.85 * (select coalesce(sum(rank), 0) from {p} where deg is null) / n + 0.85 * coalesce(got, 0) as rank from {p} left join g{i} on g{i}.url = {p}.url, n)")
+    return "with " + ",\n".join(parts) + f" select url, round(rank, 9) as rank, round(rank * n, 6) as boost from r{rounds}, n"
+
+
+@query("pagerank", _pagerank_sql(4))
+def pagerank(spark, sf_dir):
+    ranks = graph.pagerank(graph.edges(_links(spark, sf_dir)), iterations=4, tolerance=None)
+    return ranks.select("url", F.round("rank", 9).alias("rank"), F.round("boost", 6).alias("boost"))
+
+
+@query("analyze_url", "select page_id, array_to_string(list_filter(list_transform(t, lambda x, i: case when list_position(t, x) = i then x end), lambda x: x is not null), ' ') as terms from (select page_id, list_filter(regexp_split_to_array(lower(url), '[^a-z0-9]+'), lambda x: x <> '') as t from pages)")
+def analyze_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.array_join(text.analyze_url(F.col("url")), " ").alias("terms"))
+
+
+@query("analyze_text")
+def analyze_text(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(text.analyze(F.col("text")), " ").alias("terms"))
+
+
+@query("stem_terms")
+def stem_terms(spark, sf_dir):
+    terms_ = text.stem_terms(text.analyze(F.col("text")))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(terms_, " ").alias("stems"))
+
+
+def _plain_words(column):
+    return F.filter(F.split(F.lower(column), "[^a-z]+"), lambda w: w != "")
+
+
+@query(
+    "score_topk",
+    """with w as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) as term from documents),
+    tf as (select doc_id, term, count(*) as tf from w where term in ('worthless', 'moron', 'the') group by all),
+    df as (select term, count(*) as df from tf group by term), n as (select count(*) as n from documents)
+    select doc_id as id, round(sum(sqrt(tf) * (1 + ln(n / (df + 1.0)))), 6) as score from tf join df using (term), n group by doc_id order by score desc, doc_id limit 20""",
+)
+def score_topk(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    scored = relevance.score(d, "doc_id", _plain_words(F.col("text")), ["worthless", "moron", "the"])
+    return relevance.top(scored.select("id", F.round("score", 6).alias("score")), 20)
+
+
+@query(
+    "score_bm25",
+    """with a as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') as ws from documents),
+    s as (select count(*) as n, avg(len(ws)) as mean from a), w as (select doc_id, len(ws) as dl, unnest(ws) as term from a),
+    tf as (select doc_id, dl, term, count(*) as tf from w where term in ('worthless', 'moron') group by all), df as (select term, count(*) as df from tf group by term)
+    select doc_id as id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) as score from tf join df using (term), s group by doc_id""",
+)
+def score_bm25(spark, sf_dir):
+    scored = relevance.score(table(spark, sf_dir, "documents"), "doc_id", _plain_words(F.col("text")), ["worthless", "moron"], method="bm25")
+    return scored.select("id", F.round("score", 6).alias("score"))
+
+
+@query("highlight", r"select doc_id, md5(regexp_replace(text, '(?i)\b(worthless)\b', '<em>\1</em>', 'g')) as marked from documents where regexp_matches(text, '(?i)\bworthless\b')")
+def highlight(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"(?i)(?<![A-Za-z0-9])worthless(?![A-Za-z0-9])"))
+    return d.select("doc_id", F.md5(text.highlight(F.col("text"), "worthless")).alias("marked"))
+
+
+def _vocabulary(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select(F.explode(_plain_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+
+
+_VOCABULARY = "v as (select term, count(*) as n from (select unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) as term from conversations) group by term)"
+
+
+@query("suggest_prefix", f"with {_VOCABULARY} select term from v where term like 'thin%' order by term")
+def suggest_prefix(spark, sf_dir):
+    return text.suggest(_vocabulary(spark, sf_dir), "thin")
+
+
+@query("did_you_mean", f"with {_VOCABULARY} select term, n, cast(levenshtein(term, 'thing') as integer) as distance from v where levenshtein(term, 'thing') <= 2")
+def did_you_mean(spark, sf_dir):
+    return relevance.did_you_mean(_vocabulary(spark, sf_dir), "thing")
+
+
+@query(
+    "more_like_this",
+    """with w as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) as term from documents),
+    c as (select doc_id as id, term, count(*) as tf from w group by all), q as (select term, tf as q from c where id = 3 order by tf desc, term limit 25),
+    norm as (select id, sqrt(sum(tf * tf)) as norm from c group by id)
+    select id, round(sum(tf * q) / any_value(norm), 6) as score from c join q using (term) join norm using (id) where id <> 3 group by id""",
+)
+def more_like_this(spark, sf_dir):
+    counts = relevance.term_counts(table(spark, sf_dir, "documents"), "doc_id", _plain_words(F.col("text")))
+    return relevance.more_like(counts, 3).select("id", F.round("score", 6).alias("score"))
+
+
+@query("lang_detect")
+def lang_detect(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    known = lang.profiles(d.where("doc_id % 2 = 0"))
+    return d.select("doc_id", "lang", lang.detector(known)("text").alias("detected"))
