@@ -12,6 +12,8 @@ from capturelake.sources.webarchive import WebArchive
 
 def read_archives(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     spark.dataSource.register(WebArchive)
+    # the source takes filters on file names and statuses
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("webarchive").option("mode", mode).load(path)
 
 
