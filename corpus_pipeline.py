@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from capturelake.llm import bpe, decontam, neardup, pii
 from capturelake.llm.toxicity import Toxicity
+from capturelake.scratch import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -65,7 +66,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; each but the last is written to the shared folder and reread, so none runs twice."""
+    work = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = work.save(docs, name)
+            if i:
+                work.drop(STAGES[i - 1][0])
     return docs
