@@ -11,7 +11,7 @@ with an incremental decoder that keeps the bytes of a split character for the ne
 
 The model gives the ids of a pattern match by itself, so each worker asks the library
 once for a match and keeps its ids (new words of a slice are asked for together); the memory for that is bounded by ``KEPT`` matches,
-after which it starts anew. The vocabulary is bounded by its file and sent to each worker
+of which the older half goes when it is full, but for those used since. The vocabulary is bounded by its file and sent to each worker
 once. Everything runs on one thread, so tasks keep to their cores.
 
 Cases. Null and empty texts have no tokens and decode to nothing. Strings of special
@@ -25,6 +25,7 @@ import base64
 import codecs
 import hashlib
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +84,17 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
     )
 
 
-KEPT = 400_000
+KEPT = 600_000
+#: texts without these have the same matches under latin_pattern
+_BEYOND = re.compile("[²³¹¼½¾ɐ-\U0010ffff]")
+
+
+def latin_pattern(pattern: str) -> str | None:
+    """The pattern in the terms of the faster standard module, for texts of Latin letters; None if it has others."""
+    space = r" \t-\r\x85\xa0"
+    for a, b in ((r"[^\s\p{L}\p{N}]", rf"(?:[^\w{space}]|_)"), (r"\p{L}", r"[^\W\d_]"), (r"\p{N}", "[0-9]"), (r"\s", f"[{space}]"), (r"\S", f"[^{space}]")):
+        pattern = pattern.replace(a, b)
+    return None if r"\p" in pattern or r"[^\s" in pattern else pattern
 
 
 class Codec(dict):
@@ -91,11 +102,14 @@ class Codec(dict):
 
     def __init__(self, source: str, pattern: str):
         super().__init__()
+        self.old: dict[str, bytes] = {}
         import regex
         from tokenizers import Tokenizer
 
         # White_Space is what the pattern's \s means to the library
-        self.find = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        self.any_text = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        latin = latin_pattern(pattern)
+        self.latin = latin and re.compile(latin).findall
         # the table is in code points, so that str.translate writes bytes as characters
         self.table = byte_table()
         self.tokenizer = Tokenizer.from_str(source)
@@ -109,12 +123,24 @@ class Codec(dict):
         self.names = [str(i) for i in range(len(self.bytes))]
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT:
-            self.clear()
+        out = self.old.get(piece)
+        if out is not None:
+            self[piece] = out
+            return out
+        self._make_room(1)
         shown = piece.encode().decode("latin-1").translate(self.table)
         out = self[piece] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
         return out
 
+    def find(self, text: str) -> list[str]:
+        """The pattern's matches in a text."""
+        return self.any_text(text) if self.latin is None or _BEYOND.search(text) else self.latin(text)
+
+    def _make_room(self, n: int) -> None:
+        if len(self) + n > KEPT // 2:
+            self.old = dict(self)
+            self.clear()
+
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.__getitem__, self.find(text))), "<u4")
 
@@ -122,10 +148,12 @@ class Codec(dict):
         """encode() of each text; new words are asked for together, which costs less than one by one."""
         split = [self.find(t) for t in texts]
         new = {p for pieces in split for p in pieces if p not in self}
+        known = {p: self.old[p] for p in new if p in self.old}
+        new -= known.keys()
         # a space and Latin letters: such matches next to each other are found again as they are
         new = [p for p in new if p[0] == " " and p[1:].isalpha() and max(p) < "\u0250"]
-        if len(self) + len(new) > KEPT:
-            self.clear()
+        self._make_room(len(known) + len(new))
+        self.update(known)
         if new:
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(new)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.cumsum([len(p.encode()) for p in new])

@@ -3,8 +3,9 @@
 Method. Rows are dealt to partitions by ranges of their id and encoded in ascending
 order. A partition cuts its ids into segments of about ``SEGMENT`` tokens, each one file.
 A segment has one static frequency table, shared by all its blocks: counts scaled to
-2^bits. A block is ``BLOCK`` tokens, dealt in turn to ``LANES`` interleaved states of 64
-bits that share one stream of 32-bit words. Blocks are independent: each has a checkpoint
+2^bits. A block is ``BLOCK`` tokens, dealt in turn to ``LANES`` interleaved states from
+2^28 to 2^52, which share one stream of 24-bit words (so that a double divides a state
+exactly, and one word at most leaves it a step). Blocks are independent: each has a checkpoint
 (its place in the stream, first token and final states) and a CRC-32 of its ids, so any
 block can be decoded alone, or all in parallel; here numpy handles all lanes of all blocks
 of a segment at once. A file holds, in little-endian order:
@@ -46,7 +47,8 @@ from capturelake.scratch import Scratch
 SEGMENT = 1 << 21
 BLOCK = 1 << 15
 LANES = 32
-_LOW = np.uint64(1 << 31)
+_LOW = np.int64(1 << 28)
+_WORD = np.int64(24)
 _MAGIC = b"TRNS"
 _HEAD = np.dtype([("magic", "S4"), ("version", "<u4"), ("bits", "<u4"), ("lanes", "<u4"), ("block", "<u4"), ("first", "<u8"), ("tokens", "<u8"), ("docs", "<u8"), ("blocks", "<u4"), ("table", "<u4")])
 
@@ -73,19 +75,19 @@ def frequencies(counts: np.ndarray, bits: int) -> np.ndarray:
 def _encode_blocks(slots: np.ndarray, freq: np.ndarray, start: np.ndarray, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Final states (blocks, lanes) and word streams of slots (blocks, steps, lanes)."""
     blocks, steps, lanes = slots.shape
-    x = np.full((blocks, lanes), _LOW, np.uint64)
+    x = np.full((blocks, lanes), _LOW, np.int64)
     words = np.empty((steps, blocks, lanes), np.uint32)
     out = np.empty((steps, blocks, lanes), bool)
-    shift = np.uint64(63 - bits)
+    shift, bits = np.int64(52 - bits), np.int64(bits)
     for t in range(steps - 1, -1, -1):
-        f, s = freq[slots[:, t]], start[slots[:, t]]
-        # with 2^31 <= x < 2^63 at most one word has to leave
+        s = slots[:, t]
+        f = freq[s]
         full = x >= (f << shift)
-        words[t] = x.astype(np.uint32)
+        words[t] = x & 0xFFFFFF
         out[t] = full
-        np.right_shift(x, np.uint64(32), out=x, where=full)
-        q, r = np.divmod(x, f)
-        x = (q << np.uint64(bits)) + r + s
+        np.right_shift(x, _WORD, out=x, where=full)
+        q = (x / f).astype(np.int64)
+        x = (q << bits) + (x - q * f) + start[s]
     return x, [words[:, b][out[:, b]] for b in range(blocks)]
 
 
@@ -93,26 +95,44 @@ def _decode_blocks(x: np.ndarray, words: np.ndarray, at: np.ndarray, steps: int,
     """Slots (blocks, steps, lanes) from final states, the joined words and each block's place in them."""
     x, at = x.copy(), at.astype(np.int64).copy()
     out = np.empty((len(x), steps, x.shape[1]), np.uint16)
-    mask = np.uint64((1 << bits) - 1)
-    words = np.append(words, np.uint32(0))
+    mask, bits = np.int64((1 << bits) - 1), np.int64(bits)
+    words = np.append(words, 0).astype(np.int64)
+    last = len(words) - 1
     for t in range(steps):
         low = x & mask
         s = slot_of[low]
         out[:, t] = s
-        x = freq[s] * (x >> np.uint64(bits)) + low - start[s]
+        x = freq[s] * (x >> bits) + low - start[s]
         need = x < _LOW
         rank = np.cumsum(need, 1)
-        got = words[np.minimum(at[:, None] + rank - 1, len(words) - 1)].astype(np.uint64)
-        x = np.where(need, (x << np.uint64(32)) | got, x)
+        got = words[np.minimum(at[:, None] + rank - 1, last)]
+        x = np.where(need, (x << _WORD) | got, x)
         at += rank[:, -1]
+    # the coder began there, so anything else shows damage
+    if (x != _LOW).any():
+        raise ValueError("a block is damaged")
     return out
 
 
+def _three_bytes(words: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(words.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+
+
+def _from_three(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 3, 4), np.uint8)
+    out[:, :3] = raw.reshape(-1, 3)
+    return out.view("<u4")[:, 0]
+
+
 def pack(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, first: int = 0) -> bytes:
     """A segment's file; first: the partition's tokens before it."""
-    used, slots, n = np.unique(ids, return_inverse=True, return_counts=True)
+    n = np.bincount(ids)
+    used = np.flatnonzero(n)
+    place = np.zeros(len(n), np.int64)
+    place[used] = np.arange(len(used))
+    slots, n = place[ids], n[used]
     bits = min(20, max(12, int(len(used) - 1).bit_length() + 3))
-    freq = frequencies(n, bits).astype(np.uint64)
+    freq = frequencies(n, bits)
     start = np.cumsum(freq) - freq
     blocks = -(-len(ids) // BLOCK)
     # unused places of the last block repeat the likeliest id; its steps end with its tokens
@@ -132,7 +152,7 @@ def pack(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, first: int =
     before = np.cumsum([0, *map(len, streams)])[:-1].astype("<u8")
     head = np.zeros(1, _HEAD)
     head[0] = (_MAGIC, 1, bits, LANES, BLOCK, first, len(ids), len(doc_ids), blocks, len(used))
-    parts = [head, used.astype("<u4"), freq.astype("<u4"), doc_ids.astype("<i8"), counts.astype("<u4"), before, marks, np.concatenate(states).astype("<u8"), *(w.astype("<u4") for w in streams)]
+    parts = [head, used.astype("<u4"), freq.astype("<u4"), doc_ids.astype("<i8"), counts.astype("<u4"), before, marks, np.concatenate(states).astype("<u8"), *map(_three_bytes, streams)]
     return b"".join(p.tobytes() for p in parts)
 
 
@@ -152,13 +172,13 @@ class Segment:
             return out
 
         h = self.head
-        self.used, self.freq = take("<u4", h["table"]), take("<u4", h["table"]).astype(np.uint64)
+        self.used, self.freq = take("<u4", h["table"]), take("<u4", h["table"]).astype(np.int64)
         self.doc_ids, self.counts = take("<i8", h["docs"]), take("<u4", h["docs"])
         self.before, self.marks = take("<u8", h["blocks"]), take("<u4", h["blocks"])
-        self.states = take("<u8", int(h["blocks"]) * int(h["lanes"])).reshape(-1, h["lanes"])
-        self.words = np.frombuffer(raw, "<u4", -1, at)
+        self.states = take("<u8", int(h["blocks"]) * int(h["lanes"])).astype(np.int64).reshape(-1, h["lanes"])
+        self.words = _from_three(np.frombuffer(raw, np.uint8, -1, at))
         self.start = np.cumsum(self.freq) - self.freq
-        self.slot_of = np.repeat(np.arange(len(self.used), dtype=np.uint16), self.freq.astype(np.int64))
+        self.slot_of = np.repeat(np.arange(len(self.used), dtype=np.uint16), self.freq)
 
     def blocks(self, lo: int, hi: int) -> np.ndarray:
         """The ids of blocks lo to hi, checked."""
