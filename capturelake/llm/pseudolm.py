@@ -10,9 +10,9 @@ frequent words, an equal part of the rest for others.
 
 Everything is gathered over all documents: word counts by a partially aggregated shuffle,
 and the weights by rounds of local training. In a round each partition trains from the same
-start on its own text (every document, every ``STRIDE``-th token, other ones each round)
-with Adagrad in numpy, and the weights are averaged by tokens with an aggregation by weight
-number, so the driver gets as many rows as there are weights.
+start on its own text (every token of every document, each round) with Adagrad in numpy,
+and the weights are averaged by tokens with an aggregation by weight number, so the driver
+gets as many rows as there are weights.
 
 Bounds. What tasks and driver hold is bounded by the vocabulary, the weights and a slice of
 text. Counts in a task are sent on when they are many.
@@ -36,7 +36,7 @@ HEAD, TAIL, VOCABULARY = 96, 32, 20_000
 CLASSES = HEAD + TAIL
 PAD = CLASSES
 SPAN, WIDTH, HIDDEN = 3, 12, 24
-STRIDE, ROUNDS, BATCH = 8, 2, 2048
+ROUNDS, BATCH = 2, 2048
 PLACES = [*range(-SPAN, 0), *range(1, SPAN + 1)]
 SHAPES = {"e": (CLASSES + 1, WIDTH), "w": (len(PLACES), WIDTH, HIDDEN), "b": (HIDDEN,), "u": (HIDDEN, CLASSES), "c": (CLASSES,)}
 
@@ -142,39 +142,46 @@ def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def forward(p, near):
-    h = np.tanh(sum((p["e"] @ p["w"][k])[near[:, k]] for k in range(len(PLACES))) + p["b"])
-    z = h @ p["u"] + p["c"]
+    """The hidden layer and the logits less their maximum."""
+    h = (p["e"] @ p["w"][0]).take(near[:, 0], 0)
+    for k in range(1, len(PLACES)):
+        h += (p["e"] @ p["w"][k]).take(near[:, k], 0)
+    h += p["b"]
+    np.tanh(h, out=h)
+    z = h @ p["u"]
+    z += p["c"]
     z -= z.max(1, keepdims=True)
-    e = np.exp(z)
-    return h, z, e, e.sum(1, keepdims=True)
+    return h, z
 
 
 def log_probs(p, kind: np.ndarray, near: np.ndarray) -> np.ndarray:
     """log P(class | neighbours) of each token."""
     out = np.empty(len(kind))
-    for at in range(0, len(kind), 8192):
-        part = slice(at, at + 8192)
-        _, z, _, total = forward(p, near[part])
-        out[part] = z[np.arange(len(z)), kind[part]] - np.log(total[:, 0])
+    for at in range(0, len(kind), BATCH):
+        part = slice(at, at + BATCH)
+        _, z = forward(p, near[part])
+        own = z[np.arange(len(z)), kind[part]]
+        out[part] = own - np.log(np.exp(z, out=z).sum(1))
     return out
 
 
 def gradient(p, kind, near) -> dict[str, np.ndarray]:
     """Of the mean negative log-likelihood."""
     n = len(kind)
-    h, _, e, total = forward(p, near)
-    dz = e / total
-    dz[np.arange(n), kind] -= 1
-    dz /= n
-    dh = (dz @ p["u"].T) * (1 - h * h)
-    g = {"u": h.T @ dz, "c": dz.sum(0), "b": dh.sum(0), "e": np.zeros_like(p["e"]), "w": np.zeros_like(p["w"])}
+    h, dz = forward(p, near)
+    np.exp(dz, out=dz)
+    dz /= n * dz.sum(1, keepdims=True)
+    dz[np.arange(n), kind] -= 1 / n
+    dh = dz @ p["u"].T
+    dh *= 1 - h * h
+    # sums by neighbour: sorted runs cost less than products with one-hot rows
+    summed = np.zeros((len(PLACES), CLASSES + 1, HIDDEN), dh.dtype)
     for k in range(len(PLACES)):
-        one = np.zeros((n, CLASSES + 1), np.float32)
-        one[np.arange(n), near[:, k]] = 1
-        summed = one.T @ dh
-        g["w"][k] = p["e"].T @ summed
-        g["e"] += summed @ p["w"][k].T
-    return g
+        at = near[:, k].astype(np.int16)
+        order = np.argsort(at, kind="stable")
+        first = np.flatnonzero(np.diff(at[order], prepend=-1))
+        summed[k, at[order[first]]] = np.add.reduceat(dh.take(order, 0), first)
+    return {"u": h.T @ dz, "c": dz.sum(0), "b": dh.sum(0), "e": (summed @ p["w"].transpose(0, 2, 1)).sum(0), "w": p["e"].T @ summed}
 
 
 class Trainer:
@@ -190,7 +197,7 @@ class Trainer:
         self.tokens += len(kind)
 
 
-def _train(vocabulary, weights, turn: int):
+def _train(vocabulary, weights):
     """The weights that a partition's text gives, times its tokens: i, v, n."""
 
     def run(batches):
@@ -200,14 +207,9 @@ def _train(vocabulary, weights, turn: int):
             for part in tx.slices(batch, "text"):
                 h, tail, bounds = hashed(part.column(0))
                 kind, _ = own.classes(h, tail)
-                near = neighbours(kind, bounds)
-                # places count within the document, so that each takes part
-                place = np.arange(len(kind)) - np.repeat(bounds[:-1], np.diff(bounds))
-                take = place % STRIDE == turn % STRIDE
-                take[bounds[:-1][np.diff(bounds) > 0]] = True
-                kinds.append(kind[take])
-                nears.append(near[take])
-                held += int(take.sum())
+                kinds.append(kind)
+                nears.append(neighbours(kind, bounds))
+                held += len(kind)
                 if held >= BATCH:
                     k, x = np.concatenate(kinds), np.concatenate(nears)
                     for at in range(0, held - held % BATCH, BATCH):
@@ -261,8 +263,8 @@ class PseudoLikelihood:
         self.vocabulary = Vocabulary(h.view(np.uint64), tail.astype(np.int64), n, rest)
         self.sent = sc.broadcast(self.vocabulary)
         self.weights = flat(start(self.vocabulary.unigram))
-        for turn in range(self.rounds):
-            gone = texts.mapInArrow(_train(self.sent, sc.broadcast(self.weights), turn), "i int, v double, n long")
+        for _ in range(self.rounds):
+            gone = texts.mapInArrow(_train(self.sent, sc.broadcast(self.weights)), "i int, v double, n long")
             got = gone.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toArrow()
             if len(got):
                 self.weights = got["v"].to_numpy()[np.argsort(got["i"].to_numpy())]

@@ -334,6 +334,21 @@ def test_pseudo_likelihood(spark):
     assert pseudolm.PseudoLikelihood(spark).fit(df.limit(0)).score(df.limit(0)).count() == 0
 
 
+def test_training_takes_every_token(spark, monkeypatch):
+    texts = [None, "a", " ".join(f"w{k}" for k in range(21)), " ".join(f"v{k % 5}" for k in range(50))]
+    model = pseudolm.PseudoLikelihood(spark, rounds=0).fit(docs_of(spark, texts))
+    learnt = []
+    monkeypatch.setattr(pseudolm.Trainer, "step", lambda self, kind, near: learnt.extend(kind))
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    list(pseudolm._train(Sent(model.vocabulary), Sent(model.weights))([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
+    h, tail, _ = pseudolm.hashed(pa.array(texts))
+    assert learnt == model.vocabulary.classes(h, tail)[0].tolist() and len(learnt) == 72
+
+
 def test_gradient():
     rng = np.random.default_rng(1)
     p = {k: v.astype(np.float64) for k, v in pseudolm.start(np.full(pseudolm.CLASSES, 1 / pseudolm.CLASSES)).items()}
