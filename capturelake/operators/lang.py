@@ -2,33 +2,56 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEPT = 4000
+_OTHER = re.compile(r"[^\w]|[\d_]")
 
 
-def grams(text: Column) -> Column:
+def grams(text: str) -> list[str]:
     """All 1- to 3-grams of the letters of a text, with single spaces between words and at the ends."""
-    clean = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), F.lit(" "))
-    parts = [_grams(clean, n) for n in (1, 2, 3)]
-    return F.filter(F.flatten(F.array(*parts)), lambda g: F.trim(g) != "")
-
-
-def _grams(clean: Column, n: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(clean) - n + 1, F.lit(1))), lambda i: F.substr(clean, i, F.lit(n)))
-
-
-def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", kept: int = KEPT) -> dict[str, dict[str, float]]:
-    """Log-probabilities of each language's most frequent n-grams, counted over all labelled documents."""
-    counts = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.explode(grams(F.col(text_col))).alias("g")).groupBy("lang", "g").agg(F.count("*").alias("n"))
-    totals = {r["lang"]: r["t"] for r in counts.groupBy("lang").agg(F.sum("n").alias("t")).collect()}
+    words = " ".join(_OTHER.sub(" ", text.lower()).split())
+    s = f" {words} "
+    return [g for n in (1, 2, 3) for i in range(len(s) - n + 1) if (g := s[i : i + n]) != " "] if words else []
+
+
+def _counts(batches):
+    """Partial counts of a task's n-grams: lang, g, n."""
+    held: dict[str, Counter] = {}
+
+    def sent():
+        rows = [(lang, g, n) for lang, own in held.items() for g, n in own.items()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", "g", "n"])
+
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if text is not None:
+                found = grams(text)
+                if found:
+                    held.setdefault(lang, Counter()).update(found)
+        if sum(map(len, held.values())) > 500_000:
+            yield sent()
+            held.clear()
+    if held:
+        yield sent()
+
+
+def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, dict[str, float]]:
+    """Log-probabilities of all n-grams of each language, counted over all labelled documents."""
+    labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    counts = labelled.mapInArrow(_counts, "lang string, g string, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
     out: dict[str, dict[str, float]] = {}
-    for lang, total in totals.items():
-        rows = counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "g").limit(kept).collect()
-        out[lang] = {r["g"]: float(np.log(r["n"] / total)) for r in rows}
+    for r in counts.collect():
+        out.setdefault(r["lang"], {})[r["g"]] = r["n"]
+    for lang, own in out.items():
+        total = sum(own.values())
+        out[lang] = {g: float(np.log(n / total)) for g, n in own.items()}
     return out
 
 
@@ -36,25 +59,22 @@ def detector(known: dict[str, dict[str, float]]):
     """A UDF: the language of a text; null for null, empty for text without letters."""
     langs = sorted(known)
     places = {g: i for i, g in enumerate(sorted({g for p in known.values() for g in p}))}
-    table = np.full((len(places) + 1, len(langs)), -16.0, np.float32)
+    # an n-gram that a language doesn't have is rarer than any that it has
+    unseen = min([-16.0, *(v - np.log(2) for p in known.values() for v in p.values())])
+    table = np.full((len(places) + 1, len(langs)), unseen, np.float32)
     for j, lang in enumerate(langs):
         for g, v in known[lang].items():
             table[places[g], j] = v
 
     @F.pandas_udf("string")
     def detect(texts: pd.Series) -> pd.Series:
-        import re
-
-        other = re.compile(r"[^\w]|[\d_]")
-
         def one(t):
             if t is None:
                 return None
-            words = " ".join(other.sub(" ", t.lower()).split())
-            if not words or not langs:
+            found = grams(t)
+            if not found or not langs:
                 return ""
-            s = f" {words} "
-            at = [places.get(s[i : i + n], -1) for n in (1, 2, 3) for i in range(len(s) - n + 1)]
+            at = [places.get(g, -1) for g in found]
             return langs[int(np.argmax(table[[a for a in at if a >= 0]].sum(0)))]
 
         return texts.map(one)

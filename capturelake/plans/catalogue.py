@@ -617,5 +617,4 @@ def more_like_this(spark, sf_dir):
 @query("lang_detect")
 def lang_detect(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    known = lang.profiles(d.where("doc_id % 2 = 0"))
-    return d.select("doc_id", "lang", lang.detector(known)("text").alias("detected"))
+    return d.select("doc_id", "lang", lang.detector(lang.profiles(d))("text").alias("detected"))
