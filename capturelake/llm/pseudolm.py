@@ -5,8 +5,8 @@ hidden; the sum of the log-probabilities scores the document. The network reads
 words: embeddings of the neighbours, a tanh layer with a matrix for each place, a softmax
 over classes. The ``HEAD`` most frequent words of the corpus are classes of their own, all
 others fall into ``TAIL`` classes by their last two bytes, and the probability of a word
-within its class comes from the corpus counts: its own count for the ``VOCABULARY`` most
-frequent words, an equal part of the rest for others.
+within its class comes from its own count in the corpus. Tasks hold the counts of the
+``VOCABULARY`` most frequent words; those of all others are joined to their tokens.
 
 Everything is gathered over all documents: word counts by a partially aggregated shuffle,
 and the weights by rounds of local training. In a round each partition trains from the same
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,25 +87,30 @@ def _counts(batches):
 class Vocabulary:
     """Classes of words and the log-probability of a word within its class. Picklable."""
 
-    def __init__(self, h: np.ndarray, tail: np.ndarray, n: np.ndarray, rest: dict[int, tuple[int, int]]):
-        """The most frequent words in order, and for each tail class the tokens and kinds of all others."""
+    def __init__(self, h: np.ndarray, tail: np.ndarray, n: np.ndarray, rest: dict[int, int]):
+        """The most frequent words in order, and for each tail class the tokens of all others."""
         kind = np.where(np.arange(len(h)) < HEAD, np.arange(len(h)), tail)
         total = np.bincount(kind, n, CLASSES)
-        for c, (tokens, _) in rest.items():
+        for c, tokens in rest.items():
             total[c] += tokens
         self.unigram = (total + 1) / (total.sum() + CLASSES)
-        within = np.log(n / np.maximum(total[kind], 1))
+        # one more token of each class stands for words that no count knows
+        self.rest = -np.log(total + 1.0)
+        self.rest[:HEAD] = 0
+        within = np.log(n) + self.rest[kind]
         within[:HEAD] = 0
-        # one more kind stands for words that no count knows
-        self.rest = np.array([np.log((rest.get(c, (0, 0))[0] + 1) / ((total[c] + 1) * (rest.get(c, (0, 0))[1] + 1))) for c in range(CLASSES)])
         order = np.argsort(h)
         self.hash, self.kind, self.within = h[order], kind[order], within[order]
 
-    def classes(self, h: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def look(self, h: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Classes, log-probabilities within them, and whether those have the word's count; where not, its log is to be added."""
         at = tx.lookup(self.hash, h)
         known = at >= 0
         kind = np.where(known, self.kind[at] if len(self.kind) else 0, tail)
-        return kind, np.where(known, self.within[at] if len(self.kind) else 0, self.rest[kind])
+        return kind, np.where(known, self.within[at] if len(self.kind) else 0, self.rest[kind]), known
+
+    def classes(self, h: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.look(h, tail)[:2]
 
 
 def neighbours(kind: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -224,22 +230,25 @@ def _train(vocabulary, weights):
     return run
 
 
-def document_scores(p, vocabulary: Vocabulary, column) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and summed log-probabilities of the rows of a slice."""
+def document_scores(p, vocabulary: Vocabulary, column) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Tokens, summed log-probabilities without the counts of rarer words, and the hashes of those, of the rows of a slice."""
     h, tail, bounds = hashed(column)
-    kind, within = vocabulary.classes(h, tail)
+    kind, within, known = vocabulary.look(h, tail)
     each = log_probs(p, kind, neighbours(kind, bounds)) + within
     sums = np.concatenate([[0.0], np.cumsum(each)])
-    return np.diff(bounds), sums[bounds[1:]] - sums[bounds[:-1]]
+    rare = np.concatenate([[0], np.cumsum(~known)])[bounds].astype(np.int32)
+    return np.diff(bounds), sums[bounds[1:]] - sums[bounds[:-1]], pa.ListArray.from_arrays(pa.array(rare), pa.array(h[~known].view(np.int64)))
 
 
 def _score(vocabulary, weights):
     def run(batches):
-        p = shaped(weights.value)
+        p, row = shaped(weights.value), TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in tx.slices(batch, "text"):
-                n, s = document_scores(p, vocabulary.value, part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(s)], ["id", "n_tokens", "log_prob"])
+                n, s, rare = document_scores(p, vocabulary.value, part.column(1))
+                rows = np.arange(row, row + len(n))
+                row += len(n)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), part.column(0), pa.array(n, pa.int64()), pa.array(s), rare], ["row", "id", "n_tokens", "log_prob", "rare"])
 
     return run
 
@@ -255,11 +264,12 @@ class PseudoLikelihood:
         work = Scratch(self.spark, "pseudolm")
         texts = docs.select(F.col(text_col).cast("string").alias("text"))
         counts = texts.mapInArrow(_counts, "h long, tail int, n long").groupBy("h").agg(F.min("tail").alias("tail"), F.sum("n").alias("n"))
-        counts = work.save(counts, "counts")
+        # kept: score() reads it
+        self.counts = counts = work.save(counts, "counts")
         top = counts.orderBy(F.desc("n"), "h").limit(VOCABULARY).toArrow()
-        all_tail = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
+        all_tail = counts.groupBy("tail").agg(F.sum("n").alias("n")).collect()
         h, tail, n = (top[c].to_numpy() for c in ("h", "tail", "n"))
-        rest = {r["tail"]: (r["n"] - int(n[tail == r["tail"]].sum()), r["kinds"] - int((tail == r["tail"]).sum())) for r in all_tail}
+        rest = {r["tail"]: r["n"] - int(n[tail == r["tail"]].sum()) for r in all_tail}
         self.vocabulary = Vocabulary(h.view(np.uint64), tail.astype(np.int64), n, rest)
         self.sent = sc.broadcast(self.vocabulary)
         self.weights = flat(start(self.vocabulary.unigram))
@@ -268,12 +278,17 @@ class PseudoLikelihood:
             got = gone.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toArrow()
             if len(got):
                 self.weights = got["v"].to_numpy()[np.argsort(got["i"].to_numpy())]
-        work.drop("counts")
         return self
 
     def score(self, docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        return rows.mapInArrow(_score(self.sent, self.spark.sparkContext.broadcast(self.weights)), "id long, n_tokens long, log_prob double")
+        near = rows.mapInArrow(_score(self.sent, self.spark.sparkContext.broadcast(self.weights)), "row long, id long, n_tokens long, log_prob double, rare array<long>")
+        # written, so that the numbers of the rows are the same in both reads
+        near = Scratch(self.spark, "pseudolm").save(near, "near")
+        # the log of a single count is 0
+        logs = self.counts.where("n > 1").select("h", F.log("n").alias("more"))
+        more = near.select("row", F.explode("rare").alias("h")).join(logs, "h").groupBy("row").agg(F.sum("more").alias("more"))
+        return near.join(more, "row", "left").select("id", "n_tokens", (F.col("log_prob") + F.coalesce("more", F.lit(0.0))).alias("log_prob"))
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -349,6 +349,22 @@ def test_training_takes_every_token(spark, monkeypatch):
     assert learnt == model.vocabulary.classes(h, tail)[0].tolist() and len(learnt) == 72
 
 
+def test_every_word_keeps_its_count(spark, monkeypatch):
+    """Whether a task holds a word's count or it is joined, the scores are the same."""
+    rng = random.Random(4)
+    texts = [*ODD, *(prose(rng, 150, 900) for _ in range(30)), " ".join(f"u{k}" for k in range(200))]
+    df = docs_of(spark, [*texts, texts[-2]])
+    new = docs_of(spark, [*texts, "neverseen w7 neverseen"], 500)
+
+    def scores(size):
+        monkeypatch.setattr(pseudolm, "VOCABULARY", size)
+        model = pseudolm.PseudoLikelihood(spark, rounds=0).fit(df)
+        return {r["id"]: r["log_prob"] for d in (df, new) for r in model.score(d).collect()}
+
+    few, all_ = scores(120), scores(20_000)
+    assert len(few) == 2 * len(texts) + 2 and few == pytest.approx(all_, rel=1e-6)
+
+
 def test_gradient():
     rng = np.random.default_rng(1)
     p = {k: v.astype(np.float64) for k, v in pseudolm.start(np.full(pseudolm.CLASSES, 1 / pseudolm.CLASSES)).items()}
