@@ -534,6 +534,12 @@ def pagerank(spark, sf_dir):
     return ranks.select("url", F.round("rank", 9).alias("rank"), F.round("boost", 6).alias("boost"))
 
 
+@query("pagerank_converged")
+def pagerank_converged(spark, sf_dir):
+    """To the tolerance: with damping 0.85 a round moves less than 1e-6 after 90 rounds at the latest."""
+    return graph.pagerank(graph.edges(_links(spark, sf_dir)), iterations=100)
+
+
 @query("analyze_url", "select page_id, array_to_string(list_filter(list_transform(t, lambda x, i: case when list_position(t, x) = i then x end), lambda x: x is not null), ' ') as terms from (select page_id, list_filter(regexp_split_to_array(lower(url), '[^a-z0-9]+'), lambda x: x <> '') as t from pages)")
 def analyze_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(text.analyze_url(F.col("url")), " ").alias("terms"))
