@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -12,15 +13,24 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``, as a whole URI.
+
+    Where that is unset, a temporary folder if driver and executors are one process, else an error:
+    executors of a cluster don't share the driver's folders.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = tempfile.mkdtemp(prefix="capturelake-")
-        spark.sparkContext.setCheckpointDir(_LOCAL[app])
-    return _LOCAL[app]
+    if not found:
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            _LOCAL[app] = tempfile.mkdtemp(prefix="capturelake-")
+            spark.sparkContext.setCheckpointDir(_LOCAL[app])
+        found = _LOCAL[app]
+    path = spark._jvm.org.apache.hadoop.fs.Path(found.rstrip("/"))
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    # Hadoop writes file:/a, other readers want file:///a
+    return re.sub("^file:/(?!/)", "file:///", whole)
 
 
 def ship(spark: SparkSession) -> None:
