@@ -9,13 +9,16 @@ end inside a character; its span in characters then covers that character. Decod
 joins the bytes of the tokens by the reversed byte table; ids may be decoded in pieces,
 with an incremental decoder that keeps the bytes of a split character for the next.
 
-The model gives the ids of a pattern match by itself, so each worker asks the library
-once for a match and keeps its ids (new words of a slice are asked for together); the memory for that is bounded by ``KEPT`` matches,
-of which the older half goes when it is full, but for those used since. The vocabulary is bounded by its file and sent to each worker
-once. Everything runs on one thread, so tasks keep to their cores.
-
-Cases. Null and empty texts have no tokens and decode to nothing. Strings of special
-tokens in a text are ordinary text. Repeated rows are encoded again; extra columns are
+The model gives the ids of a pattern match by itself, so a slice of texts is cut into its
+matches at once (split.py for the usual pattern, the regex module for others), Arrow's
+dictionary encoding gives the different ones, the library is asked together for those that
+the worker has not met, and ids are gathered by match. What a worker keeps is bounded by
+``KEPT`` matches. The vocabulary is bounded by its file and sent to each worker once.
+Everything runs on one thread, so tasks keep to their cores.
+
+Cases. Null and empty texts have no tokens and decode to nothing. Files of ranks have no
+special tokens, so their strings are ordinary text; a tokenizers file's added tokens are
+found in texts as the library finds them. Repeated rows are encoded again; extra columns are
 ignored; an empty table gives an empty result. Ids outside the vocabulary raise.
 """
 
@@ -25,13 +28,14 @@ import base64
 import codecs
 import hashlib
 import json
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from capturelake.llm import split
 from capturelake.llm import text as tx
 from capturelake.scratch import ship
 
@@ -85,85 +89,152 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
 
 
 KEPT = 600_000
-#: texts without these have the same matches under latin_pattern
-_BEYOND = re.compile("[²³¹¼½¾ɐ-\U0010ffff]")
-
-
-def latin_pattern(pattern: str) -> str | None:
-    """The pattern in the terms of the faster standard module, for texts of Latin letters; None if it has others."""
-    space = r" \t-\r\x85\xa0"
-    for a, b in ((r"[^\s\p{L}\p{N}]", rf"(?:[^\w{space}]|_)"), (r"\p{L}", r"[^\W\d_]"), (r"\p{N}", "[0-9]"), (r"\s", f"[{space}]"), (r"\S", f"[^{space}]")):
-        pattern = pattern.replace(a, b)
-    return None if r"\p" in pattern or r"[^\s" in pattern else pattern
+#: between matches that are encoded together; no character of the byte table
+_BETWEEN = 0xE000
 
 
-class Codec(dict):
-    """The ids of pattern matches, as little-endian uint32 bytes, got from the library when first asked for."""
+class Codec:
+    """Ids of whole columns: the library encodes every different match once, and its ids are kept."""
 
-    def __init__(self, source: str, pattern: str):
-        super().__init__()
-        self.old: dict[str, bytes] = {}
-        import regex
-        from tokenizers import Tokenizer
+    def __init__(self, source: str, pattern: str, classes: bytes | None = None):
+        """source: a tokenizers file; classes: those of split.py for its pattern, the library's own if None."""
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        # White_Space is what the pattern's \s means to the library
-        self.any_text = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        latin = latin_pattern(pattern)
-        self.latin = latin and re.compile(latin).findall
-        # the table is in code points, so that str.translate writes bytes as characters
-        self.table = byte_table()
         self.tokenizer = Tokenizer.from_str(source)
-        self.model = self.tokenizer.model
-        back = {c: b for b, c in enumerate(self.table)}
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.classes = None
+        if pattern == split.PATTERN:
+            self.classes = split.library_classes() if classes is None else np.frombuffer(classes, np.uint8)
+        else:
+            import regex
+
+            # White_Space is what the pattern's \s means to the library
+            self.find = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).finditer
+        self.apart = Tokenizer(self.tokenizer.model)
+        self.apart.pre_tokenizer = pre_tokenizers.Split(chr(_BETWEEN), "removed")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        table = byte_table()
+        self.shown = np.array([ord(c) for c in table], np.uint32)
+        back = {c: b for b, c in enumerate(table)}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes: list[bytes] = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
-            self.bytes[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
+            self.bytes[i] = bytes(back[c] for c in token) if all(c in back for c in token) and token not in self.added else token.encode()
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
-        self.names = [str(i) for i in range(len(self.bytes))]
-
-    def __missing__(self, piece: str) -> bytes:
-        out = self.old.get(piece)
-        if out is not None:
-            self[piece] = out
-            return out
-        self._make_room(1)
-        shown = piece.encode().decode("latin-1").translate(self.table)
-        out = self[piece] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        return out
-
-    def find(self, text: str) -> list[str]:
-        """The pattern's matches in a text."""
-        return self.any_text(text) if self.latin is None or _BEYOND.search(text) else self.latin(text)
-
-    def _make_room(self, n: int) -> None:
-        if len(self) + n > KEPT // 2:
-            self.old = dict(self)
-            self.clear()
+        self.first = np.cumsum(self.lengths) - self.lengths
+        self.joined = np.frombuffer(b"".join(self.bytes), np.uint8)
+        names = [f"{i},".encode() for i in range(len(self.bytes))]
+        self.name_lengths = np.array([len(n) for n in names], np.int64)
+        self.name_first = np.cumsum(self.name_lengths) - self.name_lengths
+        self.names = np.frombuffer(b"".join(names), np.uint8)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slot: dict[bytes, int] = {}
+        self.flat, self.at, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.used = np.zeros(0, bool)
+
+    def _room(self) -> None:
+        """Matches that were not used since the last time go when many are kept."""
+        if len(self.slot) > KEPT:
+            kept = [(p, i) for p, i in self.slot.items() if self.used[i]]
+            if len(kept) > KEPT // 2:
+                self._forget()
+                return
+            old = np.array([i for _, i in kept], np.int64)
+            self.flat, ends = split.gather(self.flat, self.at[old], self.sizes[old])
+            self.sizes = self.sizes[old]
+            self.at = ends - self.sizes
+            self.slot = {p: k for k, (p, _) in enumerate(kept)}
+            self.used = np.zeros(len(kept), bool)
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Asks the library for matches that are not kept, all in one call."""
+        sizes = np.array([len(p) for p in new], np.int64)
+        raw = np.frombuffer(b"".join(new), np.uint8)
+        points = np.full(len(raw) + len(new), _BETWEEN, np.uint32)
+        here = np.ones(len(points), bool)
+        here[np.cumsum(sizes + 1) - 1] = False
+        points[here] = self.shown[raw]
+        encoding = self.apart.encode_batch_fast([points.tobytes().decode("utf-32-le")], add_special_tokens=False)[0]
+        ids = np.array(encoding.ids, np.uint32)
+        reach = np.concatenate([[0], np.cumsum(self.lengths[ids])])
+        cuts = np.searchsorted(reach, np.concatenate([[0], np.cumsum(sizes)]))
+        if reach[-1] != len(raw) or not np.array_equal(reach[cuts[1:]], np.cumsum(sizes)):
+            raise ValueError("the model does not give back the bytes of its matches")
+        n, base = len(self.slot), len(self.flat)
+        self.flat = np.concatenate([self.flat, ids])
+        self.at = np.concatenate([self.at, cuts[:-1] + base])
+        self.sizes = np.concatenate([self.sizes, np.diff(cuts)])
+        self.used = np.concatenate([self.used, np.zeros(len(new), bool)])
+        self.slot.update(zip(new, range(n, n + len(new)), strict=True))
+
+    def _cut(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First byte and end of every match."""
+        if self.classes is not None:
+            start = split.matches(buf, offs, self.classes)
+            return start, np.append(start[1:], len(buf))
+        starts, ends = [], []
+        raw = buf.tobytes()
+        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+            text = raw[a:b].decode()
+            byte = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])]) + a if text else []
+            for m in self.find(text):
+                if m.end() > m.start():
+                    starts.append(byte[m.start()])
+                    ends.append(byte[m.end()])
+        return np.array(starts, np.int64), np.array(ends, np.int64)
+
+    def encode_column(self, column) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows joined, and the bounds of the rows; null counts as empty."""
+        special = self._special(column)
+        if special is not None:
+            column = pc.if_else(special, pa.scalar("", column.type), column)
+        buf, offs = tx.string_bytes(column)
+        start, end = self._cut(buf, offs)
+        if not len(start):
+            ids, bounds = np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
+        else:
+            if len(start) > 1 and (start[1:] != end[:-1]).any():
+                buf, ends = split.gather(buf, start, end - start)
+                edges = np.append(0, ends)
+            else:
+                edges = np.append(start, end[-1])
+            pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf))])
+            coded = pieces.dictionary_encode()
+            every = coded.dictionary.to_pylist()
+            self._room()
+            new = [p for p in every if p not in self.slot]
+            if new:
+                self._learn(new)
+            slot = np.fromiter(map(self.slot.__getitem__, every), np.int64, len(every))
+            self.used[slot] = True
+            code = coded.indices.to_numpy()
+            ids, ends = split.gather(self.flat, self.at[slot][code], self.sizes[slot][code])
+            bounds = np.append(0, ends)[np.searchsorted(start, offs)]
+        if special is None:
+            return ids, bounds
+        # texts with strings of added tokens go to the library whole
+        rows = np.flatnonzero(special.to_numpy(zero_copy_only=False))
+        own = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(self._whole.take(pa.array(rows)).to_pylist(), add_special_tokens=False)]
+        sizes, first = np.diff(bounds), bounds[:-1].copy()
+        sizes[rows] = [len(x) for x in own]
+        first[rows] = len(ids) + np.concatenate([[0], np.cumsum([len(x) for x in own])])[:-1]
+        out, ends = split.gather(np.concatenate([ids, *own]), first, sizes)
+        return out, np.append(0, ends)
+
+    def _special(self, column):
+        """Whether a row holds the string of an added token; None if no row does."""
+        found = None
+        for content in self.added:
+            here = pc.fill_null(pc.match_substring(column, content), False)
+            found = here if found is None else pc.or_(found, here)
+        if found is None or not pc.any(found).as_py():
+            return None
+        self._whole = column
+        return found
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.find(text))), "<u4")
-
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """encode() of each text; new words are asked for together, which costs less than one by one."""
-        split = [self.find(t) for t in texts]
-        new = {p for pieces in split for p in pieces if p not in self}
-        known = {p: self.old[p] for p in new if p in self.old}
-        new -= known.keys()
-        # a space and Latin letters: such matches next to each other are found again as they are
-        new = [p for p in new if p[0] == " " and p[1:].isalpha() and max(p) < "\u0250"]
-        self._make_room(len(known) + len(new))
-        self.update(known)
-        if new:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(new)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum([len(p.encode()) for p in new])
-            reach = np.cumsum(self.lengths[ids])
-            cuts = np.searchsorted(reach, ends)
-            if len(reach) and np.array_equal(reach[np.minimum(cuts, len(reach) - 1)], ends):
-                raw = ids.tobytes()
-                cuts = [0, *((cuts + 1) * 4).tolist()]
-                self.update((p, raw[a:b]) for p, a, b in zip(new, cuts[:-1], cuts[1:], strict=True))
-        return [np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<u4") for pieces in split]
+        return self.encode_column(pa.array([text], pa.large_string()))[0]
 
     def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Byte ends, and first and last-plus-one characters of the tokens of a text."""
@@ -174,6 +245,16 @@ class Codec(dict):
         character = np.cumsum((raw & 0xC0) != 0x80) - 1
         return ends, character[np.concatenate([[0], ends[:-1]])], character[ends - 1] + 1
 
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of joined rows of ids, and the bounds of the rows."""
+        out, ends = split.gather(self.joined, self.first[ids], self.lengths[ids])
+        return out, np.append(0, ends)[bounds]
+
+    def named(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The decimal ids of joined rows, each with a comma after it, and the bounds of the rows."""
+        out, ends = split.gather(self.names, self.name_first[ids], self.name_lengths[ids])
+        return out, np.append(0, ends)[bounds]
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
@@ -187,30 +268,32 @@ class Codec(dict):
 _LOADED: dict[tuple[int, str], Codec] = {}
 
 
-def codec(source: str, pattern: str) -> Codec:
-    """The codec of a tokenizers file's content, one per worker process."""
+def codec(source: tuple[str, bytes | None], pattern: str) -> Codec:
+    """The codec of a tokenizers file's content and its classes, one per worker process."""
     key = hash(source), pattern
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Codec(source, pattern)
+        _LOADED[key] = Codec(source[0], pattern, source[1])
     return _LOADED[key]
 
 
-def strings(column: pa.Array) -> list[str]:
-    return [t or "" for t in column.to_pylist()]
+#: bytes of text that are encoded together
+SLICE = 4 * tx.PIECE
+
+
+def _lists(values: np.ndarray, bounds: np.ndarray, kind) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, kind))
 
 
 def _encode(source, pattern: str, offsets: bool):
     def run(batches):
         own = codec(source.value, pattern)
         for batch in batches:
-            for part in tx.slices(batch, "text", tx.PIECE):
-                texts = strings(part.column(1))
-                ids = own.encode_all(texts)
-                fields = [part.column(0), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))]
-                names = ["id", "ids"]
+            for part in tx.slices(batch, "text", SLICE):
+                ids, bounds = own.encode_column(part.column(1))
+                fields, names = [part.column(0), _lists(ids.astype(np.int32), bounds, pa.int32())], ["id", "ids"]
                 if offsets:
-                    spans = [own.spans(t, i) for t, i in zip(texts, ids, strict=True)]
+                    spans = [own.spans(t or "", ids[a:b]) for t, a, b in zip(part.column(1).to_pylist(), bounds[:-1], bounds[1:], strict=True)]
                     for k, name in enumerate(("byte_end", "char_start", "char_end")):
                         fields.append(pa.array([s[k] for s in spans], pa.list_(pa.int64())))
                         names.append(name)
@@ -232,8 +315,18 @@ def _decode(source, pattern: str):
 
 
 def sources(spark: SparkSession, ranks_path: str, pattern: str):
+    """The model of a file of ranks, with the classes of the library that such files are made for."""
+    ship(spark)
+    classes = split.tiktoken_classes().tobytes() if pattern == split.PATTERN else None
+    return spark.sparkContext.broadcast((model_json(read_ranks(ranks_path), pattern), classes))
+
+
+def file_source(spark: SparkSession, tokenizer_path: str, pattern: str):
+    """The model of a tokenizers file, with the classes of the tokenizers library."""
     ship(spark)
-    return spark.sparkContext.broadcast(model_json(read_ranks(ranks_path), pattern))
+    classes = split.library_classes().tobytes() if pattern == split.PATTERN else None
+    with open(tokenizer_path, encoding="utf-8") as f:
+        return spark.sparkContext.broadcast((f.read(), classes))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, offsets: bool = False, id_col="doc_id", text_col="text") -> DataFrame:
@@ -254,20 +347,18 @@ def _digests(source, pattern: str, with_ids: bool):
 
     def run(batches):
         own = codec(source.value, pattern)
-        name = own.names.__getitem__
         for batch in batches:
-            for part in tx.slices(batch, "text", tx.PIECE):
-                sizes, ids_sha, text_sha = [], [], []
-                every = own.encode_all(strings(part.column(1)))
-                for found in every:
-                    ids = found.tolist()
-                    sizes.append(len(ids))
-                    ids_sha.append(hashlib.sha256(",".join(map(name, ids)).encode()).hexdigest())
-                    text_sha.append(hashlib.sha256(own.decode(ids)).hexdigest())
-                fields = [part.column(0), pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            for part in tx.slices(batch, "text", SLICE):
+                ids, bounds = own.encode_column(part.column(1))
+                shown, at = own.named(ids, bounds)
+                # without the comma after the last one
+                ids_sha = [hashlib.sha256(shown[a : max(a, b - 1)]).hexdigest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                raw, at = own.decode_all(ids, bounds)
+                text_sha = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                fields = [part.column(0), pa.array(np.diff(bounds)), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    fields.append(pa.array([i.astype(np.int32) for i in every], pa.list_(pa.int32())))
+                    fields.append(_lists(ids.astype(np.int32), bounds, pa.int32()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(fields, names)
 

@@ -20,7 +20,7 @@ renamed, so a task that runs again leaves the same file. ``manifest`` has a row
 The global place of a document needs only the token count of each partition, one number
 for each, summed on the driver.
 
-Bounds. Memory holds one segment, or one document where that is longer. A range of ids is
+Bounds. Memory holds one segment and one slice of text, or one document where that is longer. A range of ids is
 one partition; repeated ids are dealt further by their text, so that no id is one task.
 
 Cases. Null and empty texts hold the end id only. Null ids come first. Rows of one id are
@@ -35,6 +35,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -94,7 +95,7 @@ def _encode_blocks(slots: np.ndarray, freq: np.ndarray, start: np.ndarray, bits:
 def _decode_blocks(x: np.ndarray, words: np.ndarray, at: np.ndarray, steps: int, freq, start, slot_of, bits: int) -> np.ndarray:
     """Slots (blocks, steps, lanes) from final states, the joined words and each block's place in them."""
     x, at = x.copy(), at.astype(np.int64).copy()
-    out = np.empty((len(x), steps, x.shape[1]), np.uint16)
+    out = np.empty((len(x), steps, x.shape[1]), slot_of.dtype)
     mask, bits = np.int64((1 << bits) - 1), np.int64(bits)
     words = np.append(words, 0).astype(np.int64)
     last = len(words) - 1
@@ -178,7 +179,7 @@ class Segment:
         self.states = take("<u8", int(h["blocks"]) * int(h["lanes"])).astype(np.int64).reshape(-1, h["lanes"])
         self.words = _from_three(np.frombuffer(raw, np.uint8, -1, at))
         self.start = np.cumsum(self.freq) - self.freq
-        self.slot_of = np.repeat(np.arange(len(self.used), dtype=np.uint16), self.freq)
+        self.slot_of = np.repeat(np.arange(len(self.used), dtype=np.uint16 if len(self.used) <= 1 << 16 else np.uint32), self.freq)
 
     def blocks(self, lo: int, hi: int) -> np.ndarray:
         """The ids of blocks lo to hi, checked."""
@@ -199,32 +200,32 @@ class Segment:
 def _write(source, pattern: str, end_id: int, folder: str):
     def run(batches):
         own = bpe.codec(source.value, pattern)
-        fs, root = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
         partition = TaskContext.get().partitionId()
-        doc_ids, ids, held, segment, offset = [], [], 0, 0, 0
+        doc_ids, counts, ids, held, segment, offset = [], [], [], 0, 0, 0
 
         def flush():
-            nonlocal doc_ids, ids, held, segment, offset
-            counts = np.array([len(i) for i in ids])
-            raw = pack(np.array(doc_ids, np.int64), counts, np.concatenate(ids), offset)
+            nonlocal doc_ids, counts, ids, held, segment, offset
+            n = np.concatenate(counts)
+            raw = pack(np.concatenate(doc_ids), n, np.concatenate(ids), offset)
             name = f"{root}/part-{partition:06d}-{segment:06d}.rans"
             with fs.open_output_stream(own_name := f"{root}/.{uuid.uuid4().hex}") as f:
                 f.write(raw)
             fs.move(own_name, name)
-            row = (partition, segment, offset, len(ids), held, len(raw))
-            doc_ids, ids, segment, offset, held = [], [], segment + 1, offset + held, 0
+            row = (partition, segment, offset, len(n), held, len(raw))
+            doc_ids, counts, ids, segment, offset, held = [], [], [], segment + 1, offset + held, 0
             return pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in row], ["partition", "segment", "first", "docs", "tokens", "bytes"])
 
-        end = np.array([end_id], np.uint32)
         for batch in batches:
-            for part in tx.slices(batch, "text", tx.PIECE):
-                for i, found in zip(part.column(0).to_pylist(), own.encode_all(bpe.strings(part.column(1))), strict=True):
-                    doc_ids.append(NO_ID if i is None else i)
-                    ids.append(np.concatenate([found, end]))
-                    held += len(found) + 1
-                    if held >= SEGMENT:
-                        yield flush()
+            for part in tx.slices(batch, "text", bpe.SLICE):
+                found, bounds = own.encode_column(part.column(1))
+                doc_ids.append(pc.fill_null(part.column(0), NO_ID).to_numpy())
+                counts.append(np.diff(bounds) + 1)
+                ids.append(np.insert(found, bounds[1:], np.uint32(end_id)))
+                held += len(ids[-1])
+                if held >= SEGMENT:
+                    yield flush()
         if held:
             yield flush()
 
@@ -237,8 +238,7 @@ NO_ID = -(1 << 63)
 def write_tokens(docs: DataFrame, work: Scratch, tokenizer_path: str, pattern: str, end_id: int = 0, id_col="doc_id", text_col="text") -> DataFrame:
     """Writes the files under work's folder; gives the manifest, a row for each file."""
     spark = docs.sparkSession
-    with open(tokenizer_path, encoding="utf-8") as f:
-        source = spark.sparkContext.broadcast(f.read())
+    source = bpe.file_source(spark, tokenizer_path, pattern)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]

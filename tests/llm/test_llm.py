@@ -79,14 +79,13 @@ def test_rans_finds_damage():
         rans.Segment(b"no")
 
 
-def test_token_index(spark, monkeypatch):
+def test_token_index(spark):
     from tokenizers import Tokenizer
 
-    texts = [*ODD, *[prose(random.Random(i), 300) for i in range(20)]]
+    texts = [*ODD, "a <|endoftext|> b<|endoftext|>", " ".join(f"x{i} é{i}" for i in range(200_000)), *[prose(random.Random(i), 300) for i in range(20)]]
     path = public_tokenizers.path("byte_bpe_50k.json")
     got = {r["id"]: r for r in rans.token_index(docs_of(spark, texts).orderBy(F.desc("doc_id")), path, public_tokenizers.PATTERN).collect()}
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     at = 0
     for i, x in enumerate(texts):
         ids = np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4")
@@ -112,11 +111,77 @@ def test_bpe_equals_ranks(spark):
     assert all(bytes(back[i]["bytes"]) == (t or "").encode() and back[i]["text"] == (t or "") for i, t in enumerate(texts))
     trip = {r["doc_id"]: r for r in bpe.round_trip(df, path, pattern).collect()}
     assert all(trip[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts))
-    own = bpe.codec(bpe.model_json(bpe.read_ranks(path), pattern), pattern)
+    own = bpe.codec((bpe.model_json(bpe.read_ranks(path), pattern), None), pattern)
     split = own.encode("a🙂b")
     assert "".join(own.decode_pieces([split[k : k + 1] for k in range(len(split))])) == "a🙂b"
 
 
+def test_token_index_repeated_and_null_ids(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(None, "n"), (3, "b b b"), (3, "a"), (3, "a"), (1, None), (None, None)]
+    got = rans.token_index(spark.createDataFrame(rows, "doc_id long, text string"), path, public_tokenizers.PATTERN).orderBy("start").collect()
+    assert [r["id"] for r in got] == [None, None, 1, 3, 3, 3]
+    assert [r["start"] for r in got] == np.cumsum([0, *[r["n_tokens"] for r in got]])[:-1].tolist()
+    assert sorted(r["n_tokens"] for r in got if r["id"] == 3) == [2, 2, 4]
+
+
+def test_several_segments(spark, monkeypatch, tmp_path):
+    """Files of a partition follow each other; the writer is run here, in the driver's process."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(rans, "SEGMENT", 500)
+    monkeypatch.setattr(bpe, "SLICE", 300)
+    monkeypatch.setattr(rans.TaskContext, "get", staticmethod(lambda: type("C", (), {"partitionId": lambda self: 2})()))
+    texts = [prose(random.Random(i), 60) for i in range(40)]
+    source = type("B", (), {"value": (open(path, encoding="utf-8").read(), None)})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], ["id", "text"])
+    rows = [b.to_pylist()[0] for b in rans._write(source, public_tokenizers.PATTERN, 0, f"file://{tmp_path}")([batch])]
+    assert len(rows) > 3 and [r["first"] for r in rows] == np.cumsum([0, *[r["tokens"] for r in rows]])[:-1].tolist()
+    t = Tokenizer.from_file(path)
+    got = []
+    for r in rows:
+        s = rans.Segment((tmp_path / f"part-000002-{r['segment']:06d}.rans").read_bytes())
+        got += s.blocks(0, int(s.head["blocks"])).tolist()
+    assert got == [i for x in texts for i in [*t.encode(x, add_special_tokens=False).ids, 0]]
+
+
+def test_wide_tables_round_trip():
+    ids = np.random.default_rng(1).permutation(np.arange(70_000, dtype=np.uint32))
+    s = rans.Segment(rans.pack(np.array([3]), np.array([len(ids)]), ids))
+    assert (s.blocks(0, int(s.head["blocks"])) == ids).all()
+
+
+def test_matches_are_those_of_the_pattern():
+    import regex
+
+    from capturelake.llm import split
+
+    find = regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+    rng = random.Random(8)
+    alphabet = ["a", "b", " ", "  ", "-", "'", "'s", "'re", "'ll", "ve", "é", "\n", "\t", "0", "日", "🙂", "́", "\x85", "\xa0", "　", " '", "1²", "½", "\x1c", "ǅ", "!", "re", "l", "ª"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25))) for _ in range(5000)]
+    buf, offs = tx.string_bytes(pa.array(texts))
+    start = split.matches(buf, offs, split.regex_classes())
+    raw, ends = buf.tobytes(), np.append(start[1:], len(buf))
+    assert [raw[a:b].decode() for a, b in zip(start, ends, strict=True)] == [m for t in texts for m in find(t)]
+
+
+def test_codec_forgets_and_follows_other_patterns(monkeypatch):
+    import tiktoken
+
+    monkeypatch.setattr(bpe, "KEPT", 40)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks, rng = bpe.read_ranks(path), random.Random(9)
+    for pattern in (public_tokenizers.PATTERN, r"\p{L}+|\P{L}"):
+        own = bpe.Codec(bpe.model_json(ranks, pattern), pattern)
+        enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        for _ in range(20):
+            texts = [None, "", *("".join(rng.choice("ab é\n'") for _ in range(30)) for _ in range(3))]
+            ids, at = own.encode_column(pa.array(texts))
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [enc.encode_ordinary(t or "") for t in texts]
+
+
 # 3: quality
 
 
