@@ -1,21 +1,26 @@
 """Masked pseudo-likelihood of a bidirectional window network.
 
 Method. Every token is predicted from the ``SPAN`` tokens on either side of it, itself
-hidden; the sum of the log-probabilities scores the document. The network reads classes of
-words: embeddings of the neighbours, a tanh layer with a matrix for each place, a softmax
-over classes. The ``HEAD`` most frequent words of the corpus are classes of their own, all
-others fall into ``TAIL`` classes by their last two bytes, and the probability of a word
-within its class comes from its own count in the corpus. Tasks hold the counts of the
-``VOCABULARY`` most frequent words; those of all others are joined to their tokens.
-
-Everything is gathered over all documents: word counts by a partially aggregated shuffle,
-and the weights by rounds of local training. In a round each partition trains from the same
-start on its own text (every token of every document, each round) with Adagrad in numpy,
-and the weights are averaged by tokens with an aggregation by weight number, so the driver
-gets as many rows as there are weights.
-
-Bounds. What tasks and driver hold is bounded by the vocabulary, the weights and a slice of
-text. Counts in a task are sent on when they are many.
+hidden; the sum of the log-probabilities scores the document. The network has embeddings of
+the neighbours, a tanh layer and a softmax over the whole vocabulary in three levels:
+P(class) P(leaf | class) P(word | leaf). The ``HEADS`` most frequent words are classes of
+their own. All others fall into ``GROUPS`` classes of about equal mass by their last two
+bytes; the ``OWN`` most frequent words of a group are leaves of their own, the rest share
+``RARE`` leaves, dealt by hash. The network gives the first two levels from both sides; a
+word in a shared leaf has the share of its corpus count there, and one part of each shared
+leaf is left for words that no count knows, so the probabilities of all words sum to 1.
+
+Everything is gathered over all documents. Words are counted by a partially aggregated
+shuffle. Each text becomes a row of leaf numbers, written once. Rows are dealt by a digest
+of id and text to rounds and to shards of about ``SHARD`` tokens, and sorted within them. In
+a round every shard trains with Adagrad in numpy from the same start on its rows of that
+round, and the weights are averaged by tokens. Every token is a target once. Shards, order
+and batches follow from the rows alone, so the layout of the table changes results by
+rounding only.
+
+Bounds. What tasks and driver hold is bounded by ``VOCABULARY``, the weights and a slice of
+text or one document. Counts of the words beyond the vocabulary are joined to their tokens.
+Rows that are equal in id and text share a shard; other copies don't.
 
 Cases. Null, empty and blank texts have no tokens, log_prob 0 and a null mean. Repeated
 rows count as often as they occur. A null id stays null, extra columns are ignored, an
@@ -33,25 +38,37 @@ from pyspark.sql import functions as F
 from capturelake.llm import text as tx
 from capturelake.scratch import Scratch
 
-HEAD, TAIL, VOCABULARY = 96, 32, 20_000
-CLASSES = HEAD + TAIL
-PAD = CLASSES
+HEADS, GROUPS, OWN, RARE = 32, 32, 96, 32
+CLASSES, MEMBERS = HEADS + GROUPS, OWN + RARE
+LEAVES = HEADS + GROUPS * MEMBERS
+PAD = LEAVES
+VOCABULARY = 200_000
 SPAN, WIDTH, HIDDEN = 3, 12, 24
-ROUNDS, BATCH = 2, 2048
+ROUNDS, BATCH, SHARD = 2, 4096, 1 << 20
+MOST_TASKS = 20_000
+CHUNKS = 64
 PLACES = [*range(-SPAN, 0), *range(1, SPAN + 1)]
-SHAPES = {"e": (CLASSES + 1, WIDTH), "w": (len(PLACES), WIDTH, HIDDEN), "b": (HIDDEN,), "u": (HIDDEN, CLASSES), "c": (CLASSES,)}
+SHAPES = {
+    "e": (LEAVES + 1, WIDTH),
+    "w": (len(PLACES) * WIDTH, HIDDEN),
+    "b": (HIDDEN,),
+    "u": (HIDDEN, CLASSES),
+    "c": (CLASSES,),
+    "v": (GROUPS, HIDDEN, MEMBERS),
+    "d": (GROUPS, MEMBERS),
+}
 
 
 def hashed(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, tail classes and row bounds of a slice."""
+    """Word hashes, last two bytes as a number (the last one first) and row bounds of a slice."""
     buf, offs = tx.string_bytes(column)
     words = tx.Words(buf, offs)
+    bounds = words.bounds(len(offs) - 1)
     if not len(words):
-        return words.hash, np.zeros(0, np.int64), words.bounds(len(offs) - 1)
+        return words.hash, np.zeros(0, np.int64), bounds
     last = tx._LOWER[buf[words.end - 1]].astype(np.int64)
-    prior = np.where(words.end - words.start > 1, tx._LOWER[buf[np.maximum(words.end - 2, 0)]], 0).astype(np.int64)
-    tail = HEAD + (last * 31 + prior * 7 + (last * prior) // 13) % TAIL
-    return words.hash, tail, words.bounds(len(offs) - 1)
+    prior = np.where(words.end - words.start > 1, tx._LOWER[buf[np.maximum(words.end - 2, 0)]], 0)
+    return words.hash, last * 256 + prior, bounds
 
 
 def _counts(batches):
@@ -85,52 +102,138 @@ def _counts(batches):
 
 
 class Vocabulary:
-    """Classes of words and the log-probability of a word within its class. Picklable."""
-
-    def __init__(self, h: np.ndarray, tail: np.ndarray, n: np.ndarray, rest: dict[int, int]):
-        """The most frequent words in order, and for each tail class the tokens of all others."""
-        kind = np.where(np.arange(len(h)) < HEAD, np.arange(len(h)), tail)
-        total = np.bincount(kind, n, CLASSES)
-        for c, tokens in rest.items():
-            total[c] += tokens
-        self.unigram = (total + 1) / (total.sum() + CLASSES)
-        # one more token of each class stands for words that no count knows
-        self.rest = -np.log(total + 1.0)
-        self.rest[:HEAD] = 0
-        within = np.log(n) + self.rest[kind]
-        within[:HEAD] = 0
-        order = np.argsort(h)
-        self.hash, self.kind, self.within = h[order], kind[order], within[order]
+    """Leaves of words and the log-probability of a word within its leaf. Picklable."""
+
+    def __init__(self, tails: dict[int, int], h: np.ndarray, tail: np.ndarray, n: np.ndarray):
+        """Tokens by last two bytes, and the most frequent words in order with their last bytes and counts."""
+        mass = np.zeros(1 << 16)
+        for t, tokens in tails.items():
+            mass[t] = tokens
+        np.subtract.at(mass, tail[:HEADS], n[:HEADS])
+        reach = np.cumsum(mass) - mass / 2
+        self.group = np.minimum(reach * GROUPS / max(mass.sum(), 1), GROUPS - 1).astype(np.int16)
+        group = self.group[tail[HEADS:]]
+        order = np.argsort(group, kind="stable")
+        rank = np.empty(len(group), np.int64)
+        rank[order] = np.arange(len(group)) - np.searchsorted(group[order], group[order])
+        own = HEADS + group.astype(np.int64) * MEMBERS + rank
+        leaf = np.concatenate([np.arange(min(HEADS, len(h))), np.where(rank < OWN, own, self.shared(h[HEADS:], tail[HEADS:]))])
+        self.known = tx.Table(h)
+        self.leaf, self.log_n = leaf.astype(np.int16), np.log(n).astype(np.float32)
+
+    def shared(self, h: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        """The shared leaf of words that have none of their own."""
+        return HEADS + self.group[tail].astype(np.int64) * MEMBERS + OWN + (h >> np.uint64(59)).astype(np.int64) % RARE
+
+    def leaves(self, h: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Leaf of each word and its place among the known words, -1 if it is none."""
+        at = self.known.find(h)
+        out = self.leaf[at].astype(np.int64) if len(self.leaf) else np.zeros(len(h), np.int64)
+        lost = np.flatnonzero(at < 0)
+        out[lost] = self.shared(h[lost], tail[lost])
+        return out, at
+
+    def weigh(self, mass: np.ndarray) -> None:
+        """Takes the tokens of all leaves."""
+        self.mass = mass
+        alone = np.ones(LEAVES, bool)
+        alone[HEADS:].reshape(GROUPS, MEMBERS)[:, OWN:] = False
+        self.alone = alone
+        # one more token of a shared leaf stands for words that no count knows
+        self.base = np.where(alone, -np.log(np.maximum(mass, 1)), -np.log(mass + 1)).astype(np.float64)
 
     def look(self, h: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Classes, log-probabilities within them, and whether those have the word's count; where not, its log is to be added."""
-        at = tx.lookup(self.hash, h)
-        known = at >= 0
-        kind = np.where(known, self.kind[at] if len(self.kind) else 0, tail)
-        return kind, np.where(known, self.within[at] if len(self.kind) else 0, self.rest[kind]), known
+        """Leaves, log-probabilities within them, and whether those have the word's count; where not, its log is to be added."""
+        leaf, at = self.leaves(h, tail)
+        within = self.base[leaf]
+        if len(self.log_n):
+            within = within + np.where(at >= 0, self.log_n[at], 0)
+        return leaf, np.where(self.alone[leaf], 0, within), at >= 0
 
-    def classes(self, h: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.look(h, tail)[:2]
 
+def _leaf_mass(vocabulary):
+    """Partial sums of counts by leaf: leaf, n."""
 
-def neighbours(kind: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Classes of the neighbours of each token, PAD outside its row: (tokens, places)."""
-    n = len(kind)
+    def run(batches):
+        total = np.zeros(LEAVES)
+        for batch in batches:
+            h, tail, n = (batch.column(i).to_numpy() for i in range(3))
+            if len(h):
+                total += np.bincount(vocabulary.value.leaves(h.view(np.uint64), tail.astype(np.int64))[0], n, LEAVES)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))], ["leaf", "n"])
+
+    return run
+
+
+def _code(vocabulary):
+    """Leaf numbers of every row, what its counts give, and the words whose counts are still to come."""
+
+    def run(batches):
+        own, row = vocabulary.value, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for part in tx.slices(batch, "text"):
+                h, tail, bounds = hashed(part.column(2))
+                leaf, within, known = own.look(h, tail)
+                sums = np.concatenate([[0.0], np.cumsum(within)])
+                lost = np.concatenate([[0], np.cumsum(~known)])[bounds].astype(np.int32)
+                raw = pa.py_buffer(leaf.astype("<u2").tobytes())
+                codes = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((2 * bounds).astype(np.int32)), raw])
+                rows = np.arange(row, row + part.num_rows)
+                row += part.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(rows),
+                        part.column(0),
+                        part.column(1),
+                        pa.array(np.diff(bounds)),
+                        pa.array(sums[bounds[1:]] - sums[bounds[:-1]]),
+                        codes,
+                        pa.ListArray.from_arrays(pa.array(lost), pa.array(h[~known].view(np.int64))),
+                    ],
+                    ["row", "key", "id", "n_tokens", "base", "codes", "lost"],
+                )
+
+    return run
+
+
+CODED = "row long, key long, id long, n_tokens long, base double, codes binary, lost array<long>"
+
+
+def leaves_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """Joined leaf numbers of a binary column and the bounds of its rows."""
+    offs = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    raw = np.frombuffer(column.buffers()[2], np.uint8, int(offs[-1] - offs[0]), int(offs[0])) if offs[-1] > offs[0] else np.zeros(0, np.uint8)
+    return raw.view("<u2").astype(np.int64), (offs - offs[0]).astype(np.int64) // 2
+
+
+def neighbours(leaf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Leaves of the neighbours of each token, PAD outside its row: (tokens, places)."""
+    n = len(leaf)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    out = np.full((n, len(PLACES)), PAD, np.int64)
+    out = np.full((n, len(PLACES)), PAD, np.int16)
     for k, d in enumerate(PLACES):
         lo, hi = max(0, -d), min(n, n - d)
         if hi > lo:
             same = row[lo:hi] == row[lo + d : hi + d]
-            out[lo:hi, k] = np.where(same, kind[lo + d : hi + d], PAD)
+            out[lo:hi, k] = np.where(same, leaf[lo + d : hi + d], PAD)
     return out
 
 
-def start(unigram: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
+def start(mass: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
+    """Small random weights, and the unigram probabilities of classes and leaves as biases."""
     rng = np.random.default_rng(seed)
     p = {k: (rng.standard_normal(s) * (0.3 if k == "e" else 0.15)).astype(np.float32) for k, s in SHAPES.items()}
     p["b"][:] = 0
-    p["c"] = np.log(unigram).astype(np.float32)
+    members = mass[HEADS:].reshape(GROUPS, MEMBERS) + 0.0
+    members[:, OWN:] += 1
+    total = np.concatenate([mass[:HEADS], members.sum(1)])
+    with np.errstate(divide="ignore"):
+        # what no word has gets next to nothing
+        p["c"] = np.maximum(np.log(total / total.sum()), -30).astype(np.float32)
+        p["d"] = np.maximum(np.log(members / members.sum(1, keepdims=True)), -30).astype(np.float32)
+    # nothing but the unigram at first
+    p["v"] *= 0.1
     return p
 
 
@@ -147,108 +250,185 @@ def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def forward(p, near):
-    """The hidden layer and the logits less their maximum."""
-    h = (p["e"] @ p["w"][0]).take(near[:, 0], 0)
-    for k in range(1, len(PLACES)):
-        h += (p["e"] @ p["w"][k]).take(near[:, k], 0)
+def hidden(p, near):
+    """Joined embeddings of the neighbours, and the hidden layer."""
+    x = p["e"].take(near.ravel(), 0).reshape(len(near), -1)
+    h = x @ p["w"]
     h += p["b"]
-    np.tanh(h, out=h)
-    z = h @ p["u"]
-    z += p["c"]
-    z -= z.max(1, keepdims=True)
-    return h, z
+    return x, np.tanh(h, out=h)
+
+
+def runs(kind: np.ndarray):
+    """(group, places of its tokens) of every group that occurs."""
+    inside = np.flatnonzero(kind >= HEADS)
+    if not len(inside):
+        return
+    group = (kind[inside] - HEADS).astype(np.int16)
+    order = np.argsort(group, kind="stable")
+    inside, group = inside[order], group[order]
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    for a, b in zip(first, np.append(first[1:], len(group)), strict=True):
+        yield int(group[a]), inside[a:b]
+
 
+def split_leaf(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class and member of leaves."""
+    grouped = leaf >= HEADS
+    return np.where(grouped, HEADS + (leaf - HEADS) // MEMBERS, leaf), np.where(grouped, (leaf - HEADS) % MEMBERS, 0)
 
-def log_probs(p, kind: np.ndarray, near: np.ndarray) -> np.ndarray:
-    """log P(class | neighbours) of each token."""
-    out = np.empty(len(kind))
-    for at in range(0, len(kind), BATCH):
-        part = slice(at, at + BATCH)
-        _, z = forward(p, near[part])
-        own = z[np.arange(len(z)), kind[part]]
-        out[part] = own - np.log(np.exp(z, out=z).sum(1))
+
+def _softmax(z: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of the own column of each row, and all probabilities (in place)."""
+    z -= z.max(1, keepdims=True)
+    at = z[np.arange(len(z)), own]
+    np.exp(z, out=z)
+    total = z.sum(1)
+    z /= total[:, None]
+    return at - np.log(total), z
+
+
+def log_probs(p, leaf: np.ndarray, near: np.ndarray, batch: int = 4 * BATCH) -> np.ndarray:
+    """log P(leaf | neighbours) of each token."""
+    out = np.empty(len(leaf))
+    for at in range(0, len(leaf), batch):
+        part = slice(at, at + batch)
+        kind, member = split_leaf(leaf[part])
+        _, h = hidden(p, near[part])
+        z = h @ p["u"]
+        z += p["c"]
+        z -= z.max(1, keepdims=True)
+        own = z[np.arange(len(z)), kind]
+        here = (own - np.log(np.exp(z, out=z).sum(1))).astype(np.float64)
+        for g, rows in runs(kind):
+            z = h[rows] @ p["v"][g]
+            z += p["d"][g]
+            z -= z.max(1, keepdims=True)
+            own = z[np.arange(len(z)), member[rows]]
+            here[rows] += own - np.log(np.exp(z, out=z).sum(1))
+        out[part] = here
     return out
 
 
-def gradient(p, kind, near) -> dict[str, np.ndarray]:
-    """Of the mean negative log-likelihood."""
-    n = len(kind)
-    h, dz = forward(p, near)
-    np.exp(dz, out=dz)
-    dz /= n * dz.sum(1, keepdims=True)
-    dz[np.arange(n), kind] -= 1 / n
+def gradient(p, leaf, near) -> dict[str, np.ndarray]:
+    """Of the mean negative log-likelihood; that of the embeddings only for the rows in "at"."""
+    n = len(leaf)
+    kind, member = split_leaf(leaf)
+    x, h = hidden(p, near)
+    _, dz = _softmax(h @ p["u"] + p["c"], kind)
+    dz[np.arange(n), kind] -= 1
+    dz /= n
     dh = dz @ p["u"].T
+    dv, dd = np.zeros_like(p["v"]), np.zeros_like(p["d"])
+    for g, rows in runs(kind):
+        here = h[rows]
+        _, d = _softmax(here @ p["v"][g] + p["d"][g], member[rows])
+        d[np.arange(len(rows)), member[rows]] -= 1
+        d /= n
+        dv[g], dd[g] = here.T @ d, d.sum(0)
+        dh[rows] += d @ p["v"][g].T
     dh *= 1 - h * h
-    # sums by neighbour: sorted runs cost less than products with one-hot rows
-    summed = np.zeros((len(PLACES), CLASSES + 1, HIDDEN), dh.dtype)
-    for k in range(len(PLACES)):
-        at = near[:, k].astype(np.int16)
-        order = np.argsort(at, kind="stable")
-        first = np.flatnonzero(np.diff(at[order], prepend=-1))
-        summed[k, at[order[first]]] = np.add.reduceat(dh.take(order, 0), first)
-    return {"u": h.T @ dz, "c": dz.sum(0), "b": dh.sum(0), "e": (summed @ p["w"].transpose(0, 2, 1)).sum(0), "w": p["e"].T @ summed}
+    dx = (dh @ p["w"].T).reshape(-1, WIDTH)
+    # sums by neighbour over sorted runs
+    at = near.ravel()
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return {"at": at[first], "e": np.add.reduceat(dx.take(order, 0), first), "w": x.T @ dh, "b": dh.sum(0), "u": h.T @ dz, "c": dz.sum(0), "v": dv, "d": dd}
 
 
 class Trainer:
+    """Adagrad over the batches of one shard."""
+
     def __init__(self, p: dict[str, np.ndarray], rate: float = 0.08):
         self.p, self.rate = {k: v.copy() for k, v in p.items()}, rate
         self.seen = {k: np.full_like(v, 1e-6) for k, v in p.items()}
         self.tokens = 0
-
-    def step(self, kind, near) -> None:
-        for k, g in gradient(self.p, kind, near).items():
-            self.seen[k] += g * g
-            self.p[k] -= self.rate * g / np.sqrt(self.seen[k])
-        self.tokens += len(kind)
-
-
-def _train(vocabulary, weights):
-    """The weights that a partition's text gives, times its tokens: i, v, n."""
+        self.leaves, self.nears, self.held = [], [], 0
+
+    def step(self, leaf, near) -> None:
+        g = gradient(self.p, leaf, near)
+        at = g.pop("at")
+        for k, d in g.items():
+            rows = at if k == "e" else slice(None)
+            self.seen[k][rows] += d * d
+            self.p[k][rows] -= self.rate * d / np.sqrt(self.seen[k][rows])
+        self.tokens += len(leaf)
+
+    def take(self, leaf, bounds) -> None:
+        """More rows; steps whenever a batch is full."""
+        self.leaves.append(leaf)
+        self.nears.append(neighbours(leaf, bounds))
+        self.held += len(leaf)
+        if self.held >= BATCH:
+            x, near = np.concatenate(self.leaves), np.concatenate(self.nears)
+            full = self.held - self.held % BATCH
+            for at in range(0, full, BATCH):
+                self.step(x[at : at + BATCH], near[at : at + BATCH])
+            self.leaves, self.nears, self.held = [x[full:]], [near[full:]], self.held - full
+
+    def finish(self) -> np.ndarray:
+        """The weights times the tokens they have seen."""
+        if self.held:
+            self.step(np.concatenate(self.leaves), np.concatenate(self.nears))
+        return flat(self.p).astype(np.float64) * self.tokens
+
+
+def _train(weights):
+    """Of rows sorted by shard: the sums over the task's shards of weights times tokens, in chunks."""
 
     def run(batches):
-        own, trainer = vocabulary.value, Trainer(shaped(weights.value))
-        kinds, nears, held = [], [], 0
+        begin, total, tokens = shaped(weights.value), 0.0, 0
+        trainer, now = None, None
         for batch in batches:
-            for part in tx.slices(batch, "text"):
-                h, tail, bounds = hashed(part.column(0))
-                kind, _ = own.classes(h, tail)
-                kinds.append(kind)
-                nears.append(neighbours(kind, bounds))
-                held += len(kind)
-                if held >= BATCH:
-                    k, x = np.concatenate(kinds), np.concatenate(nears)
-                    for at in range(0, held - held % BATCH, BATCH):
-                        trainer.step(k[at : at + BATCH], x[at : at + BATCH])
-                    kinds, nears, held = [k[held - held % BATCH :]], [x[held - held % BATCH :]], held % BATCH
-        if held:
-            trainer.step(np.concatenate(kinds), np.concatenate(nears))
-        if trainer.tokens:
-            x = flat(trainer.p).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x * trainer.tokens), pa.array(np.full(len(x), trainer.tokens))], ["i", "v", "n"])
+            shard = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(np.diff(shard)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(shard)], strict=True):
+                if a == b:
+                    continue
+                if shard[a] != now:
+                    if trainer:
+                        total, tokens = total + trainer.finish(), tokens + trainer.tokens
+                    trainer, now = Trainer(begin), shard[a]
+                leaf, bounds = leaves_of(batch.column(1).slice(a, b - a))
+                trainer.take(leaf, bounds)
+        if trainer:
+            total, tokens = total + trainer.finish(), tokens + trainer.tokens
+            parts = np.array_split(total, CHUNKS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(CHUNKS), pa.int32()), pa.array([TaskContext.get().partitionId()] * CHUNKS, pa.int32()), pa.array([tokens] * CHUNKS), pa.array([x.tobytes() for x in parts], pa.binary())], ["chunk", "task", "n", "v"]
+            )
 
     return run
 
 
-def document_scores(p, vocabulary: Vocabulary, column) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Tokens, summed log-probabilities without the counts of rarer words, and the hashes of those, of the rows of a slice."""
-    h, tail, bounds = hashed(column)
-    kind, within, known = vocabulary.look(h, tail)
-    each = log_probs(p, kind, neighbours(kind, bounds)) + within
-    sums = np.concatenate([[0.0], np.cumsum(each)])
-    rare = np.concatenate([[0], np.cumsum(~known)])[bounds].astype(np.int32)
-    return np.diff(bounds), sums[bounds[1:]] - sums[bounds[:-1]], pa.ListArray.from_arrays(pa.array(rare), pa.array(h[~known].view(np.int64)))
+def _averaged(batches):
+    """The mean weights of each chunk."""
+    total: dict[int, np.ndarray] = {}
+    tokens: dict[int, int] = {}
+    for batch in batches:
+        for chunk, n, v in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            total[chunk] = total.get(chunk, 0.0) + np.frombuffer(v.as_buffer(), np.float64)
+            tokens[chunk] = tokens.get(chunk, 0) + n
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([(x / tokens[c]).tobytes() for c, x in total.items()], pa.binary())], ["chunk", "v"])
 
 
-def _score(vocabulary, weights):
+def _score(weights):
     def run(batches):
-        p, row = shaped(weights.value), TaskContext.get().partitionId() << 40
+        p = shaped(weights.value)
         for batch in batches:
-            for part in tx.slices(batch, "text"):
-                n, s, rare = document_scores(p, vocabulary.value, part.column(1))
-                rows = np.arange(row, row + len(n))
-                row += len(n)
-                yield pa.RecordBatch.from_arrays([pa.array(rows), part.column(0), pa.array(n, pa.int64()), pa.array(s), rare], ["row", "id", "n_tokens", "log_prob", "rare"])
+            leaf, bounds = leaves_of(batch.column(3))
+            each = np.empty(len(leaf))
+            # rows together, but a bounded number of tokens with their neighbours at once
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + (1 << 18), "right")) - 1)
+                part = slice(bounds[at], bounds[to])
+                each[part] = log_probs(p, leaf[part], neighbours(leaf[part], bounds[at : to + 1] - bounds[at]))
+                at = to
+            sums = np.concatenate([[0.0], np.cumsum(each)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.diff(bounds)), pa.array(batch.column(2).to_numpy() + sums[bounds[1:]] - sums[bounds[:-1]])], ["row", "id", "n_tokens", "log_prob"]
+            )
 
     return run
 
@@ -256,38 +436,70 @@ def _score(vocabulary, weights):
 class PseudoLikelihood:
     """fit() gathers counts and weights from all rows; score() gives (id, n_tokens, log_prob)."""
 
-    def __init__(self, spark: SparkSession, rounds: int = ROUNDS):
-        self.spark, self.rounds = spark, rounds
+    def __init__(self, spark: SparkSession, rounds: int = ROUNDS, shard: int = SHARD):
+        self.spark, self.rounds, self.shard = spark, rounds, shard
+        self.work = Scratch(spark, "pseudolm")
+        self.coded: tuple[DataFrame, DataFrame] | None = None
+
+    def _read(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        return rows.select(F.xxhash64("id", "text").alias("key"), "id", "text")
 
-    def fit(self, docs: DataFrame, text_col="text") -> PseudoLikelihood:
-        sc = self.spark.sparkContext
-        work = Scratch(self.spark, "pseudolm")
-        texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    def _vocabulary(self, texts: DataFrame) -> None:
         counts = texts.mapInArrow(_counts, "h long, tail int, n long").groupBy("h").agg(F.min("tail").alias("tail"), F.sum("n").alias("n"))
         # kept: score() reads it
-        self.counts = counts = work.save(counts, "counts")
-        top = counts.orderBy(F.desc("n"), "h").limit(VOCABULARY).toArrow()
-        all_tail = counts.groupBy("tail").agg(F.sum("n").alias("n")).collect()
+        self.counts = counts = self.work.save(counts, "counts")
+        # the least count of the most frequent words, from a few hundred sizes
+        size = F.floor(F.log2("n") * 16).cast("int")
+        sizes = {r["s"]: r["n"] for r in counts.groupBy(size.alias("s")).agg(F.count("*").alias("n")).collect()}
+        room, least = VOCABULARY, 1 << 20
+        for s in sorted(sizes, reverse=True):
+            if sizes[s] > room:
+                break
+            room, least = room - sizes[s], s
+        self.listed = size >= least
+        top = counts.where(self.listed).select("h", "tail", "n").toArrow()
         h, tail, n = (top[c].to_numpy() for c in ("h", "tail", "n"))
-        rest = {r["tail"]: r["n"] - int(n[tail == r["tail"]].sum()) for r in all_tail}
-        self.vocabulary = Vocabulary(h.view(np.uint64), tail.astype(np.int64), n, rest)
-        self.sent = sc.broadcast(self.vocabulary)
-        self.weights = flat(start(self.vocabulary.unigram))
-        for _ in range(self.rounds):
-            gone = texts.mapInArrow(_train(self.sent, sc.broadcast(self.weights)), "i int, v double, n long")
-            got = gone.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toArrow()
-            if len(got):
-                self.weights = got["v"].to_numpy()[np.argsort(got["i"].to_numpy())]
+        order = np.lexsort((h, -n))
+        tails = {r["tail"]: r["n"] for r in counts.groupBy("tail").agg(F.sum("n").alias("n")).collect()}
+        self.tokens = sum(tails.values())
+        self.vocabulary = Vocabulary(tails, h[order].view(np.uint64), tail[order].astype(np.int64), n[order])
+        sent = self.spark.sparkContext.broadcast(self.vocabulary)
+        mass = np.zeros(LEAVES)
+        for r in counts.select("h", "tail", "n").mapInArrow(_leaf_mass(sent), "leaf int, n long").groupBy("leaf").agg(F.sum("n").alias("n")).collect():
+            mass[r["leaf"]] = r["n"]
+        self.vocabulary.weigh(mass)
+        self.sent = self.spark.sparkContext.broadcast(self.vocabulary)
+
+    def fit(self, docs: DataFrame, id_col="doc_id", text_col="text") -> PseudoLikelihood:
+        texts = self._read(docs, id_col, text_col)
+        self._vocabulary(texts.select("text"))
+        coded = self.work.save(texts.mapInArrow(_code(self.sent), CODED), "coded")
+        self.coded = (docs, coded)
+        shards = max(1, -(-self.tokens // (self.shard * self.rounds)))
+        tasks = min(shards, MOST_TASKS)
+        self.weights = flat(start(self.vocabulary.mass))
+        place = F.pmod(F.xxhash64("key"), F.lit(shards))
+        rows = coded.where("n_tokens > 0").select(F.pmod("key", F.lit(self.rounds)).alias("round"), place.alias("shard"), "key", "id", "codes")
+        for k in range(self.rounds):
+            dealt = rows.where(F.col("round") == k).repartitionById(tasks, (F.col("shard") % tasks).cast("int")).sortWithinPartitions("shard", "key", "id")
+            gone = dealt.select("shard", "codes").mapInArrow(_train(self.spark.sparkContext.broadcast(self.weights)), "chunk int, task int, n long, v binary")
+            mean = gone.repartition(CHUNKS, "chunk").sortWithinPartitions("chunk", "task").mapInArrow(_averaged, "chunk int, v binary")
+            got = {r["chunk"]: np.frombuffer(r["v"], np.float64) for r in mean.collect()}
+            if got:
+                self.weights = np.concatenate([got[c] for c in range(CHUNKS)])
         return self
 
     def score(self, docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        near = rows.mapInArrow(_score(self.sent, self.spark.sparkContext.broadcast(self.weights)), "row long, id long, n_tokens long, log_prob double, rare array<long>")
-        # written, so that the numbers of the rows are the same in both reads
-        near = Scratch(self.spark, "pseudolm").save(near, "near")
+        if self.coded and self.coded[0] is docs:
+            coded = self.coded[1]
+        else:
+            coded = Scratch(self.spark, "pseudolm").save(self._read(docs, id_col, text_col).mapInArrow(_code(self.sent), CODED), "coded")
+        sent = self.spark.sparkContext.broadcast(self.weights)
+        near = coded.select("row", "id", "base", "codes").mapInArrow(_score(sent), "row long, id long, n_tokens long, log_prob double")
         # the log of a single count is 0
-        logs = self.counts.where("n > 1").select("h", F.log("n").alias("more"))
-        more = near.select("row", F.explode("rare").alias("h")).join(logs, "h").groupBy("row").agg(F.sum("more").alias("more"))
+        logs = self.counts.where((F.col("n") > 1) & ~self.listed).select("h", F.log("n").alias("more"))
+        more = coded.select("row", F.explode("lost").alias("h")).join(logs, "h").groupBy("row").agg(F.sum("more").alias("more"))
         return near.join(more, "row", "left").select("id", "n_tokens", (F.col("log_prob") + F.coalesce("more", F.lit(0.0))).alias("log_prob"))
 
 

@@ -202,3 +202,36 @@ def lookup(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = np.searchsorted(keys, values)
     at[at == len(keys)] = 0
     return np.where(keys[at] == values, at, -1)
+
+
+class Table:
+    """Places of different 64-bit keys that are hashes already: open addressing, at most a quarter full. Picklable."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = max(4, int(4 * max(len(keys), 1) - 1).bit_length())
+        self.place = np.full(1 << self.bits, -1, np.int32)
+        slot = self._slot(keys)
+        wait = np.arange(len(keys))
+        while len(wait):
+            free = self.place[slot[wait]] < 0
+            self.place[slot[wait[free]]] = wait[free]
+            wait = wait[self.place[slot[wait]] != wait]
+            slot[wait] = (slot[wait] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """The place of each value among the keys, -1 where absent."""
+        if not len(self.keys):
+            return np.full(len(values), -1, np.int32)
+        slot = self._slot(values)
+        out = self.place[slot]
+        open_ = np.flatnonzero((out >= 0) & (self.keys[out] != values))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
+            at = self.place[slot[open_]]
+            out[open_] = at
+            open_ = open_[(at >= 0) & (self.keys[at] != values[open_])]
+        return out

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -373,76 +374,129 @@ def test_toxicity(spark):
 # 9: pseudo-likelihood
 
 
-def test_pseudo_likelihood(spark):
+def plain_score(model, text, counts):
+    """The log-probability of a text by plain loops over tokens, from the weights and all counts."""
+    p = {k: v.astype(float) for k, v in pseudolm.shaped(model.weights).items()}
+    h, tail, _ = pseudolm.hashed(pa.array([text]))
+    leaf, _ = model.vocabulary.leaves(h, tail)
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(text)]
+    total = 0.0
+    for k in range(len(leaf)):
+        near = [leaf[k + d] if 0 <= k + d < len(leaf) else pseudolm.PAD for d in pseudolm.PLACES]
+        hid = np.tanh(p["b"] + sum(p["e"][c] @ p["w"][j * pseudolm.WIDTH : (j + 1) * pseudolm.WIDTH] for j, c in enumerate(near)))
+        z = hid @ p["u"] + p["c"]
+        x = int(leaf[k])
+        kind = x if x < pseudolm.HEADS else pseudolm.HEADS + (x - pseudolm.HEADS) // pseudolm.MEMBERS
+        total += z[kind] - np.log(np.exp(z).sum())
+        if x >= pseudolm.HEADS:
+            g, m = divmod(x - pseudolm.HEADS, pseudolm.MEMBERS)
+            z = hid @ p["v"][g] + p["d"][g]
+            total += z[m] - np.log(np.exp(z).sum())
+            if m >= pseudolm.OWN:
+                total += np.log(max(counts[words[k]], 1) / (model.vocabulary.mass[x] + 1))
+    return total
+
+
+def lm_texts():
     rng = random.Random(9)
-    texts = [*ODD, *(" ".join(x for _ in range(20) for x in (f"a{rng.randrange(9)}", "b", "c")) for _ in range(120))]
+    return [*ODD, *(" ".join(x for _ in range(20) for x in (f"a{rng.randrange(9)}", "b", "C")) for _ in range(120)), *(prose(rng, 200, 900) for _ in range(30)), "x " * 60_000]
+
+
+@pytest.mark.parametrize("vocabulary", [40, 20_000])
+def test_pseudo_likelihood(spark, monkeypatch, vocabulary):
+    """With few words in the vocabulary, most counts are joined."""
+    monkeypatch.setattr(pseudolm, "VOCABULARY", vocabulary)
+    texts = lm_texts()
+    counts = Counter(w.translate({c: c + 32 for c in range(65, 91)}) for t in texts for w in WORD.findall(t or ""))
     df = docs_of(spark, texts)
     model = pseudolm.PseudoLikelihood(spark).fit(df)
     got = {r["id"]: r for r in model.score(df).collect()}
-    assert [got[i]["n_tokens"] for i in range(4)] == [0, 0, 0, 1] and got[0]["log_prob"] == 0
-    p, own = pseudolm.shaped(model.weights), model.vocabulary
-    t = texts[-1]
-    h, tail, bounds = pseudolm.hashed(pa.array([t]))
-    kind, within = own.classes(h, tail)
-    total = 0.0
-    for k in range(len(kind)):
-        z = p["b"].astype(float)
-        for j, d in enumerate(pseudolm.PLACES):
-            c = kind[k + d] if 0 <= k + d < len(kind) else pseudolm.PAD
-            z = z + p["e"][c] @ p["w"][j]
-        z = np.tanh(z) @ p["u"] + p["c"]
-        total += z[kind[k]] - np.log(np.exp(z).sum()) + within[k]
-    assert got[len(texts) - 1]["log_prob"] == pytest.approx(total, rel=1e-4)
-    shuffled = " ".join(rng.sample(t.split(), len(t.split())))
-    worse = model.score(docs_of(spark, [shuffled])).first()["log_prob"]
-    assert worse < got[len(texts) - 1]["log_prob"]
-    assert pseudolm.PseudoLikelihood(spark).fit(df.limit(0)).score(df.limit(0)).count() == 0
-
-
-def test_training_takes_every_token(spark, monkeypatch):
-    texts = [None, "a", " ".join(f"w{k}" for k in range(21)), " ".join(f"v{k % 5}" for k in range(50))]
-    model = pseudolm.PseudoLikelihood(spark, rounds=0).fit(docs_of(spark, texts))
+    assert [got[i]["n_tokens"] for i in range(4)] == [0, 0, 0, 1] and got[0]["log_prob"] == 0 and got[len(texts) - 1]["n_tokens"] == 60_000
+    for i in (3, 4, 7, 20, 130, 150):
+        assert got[i]["log_prob"] == pytest.approx(plain_score(model, texts[i], counts), rel=1e-4)
+    new = "neverseen w7 b neverseen"
+    assert model.score(docs_of(spark, [new])).first()["log_prob"] == pytest.approx(plain_score(model, new, counts), rel=1e-4)
+    t = texts[20]
+    shuffled = " ".join(rng_sample(t.split()))
+    assert model.score(docs_of(spark, [shuffled])).first()["log_prob"] < got[20]["log_prob"]
+    # the probabilities of all words at one place, and of the unseen ones, sum to 1
+    near = np.array([[pseudolm.PAD, pseudolm.PAD, 3, 40, 2, pseudolm.PAD]], np.int16)
+    each = np.exp([pseudolm.log_probs(pseudolm.shaped(model.weights), np.array([x]), near)[0] for x in range(pseudolm.LEAVES)])
+    words = sorted(counts)
+    h, tail, _ = pseudolm.hashed(pa.array([" ".join(words)]))
+    leaf, _ = model.vocabulary.leaves(h, tail)
+    alone, mass = model.vocabulary.alone, model.vocabulary.mass
+    total = sum(each[x] * (1 if alone[x] else counts[w] / (mass[x] + 1)) for w, x in zip(words, leaf, strict=True))
+    assert total + sum(each[x] / (mass[x] + 1) for x in np.flatnonzero(~alone)) == pytest.approx(1, abs=1e-3)
+
+
+def rng_sample(words):
+    return random.Random(3).sample(words, len(words))
+
+
+def test_pseudo_likelihood_of_nothing(spark):
+    df = docs_of(spark, [])
+    assert pseudolm.PseudoLikelihood(spark).fit(df).score(df).count() == 0
+    df = docs_of(spark, [None, ""])
+    assert [r["log_prob"] for r in pseudolm.PseudoLikelihood(spark).fit(df).score(df).collect()] == [0, 0]
+
+
+def test_layout_does_not_change_scores(spark):
+    """Rows in another order and over other partitions, several shards and rounds; with repeated rows and null ids."""
+    texts = lm_texts()[:-1]
+    rows = [(i if i % 17 else None, t) for i, t in enumerate([*texts, *texts[:20]])]
+    found = []
+    for n, turned in ((1, False), (4, True), (61, False)):
+        df = spark.createDataFrame(rows[::-1] if turned else rows, "doc_id long, text string").repartition(n)
+        out = pseudolm.PseudoLikelihood(spark, shard=3000).fit(df).score(df)
+        found.append(sorted((r["id"] or -1, r["n_tokens"], r["log_prob"]) for r in out.collect()))
+    for other in found[1:]:
+        assert [x[:2] for x in other] == [x[:2] for x in found[0]]
+        assert max(abs(a[2] - b[2]) / max(a[1], 1) for a, b in zip(found[0], other, strict=True)) < 1e-5
+
+
+def test_training_takes_every_token(monkeypatch):
     learnt = []
-    monkeypatch.setattr(pseudolm.Trainer, "step", lambda self, kind, near: learnt.extend(kind))
-
-    class Sent:
-        def __init__(self, value):
-            self.value = value
-
-    list(pseudolm._train(Sent(model.vocabulary), Sent(model.weights))([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
-    h, tail, _ = pseudolm.hashed(pa.array(texts))
-    assert learnt == model.vocabulary.classes(h, tail)[0].tolist() and len(learnt) == 72
-
-
-def test_every_word_keeps_its_count(spark, monkeypatch):
-    """Whether a task holds a word's count or it is joined, the scores are the same."""
-    rng = random.Random(4)
-    texts = [*ODD, *(prose(rng, 150, 900) for _ in range(30)), " ".join(f"u{k}" for k in range(200))]
-    df = docs_of(spark, [*texts, texts[-2]])
-    new = docs_of(spark, [*texts, "neverseen w7 neverseen"], 500)
-
-    def scores(size):
-        monkeypatch.setattr(pseudolm, "VOCABULARY", size)
-        model = pseudolm.PseudoLikelihood(spark, rounds=0).fit(df)
-        return {r["id"]: r["log_prob"] for d in (df, new) for r in model.score(d).collect()}
-
-    few, all_ = scores(120), scores(20_000)
-    assert len(few) == 2 * len(texts) + 2 and few == pytest.approx(all_, rel=1e-6)
+    monkeypatch.setattr(pseudolm.Trainer, "step", lambda self, leaf, near: learnt.append((leaf, near)))
+    monkeypatch.setattr(pseudolm, "BATCH", 7)
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, pseudolm.LEAVES, n) for n in (0, 1, 30, 3, 50)]
+    trainer = pseudolm.Trainer(pseudolm.start(np.ones(pseudolm.LEAVES)))
+    for a, b in ((0, 2), (2, 5)):
+        trainer.take(np.concatenate(docs[a:b]), np.cumsum([0, *map(len, docs[a:b])]))
+    trainer.finish()
+    assert np.concatenate([x for x, _ in learnt]).tolist() == np.concatenate(docs).tolist()
+    near = np.concatenate([x for _, x in learnt])
+    assert near.tolist() == np.concatenate([pseudolm.neighbours(d, np.array([0, len(d)])) for d in docs]).tolist()
 
 
 def test_gradient():
     rng = np.random.default_rng(1)
-    p = {k: v.astype(np.float64) for k, v in pseudolm.start(np.full(pseudolm.CLASSES, 1 / pseudolm.CLASSES)).items()}
-    kind, near = rng.integers(0, pseudolm.CLASSES, 20), rng.integers(0, pseudolm.CLASSES + 1, (20, len(pseudolm.PLACES)))
-    g = pseudolm.gradient(p, kind, near)
-    for k, at in (("w", (2, 1, 4)), ("u", (3, 7)), ("b", (2,)), ("c", (9,)), ("e", (int(near[0, 0]), 3))):
+    p = {k: v.astype(np.float64) for k, v in pseudolm.start(rng.integers(1, 9, pseudolm.LEAVES).astype(float)).items()}
+    leaf, near = rng.integers(0, pseudolm.LEAVES, 40), rng.integers(0, pseudolm.LEAVES + 1, (40, len(pseudolm.PLACES))).astype(np.int16)
+    leaf[:10] = rng.integers(0, pseudolm.HEADS, 10)
+    g = pseudolm.gradient(p, leaf, near)
+    dense = np.zeros_like(p["e"])
+    dense[g.pop("at")] = g["e"]
+    g["e"] = dense
+    group, member = divmod(int(leaf[20]) - pseudolm.HEADS, pseudolm.MEMBERS)
+    for k, at in (("w", (13, 4)), ("u", (3, 7)), ("b", (2,)), ("c", (9,)), ("e", (int(near[0, 0]), 3)), ("v", (group, 5, member)), ("d", (group, member))):
         up, down = ({x: v.copy() for x, v in p.items()} for _ in range(2))
         up[k][at] += 1e-5
         down[k][at] -= 1e-5
-        slope = (pseudolm.log_probs(down, kind, near).mean() - pseudolm.log_probs(up, kind, near).mean()) / 2e-5
+        slope = (pseudolm.log_probs(down, leaf, near).mean() - pseudolm.log_probs(up, leaf, near).mean()) / 2e-5
         assert g[k][at] == pytest.approx(slope, rel=1e-3, abs=1e-7)
 
 
+def test_table_finds_what_it_holds():
+    rng = np.random.default_rng(2)
+    keys = np.unique(tx.mix(rng.integers(0, 1 << 60, 5000).astype(np.uint64)))
+    keys = np.concatenate([keys, (np.uint64(0xFFF) << np.uint64(52)) + np.arange(300, dtype=np.uint64)])
+    table = tx.Table(keys)
+    assert (table.find(keys) == np.arange(len(keys))).all()
+    assert (table.find(tx.mix(keys)) == -1).all() and (tx.Table(keys[:0]).find(keys) == -1).all()
+
+
 # 10: near duplicates
 
 
