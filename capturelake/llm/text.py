@@ -185,16 +185,6 @@ def plain(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[keep], place[offs]
 
 
-def heads(buf: np.ndarray, words: Words) -> np.ndarray:
-    """A hash of the first eight bytes of every word."""
-    out = np.zeros(len(words), np.uint64)
-    sizes = words.end - words.start
-    for i in range(8):
-        at = np.minimum(words.start + i, len(buf) - 1)
-        out |= np.where(sizes > i, buf[at], 0).astype(np.uint64) << np.uint64(8 * i)
-    return mix(out + np.uint64(0x2545F4914F6CDD1D))
-
-
 def lookup(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Positions of values in the sorted keys, -1 where absent."""
     if not len(keys):

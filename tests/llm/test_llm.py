@@ -358,17 +358,60 @@ def test_toxicity(spark):
                 w[rng.randrange(80)] = rng.choice(["nasty,", "VILE", "nasty"])
         rows.append((i, " ".join(w)))
         marks.append((i, int(bad)))
+    rows += [(None, "w1 nasty"), (4, rows[4][1]), (4, "VILE w1")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([*marks, (None, 1), (5000, 1), (1, None)], "doc_id long, toxic int")
     model = toxicity.Toxicity(spark).fit(df, labels, F.expr("id % 5 <> 0"))
-    got = {r["id"]: r["score"] for r in model.score(df).collect()}
+    assert model.score(df).count() == 403
+    got = {r["id"]: r["score"] for r in model.score(df.where("doc_id < 400 and length(text) > 20")).collect()}
     assert np.mean([(got[i] >= 0.5) == bool(y) for i, y in marks if i % 5 == 0]) > 0.95
-    odd = [r["score"] for r in model.score(docs_of(spark, ODD)).collect()]
+    odd = [r["score"] for r in model.score(docs_of(spark, [*ODD[:-1], "w3 " * 400_000])).collect()]
     assert len(odd) == len(ODD) and all(0 <= s < 0.5 for s in odd)
     kept = model.keep(df)
-    assert kept.columns == df.columns and abs(kept.count() - 300) < 10
+    assert kept.columns == df.columns and abs(kept.count() - 301) < 10
     nothing = toxicity.Toxicity(spark).fit(df, labels.limit(0), F.lit(True))
-    assert {r["score"] for r in nothing.score(df).collect()} == {0.0} and nothing.keep(df).count() == 400
+    assert {r["score"] for r in nothing.score(df).collect()} == {0.0} and nothing.keep(df).count() == 403
+
+
+def test_kneser_ney_matches_brute_force(spark, monkeypatch):
+    """Ratios and mass from the definition, counted with sets."""
+    monkeypatch.setattr(toxicity, "DISCOUNTS", ((2.5, 2.0),))
+    rng = random.Random(18)
+    rows = [(i, prose(rng, 60, 12), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.Toxicity(spark).fit(df, df, F.lit(True))
+    unseen = {r["doc_id"] for r in df.where(F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(4)) == 0).collect()}
+    grams = {0: set(), 1: set()}
+    for i, t, y in rows:
+        if i not in unseen:
+            w = ["^", "^", *t.split()]
+            grams[y] |= {tuple(w[k : k + 3]) for k in range(len(w) - 2)}
+    n = {y: Counter((u, w) for _, u, w in grams[y]) for y in (0, 1)}
+    m = {y: Counter(w for _, w in n[y]) for y in (0, 1)}
+    words = sorted(m[0] | m[1])
+    total = sum(sum(m[y].values()) for y in (0, 1))
+
+    def shared(w):
+        s = m[0][w] + m[1][w]
+        return max(s - 0.75, 0) / total + 0.75 * len(words) / total / (len(words) + 1)
+
+    def p(y, w, u):
+        own = sum(m[y].values())
+        back = sum(min(x, 2.5) for x in m[y].values()) / own
+        one = max(m[y][w] - 2.5, 0) / own + back * shared(w)
+        after = {x: k for (v, x), k in n[y].items() if v == u}
+        if not after:
+            return one
+        return max(after.get(w, 0) - 2.0, 0) / sum(after.values()) + sum(min(k, 2.0) for k in after.values()) / sum(after.values()) * one
+
+    for y in (0, 1):
+        for u in ("^", words[0], words[3], "nowhere"):
+            assert sum(p(y, w, u) for w in [*words, "unknown"]) == pytest.approx(1)
+    text = " ".join([*rng.choices(words, k=200), "unknown", words[0], "unknown"])
+    word, before, _ = toxicity.tokens(pa.RecordBatch.from_arrays([pa.array([text])], ["text"]), 0)
+    w = text.split()
+    want = [np.log(p(1, x, u)) - np.log(p(0, x, u)) for u, x in zip(["^", *w], w, strict=False)]
+    assert model.model.ratios(word, before) == pytest.approx(want, abs=1e-9)
 
 
 # 9: pseudo-likelihood
