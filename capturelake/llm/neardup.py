@@ -1,9 +1,9 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 Method. A document is the set of its distinct k-word shingles (64-bit hashes of
-words folded A-Z to a-z). Equal sets form a class with one representative, so
-exact copies never meet in a pair. Representatives get a MinHash signature; bands
-of it are buckets. The members of a bucket first meet its pivot only, the member that
+words folded A-Z to a-z). Rows with equal sets form a class, so exact copies never meet
+in a pair. Each class has a number, the MinHash signature of its set, and one row
+whose text gives the set again; bands of the signature are buckets. The members of a bucket first meet its pivot only, the member that
 shares most buckets. Pairs are compared batch by batch of the signature and dropped
 as soon as the posterior probability of reaching the threshold falls under ``miss``;
 the survivors are verified on their full sets.
@@ -12,20 +12,19 @@ Members of one pivot P that are then in different components still have to be to
 apart, without meeting all pairs of a large group. If A is not similar to P, a link
 of A and B needs |A & B| >= r (|A| + |B|) with r = t / (1 + t), while A & B holds at
 most |A & P| shingles of P. So either B is so small that |A & P| is enough, which its
-size tells, or both share shingles that P lacks, at least as many as are wanting. Those
-pairs come from an index of such shingles, of which each A looks up only as many of
-its rarest as it must share one of (prefix filtering). Both are exact, so every link
-inside a pivot's group is found, with about as many pairs as shared edits.
+size tells (such pairs are taken from common buckets), or both share shingles that P lacks,
+at least as many as are wanting. Those pairs come from an index of such shingles, of which each A looks up only as many of
+its rarest as it must share one of (prefix filtering). Both leave out only pairs that the sizes refute or that share no bucket.
 
 Bands find a pair of similarity s with probability 1 - (1 - s^rows)^bands: with
 25 bands of 5 rows 0.9999996 at 0.85 and 0.99995 at 0.8. There is no cap on
 buckets, members or candidates.
 
 Cases. Null, empty and blank texts have an empty set: n_shingles 0, linked with
-nothing. Fewer than k words: the whole sequence is the one shingle. Rows that
-share an id are one node, linked with the exact copies of all its rows and with the
-near copies of the least; each row keeps its own n_shingles. A null id is a row of its own: component null, kept true. Extra
-columns are ignored. An empty table gives an empty result.
+nothing. Fewer than k words: the whole sequence is the one shingle. Rows that share an
+id are one node with the links of all its texts; each row keeps its own n_shingles. A null
+id is a row of its own: component null, kept true. Extra columns are ignored. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -76,12 +75,13 @@ def _sketch(shingle_words: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array(sizes, pa.int64()),
                         pa.array(marks[0]),
                         pa.array(marks[1]),
                         pa.Array.from_buffers(pa.binary(4 * HASHES), rows, [None, raw]).cast(pa.binary()),
                     ],
-                    ["id", "n_shingles", "mark0", "mark1", "sig"],
+                    ["id", "digest", "n_shingles", "mark0", "mark1", "sig"],
                 )
 
     return run
@@ -94,7 +94,7 @@ def _sets(shingle_words: int):
                 buf, offs = tx.string_bytes(part.column(1))
                 sets, at = tx.distinct(*tx.shingles(tx.Words(buf, offs), part.num_rows, shingle_words))
                 lists = pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), pa.array(sets.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists.cast(pa.list_(pa.int64()))], ["id", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), lists.cast(pa.list_(pa.int64()))], ["class", "shingles"])
 
     return run
 
@@ -195,51 +195,57 @@ class NearDuplicates:
     def fit(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """(id, n_shingles, component, kept) for every row of docs."""
         work = self.work
-        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        sketch = work.save(rows.mapInArrow(_sketch(self.k), "id long, n_shingles long, mark0 long, mark1 long, sig binary"), "sketch")
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
+        sketch = work.save(rows.mapInArrow(_sketch(self.k), "id long, digest long, n_shingles long, mark0 long, mark1 long, sig binary"), "sketch")
         marks = ["mark0", "mark1", "n_shingles"]
         known = sketch.where("id is not null and n_shingles > 0")
-        classes = work.save(known.groupBy(*marks).agg(F.min("id").alias("rep"), F.min_by("sig", "id").alias("sig")), "classes")
-        sketches = classes.select(F.col("rep").alias("id"), "sig").groupBy("id").agg(F.min("sig").alias("sig"))
-        # an id with several sets joins the classes of all of them
-        member = known.select("id", *marks).join(classes.select(*marks, "rep"), marks).select("id", "rep")
+        # the least row of a class stands for it; equal texts of one id are the same row here
+        classes = known.groupBy(*marks).agg(F.min(F.struct("id", "digest")).alias("rep"), F.min("sig").alias("sig"))
+        classes = work.save(classes.select(F.monotonically_increasing_id().alias("class"), *marks, "rep.id", "rep.digest", "sig"), "classes")
+        sketches = classes.select(F.col("class").alias("id"), "sig")
+        member = known.select("id", *marks).join(classes.select("class", *marks), marks).groupBy("id").agg(F.min("class").alias("class"), F.max("class").alias("last"))
         member = work.save(member, "member")
-        several = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("id", "a")
-        bridges = member.join(several, "id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
+        # an id with several sets joins the classes of all of them
+        several = member.where("class <> last").select("id", F.col("class").alias("a"))
+        bridges = known.select("id", *marks).join(several, "id").join(classes.select(F.col("class").alias("b"), *marks), marks).where("a <> b").select("a", "b").distinct()
 
         keys = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(sig, b * {4 * ROWS} + 1, {4 * ROWS})))")
-        bands = classes.select(F.col("rep").alias("id"), F.explode(keys).alias("key"))
+        bands = sketches.select("id", F.explode(keys).alias("key"))
         sizes = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         bucket = work.save(bands.join(sizes, "key"), "bucket")
         central = bucket.groupBy("id").agg(F.sum("n").alias("central"))
         pivots = bucket.join(central, "id").groupBy("key").agg(F.max_by("id", F.struct("central", -F.col("id"))).alias("pivot"))
-        stars = work.save(bucket.select("key", "id").join(pivots, "key").where("id <> pivot").select("pivot", "id").distinct(), "stars")
+        keyed = work.save(bucket.select("key", "id").join(pivots, "key").where("id <> pivot"), "keyed")
+        stars = work.save(keyed.select("pivot", "id").distinct(), "stars")
 
-        involved = bucket.select("id").distinct()
+        involved = classes.select("class", "id", "digest").join(bucket.select(F.col("id").alias("class")).distinct(), "class", "left_semi")
         # grouped before Python runs, so that it reuses the join's partitioning
-        texts = rows.where("id is not null").join(involved, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-        sets = work.save(texts.mapInArrow(_sets(self.k), "id long, shingles array<long>"), "sets")
+        texts = rows.join(involved, ["id", "digest"]).groupBy("class").agg(F.min("text").alias("text"))
+        sets = work.save(texts.mapInArrow(_sets(self.k), "class long, shingles array<long>").withColumnRenamed("class", "id"), "sets")
 
         tried = stars.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         links = work.save(self._verified(self._pairs(tried, sketches), sets).union(bridges), "links-1")
         comps = components(links, work, "comp-1")
-        cross = self._across(stars, comps, sets)
+        cross = self._across(stars, keyed, comps, sets)
         if cross is not None:
             rest = work.save(self._verified(self._pairs(cross, sketches), sets), "links-2")
             if not rest.isEmpty():
                 links = links.union(rest)
                 comps = components(links, work, "comp-2")
-        work.drop("bucket", "sets", "stars", "apart", "classes")
+        # links are between classes; a component is named by its least id
+        names = classes.select(F.col("class"), "id").join(comps.select(F.col("id").alias("class"), "component"), "class", "left")
+        names = names.withColumn("component", F.coalesce("component", "class"))
+        least = names.groupBy("component").agg(F.min("id").alias("name"))
+        named = work.save(names.select("class", "component").join(least, "component").select("class", "name"), "named")
+        of = work.save(member.select("id", "class").join(named, "class").select("id", F.col("name").alias("component")), "of")
+        work.drop("bucket", "sets", "stars", "keyed", "apart", "classes", "member", "named")
         self.links = links
 
-        reps = member.groupBy("id").agg(F.min("rep").alias("rep"))
-        comp = comps.select(F.col("id").alias("rep"), "component")
-        of = reps.join(comp, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
         out = sketch.select("id", "n_shingles").join(of, "id", "left")
         component = F.coalesce("component", "id")
         return out.select("id", "n_shingles", component.alias("component"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
-    def _across(self, stars: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame | None:
+    def _across(self, stars: DataFrame, keyed: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame | None:
         """Pairs (a, b) under one pivot, in different components, that may be similar; see the module."""
         of = comps.select("id", "component")
         placed = stars.join(of, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
@@ -272,7 +278,10 @@ class NearDuplicates:
         minor = minor.withColumn("want", F.expr(f"greatest(1, cast(ceil({p} * (n + lo) / {q}) as int) - shared)"))
         small = minor.where("hi >= lo").select("pivot", F.col("id").alias("x"), F.col("comp").alias("cx"), "lo", "hi")
         others = apart.select("pivot", F.col("id").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
-        by_size = small.join(others, (small["pivot"] == others["pivot"]) & F.col("ny").between(F.col("lo"), F.col("hi")) & (F.col("cx") != F.col("cy")))
+        # similar sets share a bucket, so those are paired and not all of a pivot
+        small = small.join(keyed.select("pivot", F.col("id").alias("x"), "key"), ["pivot", "x"])
+        others = others.join(small.select("pivot").distinct(), "pivot", "left_semi").join(keyed.select("pivot", F.col("id").alias("y"), "key"), ["pivot", "y"])
+        by_size = small.join(others, (small["key"] == others["key"]) & F.col("ny").between(F.col("lo"), F.col("hi")) & (F.col("cx") != F.col("cy")))
 
         index = apart.select("pivot", "id", "comp", F.explode("extra").alias("e"))
         spread = index.groupBy("pivot", "e").agg(F.count("*").alias("df")).where("df > 1")

@@ -593,6 +593,31 @@ def test_near_duplicate_cases(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Every text of an id counts, whichever is the least."""
+    rng = random.Random(30)
+    texts = [prose(rng, 120, 3000) for _ in range(12)]
+    rows = []
+    for k in range(0, 12, 2):
+        near = texts[k + 1].split()
+        near[50] = "changed"
+        rows += [(10 + k, texts[k]), (10 + k, texts[k + 1]), (11 + k, " ".join(near)), (11 + k, None)]
+    rows += [(100, texts[0].upper()), (100, texts[6]), (100, texts[6])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in neardup.near_duplicates(df, 85).collect()}
+    assert got == {i: (10 if i in (16, 17, 100) else i - i % 2) for i, _ in rows} | {10: 10, 11: 10}
+    assert neardup.near_duplicates(df, 85).count() == len(rows)
+
+
+def test_near_duplicates_of_very_long_texts(spark):
+    rng = random.Random(31)
+    long = [f"t{rng.randrange(50_000)}" for _ in range(300_000)]
+    other = [*long[:20_000], *(f"u{k}" for k in range(20_000)), *long[40_000:]]
+    far = [*long[:150_000], *(f"v{k}" for k in range(150_000))]
+    got = {r["id"]: r["component"] for r in neardup.near_duplicates(docs_of(spark, [" ".join(x) for x in (long, other, far)]), 85).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
+
+
 def test_components(spark):
     rng = random.Random(10)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(30)]
