@@ -44,7 +44,7 @@ LEAVES = HEADS + GROUPS * MEMBERS
 PAD = LEAVES
 VOCABULARY = 200_000
 SPAN, WIDTH, HIDDEN = 3, 12, 24
-ROUNDS, BATCH, SHARD = 2, 4096, 1 << 20
+ROUNDS, BATCH, SHARD = 2, 8192, 1 << 20
 MOST_TASKS = 20_000
 CHUNKS = 64
 PLACES = [*range(-SPAN, 0), *range(1, SPAN + 1)]
@@ -277,53 +277,63 @@ def split_leaf(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(grouped, HEADS + (leaf - HEADS) // MEMBERS, leaf), np.where(grouped, (leaf - HEADS) % MEMBERS, 0)
 
 
-def _softmax(z: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probability of the own column of each row, and all probabilities (in place)."""
-    z -= z.max(1, keepdims=True)
+def bounded(p) -> bool:
+    """Whether no logit can overflow, as the hidden layer is within -1 and 1."""
+    return all(float(np.abs(p[u]).sum(-2).max() + np.abs(p[c]).max()) < 60 for u, c in (("u", "c"), ("v", "d")))
+
+
+def _exp(z: np.ndarray, own: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """exp(z) in place, up to a factor for each row: log-probability of the own column, and sums of rows."""
+    if not safe:
+        z -= z.max(1, keepdims=True)
     at = z[np.arange(len(z)), own]
     np.exp(z, out=z)
-    total = z.sum(1)
-    z /= total[:, None]
-    return at - np.log(total), z
+    total = z @ np.ones(z.shape[1], z.dtype)
+    return at - np.log(total), total
 
 
-def log_probs(p, leaf: np.ndarray, near: np.ndarray, batch: int = 4 * BATCH) -> np.ndarray:
+def log_probs(p, leaf: np.ndarray, near: np.ndarray, batch: int = 2 * BATCH) -> np.ndarray:
     """log P(leaf | neighbours) of each token."""
-    out = np.empty(len(leaf))
+    out, safe = np.empty(len(leaf)), bounded(p)
     for at in range(0, len(leaf), batch):
         part = slice(at, at + batch)
         kind, member = split_leaf(leaf[part])
         _, h = hidden(p, near[part])
         z = h @ p["u"]
         z += p["c"]
-        z -= z.max(1, keepdims=True)
-        own = z[np.arange(len(z)), kind]
-        here = (own - np.log(np.exp(z, out=z).sum(1))).astype(np.float64)
+        here = _exp(z, kind, safe)[0].astype(np.float64)
         for g, rows in runs(kind):
             z = h[rows] @ p["v"][g]
             z += p["d"][g]
-            z -= z.max(1, keepdims=True)
-            own = z[np.arange(len(z)), member[rows]]
-            here[rows] += own - np.log(np.exp(z, out=z).sum(1))
+            here[rows] += _exp(z, member[rows], safe)[0]
         out[part] = here
     return out
 
 
+def _loss_slope(z: np.ndarray, own: np.ndarray, n: int, safe: bool) -> np.ndarray:
+    """Of the logits, in place, for a mean over n tokens."""
+    total = _exp(z, own, safe)[1]
+    z *= (1 / (n * total))[:, None]
+    z[np.arange(len(z)), own] -= 1 / n
+    return z
+
+
 def gradient(p, leaf, near) -> dict[str, np.ndarray]:
     """Of the mean negative log-likelihood; that of the embeddings only for the rows in "at"."""
     n = len(leaf)
     kind, member = split_leaf(leaf)
     x, h = hidden(p, near)
-    _, dz = _softmax(h @ p["u"] + p["c"], kind)
-    dz[np.arange(n), kind] -= 1
-    dz /= n
+    safe = bounded(p)
+    z = h @ p["u"]
+    z += p["c"]
+    dz = _loss_slope(z, kind, n, safe)
     dh = dz @ p["u"].T
     dv, dd = np.zeros_like(p["v"]), np.zeros_like(p["d"])
     for g, rows in runs(kind):
         here = h[rows]
-        _, d = _softmax(here @ p["v"][g] + p["d"][g], member[rows])
-        d[np.arange(len(rows)), member[rows]] -= 1
-        d /= n
+        z = here @ p["v"][g]
+        z += p["d"][g]
+        d = _loss_slope(z, member[rows], n, safe)
         dv[g], dd[g] = here.T @ d, d.sum(0)
         dh[rows] += d @ p["v"][g].T
     dh *= 1 - h * h
