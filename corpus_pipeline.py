@@ -1,15 +1,15 @@
 """A training corpus from ``documents``: five stages, each over all that the one before kept.
 
 1. toxicity: rows that score 0.5 or more go.
-2. near_duplicates: of each component of five-word-shingle similarity 0.8 or more the
-   smallest doc_id stays, of repeated rows of that id one.
+2. near_duplicates: every row is a document, whatever its id; of each component of five-word-
+   shingle similarity 0.8 or more the row with the smallest doc_id stays (null ids last).
 3. decontamination: rows that hold a benchmark item (similarity 0.8 or more) go.
 4. personal_data: numbers, dates, names of mail addresses and secrets become pseudonyms;
    n_chars follows the new text.
 5. tokens: each text as ids, with its decoded digest.
 
-All stages but the last return the columns of documents. Rows with a null doc_id are kept
-by the filters as far as their text allows. Empty tables pass through.
+All stages but the last return the columns of documents. Rows with a null or repeated doc_id
+are judged by their own text. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -31,12 +31,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(docs, percent=80)
-    gone = found.where("not kept").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    # repeated rows of one id are copies too; a null id is no id
-    again = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return again.unionByName(kept.where("doc_id is null")).select(*COLUMNS)
+    work = Scratch(spark, "rows")
+    # written, so that a row keeps its number in every read
+    rows = work.save(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    found = neardup.near_duplicates(rows, percent=80, id_col="row").select(F.col("id").alias("row"), "component")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = rows.select("row", "doc_id").join(found, "row").groupBy("component").agg(first).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
