@@ -11,22 +11,25 @@ every value all items that near, so no fingerprint within the radius is missed.
 Candidates within the radius are verified by the exact weighted Jaccard similarity of
 their shingles.
 
-A window without any shingle of any item has similarity 0 with all of them, so only
-windows that reach such a shingle are fingerprinted; that drops no match.
+At this radius blocks alone hardly tell items apart, so the tables of a slice of text hold
+only the items that it can match: a similarity of t needs shared shingles of t times the
+item's weight, so a window must have one of the item's rarest shingles, those left when
+the others weigh less than that. Only windows that reach such a shingle are fingerprinted.
+That drops no match.
 
-Bounds. The item tables go to every task: about 10 KB an item, of a benchmark that must
-stay under ``MOST_ITEMS``; split larger ones. Documents are read once, in one pass
-without a shuffle; memory is bounded by a slice of text.
+Bounds. Items go to every task in blocks of ``MOST_ITEMS`` (about 10 KB an item); each
+block is one pass over the documents, without a shuffle, and the rarity of shingles is
+counted over all items. Memory is bounded by a slice of text and ``PAIRS`` candidates.
 
 Cases. Null and empty texts match nothing; items without words are no items; an item of
 fewer than k words has one shingle, its whole sequence, found at windows of its length.
-Repeated items and rows each give their own matches. A null id stays null. Extra columns
-are ignored; empty tables give an empty result.
+Repeated items and rows each give their own matches. A null id stays null. Of equally
+similar windows the first counts. Extra columns are ignored; empty tables give an empty
+result.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -34,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from capturelake.llm import split
 from capturelake.llm import text as tx
-from capturelake.scratch import ship
+from capturelake.scratch import Scratch, ship
 
 BITS, BLOCKS, RADIUS = 64, 8, 19
 MOST_ITEMS = 20_000
+PAIRS = 1 << 20
 _SHIFT = np.arange(BITS, dtype=np.uint64)
 
 
@@ -58,49 +63,57 @@ def words_of(column) -> tuple[tx.Words, int]:
     return tx.Words(buf, offs, lower=False), len(offs) - 1
 
 
+def item_shingles(texts: list, k: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(place, words, shingles, their counts) of every text that has words."""
+    words, rows = words_of(pa.array(texts, pa.large_string()))
+    bounds, out = words.bounds(rows), []
+    for row in range(rows):
+        h = words.hash[bounds[row] : bounds[row + 1]]
+        if len(h):
+            out.append((row, len(h), *np.unique(tx.windows(h, min(k, len(h))), return_counts=True)))
+    return out
+
+
 class Items:
-    """The benchmark as arrays: shingles, weights, fingerprints and block tables. Picklable."""
-
-    def __init__(self, ids: list, texts: list, k: int):
-        if len(ids) > MOST_ITEMS:
-            raise ValueError(f"{len(ids)} items are more than {MOST_ITEMS}; split the benchmark")
-        words, rows = words_of(pa.array(texts, pa.large_string()))
-        bounds = words.bounds(rows)
-        self.k, self.ids, self.size, self.grams, self.gram_counts = k, [], [], [], []
-        for row in range(rows):
-            h = words.hash[bounds[row] : bounds[row + 1]]
-            if len(h):
-                g, n = np.unique(tx.windows(h, min(k, len(h))), return_counts=True)
-                self.ids.append(ids[row])
-                self.size.append(len(h))
-                self.grams.append(g)
-                self.gram_counts.append(n)
-        self.size = np.array(self.size, np.int64)
-        every = np.concatenate(self.grams) if self.grams else np.zeros(0, np.uint64)
-        self.known, spread = np.unique(every, return_counts=True)
-        self.rarity = (1 + np.log((1 + len(self.ids)) / (1 + spread))).astype(np.float32)
-        self.other = np.float32(1 + np.log(1 + len(self.ids)))  # of shingles that no item has
-        self.weight = [n * self.rarity[np.searchsorted(self.known, g)] for g, n in zip(self.grams, self.gram_counts, strict=True)]
-        self.print = simhash(np.stack([w @ signs(g) for g, w in zip(self.grams, self.weight, strict=True)])) if self.ids else np.zeros(0, np.uint64)
+    """A block of the benchmark as arrays: shingles, weights, fingerprints. Picklable."""
+
+    def __init__(self, ids: list, texts: list, k: int, least: float, spread: tuple[np.ndarray, np.ndarray] | None = None, total: int | None = None):
+        """spread: shingles in order and the items that have them, total: all items; by default those of this block."""
+        found = item_shingles(texts, k)
+        self.k, self.ids = k, [ids[row] for row, *_ in found]
+        self.size = np.array([n for _, n, *_ in found], np.int64)
+        self.grams, self.gram_counts = [x[2] for x in found], [x[3] for x in found]
+        if spread is None:
+            spread = np.unique(np.concatenate(self.grams), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        total = len(found) if total is None else total
+        self.known, count = spread
+        self.rarity = (1 + np.log((1 + total) / (1 + count))).astype(np.float32)
+        self.other = np.float32(1 + np.log(1 + total))  # of shingles that no item has
+        self.at_known = tx.Table(self.known)
+        self.weight = [n * self.rarity[self.at_known.find(g)] for g, n in zip(self.grams, self.gram_counts, strict=True)]
+        self.print = simhash(np.stack([w @ signs(g) for g, w in zip(self.grams, self.weight, strict=True)])) if found else np.zeros(0, np.uint64)
         self.width = BITS // BLOCKS
         near = [sum(1 << b for b in bits) for r in range(RADIUS // BLOCKS + 1) for bits in combinations(range(self.width), r)]
         self.near = np.array(near, np.uint64)
-        # items of each size, so that a window meets the items of its own size only
-        self.of_size = defaultdict(list)
-        for i, n in enumerate(self.size):
-            self.of_size[int(n)].append(i)
-        self.of_size = {n: np.array(v) for n, v in self.of_size.items()}
-        # shingle -> sizes of the items that have it; short items have shingles of their own length
-        where = defaultdict(set)
-        for i, g in enumerate(self.grams):
-            for x in np.searchsorted(self.known, g):
-                where[int(x)].add(int(self.size[i]))
-        self.sizes_of = [np.array(sorted(where[x]), np.int64) for x in range(len(self.known))]
-
-    def tables(self, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        # the rarest shingles of each item, by the length of its shingles
+        lists: dict[int, list[tuple[np.ndarray, int]]] = {}
+        for i, (g, w) in enumerate(zip(self.grams, self.weight, strict=True)):
+            order = np.lexsort((g, -self.rarity[self.at_known.find(g)]))
+            rest = w.sum() - np.cumsum(w[order])
+            # a little less, so that rounding drops nothing
+            prefix = g[order][: int(np.argmax(rest < least * w.sum() * (1 - 1e-4))) + 1]
+            lists.setdefault(min(k, int(self.size[i])), []).append((prefix, i))
+        self.rare = {}
+        for length, some in lists.items():
+            g = np.concatenate([x for x, _ in some])
+            who = np.repeat([i for _, i in some], [len(x) for x, _ in some])
+            order = np.lexsort((who, g))
+            u, first, n = np.unique(g[order], return_index=True, return_counts=True)
+            self.rare[length] = (tx.Table(u), first, n, who[order])
+
+    def tables(self, items: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each block, sorted (value, item) of all values near enough to an item's."""
         out = []
-        items = self.of_size[size]
         for b in range(BLOCKS):
             value = (self.print[items] >> np.uint64(b * self.width)) & np.uint64((1 << self.width) - 1)
             values = (value[:, None] ^ self.near[None, :]).ravel()
@@ -109,27 +122,23 @@ class Items:
             out.append((values[order], who[order]))
         return out
 
-    def candidates(self, prints: np.ndarray, size: int, cache: dict) -> tuple[np.ndarray, np.ndarray]:
+    def candidates(self, prints: np.ndarray, tables: list) -> tuple[np.ndarray, np.ndarray]:
         """All (window, item) within RADIUS, by the block tables."""
-        if size not in cache:
-            cache[size] = self.tables(size)
         pairs = []
-        for b, (values, who) in enumerate(cache[size]):
+        for b, (values, who) in enumerate(tables):
             value = (prints >> np.uint64(b * self.width)) & np.uint64((1 << self.width) - 1)
             lo, hi = np.searchsorted(values, value, "left"), np.searchsorted(values, value, "right")
-            n = hi - lo
-            window = np.repeat(np.arange(len(prints)), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-            pairs.append(window.astype(np.int64) * len(self.ids) + who[at])
+            item, _ = split.gather(who, lo, hi - lo)
+            window = np.repeat(np.arange(len(prints)), hi - lo)
+            close = np.bitwise_count(prints[window] ^ self.print[item]) <= RADIUS
+            pairs.append(window[close].astype(np.int64) * len(self.ids) + item[close])
         found = np.unique(np.concatenate(pairs))
-        window, item = found // len(self.ids), found % len(self.ids)
-        close = np.bitwise_count(prints[window] ^ self.print[item]) <= RADIUS
-        return window[close], item[close]
+        return found // len(self.ids), found % len(self.ids)
 
     def similarity(self, grams: np.ndarray, item: int) -> float:
         """Exact weighted Jaccard similarity of a window's shingles and an item's."""
         g, n = np.unique(grams, return_counts=True)
-        at = tx.lookup(self.known, g)
+        at = self.at_known.find(g)
         w = n * np.where(at >= 0, self.rarity[at], self.other)
         mine, own = self.grams[item], self.weight[item]
         here = tx.lookup(mine, g)
@@ -143,36 +152,11 @@ def _search(items, least: float, text: str = "text", at_column: int = 1, only: b
     """Matches of the text column; with ``only`` instead the rows that have none."""
 
     def run(batches):
-        it, cache = items.value, {}
-        lengths = sorted({min(it.k, n) for n in it.of_size})
+        it = items.value
         for batch in batches:
             for part in tx.slices(batch, text):
                 words, rows = words_of(part.column(at_column))
-                first = words.bounds(rows)
-                found = []
-                for length in lengths:
-                    grams = tx.windows(words.hash, length)
-                    hit = tx.lookup(it.known, grams)
-                    at = np.flatnonzero(hit >= 0)
-                    at = at[words.doc[at] == words.doc[at + length - 1]]
-                    if not len(at):
-                        continue
-                    doc = words.doc[at]
-                    # windows that reach a known shingle, by item size
-                    starts: dict[int, list] = defaultdict(list)
-                    for p, d, x in zip(at, doc, hit[at], strict=True):
-                        for n in it.sizes_of[x]:
-                            if min(it.k, n) != length:
-                                continue
-                            lo, hi = first[d], first[d + 1]
-                            if hi - lo <= n:
-                                starts[int(n)].append(np.array([lo]))
-                            else:
-                                starts[int(n)].append(np.arange(max(lo, p + length - n), min(p, hi - n) + 1))
-                    for n, some in starts.items():
-                        begin = np.unique(np.concatenate(some))
-                        end = np.minimum(begin + n, first[words.doc[begin] + 1])
-                        found += _windows(it, grams, begin, end - length + 1, n, cache, words.doc[begin], first, least)
+                found = [f for length in sorted(it.rare) for f in _found(it, words, words.bounds(rows), length, least)]
                 if found and only:
                     yield part.filter(pa.array(~np.isin(np.arange(rows), [f[0] for f in found])))
                 elif only:
@@ -187,21 +171,50 @@ def _search(items, least: float, text: str = "text", at_column: int = 1, only: b
     return run
 
 
-def _windows(it, grams, begin, end, size, cache, doc, first, least):
-    """Matches of windows grams[begin:end] with items of this size: the best window of each document and item."""
+def _found(it: Items, words: tx.Words, first: np.ndarray, length: int, least: float):
+    """Matches of items whose shingles have this length."""
+    grams = tx.windows(words.hash, length)
+    table, where, count, who = it.rare[length]
+    hit = table.find(grams)
+    at = np.flatnonzero(hit >= 0)
+    at = at[words.doc[at] == words.doc[at + length - 1]]
+    if not len(at):
+        return
+    item, _ = split.gather(who, where[hit[at]], count[hit[at]])
+    at = np.repeat(at, count[hit[at]])
+    size = it.size[item]
+    for n in np.unique(size).tolist():
+        here, own = at[size == n], np.unique(item[size == n])
+        # first words of the windows that reach a rare shingle, as few runs
+        lo, hi = first[words.doc[here]], first[words.doc[here] + 1]
+        a = np.where(hi - lo <= n, lo, np.maximum(lo, here + length - n))
+        b = np.where(hi - lo <= n, lo, np.minimum(here, hi - n))
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], np.maximum.accumulate(b[order])
+        cuts = np.flatnonzero(a[1:] > b[:-1] + 1) + 1
+        a, b = a[np.append(0, cuts)], b[np.append(cuts, len(b)) - 1]
+        begin, _ = split.gather(np.arange(len(words)), a, b - a + 1)
+        doc = words.doc[begin]
+        end = np.minimum(begin + n, first[doc + 1])
+        yield from _windows(it, grams, begin, end - length + 1, n, own, doc, first, least)
+
+
+def _windows(it, grams, begin, end, size, items, doc, first, least):
+    """Matches of windows grams[begin:end] with some items of this size: the best window of each document and item."""
     best: dict[tuple[int, int], tuple] = {}
-    for at in range(0, len(begin), 4096):
-        b, e = begin[at : at + 4096], end[at : at + 4096]
+    tables, step = it.tables(items), max(1, min(4096, PAIRS // len(items)))
+    for at in range(0, len(begin), step):
+        b, e = begin[at : at + step], end[at : at + step]
         # sums over each run of overlapping windows, so that a long text costs what its windows cost
         cuts = np.flatnonzero(b[1:] > np.maximum.accumulate(e)[:-1]) + 1
         prints = np.empty(len(b), np.uint64)
         for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(b)), strict=True):
             g = grams[b[lo] : e[lo:hi].max()]
-            known = tx.lookup(it.known, g)
+            known = it.at_known.find(g)
             w = np.where(known >= 0, it.rarity[known], it.other)
             sums = np.concatenate([np.zeros((1, BITS), np.float64), np.cumsum(signs(g) * w[:, None], axis=0, dtype=np.float64)])
             prints[lo:hi] = simhash(sums[e[lo:hi] - b[lo]] - sums[b[lo:hi] - b[lo]])
-        for w, i in zip(*it.candidates(prints, size, cache), strict=True):
+        for w, i in zip(*it.candidates(prints, tables), strict=True):
             s = it.similarity(grams[b[w] : e[w]], int(i))
             if s >= least:
                 d = int(doc[at + w])
@@ -211,24 +224,61 @@ def _windows(it, grams, begin, end, size, cache, doc, first, least):
     return [(d, i, m[1], m[2], m[3], -m[0]) for (d, i), m in best.items()]
 
 
-def sent_items(benchmark: DataFrame, shingle_words: int, item_col: str, item_text: str):
+def _spread(k: int):
+    """The different shingles of every item, and an empty one for the item itself: g."""
+
+    def run(batches):
+        for batch in batches:
+            found = item_shingles(batch.column(0).to_pylist(), k)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[2] for x in found]).view(np.int64)), pa.array(np.full(sum(len(x[2]) for x in found), 0, np.int32))], ["g", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(1, np.int64)), pa.array(np.array([len(found)], np.int32))], ["g", "items"])
+
+    return run
+
+
+def sent_items(benchmark: DataFrame, shingle_words: int, least: float, item_col: str, item_text: str) -> list:
+    """The items as one broadcast for each block."""
     spark = benchmark.sparkSession
     ship(spark)
-    got = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null").limit(MOST_ITEMS + 1).toArrow()
-    return spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words))
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null")
+    n = items.count()
+    if n <= MOST_ITEMS:
+        got = items.toArrow()
+        return [spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words, least))]
+    work = Scratch(spark, "decontam")
+    items = work.save(items.withColumn("row", F.monotonically_increasing_id()), "items")
+    counts = work.save(items.select("text").mapInArrow(_spread(shingle_words), "g long, items int").groupBy("g").agg(F.sum("items").alias("items"), F.count_if(F.col("items") == 0).alias("n")), "spread")
+    total = counts.agg(F.sum("items")).first()[0] or 0
+    blocks, out = -(-2 * n // MOST_ITEMS), []
+    # by a digest, with room for uneven blocks
+    block = F.pmod(F.xxhash64("row"), F.lit(blocks))
+    for b in range(blocks):
+        some = items.where(block == b)
+        got = some.toArrow()
+        own = some.select("text").mapInArrow(_spread(shingle_words), "g long, items int").where("items = 0").select("g").distinct()
+        spread = counts.join(F.broadcast(own), "g").where("n > 0").select("g", "n").toArrow()
+        g, count = spread["g"].to_numpy().view(np.uint64), spread["n"].to_numpy()
+        order = np.argsort(g)
+        out.append(spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words, least, (g[order], count[order]), total)))
+    return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle_words: int = 5, id_col="doc_id", text_col="text", item_col="item_id", item_text="text") -> DataFrame:
     """(id, item, first_word, n_words, distance, similarity): the best window of each document for each item it holds."""
-    items = sent_items(benchmark, shingle_words, item_col, item_text)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_search(items, similarity), "id long, item long, first_word long, n_words long, distance int, similarity double")
+    out = None
+    for items in sent_items(benchmark, shingle_words, similarity, item_col, item_text):
+        found = texts.mapInArrow(_search(items, similarity), "id long, item long, first_word long, n_words long, distance int, similarity double")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle_words: int = 5, text_col="text", item_col="item_id", item_text="text") -> DataFrame:
     """The rows of docs that hold no item, unchanged; in one pass without a shuffle."""
-    items = sent_items(benchmark, shingle_words, item_col, item_text)
-    return docs.mapInArrow(_search(items, similarity, text_col, docs.columns.index(text_col), only=True), docs.schema)
+    for items in sent_items(benchmark, shingle_words, similarity, item_col, item_text):
+        docs = docs.mapInArrow(_search(items, similarity, text_col, docs.columns.index(text_col), only=True), docs.schema)
+    return docs
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -241,13 +241,75 @@ def test_decontamination(spark):
 
 def test_block_tables_find_all_within_the_radius():
     rng = random.Random(5)
-    items = decontam.Items(list(range(40)), [prose(rng, 20, 3000) for _ in range(40)], 5)
+    items = decontam.Items(list(range(40)), [prose(rng, 20, 3000) for _ in range(40)], 5, 0.8)
     prints = np.array([int(items.print[rng.randrange(40)]) ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 26))) for _ in range(500)], np.uint64)
-    w, i = items.candidates(prints, 20, {})
+    w, i = items.candidates(prints, items.tables(np.arange(40)))
     want = {(a, b) for a in range(500) for b in range(40) if int(prints[a] ^ items.print[b]).bit_count() <= decontam.RADIUS}
     assert set(zip(w.tolist(), i.tolist(), strict=True)) == want
 
 
+def similar_windows(texts, items, least):
+    """Every (text, item) with a window of the item's words at least that similar, from the definition."""
+    words = lambda t: "".join(c for c in (t or "") if c not in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~").lower().split()
+    grams = lambda w: Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else Counter({tuple(w): 1})
+    own = {i: words(x) for i, x in enumerate(items) if words(x)}
+    spread = Counter(g for w in own.values() for g in grams(w))
+    weight = lambda g: 1 + np.log((1 + len(own)) / (1 + spread[g]))
+    out = {}
+    for d, t in enumerate(texts):
+        w = words(t)
+        for i, x in own.items():
+            if len(x) < 5 and len(w) >= len(x):
+                best = 1.0 if any(w[k : k + len(x)] == x for k in range(len(w) - len(x) + 1)) else 0.0
+            else:
+                best, y = 0.0, grams(x)
+                for k in range(max(1, len(w) - len(x) + 1)):
+                    z = grams(w[k : k + len(x)])
+                    low = sum(min(z[g], y[g]) * weight(g) for g in z)
+                    best = max(best, low / (sum(n * weight(g) for g, n in z.items()) + sum(n * weight(g) for g, n in y.items()) - low))
+            if best >= least:
+                out[d, i] = best
+    return out
+
+
+@pytest.mark.parametrize("most", [20_000, 4])
+def test_decontamination_matches_brute_force(spark, monkeypatch, most):
+    """In one block of items and in several; with ties, repeated rows and null ids."""
+    monkeypatch.setattr(decontam, "MOST_ITEMS", most)
+    rng = random.Random(40)
+    common = prose(rng, 12, 5000)
+    items = [f"{prose(rng, rng.randrange(8, 30), 5000)} {common if i % 3 == 0 else ''} {prose(rng, 10, 5000)}" for i in range(14)]
+    items += [items[0], None, "", "few words here", common]
+    texts = [*ODD]
+    for i, x in enumerate(items):
+        w = (x or "").split()
+        for _ in range(4):
+            edited = list(w)
+            for _ in range(rng.randrange(0, 3)):
+                if edited:
+                    edited[rng.randrange(len(edited))] = f"e{rng.randrange(9)}"
+            texts.append(" ".join([*prose(rng, rng.randrange(0, 40), 5000).split(), *edited, *prose(rng, rng.randrange(0, 40), 5000).split()]))
+    texts += [f"{items[2]} and {items[2]}", " ".join([items[4]] * 300), texts[-1]]
+    df = spark.createDataFrame([(None if i == 9 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, x, i) for i, x in enumerate(items)], "item_id long, text string, id long")
+    got = {(9 if r["id"] is None else r["id"], r["item"]): r["similarity"] for r in decontam.contaminated(df, bench).collect()}
+    want = similar_windows(texts, items, 0.8)
+    # SimHash may miss what is hardly similar enough
+    clear = {k for k, s in want.items() if s >= 0.85}
+    assert clear <= set(got) <= set(want) and len(set(want) - set(got)) <= 1 and len(clear) > 30
+    assert all(got[k] == pytest.approx(want[k], rel=1e-5) for k in got)
+    kept = sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in decontam.clean(df, bench).collect())
+    assert kept == sorted(-1 if i == 9 else i for i in range(len(texts)) if i not in {d for d, _ in got})
+
+
+def test_decontamination_of_a_very_long_text(spark):
+    rng = random.Random(41)
+    item = prose(rng, 40, 5000)
+    long = f"{prose(rng, 150_000, 5000)} {item} {prose(rng, 150_000, 5000)}"
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert [(r["id"], r["first_word"]) for r in decontam.contaminated(docs_of(spark, [long]), bench).collect()] == [(0, 150_000)]
+
+
 # 5: language
 
 
