@@ -7,9 +7,10 @@ it would reject without each of its rules, and what only that rule rejects: it a
 rows by their bits (at most 2^rules groups) and combines them by bitwise operations.
 
 Words are runs of characters other than space, tab, LF, VT, FF and CR. A word is repeated
-if it lies in a three-word window that the text holds twice or more. Windows are found by
-sorting 48-bit hashes with their places (40 and 24 bits from 65,536 words on) and comparing
-neighbours' words, so that a hash that two windows share counts for nothing.
+if it lies in a three-word window that the text holds twice or more. Sorting hashes with
+their places gives the windows whose hash another one has, a few of all; those are sorted
+again by their words, where equal ones are neighbours. So hashes save work and decide
+nothing.
 
 Everything is one narrow projection: no shuffle, no Python, whole texts.
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
+HASH = "xxhash64({})"
 #: name -> condition on the measurements under which a text fails; the order gives the bits
 RULES = {
     "few_words": "n_words < 50",
@@ -61,18 +63,15 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0).alias("lines"),
     )
     # each array is a column before an expression over its elements refers to it, so that it is made once
-    rows = rows.withColumn("shift", F.expr("case when size(words) < 65536 then 16 when size(words) < 16777216 then 24 else 31 end"))
-    rows = rows.withColumn(
-        "places", F.expr("sort_array(transform(slice(words, 1, greatest(size(words) - 2, 0)), (x, i) -> shiftleft(xxhash64(x, get(words, i + 1), get(words, i + 2)), shift) | cast(i as bigint)))")
-    )
-    rows = rows.withColumn("low", F.expr("shiftleft(1L, shift) - 1"))
-    same = (
-        "(shiftright(v, shift) = shiftright(get(places, {j}), shift)"
-        " and get(words, cast(v & low as int)) = get(words, cast(get(places, {j}) & low as int))"
-        " and get(words, cast(v & low as int) + 1) = get(words, cast(get(places, {j}) & low as int) + 1)"
-        " and get(words, cast(v & low as int) + 2) = get(words, cast(get(places, {j}) & low as int) + 2))"
-    )
-    rows = rows.withColumn("again", F.expr(f"sort_array(transform(filter(places, (v, i) -> {same.format(j='i - 1')} or {same.format(j='i + 1')}), v -> cast(v & low as int)))"))
+    # 33 bits of hash and 31 of place
+    window = "{w}, get(words, {p} + 1), get(words, {p} + 2)"
+    rows = rows.withColumn("places", F.expr(f"sort_array(transform(slice(words, 1, greatest(size(words) - 2, 0)), (x, i) -> shiftleft({HASH.format(window.format(w='x', p='i'))}, 31) | cast(i as bigint)))"))
+    same = "shiftright(v, 31) = shiftright(get(places, i {d} 1), 31)"
+    rows = rows.withColumn("maybe", F.expr(f"transform(filter(places, (v, i) -> {same.format(d='-')} or {same.format(d='+')}), v -> cast(v & 2147483647 as int))"))
+    # words hold no space, so windows that are equal are what begins alike up to the last space, and neighbours when sorted
+    rows = rows.withColumn("named", F.expr(f"sort_array(transform(maybe, p -> concat_ws(' ', {window.format(w='get(words, p)', p='p')}, lpad(p, 10, '0'))))"))
+    rows = rows.withColumn("named", F.expr("transform(named, x -> struct(substr(x, 1, length(x) - 10) as window, cast(substr(x, -10) as int) as place))"))
+    rows = rows.withColumn("again", F.expr("sort_array(transform(filter(named, (x, i) -> x.window = get(named, i - 1).window or x.window = get(named, i + 1).window), x -> x.place))"))
     covered = F.expr("aggregate(again, struct(0L as n, -3 as last), (acc, p) -> struct(acc.n + least(3, p - acc.last) as n, p as last)).n")
     text = F.col("text")
     return rows.select(

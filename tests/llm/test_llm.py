@@ -186,21 +186,31 @@ def test_codec_forgets_and_follows_other_patterns(monkeypatch):
 # 3: quality
 
 
-def test_quality_matches_brute_force(spark):
+@pytest.mark.parametrize("hashed", ["xxhash64({})", "length(concat({})) % 3"])
+def test_quality_matches_brute_force(spark, monkeypatch, hashed):
+    """Also with a hash that most windows share."""
+    monkeypatch.setattr(quality, "HASH", hashed)
     rng = random.Random(3)
-    texts = [*ODD, *("".join(rng.choice(["a ", "b ", "c ", "d\n", "#", "!", "É ", "\n", " \n"]) for _ in range(rng.randint(0, 150))) for _ in range(150))]
+    texts = [*ODD, "a a\x01 b a b c", "x y z " * 30, " ".join(f"w{k % 70_000}" for k in range(70_100)) if "xx" in hashed else "", *("".join(rng.choice(["a ", "b ", "c ", "d\n", "#", "!", "É ", "\n", " \n"]) for _ in range(rng.randint(0, 150))) for _ in range(150))]
     got = {r["id"]: r for r in quality.measured(docs_of(spark, texts)).collect()}
     for i, t in enumerate(texts):
         t = t or ""
         w = WORD.findall(t)
         wins = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
-        covered = {k + j for k, x in enumerate(wins) if wins.count(x) > 1 for j in range(3)}
+        many = Counter(wins)
+        covered = {k + j for k, x in enumerate(wins) if many[x] > 1 for j in range(3)}
         lines = [x for x in t.split("\n") if WORD.search(x)]
         want = (len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered))
         r = got[i]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
 
 
+def test_quality_cases(spark):
+    df = spark.createDataFrame([(None, "a b", 1), (2, "a b", 2), (2, "a b", 3)], "doc_id long, text string, words int")
+    assert sorted((r["id"] or -1, r["n_words"], r["fail_bits"]) for r in quality.ledger(df).collect()) == [(i, 2, quality.BITS["few_words"] | quality.BITS["word_length"]) for i in (-1, 2, 2)]
+    assert quality.ledger(df.limit(0)).count() == 0 and quality.ablation(quality.ledger(df.limit(0))).where("rejected > 0").count() == 0
+
+
 def test_ablation(spark):
     led = spark.createDataFrame([(0,), (1,), (1,), (3,), (4,)], "fail_bits long")
     got = {r["rule"]: r for r in quality.ablation(led, {"p": ("few_words", "repeated_words")}).collect()}
