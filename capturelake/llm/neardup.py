@@ -3,18 +3,20 @@
 Method. A document is the set of its distinct k-word shingles (64-bit hashes of
 words folded A-Z to a-z). Rows with equal sets form a class, so exact copies never meet
 in a pair. Each class has a number, the MinHash signature of its set, and one row
-whose text gives the set again; bands of the signature are buckets. The members of a bucket first meet its pivot only, the member that
-shares most buckets. Pairs are compared batch by batch of the signature and dropped
-as soon as the posterior probability of reaching the threshold falls under ``miss``;
-the survivors are verified on their full sets.
+whose text gives the set again; bands of the signature are buckets. The members of a bucket first meet two of them only, its
+pivot, the one that shares most buckets, and the one with the smallest id. Pairs are
+compared batch by batch of the signature and dropped as soon as the posterior probability
+of reaching the threshold falls under ``miss``; the survivors are verified on their full
+sets.
 
 Members of one pivot P that are then in different components still have to be told
 apart, without meeting all pairs of a large group. If A is not similar to P, a link
 of A and B needs |A & B| >= r (|A| + |B|) with r = t / (1 + t), while A & B holds at
 most |A & P| shingles of P. So either B is so small that |A & P| is enough, which its
 size tells (such pairs are taken from common buckets), or both share shingles that P lacks,
-at least as many as are wanting. Those pairs come from an index of such shingles, of which each A looks up only as many of
-its rarest as it must share one of (prefix filtering). Both leave out only pairs that the sizes refute or that share no bucket.
+at least as many as are wanting. Those pairs come from an index of such shingles, where each
+set has only as many of its rarest as it must share one of (prefix filtering). Both leave
+out only pairs that the sizes refute or that share no bucket.
 
 Bands find a pair of similarity s with probability 1 - (1 - s^rows)^bands: with
 25 bands of 5 rows 0.9999996 at 0.85 and 0.99995 at 0.8. There is no cap on
@@ -202,7 +204,7 @@ class NearDuplicates:
         # the least row of a class stands for it; equal texts of one id are the same row here
         classes = known.groupBy(*marks).agg(F.min(F.struct("id", "digest")).alias("rep"), F.min("sig").alias("sig"))
         classes = work.save(classes.select(F.monotonically_increasing_id().alias("class"), *marks, "rep.id", "rep.digest", "sig"), "classes")
-        sketches = classes.select(F.col("class").alias("id"), "sig")
+        sketches = classes.select(F.col("class").alias("id"), "sig", F.col("id").alias("doc"))
         member = known.select("id", *marks).join(classes.select("class", *marks), marks).groupBy("id").agg(F.min("class").alias("class"), F.max("class").alias("last"))
         member = work.save(member, "member")
         # an id with several sets joins the classes of all of them
@@ -210,12 +212,15 @@ class NearDuplicates:
         bridges = known.select("id", *marks).join(several, "id").join(classes.select(F.col("class").alias("b"), *marks), marks).where("a <> b").select("a", "b").distinct()
 
         keys = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(sig, b * {4 * ROWS} + 1, {4 * ROWS})))")
-        bands = sketches.select("id", F.explode(keys).alias("key"))
+        bands = sketches.select("id", "doc", F.explode(keys).alias("key"))
         sizes = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         bucket = work.save(bands.join(sizes, "key"), "bucket")
         central = bucket.groupBy("id").agg(F.sum("n").alias("central"))
-        pivots = bucket.join(central, "id").groupBy("key").agg(F.max_by("id", F.struct("central", -F.col("id"))).alias("pivot"))
-        keyed = work.save(bucket.select("key", "id").join(pivots, "key").where("id <> pivot"), "keyed")
+        pivots = bucket.join(central, "id").groupBy("key").agg(F.max_by("id", F.struct("central", -F.col("doc"), "id")).alias("pivot"), F.min_by("id", F.struct("doc", "id")).alias("other"))
+        keyed = work.save(bucket.select("key", "id").join(pivots, "key"), "keyed")
+        # the second centre saves pairs of members that hang together by it
+        tried = keyed.select("id", F.explode(F.array("pivot", "other")).alias("b")).where("id <> b").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+        keyed = keyed.where("id <> pivot").drop("other")
         stars = work.save(keyed.select("pivot", "id").distinct(), "stars")
 
         involved = classes.select("class", "id", "digest").join(bucket.select(F.col("id").alias("class")).distinct(), "class", "left_semi")
@@ -223,7 +228,6 @@ class NearDuplicates:
         texts = rows.join(involved, ["id", "digest"]).groupBy("class").agg(F.min("text").alias("text"))
         sets = work.save(texts.mapInArrow(_sets(self.k), "class long, shingles array<long>").withColumnRenamed("class", "id"), "sets")
 
-        tried = stars.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         links = work.save(self._verified(self._pairs(tried, sketches), sets).union(bridges), "links-1")
         comps = components(links, work, "comp-1")
         cross = self._across(stars, keyed, comps, sets)
@@ -264,10 +268,11 @@ class NearDuplicates:
             return None
         least = apart.groupBy("pivot").agg(F.min("n").alias("smallest"))
         p, q = self.percent, 100 + self.percent
-        minor = apart.where("apart").join(least, "pivot").select(
+        every = apart.join(least, "pivot").select(
             "pivot",
             "id",
             "comp",
+            "apart",
             "n",
             # the smallest partner, the largest one that needs no shingle beyond the pivot's, and the wanting shingles
             F.expr(f"greatest(smallest, cast(ceil({p} * n / 100) as int))").alias("lo"),
@@ -275,7 +280,8 @@ class NearDuplicates:
             "shared",
             "extra",
         )
-        minor = minor.withColumn("want", F.expr(f"greatest(1, cast(ceil({p} * (n + lo) / {q}) as int) - shared)"))
+        every = every.withColumn("want", F.expr(f"greatest(1, cast(ceil({p} * (n + lo) / {q}) as int) - shared)"))
+        minor = every.where("apart")
         small = minor.where("hi >= lo").select("pivot", F.col("id").alias("x"), F.col("comp").alias("cx"), "lo", "hi")
         others = apart.select("pivot", F.col("id").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
         # similar sets share a bucket, so those are paired and not all of a pivot
@@ -283,16 +289,16 @@ class NearDuplicates:
         others = others.join(small.select("pivot").distinct(), "pivot", "left_semi").join(keyed.select("pivot", F.col("id").alias("y"), "key"), ["pivot", "y"])
         by_size = small.join(others, (small["key"] == others["key"]) & F.col("ny").between(F.col("lo"), F.col("hi")) & (F.col("cx") != F.col("cy")))
 
-        index = apart.select("pivot", "id", "comp", F.explode("extra").alias("e"))
-        spread = index.groupBy("pivot", "e").agg(F.count("*").alias("df")).where("df > 1")
-        # how many of an A's shingles nobody shares follows from their number; those are its rarest
-        shared = minor.select("pivot", "id", "comp", "want", F.size("extra").alias("ne"), F.explode("extra").alias("e")).join(spread, ["pivot", "e"])
-        each = shared.groupBy("pivot", "id", "comp", "want", "ne").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("by_df"))
-        # with the last (want - 1) of all left out, one of the rest must be shared
-        prefix = each.select("pivot", F.col("id").alias("x"), F.col("comp").alias("cx"), F.explode(F.expr("slice(by_df, 1, greatest(0, size(by_df) - want + 1))")).alias("s"))
-        prefix = prefix.select("pivot", "x", "cx", F.col("s.e").alias("e"))
-        known = index.join(spread, ["pivot", "e"]).select("pivot", "e", F.col("id").alias("y"), F.col("comp").alias("cy"))
-        by_edit = prefix.join(known, ["pivot", "e"]).where("cx <> cy")
+        index = every.select("pivot", "id", "comp", "apart", "n", "want", F.explode("extra").alias("e"))
+        spread = index.groupBy("pivot", "e").agg(F.count("*").alias("df"), F.max("apart").alias("some")).where("df > 1 and some").drop("some")
+        # how many of a set's shingles nobody shares follows from their number; those are its rarest
+        each = index.join(spread, ["pivot", "e"]).groupBy("pivot", "id", "comp", "apart", "n", "want").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("by_df"))
+        # with the last (want - 1) of all left out on either side, one of the rest must be shared
+        prefix = each.select("pivot", "id", "comp", "apart", "n", F.explode(F.expr("slice(by_df, 1, greatest(0, size(by_df) - want + 1))")).alias("s"))
+        prefix = prefix.select("pivot", F.col("s.e").alias("e"), "id", "comp", "apart", "n")
+        one = prefix.where("apart").select("pivot", "e", F.col("id").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
+        two = prefix.select("pivot", "e", F.col("id").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
+        by_edit = one.join(two, ["pivot", "e"]).where(f"cx <> cy and 100 * ny >= {p} * nx and 100 * nx >= {p} * ny")
         both = by_size.select("x", "y").union(by_edit.select("x", "y"))
         return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
