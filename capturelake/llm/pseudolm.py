@@ -91,10 +91,10 @@ def _counts(batches):
                 u, first, n = np.unique(h, return_index=True, return_counts=True)
                 held.append((u, tail[first], n))
                 size += len(u)
-            if size > 1_000_000:
+            if size > 400_000:
                 held = [merged()]
                 size = len(held[0][0])
-                if size > 500_000:
+                if size > 200_000:
                     yield sent(held[0])
                     held, size = [], 0
     if held:
@@ -200,6 +200,16 @@ def _code(vocabulary):
 CODED = "row long, key long, id long, n_tokens long, base double, codes binary, lost array<long>"
 
 
+def portions(column, size: int = 1 << 17):
+    """(from, to) of consecutive rows with about that many tokens; a longer row is alone."""
+    offs = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(offs, offs[at] + 2 * size, "right")) - 1)
+        yield at, min(to, len(column))
+        at = to
+
+
 def leaves_of(column) -> tuple[np.ndarray, np.ndarray]:
     """Joined leaf numbers of a binary column and the bounds of its rows."""
     offs = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
@@ -399,8 +409,9 @@ def _train(weights):
                     if trainer:
                         total, tokens = total + trainer.finish(), tokens + trainer.tokens
                     trainer, now = Trainer(begin), shard[a]
-                leaf, bounds = leaves_of(batch.column(1).slice(a, b - a))
-                trainer.take(leaf, bounds)
+                rows = batch.column(1).slice(a, b - a)
+                for lo, hi in portions(rows):
+                    trainer.take(*leaves_of(rows.slice(lo, hi - lo)))
         if trainer:
             total, tokens = total + trainer.finish(), tokens + trainer.tokens
             parts = np.array_split(total, CHUNKS)
@@ -426,19 +437,15 @@ def _score(weights):
     def run(batches):
         p = shaped(weights.value)
         for batch in batches:
-            leaf, bounds = leaves_of(batch.column(3))
-            each = np.empty(len(leaf))
-            # rows together, but a bounded number of tokens with their neighbours at once
-            at = 0
-            while at < batch.num_rows:
-                to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + (1 << 18), "right")) - 1)
-                part = slice(bounds[at], bounds[to])
-                each[part] = log_probs(p, leaf[part], neighbours(leaf[part], bounds[at : to + 1] - bounds[at]))
-                at = to
-            sums = np.concatenate([[0.0], np.cumsum(each)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.diff(bounds)), pa.array(batch.column(2).to_numpy() + sums[bounds[1:]] - sums[bounds[:-1]])], ["row", "id", "n_tokens", "log_prob"]
-            )
+            tokens, scores = [], []
+            for lo, hi in portions(batch.column(3)):
+                leaf, bounds = leaves_of(batch.column(3).slice(lo, hi - lo))
+                sums = np.concatenate([[0.0], np.cumsum(log_probs(p, leaf, neighbours(leaf, bounds)))])
+                tokens.append(np.diff(bounds))
+                scores.append(sums[bounds[1:]] - sums[bounds[:-1]])
+            if tokens:
+                score = batch.column(2).to_numpy() + np.concatenate(scores)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(tokens)), pa.array(score)], ["row", "id", "n_tokens", "log_prob"])
 
     return run
 
