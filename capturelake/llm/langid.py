@@ -7,22 +7,24 @@ regularised-leader (proximal, per-coordinate rates) with L1 and L2 penalties, so
 are exactly zero. One temperature, fitted on a part of the sample that training has not
 seen, calibrates the softmax; the score is the probability of the predicted language.
 
-Bounds. Training uses at most ``per_lang`` rows a language (those of least hash of the id)
-and their features, at most 2^18 a row; every language with a labelled row is learnt. The
-model is one float32 table of 2^18 rows by languages. Prediction covers every row and whole
-texts, in pieces of about ``PIECE`` characters, so memory doesn't grow with a text.
+Bounds. Training uses about ``per_lang`` rows a language (those whose hash of the id is
+below the share that is wanted) and their features, at most 2^18 a row; every language with
+a labelled row is learnt. The model is one float32 table of 2^18 rows by languages, 1 MB a
+language and three times that while it is trained on the driver. Prediction covers every row
+and whole texts, folded in pieces of ``PIECE`` characters that share their edges, so that
+memory doesn't grow with a text and no n-gram is lost.
 
 Cases. Null texts and those without a letter get ``und`` and score 0. Rows without a
 language teach nothing. Without any labelled row all are ``und``. Ties go to the language
-that sorts first. Null ids never teach. Extra columns are ignored; empty tables give empty
-results.
+that sorts first. Null ids never teach; of repeated rows of an id and language the least text
+does. Extra columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.llm import text as tx
@@ -49,49 +51,51 @@ def _letters() -> np.ndarray:
 _LETTER = _letters()
 
 
-def folded(text: str) -> np.ndarray:
-    """Folded letters with single spaces between runs, and a space at both ends; empty without letters."""
+def _folded(text: str) -> np.ndarray:
+    """The folded letter or a space for each character."""
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     small = points < len(_LETTER)
     out = _LETTER[np.where(small, points, 0)]
     if not small.all():
         for at in np.flatnonzero(~small):
-            c = chr(points[at])
-            out[at] = points[at] if c.isalpha() else 32
-    keep = np.ones(len(out), bool)
-    keep[1:] = (out[1:] != 32) | (out[:-1] != 32)
-    out = out[keep]
-    if not (out != 32).any():
-        return out[:0]
-    out = out[1:] if out[0] == 32 else out
-    out = out[:-1] if out[-1] == 32 else out
-    return np.concatenate([[32], out, [32]]).astype(np.uint32)
-
-
-def grams(points: np.ndarray) -> np.ndarray:
-    """Hashed 1- to 3-grams, without the space alone."""
+            out[at] = points[at] if chr(points[at]).isalpha() else 32
+    return out
+
+
+def grams(points: np.ndarray, after: int = 0) -> np.ndarray:
+    """Hashed 1- to 3-grams that end at place ``after`` or later, without the space alone."""
     parts = []
     for n in range(1, ORDERS + 1):
-        m = len(points) - n + 1
+        some = points[max(0, after - n + 1) :]
+        m = len(some) - n + 1
         if m > 0:
             h = np.full(m, n * 0x27D4EB2F & 0xFFFFFFFF, np.uint32)
             for i in range(n):
-                h = (h ^ points[i : i + m]) * np.uint32(_MULT[i])
+                h = (h ^ some[i : i + m]) * np.uint32(_MULT[i])
                 h ^= h >> np.uint32(15)
-            parts.append((h[points != 32] if n == 1 else h) & np.uint32((1 << BITS) - 1))
+            parts.append((h[some != 32] if n == 1 else h) & np.uint32((1 << BITS) - 1))
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-def pieces(text: str):
-    """Cuts of a long text, at spaces where there are any."""
-    at = 0
-    while at < len(text):
-        to = at + PIECE
-        if to < len(text):
-            space = text.rfind(" ", at + 1, to)
-            to = space if space > at else to
-        yield text[at:to]
-        at = to
+def features(text: str | None):
+    """The n-grams of a text, whose letters have single spaces between runs and at both ends, piece by piece; nothing without letters."""
+    text = text or ""
+    # the last places of the piece before, of which the first is the space at the start
+    tail, blank = np.full(1, 32, np.uint32), True
+    for at in range(0, len(text), PIECE):
+        new = _folded(text[at : at + PIECE])
+        space = new == 32
+        keep = ~space
+        keep[1:] |= ~space[:-1]
+        keep[0] |= not blank
+        blank = bool(space[-1])
+        new = new[keep]
+        if len(new):
+            every = np.concatenate([tail, new])
+            yield grams(every, len(tail))
+            tail = every[-(ORDERS - 1) :]
+    if not blank:
+        yield grams(np.append(tail, np.uint32(32)), len(tail))
 
 
 def _counted(batches):
@@ -100,8 +104,8 @@ def _counted(batches):
         ids, langs, texts = (batch.column(i).to_pylist() for i in range(3))
         for i, lang, text in zip(ids, langs, texts, strict=True):
             n = np.zeros(1 << BITS, np.int32)
-            for part in pieces(text or ""):
-                n += np.bincount(grams(folded(part)), minlength=1 << BITS).astype(np.int32)
+            for g in features(text):
+                n += np.bincount(g, minlength=1 << BITS).astype(np.int32)
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i], pa.int64()), pa.array([lang]), pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([n[at]], pa.list_(pa.int32()))], ["id", "lang", "at", "n"]
@@ -173,11 +177,9 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         total, n = np.zeros(len(self.langs)), 0
-        for part in pieces(text or ""):
-            g = grams(folded(part))
-            if len(g):
-                total += self.table[g].sum(0, dtype=np.float64)
-                n += len(g)
+        for g in features(text):
+            total += self.table[g].sum(0, dtype=np.float64)
+            n += len(g)
         if not n:
             return "und", 0.0
         p = softmax(total / n)
@@ -206,11 +208,14 @@ class LanguageId:
         """teach: a condition on the column ``id`` for rows that may be learnt from."""
         work = Scratch(self.spark, "langid")
         rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-        marks = rows.where("id is not null and lang is not null and text is not null").where(teach).select("id", "lang")
-        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-        marks = marks.withColumn("place", place).where(F.col("place") <= self.per_lang).select("id", "lang").distinct()
-        # at most per_lang rows a language
-        sample = rows.join(F.broadcast(marks), ["id", "lang"]).select("id", "lang", "text")
+        taught = rows.where("id is not null and lang is not null and text is not null").where(teach)
+        # one row for each language
+        sizes = taught.groupBy("lang").agg(F.count_distinct("id").alias("n"))
+        share = F.lit(self.per_lang) / F.col("n")
+        place = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)
+        marks = taught.select("id", "lang").join(F.broadcast(sizes), "lang").where(place < share).select("id", "lang").distinct()
+        # about per_lang rows a language
+        sample = taught.join(F.broadcast(marks), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
         got = work.save(sample.mapInArrow(_counted, "id long, lang string, at array<int>, n array<int>"), "sample").toArrow().sort_by([("id", "ascending"), ("lang", "ascending")])
         work.drop("sample")
         langs = sorted(set(got["lang"].to_pylist()))

@@ -337,9 +337,33 @@ def test_language(spark):
     assert model.model.value.sparsity > 0.9
 
 
-def test_language_pieces_cover_long_texts(monkeypatch):
-    monkeypatch.setattr(langid, "PIECE", 10)
-    assert "".join(langid.pieces("abc def ghij klmnopqrstuvwxyz a")) == "abc def ghij klmnopqrstuvwxyz a"
+def test_language_cases(spark):
+    """Null and repeated ids, more rows than are wanted, rare languages, repeated rows."""
+    rng = random.Random(16)
+    rows = [(i, " ".join(rng.choice(["lolo", "lalo", "lula"]) for _ in range(9)), "aa") for i in range(400)]
+    rows += [(7, "krak krik", "bb"), (7, "krak krik", "bb"), (8, "trak krak", "bb"), (None, "zzz", "zz"), (9, None, "cc"), (10, "suse", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.LanguageId(spark, per_lang=50).fit(df, F.lit(True))
+    assert model.model.value.langs == ["aa", "bb"]
+    got = model.predict(df).collect()
+    assert len(got) == len(rows) and Counter(r["lang_pred"] for r in got)["und"] == 1
+    assert {r["lang_pred"] for r in got if r["id"] in (7, 8) and r["lang_pred"] != "aa"} == {"bb"}
+    long = {r["id"]: r["lang_pred"] for r in model.predict(docs_of(spark, ["krik trak " * 150_000, "lolo" * 400_000])).collect()}
+    assert long == {0: "bb", 1: "aa"}
+
+
+def test_language_features_do_not_depend_on_pieces(monkeypatch):
+    """With and without spaces at the cuts; every n-gram once."""
+    rng = random.Random(17)
+    texts = ["abc def ghij klmnopqrstuvwxyz a", "12", "  ", "x", "Straße, 日本 İx 𝔸b!!c ", *("".join(rng.choice("ab  1É日") for _ in range(rng.randrange(0, 60))) for _ in range(200))]
+    whole = [sorted(np.concatenate([*langid.features(t), np.zeros(0, np.uint32)]).tolist()) for t in texts]
+    for t, found in zip(texts, whole, strict=True):
+        s = " ".join("".join(c if c.isalpha() else " " for c in t).split())
+        n = len(s) + 2
+        assert len(found) == (len(s.replace(" ", "")) + n - 1 + n - 2 if s else 0)
+    for size in (1, 2, 3, 10):
+        monkeypatch.setattr(langid, "PIECE", size)
+        assert [sorted(np.concatenate([*langid.features(t), np.zeros(0, np.uint32)]).tolist()) for t in texts] == whole
 
 
 # 6: personal data
