@@ -399,9 +399,71 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(docs_of(spark, texts), key="other").where(F.col("id") == len(ODD)).first()["text"] != a
 
 
+def test_pseudonyms_link_all_ways_to_write_a_value(spark):
+    """Equal links and equal pseudonyms, whatever the separators; runs of groups; IPv6."""
+    texts = [
+        "4845168114407329 or 4845-1681-1440-7329 or 4845 1681 1440 7329",
+        "1999-12-31, 31.12.1999, 31/12/1999",
+        "+14155552671 +1 415 555 2671 (415) 555-2671 415-555-2671",
+        "+442071838750 +44 20 7183 8750",
+        "2001:db8::ff00:42:8329 2001:0DB8:0:0:0:ff00:0042:8329",
+        "a1@b.org A1@B.ORG",
+        "0000 4845 1681 1440 7329",
+        "4845 1681 1440 7329 4845 1681 1440 7329 1111",
+        "12:30:45 std::vector ab::cd 1:2:3 0000 0000 0000 0000",
+        "fe80::1. ::1:2 and the loopback ::1",
+    ]
+    df = spark.createDataFrame([(i, t, f"m{i}", f"d{i}", "k") for i, t in enumerate(texts)], "doc_id long, text string, matches string, done string, key string")
+    out = pii.pseudonymise(df, key="k1", keep=["matches", "done", "key"])
+    got = {r["id"]: r for r in out.collect()}
+    assert out.columns == ["id", "text", "found", "matches", "done", "key"] and got[3]["matches"] == "m3" and got[3]["key"] == "k"
+    for i, n in ((0, 3), (1, 3), (2, 4), (3, 2), (4, 2), (5, 2)):
+        assert len(got[i]["found"]) == n and len({f["link"] for f in got[i]["found"]}) == 1, i
+    plain = lambda x: re.sub("[^0-9]", "", x)
+    assert len({plain(f["now"]) for f in got[0]["found"]}) == 1
+    a, b, c = (f["now"] for f in got[1]["found"])
+    assert b == c.replace("/", ".") and a == "-".join(reversed(b.split(".")))
+    assert len({plain(f["now"])[-10:] for f in got[2]["found"]}) == 1 and got[2]["text"].startswith("+1") and "555" not in got[2]["text"][:12]
+    assert len({plain(f["now"]) for f in got[3]["found"]}) == 1 and got[3]["text"].startswith("+44")
+    assert len({f["now"] for f in got[4]["found"]}) == 1 and got[4]["found"][0]["now"].count(":") == 7 and "db8" not in got[4]["text"]
+    card = got[0]["text"].split()[0]
+    grouped = " ".join(card[k : k + 4] for k in range(0, 16, 4))
+    assert got[6]["text"] == f"0000 {grouped}" and got[6]["found"][0]["link"] == got[0]["found"][0]["link"]
+    assert got[7]["text"] == f"{grouped} {grouped} 1111" and len(got[7]["found"]) == 2
+    assert got[8]["text"] == texts[8] and got[8]["found"] == []
+    assert len(got[9]["found"]) == 2 and got[9]["text"].endswith(" and the loopback ::1")
+    plan = out._jdf.queryExecution().toString()
+    assert "k1" not in plan
+
+
+def test_key_comes_from_a_file_or_is_drawn(spark, tmp_path):
+    df = docs_of(spark, ["10.1.2.3"])
+    drawn = pii.pseudonymise(df).first()["text"]
+    assert drawn == pii.pseudonymise(df).first()["text"] != "10.1.2.3"
+    (tmp_path / "key").write_text("from a file\n")
+    spark.conf.set("spark.capturelake.pii.keyPath", str(tmp_path / "key"))
+    try:
+        assert pii.pseudonymise(df).first()["text"] == pii.pseudonymise(df, key="from a file").first()["text"] != drawn
+    finally:
+        spark.conf.unset("spark.capturelake.pii.keyPath")
+
+
+def test_addresses_of_128_bits_are_permuted_one_to_one(spark):
+    df = spark.createDataFrame([(i, f"2001:db8::{i:x}:{i:x}") for i in range(1, 200)], "doc_id long, text string")
+    new = [r["text"] for r in pii.pseudonymise(df).collect()]
+    assert len(set(new)) == 199 and all(len(x.split(":")) == 8 for x in new)
+
+
+def test_pseudonyms_of_very_long_and_no_texts(spark):
+    long = " ".join(["w 4845168114407329"] * 30_000)
+    (r,) = pii.pseudonymise(docs_of(spark, [long])).collect()
+    assert len(r["found"]) == 30_000 and len(r["text"]) == len(long) and "4845168114407329" not in r["text"]
+    assert pii.pseudonymise(docs_of(spark, [])).count() == 0
+
+
 def test_feistel_is_a_permutation(spark):
     n = 7 * 11
-    df = spark.range(n).select(pii.feistel("k", "x", F.floor(F.col("id") / 11), F.col("id") % 11, F.lit(7), F.lit(11)).alias("p"))
+    df = spark.range(n).select(pii.feistel(F.lit("k"), "x", F.floor(F.col("id") / 11), F.col("id") % 11, F.lit(7), F.lit(11)).alias("p"))
     assert len({tuple(r["p"]) for r in df.collect()}) == n
 
 
