@@ -10,9 +10,11 @@ as-of join. Of the entries active for one capture the most specific decides, tha
 longest host, then the longest path; if none is active the capture is allowed.
 
 A pattern's intervals are one sorted array, so a key joins at most one row and a hot host
-makes no more rows than captures have keys. Lists whose measured size is at most
-``SMALL`` entries are broadcast; longer ones are joined by shuffled keys, where captures are
-first reduced to the distinct (key, fetch time), so that a hot host is not a hot key of rows.
+makes no more rows than captures have keys. The intervals are written once. Lists of at most
+``SMALL`` patterns are broadcast; longer ones are joined by shuffled keys, where captures are
+first reduced to the distinct (key, fetch time) and every key is dealt to ``SALTS`` tasks by
+its times, so that a hot host or ``com`` is not one task. A capture has keys only as deep as
+some pattern is, so long urls cost no more.
 
 Cases. Entries with a null or empty pattern, an unknown action or a null date are left out.
 Entries of one pattern at one time: block wins over allow, allow over lift. Captures with a
@@ -26,8 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from capturelake.scratch import Scratch
+
 SMALL = 50_000
-MOST_LABELS, MOST_SEGMENTS = 127, 64
+SALTS = 32
 
 
 def host(url: Column) -> Column:
@@ -40,9 +44,15 @@ def path(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-def keys(url: Column) -> Column:
-    """Patterns that cover a url: array<struct<key, host_length, path_length>>."""
-    labels, parts = F.split(host(url), r"\."), F.filter(F.split(path(url), "/"), lambda x: x != "")
+def _parts(of_path: Column) -> Column:
+    return F.filter(F.split(of_path, "/"), lambda x: x != "")
+
+
+def keys(url: Column, most_labels: int, most_parts: int) -> Column:
+    """Patterns of at most so many labels and path parts that cover a url: array<struct<key, host_length, path_length>>."""
+    labels = F.split(host(url), r"\.")
+    labels = F.slice(labels, F.greatest(F.size(labels) - most_labels + 1, F.lit(1)), most_labels)
+    parts = F.slice(_parts(path(url)), 1, most_parts)
     hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     paths = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.when(i == 0, "").otherwise(F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/"))))
     every = F.flatten(
@@ -69,15 +79,18 @@ def _active(spans: Column, at: Column) -> Column:
 def judge(captures: DataFrame, entries: DataFrame, id_col="page_id", url_col="url", time_col="fetched_at") -> DataFrame:
     """(id, blocked, pattern, since) for every capture; pattern and since of the entry that decides, if any."""
     rows = captures.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(time_col).cast("timestamp_ntz").alias("at"))
-    spans = intervals(entries)
-    n = entries.limit(SMALL + 1).count()
+    spans = Scratch(captures.sparkSession, "urlfilter").save(intervals(entries), "spans")
+    labels = F.size(F.split(F.substring_index("key", "/", 1), r"\."))
+    n, most_labels, most_parts = spans.agg(F.count("*"), F.coalesce(F.max(labels), F.lit(1)), F.coalesce(F.max(F.size(_parts(F.col("key"))) - 1), F.lit(0))).first()
     # one row for each distinct url and time carries the keys
     wanted = rows.where("url is not null and at is not null").select("url", "at").distinct()
-    wanted = wanted.select("url", "at", F.explode(keys(F.col("url"))).alias("k")).select("url", "at", "k.*")
+    wanted = wanted.select("url", "at", F.explode(keys(F.col("url"), max(most_labels, 1), max(most_parts, 0))).alias("k")).select("url", "at", "k.*")
     if n <= SMALL:
         met = wanted.join(F.broadcast(spans), "key").select("url", "at", "key", "host_length", "path_length", _active(F.col("spans"), F.col("at")).alias("span"))
     else:
-        found = wanted.select("key", "at").distinct().join(spans, "key").select("key", "at", _active(F.col("spans"), F.col("at")).alias("span")).where("span is not null")
+        salted = spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        asked = wanted.select("key", "at", F.pmod(F.xxhash64("at"), F.lit(SALTS)).cast("int").alias("salt")).distinct()
+        found = asked.join(salted, ["key", "salt"]).select("key", "at", _active(F.col("spans"), F.col("at")).alias("span")).where("span is not null")
         met = wanted.join(found, ["key", "at"])
     met = met.where("span.action in ('block', 'allow')")
     best = met.groupBy("url", "at").agg(F.max_by(F.struct("key", "span"), F.struct("host_length", "path_length")).alias("best"))
@@ -92,15 +105,14 @@ def dated_list(pages: DataFrame) -> DataFrame:
     """
     h, first = host(F.col("url")), F.regexp_extract(F.col("url"), r"^[a-z]+://[^/?#]*(/[^/?#]+)", 1)
     domain = F.regexp_extract(h, r"([^.]+\.[^.]+)$", 1)
-    every = pages.select(h.alias("pattern")).union(pages.select(F.concat(h, first))).union(pages.select(domain)).where("pattern is not null and pattern <> ''").distinct()
+    every = pages.select(F.explode(F.array(h, F.concat(h, first), domain)).alias("pattern")).where("pattern is not null and pattern <> ''").distinct()
     digit = lambda i: F.conv(F.substr(F.md5("pattern"), F.lit(i), F.lit(2)), 16, 10).cast("int")
     day = lambda n: F.expr("timestamp_ntz'2024-01-01 00:00:00'") + F.make_dt_interval(days=n)
-    chosen = every.where(digit(1) % 4 == 0)
-    return (
-        chosen.select("pattern", F.when(digit(3) % 3 == 0, "allow").otherwise("block").alias("action"), day(digit(5)).alias("at"))
-        .union(chosen.select("pattern", F.lit("lift").alias("action"), day(digit(5) + 1 + digit(7) % 60).alias("at")))
-        .union(chosen.where(digit(9) % 2 == 0).select("pattern", F.lit("block").alias("action"), day(digit(5) + 100).alias("at")))
-    )
+    dated = lambda action, n: F.struct(action.alias("action"), day(n).alias("at"))
+    first = dated(F.when(digit(3) % 3 == 0, "allow").otherwise("block"), digit(5))
+    again = F.when(digit(9) % 2 == 0, dated(F.lit("block"), digit(5) + 100))
+    chosen = every.where(digit(1) % 4 == 0).select("pattern", F.explode(F.array(first, dated(F.lit("lift"), digit(5) + 1 + digit(7) % 60), again)).alias("x"))
+    return chosen.where("x is not null").select("pattern", "x.action", "x.at")
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -502,6 +502,21 @@ def test_url_filters_match_brute_force(spark):
         assert got == {i: want(u, t) for i, u, t in caps}
 
 
+def test_url_filter_cases(spark):
+    """Empty tables, repeated captures and entries, extra columns, deep paths; both ways to join."""
+    day = datetime.datetime(2024, 1, 1)
+    deep = "http://a.b.c.example.org/" + "/".join(["p"] * 3000)
+    caps = spark.createDataFrame([(1, deep, day, "k"), (1, deep, day, "k"), (None, "http://EXAMPLE.org./p", day, "k"), (3, "http://org/x", day, "k"), (4, "", day, "k")], "page_id long, url string, fetched_at timestamp_ntz, key string")
+    listed = spark.createDataFrame([("example.org/p/p/", "block", day), ("example.org/p/p/", "block", day), ("org", "allow", day)], "pattern string, action string, at timestamp_ntz")
+    for small in (urlfilter.SMALL, 0):
+        urlfilter.SMALL, old = small, urlfilter.SMALL
+        got = sorted((r["id"] or -1, r["blocked"], r["pattern"]) for r in urlfilter.judge(caps, listed).collect())
+        none = urlfilter.judge(caps, listed.limit(0)).where("blocked or pattern is not null").count()
+        empty = urlfilter.judge(caps.limit(0), listed).count()
+        urlfilter.SMALL = old
+        assert got == [(-1, False, "org"), (1, True, "example.org/p/p"), (1, True, "example.org/p/p"), (3, False, "org"), (4, False, None)] and none == empty == 0
+
+
 # 8: toxicity
 
 
