@@ -23,7 +23,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("args", nargs="*")
     p.add_argument("-i", "--extraid", default="", help="appended to ids")
     p.add_argument("-f", "--field", action="append", default=[], help="NAME=V1,V2")
-    a = p.parse_args(argv)
+    p.add_argument("-q", "--quiet", action="store_true", help="print nothing")
+    a = p.parse_intermixed_args(argv)
 
     from pyspark.sql import SparkSession
 
@@ -36,7 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     names = arguments(a.args)
     if a.verb == "parse":
         for r in archive.parse(names).collect():
-            print(r["arcname"], r["status"], r["n_records"], sep="\t")
+            if not a.quiet:
+                print(r["arcname"], r["status"], r["n_records"], sep="\t")
     elif a.verb == "index":
         archive.index(names, a.extraid, fields(a.field))
     elif a.verb == "remove":
@@ -47,7 +49,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         found = {n: archive.is_parsed(n) for n in names}
         for n, yes in found.items():
-            print(n, str(yes).lower(), sep="\t")
+            if not a.quiet:
+                print(n, str(yes).lower(), sep="\t")
         return 0 if all(found.values()) else 1
     return 0
 

@@ -1,18 +1,26 @@
 """The archive service: parse, index, remove, set fields and search over versioned tables.
 
 Tables live under one folder of any store that Spark reaches. Parsed records are partitioned by archive, so
-parsing an archive again or deleting its parse touches its partition alone. The index is written as a new
-version and becomes current when a pointer names it; a failure before that changes nothing, and readers keep
-the version they opened. One writer at a time holds a lock file.
+parsing an archive again or deleting its parse touches its partition alone.
+
+The index is a list of parts, each a folder with docs and occurrences. Indexing archives adds a part with the
+documents that are new and the occurrences of all; removing archives or setting fields writes again only the
+parts that hold something of them. A version names its parts in a manifest that is written once, under the next
+number; readers take the highest number and keep the version they opened. A failure before the manifest is in
+place changes nothing, and nothing is ever without a current version. One writer at a time holds a lock file;
+a lock older than ``lock_seconds`` is taken to be left by a writer that died. ``compact`` joins parts.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +28,8 @@ from pyspark.sql import functions as F
 from capturelake.config import Config
 from capturelake.functions import urls
 from capturelake.operators import captures, parse, search
-from capturelake.schema import PARSE_LOG
+from capturelake.schema import PARSE_LOG, PARSED_RECORD
+from capturelake.scratch import Scratch
 from capturelake.sources.webarchive import locations, name_of
 
 
@@ -55,7 +64,7 @@ def wrapped(kind: type[ArchiveError]):
         yield
     except ArchiveError:
         raise
-    except (PySparkException, OSError) as e:
+    except (PySparkException, Py4JJavaError, OSError) as e:
         raise kind(str(e)) from e
 
 
@@ -89,17 +98,25 @@ class Archive:
 
     @contextmanager
     def lock(self):
-        """One writer: creating the lock file fails while another has it."""
-        from py4j.protocol import Py4JJavaError
-
+        """One writer: creating the lock file fails while another has it, unless that one is older than ``lock_seconds``."""
+        path = self.fs_path(f"{self.base}/_lock")
+        own = uuid.uuid4().hex
         try:
-            self._write_text("_lock", uuid.uuid4().hex, overwrite=False)
+            self._write_text("_lock", own, overwrite=False)
         except Py4JJavaError as e:
-            raise IndexError_("another writer holds the lock") from e
+            try:
+                age = time.time() - self._fs().getFileStatus(path).getModificationTime() / 1000
+            except Py4JJavaError:
+                age = 0.0
+            if age < self.config.lock_seconds:
+                raise IndexError_("another writer holds the lock") from e
+            self._fs().delete(path, False)
+            self._write_text("_lock", own, overwrite=False)
         try:
             yield
         finally:
-            self._fs().delete(self.fs_path(f"{self.base}/_lock"), False)
+            if self._read_text("_lock") == own:
+                self._fs().delete(path, False)
 
     # parses
 
@@ -120,56 +137,103 @@ class Archive:
             new = [r.path for r in parse.unparsed(requested, self._log()).collect()]
             if not new:
                 return self.spark.createDataFrame([], PARSE_LOG)
-            raw = parse.read_archives(self.spark, ",".join(new), self.config.parse_mode)
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            parsed = parse.parse(raw, self.config.strict_mime)
-            parsed.write.mode("overwrite").partitionBy("filename").parquet(f"{self.base}/parsed")
-            written = self._parsed().where(F.col("filename").isin([name_of(x) for x in new]))
-            log = parse.parse_log(requested.where(F.col("path").isin(new)), raw.select("filename", "rec_seq", "error"), written)
-            self._append_log(log)
-            return self._log().where(F.col("arcname").isin([name_of(x) for x in new]))
-
-    def _parsed(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/parsed").withColumn("filename", F.col("filename").cast("string"))
+            raw = parse.read_archives(self.spark, ",".join(new), self.config.parse_mode, status=200)
+            # read once: what the log needs is written with the records
+            parsed = parse.parse(raw, self.config.strict_mime, damage=True)
+            parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("filename").parquet(f"{self.base}/parsed")
+            names = self.spark.createDataFrame([(name_of(x),) for x in new], "arcname string")
+            written = self._parsed([name_of(x) for x in new])
+            self._append_log(parse.parse_log(requested.join(F.broadcast(names), "arcname", "left_semi"), written))
+            return self._log().join(F.broadcast(names), "arcname", "left_semi")
+
+    def _folder(self, arcname: str) -> str:
+        return f"parsed/filename={self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(arcname)}"
+
+    def _parsed(self, arcnames: Sequence[str]) -> DataFrame:
+        """What parsing wrote of some archives, from their folders alone."""
+        folders = [f for f in map(self._folder, arcnames) if self._exists(f)]
+        if not folders:
+            return self.spark.createDataFrame([], PARSED_RECORD + ", rec_seq bigint, error string")
+        rows = self.spark.read.option("basePath", f"{self.base}/parsed").parquet(*[f"{self.base}/{f}" for f in folders])
+        return rows.withColumn("filename", F.col("filename").cast("string"))
 
     def is_parsed(self, arcname: str) -> bool:
         return not self._log().where((F.col("arcname") == arcname) & F.col("status").isin("ok", "empty")).isEmpty()
 
+    def is_readable(self, arcname: str) -> bool:
+        """Whether an archive is parsed and gave records, all or those before damage."""
+        return not self._log().where((F.col("arcname") == arcname) & (F.col("status") != "failed")).isEmpty()
+
     def delete_parse(self, arcname: str) -> None:
         """Forgets a parse; nothing happens if there is none."""
         found = self._log().where(F.col("arcname") == arcname)
         if not found.isEmpty():
             self._append_log(found.select("arcname", "path", F.lit("deleted").alias("status"), F.lit(0).cast("long").alias("n_records"), F.lit(None).cast("string").alias("error")))
-            self._fs().delete(self.fs_path(f"{self.base}/parsed/filename={arcname}"), True)
+            self._fs().delete(self.fs_path(f"{self.base}/{self._folder(arcname)}"), True)
 
     # index
 
-    def _version(self) -> str | None:
-        return self._read_text("_current")
+    def _versions(self) -> list[str]:
+        """The names of the manifests, oldest first."""
+        if not self._exists("_versions"):
+            return []
+        names = [str(f.getPath().getName()) for f in self._fs().listStatus(self.fs_path(f"{self.base}/_versions"))]
+        return sorted(n for n in names if n.endswith(".json"))
 
-    def index_tables(self) -> tuple[DataFrame, DataFrame] | None:
-        version = self._version()
-        if version is None:
-            return None
-        return tuple(self.spark.read.parquet(f"{self.base}/index/{version}/{t}") for t in ("docs", "occurrences"))
+    def _parts(self) -> list[dict] | None:
+        """The parts of the current version: name, and the archives that occur in it."""
+        found = self._versions()
+        return json.loads(self._read_text(f"_versions/{found[-1]}")) if found else None
 
-    def _commit(self, docs: DataFrame, occurrences: DataFrame) -> None:
-        version = f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-        docs.write.parquet(f"{self.base}/index/{version}/docs")
-        occurrences.write.parquet(f"{self.base}/index/{version}/occurrences")
+    def _retried(self, step):
         for left in range(self.config.commit_retries, -1, -1):
             try:
-                self._write_text("_next", version)
-                fs = self._fs()
-                fs.delete(self.fs_path(f"{self.base}/_current"), False)
-                if not fs.rename(self.fs_path(f"{self.base}/_next"), self.fs_path(f"{self.base}/_current")):
-                    raise OSError("the pointer can't be moved")
-                return
-            except OSError:
+                return step()
+            except (Py4JJavaError, OSError):
                 if not left:
                     raise
                 time.sleep(self.config.retry_seconds)
 
+    def _commit(self, parts: list[dict]) -> None:
+        found = self._versions()
+        number = int(found[-1].partition(".")[0]) + 1 if found else 1
+        name, draft = f"_versions/{number:012d}.json", f"_versions/draft-{uuid.uuid4().hex}"
+
+        def place() -> None:
+            self._write_text(draft, json.dumps(parts))
+            if self._exists(name):
+                raise IndexError_("another writer was faster")
+            if not self._fs().rename(self.fs_path(f"{self.base}/{draft}"), self.fs_path(f"{self.base}/{name}")):
+                raise OSError("the manifest can't be moved")
+
+        self._retried(place)
+
+    def _write_part(self, docs: DataFrame, occurrences: DataFrame) -> dict | None:
+        """A new part; None if it has neither documents nor occurrences."""
+        name = f"p{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        docs.write.parquet(f"{self.base}/index/{name}/docs")
+        occurrences.write.parquet(f"{self.base}/index/{name}/occurrences")
+        again = self._part({"name": name})
+        arcs = sorted(r["arcname"] for r in again[1].select("arcname").distinct().collect())
+        return {"name": name, "arcs": arcs} if arcs or not again[0].isEmpty() else None
+
+    def _part(self, part: dict) -> tuple[DataFrame, DataFrame]:
+        return tuple(self.spark.read.parquet(f"{self.base}/index/{part['name']}/{t}") for t in ("docs", "occurrences"))
+
+    def _tables(self, parts: list[dict]) -> tuple[DataFrame, DataFrame]:
+        """The union of parts; fields that a part lacks are null."""
+        docs, occurrences = zip(*map(self._part, parts), strict=True)
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), docs), reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), occurrences)
+
+    def index_tables(self) -> tuple[DataFrame, DataFrame] | None:
+        parts = self._parts()
+        if parts is None:
+            return None
+        if not parts:
+            empty = captures.merge(captures.project(self.spark.createDataFrame([], PARSED_RECORD)))
+            return empty
+        return self._tables(parts)
+
     def index(self, arcnames: Sequence[str], extra_id: str = "", extra_fields: Mapping[str, Sequence[str]] | None = None) -> None:
         """Adds the parsed records of archives, in their order, to the index."""
         with wrapped(IndexError_), self.lock():
@@ -182,29 +246,82 @@ class Archive:
             full = [a for a in arcnames if status[a][1]]
             if not full:
                 return
-            order = F.create_map(*[F.lit(x) for i, a in enumerate(full) for x in (a, i)])
             base = time.time_ns()
-            records = self._parsed().where(F.col("filename").isin(*full)).withColumn("ingest_seq", F.lit(base).cast("long") + order[F.col("filename")])
-            more = captures.project(records, extra_id, extra_fields)
-            now = self.index_tables()
-            self._commit(*(captures.merge(more) if now is None else captures.add(*now, more)))
+            order = self.spark.createDataFrame([(a, base + i) for i, a in enumerate(full)], "filename string, ingest_seq long")
+            # one row for each archive of the call
+            records = self._parsed(full).where("url is not null").join(F.broadcast(order), "filename")
+            docs, occurrences = captures.merge(captures.project(records, extra_id, extra_fields))
+            parts = self._parts()
+            if not parts:
+                self._commit([p for p in [self._write_part(docs, occurrences)] if p])
+                return
+            work = Scratch(self.spark, "index")
+            docs, occurrences = work.save(docs, "docs"), work.save(occurrences, "occurrences")
+            old_docs, old_occurrences = self._tables(parts)
+            known = old_docs.join(docs.select("id"), "id", "left_semi").select("id", F.length("content").alias("size"))
+            known = work.save(known, "known")
+            fresh = occurrences.join(old_occurrences.select("id", "arcname"), ["id", "arcname"], "left_anti")
+            part = self._write_part(docs.join(known.select("id"), "id", "left_anti"), fresh)
+            # a known document without content takes the first that there is
+            fill = docs.where("content <> ''").join(known.where("coalesce(size, 0) = 0").select("id"), "id", "left_semi").select("id", F.col("content").alias("__content"))
+            fill = work.save(fill, "fill")
+            if not fill.isEmpty():
+                parts = self._changed(parts, fill.select("id"), lambda d: d.join(fill, "id", "left").withColumn("content", F.coalesce("__content", "content")).drop("__content"))
+            self._commit([*parts, *[p for p in [part] if p]])
+            work.drop("docs", "occurrences", "known", "fill")
+
+    def _changed(self, parts: list[dict], ids: DataFrame, change) -> list[dict]:
+        """The parts, where those with documents of these ids are written again with change(docs)."""
+        out = []
+        for part in parts:
+            docs, occurrences = self._part(part)
+            if docs.join(ids, "id", "left_semi").isEmpty():
+                out.append(part)
+            else:
+                new = self._write_part(change(docs), occurrences)
+                out += [new] if new else []
+        return out
 
     def remove(self, arcnames: Sequence[str]) -> None:
         """Takes archives out of the index."""
         with wrapped(IndexError_), self.lock():
-            now = self.index_tables()
-            if now is not None:
-                self._commit(*captures.remove(*now, list(arcnames)))
+            parts, gone = self._parts() or [], set(arcnames)
+            if not any(gone & set(p["arcs"]) for p in parts):
+                return
+            work = Scratch(self.spark, "remove")
+            listed = self.spark.createDataFrame([(a,) for a in sorted(gone)], "arcname string")
+            _, occurrences = self._tables(parts)
+            hit = occurrences.join(F.broadcast(listed), "arcname", "left_semi").select("id").distinct()
+            left = occurrences.join(F.broadcast(listed), "arcname", "left_anti").select("id")
+            dead = work.save(hit.join(left, "id", "left_anti"), "dead")
+            out = []
+            for part in parts:
+                docs, own = self._part(part)
+                if gone & set(part["arcs"]) or not docs.join(dead, "id", "left_semi").isEmpty():
+                    part = self._write_part(docs.join(dead, "id", "left_anti"), own.join(F.broadcast(listed), "arcname", "left_anti"))
+                out += [part] if part else []
+            self._commit(out)
+            work.drop("dead")
 
     def set_fields(self, query: str, fields: Mapping[str, Sequence[str]]) -> None:
         """Sets fields of the documents that a query matches."""
         with wrapped(IndexError_), self.lock():
-            now = self.index_tables()
-            if now is not None:
-                docs, occurrences = now
-                ids = search.search(captures.view(docs, occurrences), query).select("id").withColumn("__hit", F.lit(True))
-                hit = docs.join(ids, "id", "left")
-                self._commit(captures.set_fields(hit, F.col("__hit").isNotNull(), fields).drop("__hit"), occurrences)
+            parts = self._parts()
+            if parts:
+                work = Scratch(self.spark, "fields")
+                ids = work.save(search.search(self.documents(), query).select("id"), "ids")
+                mark = ids.withColumn("__hit", F.lit(True))
+                parts = self._changed(parts, ids, lambda d: captures.set_fields(d.join(mark, "id", "left"), F.col("__hit").isNotNull(), fields).drop("__hit"))
+                self._commit(parts)
+                work.drop("ids")
+
+    def compact(self, parts: int = 1) -> None:
+        """Writes the whole index as so many parts, of which small ones are joined in order."""
+        with wrapped(IndexError_), self.lock():
+            now = self._parts() or []
+            if len(now) > parts:
+                kept, rest = now[: parts - 1], now[parts - 1 :]
+                self._commit([*kept, *[p for p in [self._write_part(*self._tables(rest))] if p]])
 
     def documents(self) -> DataFrame:
         now = self.index_tables()

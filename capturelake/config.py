@@ -15,6 +15,7 @@ class Config:
     strict_mime: bool = True
     commit_retries: int = 10
     retry_seconds: float = 1.0
+    lock_seconds: float = 3600.0
     docs_per_page: int = 10_000
     ids_per_page: int = 100_000
 

@@ -1,9 +1,11 @@
-"""Language detection by naive Bayes over character 1- to 3-grams, with profiles trained from labelled text."""
+"""Language detection by naive Bayes over character 1- to 3-grams, with profiles trained from labelled text.
+
+An n-gram is one number, 21 bits for each character, so counting and scoring are array operations over whole texts.
+"""
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -12,43 +14,72 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _OTHER = re.compile(r"[^\w]|[\d_]")
+_BITS = 21
 
 
-def grams(text: str) -> list[str]:
-    """All 1- to 3-grams of the letters of a text, with single spaces between words and at the ends."""
+def grams(text: str) -> np.ndarray:
+    """All 1- to 3-grams of the letters of a text, with single spaces between words and at the ends; none without letters."""
     words = " ".join(_OTHER.sub(" ", text.lower()).split())
-    s = f" {words} "
-    return [g for n in (1, 2, 3) for i in range(len(s) - n + 1) if (g := s[i : i + n]) != " "] if words else []
+    if not words:
+        return np.zeros(0, np.int64)
+    c = np.frombuffer(f" {words} ".encode("utf-32-le", "replace"), "<u4").astype(np.int64)
+    two = (c[:-1] << _BITS) | c[1:]
+    return np.concatenate([c[c != 32], two, (two[:-1] << _BITS) | c[2:]])
+
+
+def number(gram: str) -> int:
+    """The number of an n-gram."""
+    out = 0
+    for c in gram:
+        out = (out << _BITS) | ord(c)
+    return out
+
+
+def shown(code: int) -> str:
+    """The n-gram of a number."""
+    out = ""
+    while code:
+        out, code = chr(code & ((1 << _BITS) - 1)) + out, code >> _BITS
+    return out
 
 
 def _counts(batches):
     """Partial counts of a task's n-grams: lang, g, n."""
-    held: dict[str, Counter] = {}
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = 0
+
+    def merged(parts):
+        g, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        u, at = np.unique(g, return_inverse=True)
+        return u, np.bincount(at, n, len(u)).astype(np.int64)
 
     def sent():
-        rows = [(lang, g, n) for lang, own in held.items() for g, n in own.items()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", "g", "n"])
+        for lang, parts in held.items():
+            g, n = merged(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(n)], ["lang", "g", "n"])
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if text is not None:
-                found = grams(text)
-                if found:
-                    held.setdefault(lang, Counter()).update(found)
-        if sum(map(len, held.values())) > 500_000:
-            yield sent()
-            held.clear()
-    if held:
-        yield sent()
+            found = grams(text or "")
+            if len(found):
+                held.setdefault(lang, []).append(np.unique(found, return_counts=True))
+                size += len(held[lang][-1][0])
+        if size > 1_000_000:
+            held = {lang: [merged(parts)] for lang, parts in held.items()}
+            size = sum(len(parts[0][0]) for parts in held.values())
+            if size > 500_000:
+                yield from sent()
+                held, size = {}, 0
+    yield from sent()
 
 
 def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, dict[str, float]]:
     """Log-probabilities of all n-grams of each language, counted over all labelled documents."""
     labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counts = labelled.mapInArrow(_counts, "lang string, g string, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
+    counts = labelled.mapInArrow(_counts, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
     out: dict[str, dict[str, float]] = {}
     for r in counts.collect():
-        out.setdefault(r["lang"], {})[r["g"]] = r["n"]
+        out.setdefault(r["lang"], {})[shown(r["g"])] = r["n"]
     for lang, own in out.items():
         total = sum(own.values())
         out[lang] = {g: float(np.log(n / total)) for g, n in own.items()}
@@ -56,15 +87,15 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 
 
 def detector(known: dict[str, dict[str, float]]):
-    """A UDF: the language of a text; null for null, empty for text without letters."""
+    """A UDF: the language of a text; null for null, empty for text without letters. Ties go to the first language."""
     langs = sorted(known)
-    places = {g: i for i, g in enumerate(sorted({g for p in known.values() for g in p}))}
+    codes = np.array(sorted({number(g) for p in known.values() for g in p}), np.int64)
     # an n-gram that a language doesn't have is rarer than any that it has
     unseen = min([-16.0, *(v - np.log(2) for p in known.values() for v in p.values())])
-    table = np.full((len(places) + 1, len(langs)), unseen, np.float32)
+    table = np.full((len(codes), len(langs)), unseen)
     for j, lang in enumerate(langs):
-        for g, v in known[lang].items():
-            table[places[g], j] = v
+        own = known[lang]
+        table[np.searchsorted(codes, [number(g) for g in own]), j] = list(own.values())
 
     @F.pandas_udf("string")
     def detect(texts: pd.Series) -> pd.Series:
@@ -72,10 +103,11 @@ def detector(known: dict[str, dict[str, float]]):
             if t is None:
                 return None
             found = grams(t)
-            if not found or not langs:
+            if not len(found) or not langs:
                 return ""
-            at = [places.get(g, -1) for g in found]
-            return langs[int(np.argmax(table[[a for a in at if a >= 0]].sum(0)))]
+            at = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
+            at = at[codes[at] == found]
+            return langs[int(np.argmax(table[at].sum(0)))] if len(at) else ""
 
         return texts.map(one)
 

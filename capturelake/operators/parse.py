@@ -10,20 +10,23 @@ from capturelake.operators import html as page
 from capturelake.sources.webarchive import WebArchive
 
 
-def read_archives(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
+def read_archives(spark: SparkSession, path: str, mode: str = "PERMISSIVE", status: int | None = None) -> DataFrame:
+    """Records of archives, with a status only those that have it and the rows of damage."""
     spark.dataSource.register(WebArchive)
     # the source takes filters on file names and statuses
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("webarchive").option("mode", mode).load(path)
+    reader = spark.read.format("webarchive").option("mode", mode).option("maxBytes", page.MOST_BYTES)
+    return (reader if status is None else reader.option("status", status)).load(path)
 
 
-def parse(raw: DataFrame, strict_mime: bool = True) -> DataFrame:
-    """PARSED_RECORD and rec_seq of the HTTP responses with status 200.
+def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False) -> DataFrame:
+    """PARSED_RECORD, rec_seq and error of the HTTP responses with status 200.
 
-    Bodies over 5,000,000 bytes and those that can't be read keep their row without text. A missing digest is
-    computed. Revisits of WARC files are marked, the mark of ARC records is null.
+    Bodies over 5,000,000 bytes and those that can't be read keep their row without text; error says why HTML
+    could not be read. A missing digest is computed. Revisits of WARC files are marked, the mark of ARC records
+    is null. With ``damage`` the rows that stand for damaged archives stay too, without a url.
     """
-    rows = raw.where("is_http and status = 200")
+    rows = raw.where("is_http and status = 200 or error is not null" if damage else "is_http and status = 200")
     # the record's own length guards the text, as a body is part of it
     small = F.when(F.col("length") <= page.MOST_BYTES, F.col("payload"))
     supplied = mime.force_parse(F.col("headers")["content-type"], strict_mime)
@@ -48,14 +51,17 @@ def parse(raw: DataFrame, strict_mime: bool = True) -> DataFrame:
         F.when(F.col("format") == "arc", None).otherwise(F.col("warc_type") == "revisit").alias("isRevisit"),
         page.outlinks(F.col("targets")).alias("outlinks"),
         "rec_seq",
+        F.coalesce("error", "page.error").alias("error"),
     )
 
 
-def parse_log(requested: DataFrame, raw: DataFrame, parsed: DataFrame) -> DataFrame:
-    """PARSE_LOG of the requested (arcname, path): ok, empty, truncated or failed."""
-    found = parsed.groupBy(F.col("filename").alias("arcname")).agg(F.count("*").alias("n"))
-    read = raw.groupBy(F.col("filename").alias("arcname")).agg(F.max("error").alias("error"), F.max("rec_seq").alias("last"))
-    rows = requested.join(found, "arcname", "left").join(read, "arcname", "left")
+def parse_log(requested: DataFrame, parsed: DataFrame) -> DataFrame:
+    """PARSE_LOG of the requested (arcname, path): ok, empty, truncated or failed; parsed has the rows of damage."""
+    damaged = F.col("url").isNull() & F.col("error").isNotNull()
+    found = parsed.groupBy(F.col("filename").alias("arcname")).agg(
+        F.count_if(~damaged).alias("n"), F.max(F.when(damaged, F.col("error"))).alias("error"), F.max(F.when(damaged, F.col("rec_seq"))).alias("last")
+    )
+    rows = requested.join(found, "arcname", "left")
     n = F.coalesce("n", F.lit(0))
     status = F.when(F.col("error").isNotNull(), F.when(F.coalesce("last", F.lit(0)) > 0, "truncated").otherwise("failed")).when(n > 0, "ok").otherwise("empty")
     return rows.select("arcname", "path", status.alias("status"), n.alias("n_records"), "error")

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.functions import dates, mime, text, urls
-from capturelake.operators import captures, facets, graph, html, lang, relevance, search
+from capturelake.operators import captures, facets, graph, html, lang, parse, relevance, search
+from capturelake.scratch import Scratch
+from capturelake.sources import export
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -304,11 +306,11 @@ def fp_date_codec(spark, sf_dir):
     return rows.select("event_id", "code", F.col("back.fp").alias("back_fp"), F.unix_seconds("back.date").alias("back_seconds"))
 
 
-@query(
-    "digest_base32",
-    """select page_id, list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([15, 10, 5, 0],
-         lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha1(html), cast(i * 5 + 1 as integer), 5))::integer >> s) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '') as digest from pages""",
-)
+_BASE32 = """list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([15, 10, 5, 0],
+         lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha1(html), cast(i * 5 + 1 as integer), 5))::integer >> s) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '')"""
+
+
+@query("digest_base32", f"select page_id, {_BASE32} as digest from pages")
 def digest_base32(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.payload_digest(F.col("html").cast("binary")).alias("digest"))
 
@@ -492,6 +494,36 @@ def extract_outlinks(spark, sf_dir):
     return rows.select("page_id", F.size("targets").cast("bigint").alias("n_links"), F.size("fps").cast("bigint").alias("n_targets"), F.element_at("fps", 1).alias("least_fp"))
 
 
+@query(
+    "parse_archives",
+    rf"""with p as (
+      select page_id, url, html, replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&') as title,
+             {_BASE32} as digest from pages
+    ), {_LINKS}, n as (select page_id, count(distinct {canonical_sql("target")}) as n_outlinks from l group by page_id)
+    select concat('crawl-', cast(page_id % 4 as varchar), '.warc.gz') as filename, url, digest,
+           timestamp '2023-11-14 22:13:20' + to_seconds(page_id) as date, title, 'text/html' as mediatype, 'html' as mediagroup, coalesce(n_outlinks, 0) as n_outlinks
+    from p left join n using (page_id)""",
+)
+def parse_archives(spark, sf_dir):
+    """Pages written as archives, read back by the archive source and parsed: only what the files hold is used."""
+    pages = captures_page(spark, sf_dir)
+    work = Scratch(spark, "archives")
+    # each page has a copy that was not found, which parsing leaves out
+    rows = pages.select("filename", "url", F.timestamp_seconds(F.lit(1700000000) + F.col("rec_seq")).alias("date"), F.explode(F.array(F.lit(200), F.lit(404))).alias("status"), F.col("content_type"), F.encode("html", "UTF-8").alias("payload"), "rec_seq")
+    files = sorted(r["filename"] for r in export.write_warcs(rows, work.path("files")).collect())
+    parsed = parse.parse(parse.read_archives(spark, ",".join(f"{work.path('files')}/{f}" for f in files), "FAILFAST", status=200))
+    return parsed.select(
+        "filename",
+        "url",
+        "digest",
+        F.col("date").cast("timestamp_ntz").alias("date"),
+        "title",
+        F.concat_ws("/", "detectedContentType.top", "detectedContentType.sub").alias("mediatype"),
+        mime.group(F.col("detectedContentType")).alias("mediagroup"),
+        F.size("outlinks").cast("bigint").alias("n_outlinks"),
+    )
+
+
 @query("html_text")
 def html_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html.extract("html")["text"].alias("content"))
@@ -620,7 +652,21 @@ def more_like_this(spark, sf_dir):
     return relevance.more_like(counts, 3).select("id", F.round("score", 6).alias("score"))
 
 
-@query("lang_detect")
+@query(
+    "lang_detect",
+    r"""with t as (
+      select row_number() over () as rid, doc_id, lang, text, string_split(' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ', '') as c from documents
+    ), x as (
+      select rid, lang, unnest(list_concat(c, list_transform(range(1, len(c)), lambda i: c[i] || c[i + 1]), list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2]))) as g from t where len(c) > 2
+    ), g as (select rid, lang, g, count(*) as n from x where g <> ' ' group by all),
+    p as (select lang, g, ln(sum(n) / sum(sum(n)) over (partition by lang)) as v from g where lang is not null group by lang, g),
+    u as (select least(-16, min(v) - ln(2)) as u from p),
+    k as (select distinct g from p), l as (select distinct lang from p),
+    d as (select rid, sum(n) as total from g join k using (g) group by rid),
+    m as (select rid, p.lang, sum(n * (v - u)) as more from g join p using (g), u group by rid, p.lang),
+    r as (select d.rid, l.lang as detected, row_number() over (partition by d.rid order by total * u + coalesce(more, 0) desc, l.lang) as place from d cross join l cross join u left join m on m.rid = d.rid and m.lang = l.lang)
+    select doc_id, lang, case when text is not null then coalesce(detected, '') end as detected from t left join r on r.rid = t.rid and place = 1""",
+)
 def lang_detect(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", "lang", lang.detector(lang.profiles(d))("text").alias("detected"))

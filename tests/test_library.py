@@ -13,7 +13,7 @@ from capturelake.api import Archive, IndexError_, UnparsedError
 from capturelake.config import Config, fields
 from capturelake.functions import dates, mime, text, urls
 from capturelake.operators import captures, html, parse, search
-from capturelake.sources import records, webarchive
+from capturelake.sources import export, records, webarchive
 from tests import archives
 
 
@@ -88,13 +88,13 @@ def test_arc_and_warc_agree(spark, tmp_path):
     (tmp_path / "not.warc.gz").write_bytes(b"something else")
     raw = parse.read_archives(spark, str(tmp_path)).cache()
     assert raw.where("filename = 'a.warc.gz'").count() == 5
-    got = parse.parse(raw).drop("rec_seq", "isRevisit")
+    got = parse.parse(raw).drop("rec_seq", "isRevisit", "error")
     a, w = (sorted(map(tuple, got.where(F.col("filename") == n).drop("filename", "length").collect()), key=str) for n in ("a.arc.gz", "a.warc.gz"))
     assert a == w and len(a) == 3
     first = got.where("filename = 'a.arc.gz' and title = 'T'").first()
     assert first["content"] == "hello b" and len(first["outlinks"]) == 1
     requested = spark.createDataFrame([(n, n) for n in ("a.arc.gz", "a.warc.gz", "empty.warc.gz", "cut.warc.gz", "not.warc.gz")], "arcname string, path string")
-    log = {r["arcname"]: (r["status"], r["n_records"]) for r in parse.parse_log(requested, raw, got).collect()}
+    log = {r["arcname"]: (r["status"], r["n_records"]) for r in parse.parse_log(requested, parse.parse(raw, damage=True)).collect()}
     assert log == {"a.arc.gz": ("ok", 3), "a.warc.gz": ("ok", 3), "empty.warc.gz": ("empty", 0), "cut.warc.gz": ("truncated", 2), "not.warc.gz": ("failed", 0)}
     with pytest.raises(Exception, match="."):
         parse.read_archives(spark, str(tmp_path / "not.warc.gz"), "FAILFAST").count()
@@ -152,6 +152,156 @@ def test_merge_and_unmerge(spark, tmp_path):
     assert not archive.is_parsed("A.warc.gz")
 
 
+@pytest.fixture
+def crawls(spark, tmp_path):
+    """An archive service with two parsed crawls that share a page."""
+    for name, pages in (("A.warc.gz", ["one", "shared"]), ("B.warc.gz", ["shared", "two"])):
+        (tmp_path / name).write_bytes(archives.warc([(f"http://example.org/{p}", "20080430204825", archives.http(200, "text/html", f"<body>{p} text".encode())) for p in pages]))
+    archive = Archive(spark, Config(str(tmp_path / "base"), retry_seconds=0.0))
+    archive.parse([str(tmp_path / "A.warc.gz"), str(tmp_path / "B.warc.gz")])
+    return archive
+
+
+def urls_of(archive):
+    return sorted(r["url"].rpartition("/")[2] for r in archive.documents().collect())
+
+
+def test_a_failure_before_the_manifest_changes_nothing(crawls, monkeypatch):
+    crawls.index(["A.warc.gz"])
+    with monkeypatch.context() as m:
+        m.setattr(Archive, "_commit", lambda self, parts: (_ for _ in ()).throw(OSError("the driver dies here")))
+        for change in (lambda: crawls.index(["B.warc.gz"]), lambda: crawls.remove(["A.warc.gz"]), lambda: crawls.set_fields("*:*", {"tag": ["x"]})):
+            with pytest.raises(IndexError_, match="dies"):
+                change()
+            assert urls_of(crawls) == ["one", "shared"]
+    opened = crawls.documents()
+    crawls.index(["B.warc.gz"])
+    assert urls_of(crawls) == ["one", "shared", "two"] and opened.count() == 2
+
+
+def test_commits_are_tried_again_and_java_errors_are_wrapped(crawls, monkeypatch):
+    failed = []
+    write = Archive._write_text
+
+    def flaky(self, name, text, overwrite=True):
+        if name.startswith("_versions") and len(failed) < 3:
+            failed.append(name)
+            self._fs().open(self.fs_path(f"{self.base}/nowhere"))  # an error of the store
+        write(self, name, text, overwrite)
+
+    monkeypatch.setattr(Archive, "_write_text", flaky)
+    crawls.index(["A.warc.gz"])
+    assert len(failed) == 3 and urls_of(crawls) == ["one", "shared"]
+    monkeypatch.setattr(Archive, "_write_text", lambda self, name, *a, **k: self._fs().open(self.fs_path(f"{self.base}/nowhere")) if "draft" in name else write(self, name, *a, **k))
+    with pytest.raises(IndexError_):
+        crawls.index(["B.warc.gz"])
+
+
+def test_an_old_lock_is_taken_over(crawls, spark):
+    crawls._write_text("_lock", "of a dead writer")
+    with pytest.raises(IndexError_, match="lock"):
+        crawls.index(["A.warc.gz"])
+    Archive(spark, Config(crawls.base, lock_seconds=0.0)).index(["A.warc.gz"])
+    assert urls_of(crawls) == ["one", "shared"] and not crawls._exists("_lock")
+
+
+def test_changes_write_only_the_parts_they_touch(crawls):
+    crawls.index(["A.warc.gz"])
+    crawls.index(["B.warc.gz"])
+    first, second = (p["name"] for p in crawls._parts())
+    crawls.set_fields('url:"http://example.org/two"', {"tag": ["t"]})
+    assert crawls._parts()[0]["name"] == first and crawls._parts()[1]["name"] != second
+    assert crawls.search("tag:t").count() == 1
+    crawls.remove(["B.warc.gz"])
+    assert [p["name"] for p in crawls._parts()] == [first] and urls_of(crawls) == ["one", "shared"]
+    crawls.index(["B.warc.gz"])
+    crawls.compact()
+    assert len(crawls._parts()) == 1 and urls_of(crawls) == ["one", "shared", "two"]
+    assert sorted(len(r["arcname"]) for r in crawls.documents().collect()) == [1, 1, 2]
+    crawls.remove(["A.warc.gz", "B.warc.gz"])
+    assert crawls.documents().count() == 0
+    crawls.index(["A.warc.gz"])
+    assert urls_of(crawls) == ["one", "shared"]
+
+
+def test_long_bodies_are_read_through(tmp_path):
+    big = b"x" * 3_000_000
+    page = archives.http(200, "text/plain", big)
+    (tmp_path / "a.warc.gz").write_bytes(archives.warc([("http://h/big", "20080430204825", page), ("http://h/small", "20080430204826", archives.http(200, "text/plain", b"s"))]))
+    rows = list(webarchive.records(str(tmp_path / "a.warc.gz"), most=1_000_000))
+    want = base64.b32encode(hashlib.sha1(big).digest()).decode()
+    assert [(r[3], r[10], r[12], r[13]) for r in rows] == [("http://h/big", 200, want, None), ("http://h/small", 200, None, b"s")]
+    (tmp_path / "b.warc.gz").write_bytes(archives.warc([("http://h/a", "20080430204825", archives.http(200, "text/html", b"x"))], digest={"http://h/a": "not a digest"}))
+    assert next(webarchive.records(str(tmp_path / "b.warc.gz")))[12] is None
+
+
+def test_other_stores_and_zip_entries(tmp_path):
+    import zipfile
+
+    data = archives.warc(RECORDS)
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
+        z.writestr("in/a.warc.gz", data)
+    for place in (f"file://{tmp_path}/a.warc.gz", f"jar:file://{tmp_path}/z.zip!/in/a.warc.gz"):
+        assert webarchive.locations(place)[0].endswith("a.warc.gz") and len(list(webarchive.records(webarchive.locations(place)[0]))) == 5
+    assert list(webarchive.records("mock://nowhere/a.warc.gz"))[0][-1]
+
+
+def test_exported_captures_are_read_back(spark, tmp_path):
+    rows = [(f"f{i % 3}.warc.gz", f"http://h/{i}", datetime.datetime(2020, 1, 1, 0, 0, i), 200, "text/plain", b"p%d" % i if i else None, i) for i in range(20)]
+    df = spark.createDataFrame(rows, "filename string, url string, date timestamp, status int, content_type string, payload binary, rec_seq long")
+    n = {r["filename"]: r["n_records"] for r in export.write_warcs(df, f"file://{tmp_path}/out").collect()}
+    assert n == {"f0.warc.gz": 7, "f1.warc.gz": 7, "f2.warc.gz": 6}
+    back = parse.read_archives(spark, f"{tmp_path}/out", "FAILFAST").collect()
+    assert sorted((r["filename"], r["url"], r["date"], bytes(r["payload"]), r["rec_seq"]) for r in back) == sorted((f, u, d, p or b"", i // 3) for f, u, d, _, _, p, i in rows)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from capturelake.__main__ import main
+
+    (tmp_path / "A.warc.gz").write_bytes(archives.warc(RECORDS))
+    (tmp_path / "list").write_text(f"{tmp_path}/A.warc.gz\n")
+    base = str(tmp_path / "base")
+    assert main([base, "parse", str(tmp_path / "list")]) == 0 and "A.warc.gz\tok\t3" in capsys.readouterr().out
+    assert main([base, "isparsed", "A.warc.gz"]) == 0 and main([base, "isparsed", "B.warc.gz"]) == 1
+    assert main([base, "index", "-i", "x", "-f", "job=j1", "A.warc.gz"]) == 0
+    assert main([base, "set-fields", "job:j1", "tag=a,b"]) == 0
+    found = Archive(spark, base).search("tag:b")
+    assert found.count() == 3 and all(r["id"].endswith(".x") for r in found.collect())
+    assert main([base, "remove", "A.warc.gz"]) == 0 and main([base, "deleteparse", "A.warc.gz"]) == 0
+    assert main([base, "isparsed", "A.warc.gz"]) == 1
+
+
+def test_streaming_ingest_goes_on_after_a_bad_archive(spark, tmp_path):
+    from capturelake.streaming import ingest
+
+    (tmp_path / "A.warc.gz").write_bytes(archives.warc(RECORDS))
+    (tmp_path / "bad.warc.gz").write_bytes(b"something else")
+    (tmp_path / "lists").mkdir()
+    archive = Archive(spark, str(tmp_path / "base"))
+
+    def arrive(name, lines):
+        (tmp_path / "lists" / name).write_text("\n".join(str(tmp_path / x) for x in lines))
+        ingest.watch(spark, archive, str(tmp_path / "lists"), str(tmp_path / "checkpoint")).awaitTermination()
+
+    arrive("1.txt", ["A.warc.gz", "bad.warc.gz"])
+    assert archive.documents().count() == 3
+    (tmp_path / "B.warc.gz").write_bytes(archives.warc(RECORDS[:1]))
+    arrive("2.txt", ["B.warc.gz", "A.warc.gz"])
+    assert sorted(len(r["arcname"]) for r in archive.documents().collect()) == [1, 1, 2]
+
+
+def test_streamed_repeats_are_left_out(spark, tmp_path):
+    from capturelake.streaming import ingest
+
+    rows = [("i", "A", datetime.datetime(2020, 1, 1)), ("i", "A", datetime.datetime(2020, 1, 1, 1)), ("i", "B", datetime.datetime(2020, 1, 1)), ("j", "A", datetime.datetime(2020, 1, 1))]
+    spark.createDataFrame(rows, "id string, arcname string, date timestamp").write.parquet(f"{tmp_path}/in")
+    stream = ingest.distinct_captures(spark.readStream.schema("id string, arcname string, date timestamp").parquet(f"{tmp_path}/in"))
+    q = stream.writeStream.format("memory").queryName("distinct_captures").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/c").start()
+    q.awaitTermination()
+    assert sorted(tuple(r)[:2] for r in spark.table("distinct_captures").collect()) == [("i", "A"), ("i", "B"), ("j", "A")]
+
+
 def test_content_is_the_first_that_is_not_empty(spark):
     rows = [("i", "A", 0, None), ("i", "B", 0, ""), ("i", "C", 0, "text"), ("i", "C", 1, "later"), ("j", "A", 1, None)]
     docs, occurrences = captures.merge(spark.createDataFrame(rows, "id string, arcname string, rec_seq long, content string"))
