@@ -3,7 +3,7 @@
 Tables live under one folder of any store that Spark reaches. Parsed records are partitioned by archive, so
 parsing an archive again or deleting its parse touches its partition alone.
 
-The index is a list of parts, each a folder with docs and occurrences. Indexing archives adds a part with the
+The index is a list of parts, each a folder with docs, occurrences and the inverted index of the docs' texts. Indexing archives adds a part with the
 documents that are new and the occurrences of all; removing archives or setting fields writes again only the
 parts that hold something of them. A version names its parts in a manifest that is written once, under the next
 number; readers take the highest number and keep the version they opened. A failure before the manifest is in
@@ -213,7 +213,9 @@ class Archive:
         name = f"p{time.time_ns()}-{uuid.uuid4().hex[:8]}"
         docs.write.parquet(f"{self.base}/index/{name}/docs")
         occurrences.write.parquet(f"{self.base}/index/{name}/occurrences")
+        # terms of the written documents, so that nothing is computed twice
         again = self._part({"name": name})
+        search.inverted(again[0]).write.parquet(f"{self.base}/index/{name}/terms")
         arcs = sorted(r["arcname"] for r in again[1].select("arcname").distinct().collect())
         return {"name": name, "arcs": arcs} if arcs or not again[0].isEmpty() else None
 
@@ -309,7 +311,7 @@ class Archive:
             parts = self._parts()
             if parts:
                 work = Scratch(self.spark, "fields")
-                ids = work.save(search.search(self.documents(), query).select("id"), "ids")
+                ids = work.save(self.search(query).select("id"), "ids")
                 mark = ids.withColumn("__hit", F.lit(True))
                 parts = self._changed(parts, ids, lambda d: captures.set_fields(d.join(mark, "id", "left"), F.col("__hit").isNotNull(), fields).drop("__hit"))
                 self._commit(parts)
@@ -330,7 +332,12 @@ class Archive:
         return captures.view(*now)
 
     def search(self, query: str) -> DataFrame:
-        return search.search(self.documents(), query)
+        """Documents that a query matches; text clauses read the inverted index."""
+        parts = self._parts()
+        if not parts:
+            return search.search(self.documents(), query)
+        terms = self.spark.read.parquet(*[f"{self.base}/index/{p['name']}/terms" for p in parts])
+        return search.search_indexed(captures.view(*self._tables(parts)), terms, query)
 
     def get(self, url: str) -> DataFrame:
         """The documents of a URL in any form."""

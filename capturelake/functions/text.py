@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,3 +152,78 @@ def stem(word: str, protected: frozenset[str] = frozenset(PROTECTED)) -> str:
 def stem_terms(terms: pd.Series) -> pd.Series:
     """The distinct stems of arrays of terms, in order; null stays null."""
     return terms.map(lambda ts: None if ts is None else list(dict.fromkeys(stem(t) for t in ts)))
+
+
+_GAP = regex.compile(r"[^\p{L}\p{N}]+")
+_EDGES = (regex.compile(r"(?<=\p{Ll})(?=\p{Lu})"), regex.compile(r"(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})"))
+
+
+def positions(value: str | None, stop_words: tuple[str, ...] = STOP_WORDS, stemmed: bool = True) -> list[tuple[str, int]]:
+    """The whole chain on one text: (term, position), in order.
+
+    Each part of a word has a position; joined parts stand at the last one. Stop words leave their position free.
+    A term stands at a position once.
+    """
+    out, at = [], 0
+    for word in re.split(r"[ \t\n\x0b\f\r]+", value or ""):
+        if not word:
+            continue
+        if word.lower() in stop_words:
+            at += 1
+            continue
+        pieces = [p for q in _GAP.split(word) if q for p in _EDGES[1].sub(" ", _EDGES[0].sub(" ", q)).split(" ")]
+        here = [(p, at + i) for i, p in enumerate(pieces)]
+        for some in ([p for p in pieces if p[0].isalpha()], [p for p in pieces if not p[0].isalpha()]):
+            if len(some) > 1:
+                here.append(("".join(some), at + len(pieces) - 1))
+        at += max(1, len(pieces))
+        out += here
+    terms = [(stem(t.lower()) if stemmed else t.lower(), p) for t, p in out]
+    return list(dict.fromkeys(terms))
+
+
+POSTING = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("positions", T.ArrayType(T.IntegerType()))]))
+
+
+@F.pandas_udf(POSTING)
+def postings(texts: pd.Series) -> pd.Series:
+    """The terms of each text with their positions."""
+
+    def one(value):
+        found: dict[str, list[int]] = {}
+        for t, p in positions(value):
+            found.setdefault(t, []).append(p)
+        return [{"term": t, "positions": p} for t, p in found.items()]
+
+    return texts.map(one)
+
+
+def query_terms(value: str) -> list[tuple[int, list[str]]]:
+    """The terms of a query by position from the first one: alternatives at each."""
+    found: dict[int, list[str]] = {}
+    for t, p in positions(value):
+        found.setdefault(p, []).append(t)
+    first = min(found, default=0)
+    return [(p - first, ts) for p, ts in sorted(found.items())]
+
+
+def matches(value: str, phrase: bool):
+    """A UDF: whether a text has any term of a query, or all of them in their places."""
+    wanted = query_terms(value)
+
+    def hit(t) -> bool:
+        if t is None or not wanted:
+            return False
+        found: dict[str, set[int]] = {}
+        for term, p in positions(t):
+            found.setdefault(term, set()).add(p)
+        places = [(d, set().union(*(found.get(x, set()) for x in ts))) for d, ts in wanted]
+        if not phrase:
+            return any(p for _, p in places)
+        return any(all(at + d in p for d, p in places) for at in places[0][1])
+
+    @F.pandas_udf("boolean")
+    def found(texts: pd.Series) -> pd.Series:
+        return texts.map(hit)
+
+    return found

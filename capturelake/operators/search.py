@@ -2,8 +2,11 @@
 
 Grammar: ``*:*``, ``field:value``, ``field:"value"``, ``field:[a TO b]`` with ``*`` and ``{}`` bounds, bare terms
 on the default field, ``AND``, ``OR`` (default), ``NOT``, ``+``, ``-`` and parentheses. Exact fields compare whole values,
-array fields any of them, analysed fields the terms of the value. Catalyst sees plain predicates, so those on stored
-columns reach the scan.
+array fields any of them, analysed fields the stemmed terms of the value: any of them for a word, all of them in
+their places for a phrase. Catalyst sees plain predicates, so those on stored columns reach the scan.
+
+With an inverted index (field, term, id, positions), sorted by field and term, text clauses read its matching rows
+alone; without one, every text is analysed.
 """
 
 from __future__ import annotations
@@ -18,7 +21,8 @@ from pyspark.sql import types as T
 from capturelake.functions import text
 
 _TOKEN = re.compile(r'\s*(?:(\()|(\))|([+-])(?=\S)|((?:[\w.*]+:)?[\[{][^\]}]*[\]}])|((?:[\w.]+:)?"(?:[^"\\]|\\.)*")|([^\s()"]+))')
-ANALYSED = {"content": text.analyze, "title": text.analyze, "hostt": text.analyze_url, "urlt": text.analyze_url}
+TEXTS = ("content", "title")
+ADDRESSES = ("hostt", "urlt")
 COPIED = {"hostt": "host", "urlt": "url"}
 
 
@@ -29,8 +33,10 @@ class QueryError(ValueError):
 class Search:
     """compile() makes a predicate of a query string for the columns of a DataFrame."""
 
-    def __init__(self, df: DataFrame, default_field: str = "content"):
+    def __init__(self, df: DataFrame, default_field: str = "content", indexed: bool = False):
         self.types, self.default = dict(zip(df.columns, (f.dataType for f in df.schema.fields), strict=True)), default_field
+        # text clauses to look up: field, value, whether it is a phrase
+        self.indexed, self.clauses = indexed, []
 
     def compile(self, query: str) -> Column:
         self.tokens = self._split(query)
@@ -117,11 +123,9 @@ class Search:
             return self._range(field, body)
         m = re.match(r"([\w.]+):(.+)$", value, re.S)
         field, body = (m[1], m[2]) if m and m[1] in {*self.types, *COPIED} else (self.default, value)
-        if body.startswith('"'):
-            body = re.sub(r"\\(.)", r"\1", body[1:-1])
-        else:
-            body = body.replace("\\:", ":")
-        return self.term(field, body)
+        phrase = body.startswith('"')
+        body = re.sub(r"\\(.)", r"\1", body[1:-1]) if phrase else body.replace("\\:", ":")
+        return self.term(field, body, phrase)
 
     def _column(self, field: str) -> tuple[Column, T.DataType]:
         name = COPIED.get(field, field)
@@ -129,11 +133,19 @@ class Search:
             raise QueryError(f"no field {field!r}")
         return F.col(f"`{name}`"), self.types[name]
 
-    def term(self, field: str, value: str) -> Column:
+    def term(self, field: str, value: str, phrase: bool = False) -> Column:
         column, kind = self._column(field)
-        if field in ANALYSED:
-            analyse = ANALYSED[field]
-            return F.arrays_overlap(analyse(column), analyse(F.lit(value)))
+        if field in ADDRESSES:
+            words = F.filter(F.split(F.lower(column), "[^a-z0-9]+"), lambda x: x != "")
+            wanted = [w for w in re.split("[^a-z0-9]+", value.lower()) if w]
+            if phrase:
+                return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")).contains(f" {' '.join(wanted)} ")
+            return F.arrays_overlap(words, F.array(*map(F.lit, wanted)))
+        if field in TEXTS and value != "*":
+            if self.indexed:
+                self.clauses.append((field, value, phrase))
+                return F.array_contains(F.coalesce("__clauses", F.array().cast("array<int>")), len(self.clauses) - 1)
+            return text.matches(value, phrase)(column)
         if value == "*":
             return column.isNotNull()
         if isinstance(kind, T.ArrayType):
@@ -164,6 +176,55 @@ def search(df: DataFrame, query: str, default_field: str = "content") -> DataFra
     return df.where(Search(df, default_field).compile(query))
 
 
+def inverted(docs: DataFrame) -> DataFrame:
+    """(field, term, id, positions) of the texts of documents, dealt and sorted by term so that a lookup reads few rows."""
+    rows = None
+    for field in (f for f in TEXTS if f in docs.columns):
+        own = docs.where(F.col(field).isNotNull()).select(F.lit(field).alias("field"), "id", F.explode(text.postings(field)).alias("x"))
+        rows = own if rows is None else rows.union(own)
+    rows = rows.select("field", "x.term", "id", "x.positions")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the id splits terms that most documents have
+    return rows.repartitionByRange(n, "field", "term", "id").sortWithinPartitions("field", "term", "id")
+
+
+def clause_hits(terms: DataFrame, field: str, value: str, phrase: bool) -> DataFrame:
+    """(id) of the documents that a text clause matches."""
+    wanted = text.query_terms(value)
+    every = sorted({t for _, ts in wanted for t in ts})
+    rows = terms.where((F.col("field") == field) & F.col("term").isin(*every)) if every else terms.where("false")
+    if not phrase or not wanted:
+        return rows.select("id").distinct()
+    held = rows.groupBy("id").agg(F.collect_list(F.struct("term", "positions")).alias("found"))
+
+    def places(ts: list[str]) -> Column:
+        return F.flatten(F.transform(F.filter("found", lambda x: x["term"].isin(*ts)), lambda x: x["positions"]))
+
+    held = held.select("id", *[places(ts).alias(f"p{i}") for i, (_, ts) in enumerate(wanted)])
+
+    def follows(at: Column) -> Column:
+        out = F.lit(True)
+        for i, (d, _) in enumerate(wanted):
+            out = out & F.array_contains(f"p{i}", at + d)
+        return out
+
+    return held.where(F.exists("p0", follows)).select("id")
+
+
+def search_indexed(df: DataFrame, terms: DataFrame, query: str, default_field: str = "content") -> DataFrame:
+    """search(), with the text clauses looked up in an inverted index of df's documents."""
+    s = Search(df, default_field, indexed=True)
+    predicate = s.compile(query)
+    if not s.clauses:
+        return df.where(predicate)
+    hits = None
+    for k, clause in enumerate(s.clauses):
+        own = clause_hits(terms, *clause).select("id", F.lit(k).alias("k"))
+        hits = own if hits is None else hits.union(own)
+    hits = hits.groupBy("id").agg(F.collect_set("k").alias("__clauses"))
+    return df.join(hits, "id", "left").where(predicate).drop("__clauses")
+
+
 def by_ids(df: DataFrame, ids: Iterable[str] | DataFrame) -> DataFrame:
     """The rows of some ids: a predicate for a list, a semi join for a table."""
     if isinstance(ids, DataFrame):

@@ -212,6 +212,7 @@ def test_changes_write_only_the_parts_they_touch(crawls):
     crawls.set_fields('url:"http://example.org/two"', {"tag": ["t"]})
     assert crawls._parts()[0]["name"] == first and crawls._parts()[1]["name"] != second
     assert crawls.search("tag:t").count() == 1
+    assert {r["url"][-3:] for r in crawls.search('"two texts"').collect()} == {"two"} and crawls.search('content:"text two"').count() == 0
     crawls.remove(["B.warc.gz"])
     assert [p["name"] for p in crawls._parts()] == [first] and urls_of(crawls) == ["one", "shared"]
     crawls.index(["B.warc.gz"])
@@ -319,6 +320,55 @@ def test_search(spark, query, want):
     assert {r["id"] for r in search.search(df, query).collect()} == want
 
 
+TEXTS = [
+    (1, "Hello big world", "The running dogs"),
+    (2, "world, hello!", None),
+    (3, "hello stopworda world", "run"),
+    (4, "Wi-Fi PowerShot500", "x"),
+    (5, None, "ran"),
+    (6, "", "runs by"),
+]
+
+
+@pytest.mark.parametrize(
+    "query, want",
+    [
+        ('content:"hello world"', set()),
+        ('"hello big world"', {1}),
+        ('"world hello"', {2}),
+        ('"hello stopworda world"', {1, 3}),
+        ("hello", {1, 2, 3}),
+        ("title:run", {1, 3, 6}),
+        ('title:"runs by"', {6}),
+        ("content:wifi", {4}),
+        ('content:"wi fi power shot 500"', {4}),
+        ('content:"wifi power"', {4}),
+        ("+hello -title:dog", {2, 3}),
+        ("content:nothing OR title:x", {4}),
+        ("content:stopworda", set()),
+        ("content:*", {1, 2, 3, 4, 6}),
+        ("NOT hello", {4, 5, 6}),
+    ],
+)
+def test_text_search_with_and_without_index(spark, query, want):
+    df = spark.createDataFrame(TEXTS, "id long, content string, title string")
+    assert {r["id"] for r in search.search(df, query).collect()} == want
+    assert {r["id"] for r in search.search_indexed(df, search.inverted(df), query).collect()} == want
+
+
+def test_positions_agree_with_the_expressions(spark):
+    values = ["Wi-Fi PowerShot500 stopworda Wi-Fi", "a1b2 C3PO", "éÉa x-1-2 -- _u_", "", "one  two\tthree", "iPhone4S's"]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    got = [r["x"] for r in df.select(text.analyze(F.col("t")).alias("x")).collect()]
+    assert got == [list(dict.fromkeys(t for t, _ in text.positions(v, stemmed=False))) for v in values]
+
+
+def test_address_search(spark):
+    df = spark.createDataFrame([(1, "www.example.org", "http://www.example.org/a/b"), (2, "example.com", "http://example.com/b/a")], "id long, host string, url string")
+    for query, want in (("hostt:example", {1, 2}), ('hostt:"example org"', {1}), ('urlt:"b a"', {2}), ('urlt:"a b"', {1}), ("urlt:org", {1})):
+        assert {r["id"] for r in search.search(df, query).collect()} == want
+
+
 def test_search_errors(spark):
     df = spark.createDataFrame([(1, "a")], "id long, k string")
     for bad in ("(k:a", "k:a AND", "k:[1 2]"):
