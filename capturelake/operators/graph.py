@@ -2,13 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.functions import urls
+from capturelake.operators import html
 from capturelake.scratch import Scratch
 
 
+def links(pages: DataFrame) -> DataFrame:
+    """(src, dst, src_fp, dst_fp, date, text) for every link of pages (url, date, links array<struct<to, text>>), canonical."""
+    rows = pages.select("url", "date", F.explode("links").alias("l"))
+    rows = rows.select(urls.canonicalize(F.col("url")).alias("src"), urls.canonicalize(html.resolve(F.col("url"), F.array("l.to"))[0]).alias("dst"), "date", F.col("l.text").alias("text"))
+    return rows.select("src", "dst", urls.fingerprint(F.col("src")).alias("src_fp"), urls.fingerprint(F.col("dst")).alias("dst_fp"), "date", "text")
+
+
+def save(found: DataFrame, numbered: DataFrame, folder: str) -> None:
+    """Keeps a graph: its numbered nodes in the order of their URLs and the successors of each node."""
+    numbered.write.mode("overwrite").parquet(f"{folder}/nodes")
+    successors(found, numbered).write.mode("overwrite").parquet(f"{folder}/successors")
+
+
+def load(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes, successors) of a kept graph."""
+    return spark.read.parquet(f"{folder}/nodes"), spark.read.parquet(f"{folder}/successors")
+
+
+def check(numbered: DataFrame, followed: DataFrame) -> list[str]:
+    """What is inconsistent in a graph: numbers that aren't 0 to n - 1, successors that are out of range, repeated or unsorted."""
+    n, least, most, different = numbered.agg(F.count("*"), F.min("node_id"), F.max("node_id"), F.count_distinct("node_id")).first()
+    out = []
+    if n and (least, most, different) != (0, n - 1, n):
+        out.append("nodes are not numbered from 0 without gaps")
+    wrong = followed.agg(
+        F.count_if(F.exists("successors", lambda x: (x < 0) | (x >= n))).alias("range"),
+        F.count_if(F.col("successors") != F.array_sort(F.array_distinct("successors"))).alias("sorted"),
+        F.count_if((F.col("node_id") < 0) | (F.col("node_id") >= n)).alias("node"),
+    ).first()
+    return out + [f"{k}: {wrong[k]} rows" for k in ("range", "sorted", "node") if wrong[k]]
+
+
 def edges(pages: DataFrame) -> DataFrame:
     """(src, dst, src_fp, dst_fp) of pages (url, targets array<string>), canonical and distinct."""
     src = urls.canonicalize(F.col("url"))
@@ -50,17 +84,21 @@ def pagerank(found: DataFrame, iterations: int = 20, damping: float = 0.85, tole
     """(url, rank, boost): power method with the mass of nodes without links spread evenly; boost is rank times nodes.
 
     Each round is one join and one partially aggregated sum, so a page that a third of all links name is no hot task.
-    Ranks are written to the shared folder each round, which ends their lineage.
+    Links are dealt by page once and kept on the executors' disks; what is lost is dealt again from their table. Ranks
+    are written to the shared folder each round, which ends their lineage.
     """
     work = Scratch(found.sparkSession, "pagerank")
-    links = found.select("src", "dst").distinct()
+    links = work.save(found.select("src", "dst").distinct(), "distinct")
     degree = links.groupBy("src").agg(F.count("*").alias("deg"))
     links = work.save(links.join(degree, "src"), "links")
     every = work.save(links.select(F.col("src").alias("url")).union(links.select("dst")).distinct().join(degree.select(F.col("src").alias("url"), "deg"), "url", "left"), "nodes")
+    work.drop("distinct")
     n = every.count()
     if n == 0:
         return every.select("url", F.lit(0.0).alias("rank"), F.lit(0.0).alias("boost"))
+    links = links.repartition("src").persist(StorageLevel.DISK_ONLY)
     ranks = work.save(every.select("url", "deg", F.lit(1.0 / n).alias("rank")), "ranks-0")
+    work.drop("nodes")
     for i in range(1, iterations + 1):
         loose = ranks.where("deg is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("s")).first()["s"]
         given = links.join(ranks.select(F.col("url").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("url")).agg(F.sum(F.col("rank") / F.col("deg")).alias("got"))
@@ -71,4 +109,6 @@ def pagerank(found: DataFrame, iterations: int = 20, damping: float = 0.85, tole
         ranks = nxt.drop("moved")
         if tolerance is not None and moved < tolerance:
             break
+    links.unpersist()
+    work.drop("links")
     return ranks.select("url", "rank", (F.col("rank") * n).alias("boost"))

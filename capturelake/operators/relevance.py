@@ -6,50 +6,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def term_counts(df: DataFrame, id_col: str, words: Column) -> DataFrame:
-    """(id, term, tf, dl): occurrences of each term and the length of the document."""
-    rows = df.select(F.col(id_col).alias("id"), words.alias("words")).withColumn("dl", F.size("words"))
-    return rows.select("id", "dl", F.explode("words").alias("term")).groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
-
-
-def score(df: DataFrame, id_col: str, words: Column, query: list[str], method: str = "tfidf", k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(id, score) of the documents with any query term, over whole texts.
+def score(df: DataFrame, id_col: str, words: Column, query: list[str], method: str = "tfidf", k1: float = 1.2, b: float = 0.75, boost: Column | None = None, explain: bool = False) -> DataFrame:
+    """(id, score) of the documents with any query term, over whole texts; boost is added, explain tells each term's share.
 
     Only the query's terms leave a row: each is counted in the row's array, so nothing but one row for each
     document and the document counts of the terms is aggregated.
     """
     wanted = list(dict.fromkeys(query))
-    rows = df.select(F.col(id_col).alias("id"), words.alias("words"))
+    added = [] if boost is None else ["boost"]
+    rows = df.select(F.col(id_col).alias("id"), words.alias("words"), *([] if boost is None else [boost.cast("double").alias("boost")]))
 
     def count(term: str) -> Column:
         return F.size(F.filter("words", lambda w: w == term))
 
-    rows = rows.select("id", F.size("words").alias("dl"), *[count(t).alias(f"tf{i}") for i, t in enumerate(wanted)])
+    rows = rows.select("id", *added, F.size("words").alias("dl"), *[count(t).alias(f"tf{i}") for i, t in enumerate(wanted)])
     stats = rows.agg(F.count("*").alias("n"), F.avg("dl").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(wanted))])
     # a few numbers
     known = stats.first()
     n, mean = F.lit(known["n"]), F.lit(known["mean"] or 1.0)
-    total = F.lit(0.0)
+    shares = []
     for i in range(len(wanted)):
         tf, d = F.col(f"tf{i}"), F.lit(known[f"df{i}"])
         if method == "bm25":
             idf = F.log(1 + (n - d + 0.5) / (d + 0.5))
-            total = total + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / mean))
+            shares.append(idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / mean)))
         else:
-            total = total + F.sqrt(tf.cast("double")) * (1 + F.log(n / (d + 1.0)))
-    return rows.where(F.greatest(F.lit(0), *[F.col(f"tf{i}") for i in range(len(wanted))]) > 0).select("id", total.alias("score"))
+            shares.append(F.sqrt(tf.cast("double")) * (1 + F.log(n / (d + 1.0))))
+    total = sum(shares, F.lit(0.0)) + (F.lit(0.0) if boost is None else F.col("boost"))
+    told = [F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"tf{i}").alias("tf"), F.lit(known[f"df{i}"]).alias("df"), x.alias("share")) for i, (t, x) in enumerate(zip(wanted, shares, strict=True))]).alias("explain")] * explain
+    return rows.where(F.greatest(F.lit(0), *[F.col(f"tf{i}") for i in range(len(wanted))]) > 0).select("id", total.alias("score"), *told)
 
 
 def top(scored: DataFrame, rows: int) -> DataFrame:
     return scored.orderBy(F.desc("score"), "id").limit(rows)
 
 
-def more_like(counts: DataFrame, like, n_terms: int = 25) -> DataFrame:
-    """(id, score): cosine of term counts with one document's n_terms most frequent terms, other documents only."""
-    mine = counts.where(F.col("id") == F.lit(like)).orderBy(F.desc("tf"), "term").limit(n_terms).select("term", F.col("tf").alias("q"))
-    dots = counts.where(F.col("id") != F.lit(like)).join(F.broadcast(mine), "term").groupBy("id").agg(F.sum(F.col("tf") * F.col("q")).alias("dot"))
-    norms = counts.groupBy("id").agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm"))
-    return dots.join(norms, "id").select("id", (F.col("dot") / F.col("norm")).alias("score"))
+def more_like(df: DataFrame, id_col: str, words: Column, like, n_terms: int = 25) -> DataFrame:
+    """(id, score): cosine of term counts with one document's n_terms most frequent terms, other documents only.
+
+    One pass without a shuffle: each row counts those terms and its own squares. A null id is no document.
+    """
+    rows = df.select(F.col(id_col).alias("id"), words.alias("words"))
+    mine = rows.where(F.col("id") == F.lit(like)).select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("q")).orderBy(F.desc("q"), "term").limit(n_terms).collect()
+    if not mine:
+        return rows.where("false").select("id", F.lit(0.0).alias("score"))
+    wanted = F.map_from_arrays(F.array(*[F.lit(r["term"]) for r in mine]), F.array(*[F.lit(r["q"]) for r in mine]))
+    dot = F.aggregate("words", F.lit(0).cast("long"), lambda acc, w: acc + F.coalesce(F.element_at(wanted, w), F.lit(0).cast("long")))
+
+    def square(acc: Column, w: Column) -> Column:
+        # of equal words next to each other, the k-th adds 2k - 1
+        k = F.when(w == acc["last"], acc["k"] + 1).otherwise(F.lit(1).cast("long"))
+        return F.struct(w.alias("last"), k.alias("k"), (acc["sum"] + 2 * k - 1).alias("sum"))
+
+    begin = F.struct(F.lit("").alias("last"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("sum"))
+    rows = rows.where(F.col("id") != F.lit(like)).select("id", dot.alias("dot"), F.aggregate(F.array_sort("words"), begin, square)["sum"].alias("squares"))
+    return rows.where("dot > 0").select("id", (F.col("dot") / F.sqrt("squares")).alias("score"))
 
 
 def did_you_mean(terms: DataFrame, word: str, most: int = 2) -> DataFrame:

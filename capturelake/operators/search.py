@@ -232,9 +232,14 @@ def by_ids(df: DataFrame, ids: Iterable[str] | DataFrame) -> DataFrame:
     return df.where(F.col("id").isin(*ids))
 
 
+def missing_last(field: str, descending: bool = False) -> Column:
+    """An order in which documents without the field come last, whatever the direction."""
+    return F.desc_nulls_last(field) if descending else F.asc_nulls_last(field)
+
+
 def page(df: DataFrame, order: list, start: int, rows: int) -> DataFrame:
-    """rows rows from start on, in an order; a feature of the interface, not a cap."""
-    return df.orderBy(*order).offset(start).limit(rows)
+    """rows rows from start on, in an order (names have missing values last); a feature of the interface, not a cap."""
+    return df.orderBy(*[missing_last(x) if isinstance(x, str) else x for x in order]).offset(start).limit(rows)
 
 
 def page_after(df: DataFrame, field: str, last, rows: int) -> DataFrame:

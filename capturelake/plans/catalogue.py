@@ -524,7 +524,15 @@ def parse_archives(spark, sf_dir):
     )
 
 
-@query("html_text")
+_BLOCKS = "|".join(sorted(html.BLOCKS))
+
+
+@query(
+    "html_text",
+    rf"""with b as (select page_id, regexp_replace(regexp_extract(html, '(?s)<body[^>]*>(.*)$', 1), '(?s)<!--.*?-->', '', 'g') as x from pages),
+    s as (select page_id, regexp_replace(regexp_replace(regexp_replace(x, '(?s)<(script|style|template|title)[^>]*>.*?</(script|style|template|title)>', '', 'g'), '<({_BLOCKS})(\s[^>]*)?/?>', ' ', 'g'), '<[^>]*>', '', 'g') as x from b)
+    select page_id, regexp_replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[ \t\n\x0B\f\r]+', ' ', 'g') as content from s""",
+)
 def html_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html.extract("html")["text"].alias("content"))
 
@@ -534,6 +542,19 @@ def link_edges(spark, sf_dir):
     return graph.edges(_links(spark, sf_dir))
 
 
+@query(
+    "link_anchors",
+    f"""with a as (select url, page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>', 1)) as h, unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) as text from pages),
+    l as (select url, page_id, text, case when h like 'http%' then h else regexp_extract(url, '^([a-z]+://[^/]*)', 1) || h end as target from a where not (h like 'javascript%' or h like 'mailto%')),
+    e as (select {canonical_sql("url")} as src, {canonical_sql("target")} as dst, timestamp '2023-11-14 22:13:20' + to_seconds(page_id) as date, text from l)
+    select src, dst, date, text, count(*) as n from e group by all""",
+)
+def link_anchors(spark, sf_dir):
+    """Links with the date of the capture and the anchor's text."""
+    rows = table(spark, sf_dir, "pages").select("url", F.timestamp_seconds(F.lit(1700000000) + F.col("page_id")).alias("date"), html.extract("html")["links"].alias("links"))
+    return graph.links(rows).groupBy("src", "dst", F.col("date").cast("timestamp_ntz").alias("date"), "text").agg(F.count("*").alias("n"))
+
+
 @query("node_ids", f"with {_EDGES} select row_number() over (order by url) - 1 as node_id, url from (select src as url from e union select dst from e)")
 def node_ids(spark, sf_dir):
     return graph.nodes(graph.edges(_links(spark, sf_dir)))
@@ -577,7 +598,18 @@ def analyze_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(text.analyze_url(F.col("url")), " ").alias("terms"))
 
 
-@query("analyze_text")
+_SPACED = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(w, '[^\p{L}\p{N}]+', ' ', 'g'), '(\p{Ll})(\p{Lu})', '\1 \2', 'g'), '(\p{L})(\p{N})', '\1 \2', 'g'), '(\p{N})(\p{L})', '\1 \2', 'g')"
+
+
+@query(
+    "analyze_text",
+    rf"""with w as (select conv_id, turn, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '' and lower(x) not in ('stopworda', 'stopwordb')) as ws from conversations),
+    p as (select conv_id, turn, list_transform(ws, lambda w: list_filter(string_split({_SPACED}, ' '), lambda x: x <> '')) as ps from w),
+    t as (select conv_id, turn, list_transform(flatten(list_transform(ps, lambda p: list_concat(p,
+            case when len(list_filter(p, lambda x: regexp_matches(x, '^\p{{L}}'))) > 1 then [array_to_string(list_filter(p, lambda x: regexp_matches(x, '^\p{{L}}')), '')] else [] end,
+            case when len(list_filter(p, lambda x: regexp_matches(x, '^\p{{N}}'))) > 1 then [array_to_string(list_filter(p, lambda x: regexp_matches(x, '^\p{{N}}')), '')] else [] end))), lambda x: lower(x)) as t from p)
+    select conv_id, turn, array_to_string(list_filter(list_transform(t, lambda x, i: case when list_position(t, x) = i then x end), lambda x: x is not null), ' ') as terms from t""",
+)
 def analyze_text(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(text.analyze(F.col("text")), " ").alias("terms"))
 
@@ -648,8 +680,8 @@ def did_you_mean(spark, sf_dir):
     select id, round(sum(tf * q) / any_value(norm), 6) as score from c join q using (term) join norm using (id) where id <> 3 group by id""",
 )
 def more_like_this(spark, sf_dir):
-    counts = relevance.term_counts(table(spark, sf_dir, "documents"), "doc_id", _plain_words(F.col("text")))
-    return relevance.more_like(counts, 3).select("id", F.round("score", 6).alias("score"))
+    found = relevance.more_like(table(spark, sf_dir, "documents"), "doc_id", _plain_words(F.col("text")), 3)
+    return found.select("id", F.round("score", 6).alias("score"))
 
 
 @query(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from capturelake.api import Archive, IndexError_, UnparsedError
 from capturelake.config import Config, fields
 from capturelake.functions import dates, mime, text, urls
-from capturelake.operators import captures, html, parse, search
+from capturelake.operators import captures, graph, html, parse, relevance, search
 from capturelake.sources import export, records, webarchive
 from tests import archives
 
@@ -303,6 +303,39 @@ def test_streamed_repeats_are_left_out(spark, tmp_path):
     assert sorted(tuple(r)[:2] for r in spark.table("distinct_captures").collect()) == [("i", "A"), ("i", "B"), ("j", "A")]
 
 
+def test_graphs_are_kept_and_checked(spark, tmp_path):
+    rows = [("http://a/", datetime.datetime(2020, 1, 1), [{"to": "/b", "text": "B"}, {"to": "http://c/", "text": "C"}, {"to": "/b", "text": "again"}]), ("http://c/", None, [{"to": "http://A", "text": ""}])]
+    pages = spark.createDataFrame(rows, "url string, date timestamp, links array<struct<to:string,text:string>>")
+    found = graph.links(pages)
+    assert sorted((r["src"], r["dst"], r["text"]) for r in found.collect()) == [("http://a/", "http://a/b", "B"), ("http://a/", "http://a/b", "again"), ("http://a/", "http://c/", "C"), ("http://c/", "http://a/", "")]
+    edges = found.select("src", "dst").distinct()
+    graph.save(edges, graph.nodes(edges), f"{tmp_path}/g")
+    nodes, followed = graph.load(spark, f"{tmp_path}/g")
+    assert graph.check(nodes, followed) == [] and {tuple(r["successors"]) for r in followed.collect()} == {(1, 2), (0,)}
+    assert graph.check(nodes.where("node_id > 0"), followed) == ["nodes are not numbered from 0 without gaps", "range: 1 rows", "node: 1 rows"]
+    assert graph.check(nodes, spark.createDataFrame([(9, [1, 0])], "node_id long, successors array<long>")) == ["sorted: 1 rows", "node: 1 rows"]
+
+
+def test_scores_are_explained_and_boosted(spark):
+    df = spark.createDataFrame([(1, "a b a", 0.5), (2, "b", 2.0), (3, "c", 9.0), (4, None, 1.0)], "id long, t string, w double")
+    words = F.split("t", " ")
+    plain = {r["id"]: r["score"] for r in relevance.score(df, "id", words, ["a", "b"], "bm25").collect()}
+    told = {r["id"]: r for r in relevance.score(df, "id", words, ["a", "b"], "bm25", boost=F.col("w"), explain=True).collect()}
+    assert set(plain) == set(told) == {1, 2}
+    for i, r in told.items():
+        assert sum(x["share"] for x in r["explain"]) == pytest.approx(plain[i]) == r["score"] - {1: 0.5, 2: 2.0}[i]
+    assert [(x["term"], x["tf"], x["df"]) for x in told[1]["explain"]] == [("a", 2, 1), ("b", 1, 2)]
+    like = {r["id"]: r["score"] for r in relevance.more_like(df, "id", words, 1).collect()}
+    assert like == {2: pytest.approx(1.0)}
+    assert relevance.more_like(df, "id", words, 99).count() == 0
+
+
+def test_missing_values_sort_last(spark):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "id long, k string")
+    assert [r["id"] for r in search.page(df, ["k"], 0, 9).collect()] == [3, 1, 2]
+    assert [r["id"] for r in search.page(df, [search.missing_last("k", descending=True)], 0, 9).collect()] == [1, 3, 2]
+
+
 def test_content_is_the_first_that_is_not_empty(spark):
     rows = [("i", "A", 0, None), ("i", "B", 0, ""), ("i", "C", 0, "text"), ("i", "C", 1, "later"), ("j", "A", 1, None)]
     docs, occurrences = captures.merge(spark.createDataFrame(rows, "id string, arcname string, rec_seq long, content string"))
