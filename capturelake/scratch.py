@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
@@ -27,7 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
             _LOCAL[app] = tempfile.mkdtemp(prefix="capturelake-")
             spark.sparkContext.setCheckpointDir(_LOCAL[app])
         found = _LOCAL[app]
-    path = spark._jvm.org.apache.hadoop.fs.Path(found.rstrip("/"))
+    return qualified(spark, found)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder as a whole URI, on the store that Spark takes it from."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
     whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
     # Hadoop writes file:/a, other readers want file:///a
     return re.sub("^file:/(?!/)", "file:///", whole)
@@ -42,16 +48,33 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = f"{root}:{have}" if have else root
 
 
+_ROOTS: list[tuple[SparkSession, str]] = []
+
+
+def _clear() -> None:
+    """Deletes the scratch folders of this process, as far as its Spark still runs."""
+    for spark, root in _ROOTS:
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001, PERF203  the session may have ended before
+            return
+
+
 class Scratch:
     """Tables written to the shared folder, so that lineage ends there and a lost executor costs nothing.
 
-    ``save`` writes and rereads; ``drop`` deletes a table that later steps no longer read.
+    ``save`` writes and rereads; ``drop`` deletes a table that later steps no longer read. Results may read the
+    others whenever they run, so what is left goes when the driver's process ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         ship(spark)
+        if not _ROOTS:
+            atexit.register(_clear)
+        _ROOTS.append((spark, self.root))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -1,15 +1,19 @@
-"""Parsed records as JSON files: one gzip array for each archive, and JSON lines."""
+"""Parsed records as JSON files: one compressed array for each archive, and JSON lines."""
 
 from __future__ import annotations
 
+import bz2
 import gzip
 import json
+import uuid
+import zlib
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.schema import JSON_RECORD
+from capturelake.scratch import qualified
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
@@ -24,18 +28,25 @@ def as_json(record_columns=None):
     return F.to_json(F.struct(*[F.unix_millis("date").alias("date") if n == "date" else F.col(n) for n in names]))
 
 
-def write_json_arrays(records: DataFrame, folder: str, empty: list[str] = ()) -> DataFrame:
-    """Writes ``<folder>/<filename>.json.gz`` for each archive, and ``[]`` for archives without records.
+def write_json_arrays(records: DataFrame, folder: str, empty: list[str] = (), suffix: str = ".json.gz") -> DataFrame:
+    """Writes ``<folder>/<filename><suffix>`` for each archive, and ``[]`` for archives without records.
+
+    The suffix tells the compression: ``.gz``, ``.bz2`` or none.
 
     Rows of an archive meet in one task and are streamed to its file, so memory doesn't grow with it.
     Gives (filename, n_records).
     """
     lines = records.select("filename", as_json().alias("line")).repartition("filename").sortWithinPartitions("filename")
 
+    folder = qualified(records.sparkSession, folder)
+
     def opened(name: str):
-        fs, root = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
-        return gzip.GzipFile(fileobj=fs.open_output_stream(f"{root}/{name}.json.gz", compression=None), mode="wb", mtime=0)
+        raw = fs.open_output_stream(f"{root}/{name}{suffix}", compression=None)
+        if suffix.endswith(".gz"):
+            return _Out(raw, gzip.GzipFile(fileobj=raw, mode="wb", mtime=0))
+        return _Out(raw, bz2.BZ2File(raw, "wb") if suffix.endswith(".bz2") else raw)
 
     def run(batches):
         name, out, n = None, None, 0
@@ -44,29 +55,76 @@ def write_json_arrays(records: DataFrame, folder: str, empty: list[str] = ()) ->
                 if filename != name:
                     if out is not None:
                         out.write(b"]")
-                        _close(out)
+                        out.close()
                         yield _row(name, n)
                     name, out, n = filename, opened(filename), 0
                 out.write((b"," if n else b"[") + line.encode())
                 n += 1
         if out is not None:
             out.write(b"]")
-            _close(out)
+            out.close()
             yield _row(name, n)
 
     written = lines.mapInPandas(run, "filename string, n_records long").collect()
     for name in set(empty) - {r["filename"] for r in written}:
         f = opened(name)
         f.write(json.dumps([]).encode())
-        _close(f)
+        f.close()
         written.append((name, 0))
     return records.sparkSession.createDataFrame(written, "filename string, n_records long")
 
 
-def _close(f: gzip.GzipFile) -> None:
-    raw = f.fileobj
-    f.close()
-    raw.close()
+class _Out:
+    """A stream and the compressor over it, closed together."""
+
+    def __init__(self, raw, over):
+        self.raw, self.over, self.write = raw, over, over.write
+
+    def close(self) -> None:
+        self.over.close()
+        if self.raw is not self.over:
+            self.raw.close()
+
+
+def decompress(spark: SparkSession, folder: str) -> DataFrame:
+    """Every ``x.json.gz`` of a folder as ``x.json``, a task each; gives (name, status).
+
+    Where ``x.json`` is there already the file is ``skipped``; one that is no gzip is renamed to ``x.json.gz.bad``.
+    A result is written under another name first, and only then the source goes.
+    """
+    folder = qualified(spark, folder)
+    fs, root = pafs.FileSystem.from_uri(folder)
+    names = sorted(i.base_name for i in fs.get_file_info(pafs.FileSelector(root)) if i.base_name.endswith(".json.gz"))
+
+    def run(batches):
+        fs, root = pafs.FileSystem.from_uri(folder)
+        for pdf in batches:
+            for name in pdf["name"]:
+                source, target, draft = f"{root}/{name}", f"{root}/{name[:-3]}", f"{root}/.{uuid.uuid4().hex}"
+                if fs.get_file_info(target).type != pafs.FileType.NotFound:
+                    yield _status(name, "skipped")
+                    continue
+                try:
+                    with fs.open_input_stream(source, compression=None) as raw, gzip.GzipFile(fileobj=raw) as f, fs.open_output_stream(draft, compression=None) as out:
+                        while block := f.read(1 << 20):
+                            out.write(block)
+                except (EOFError, gzip.BadGzipFile, zlib.error):
+                    fs.delete_file(draft)
+                    fs.move(source, f"{source}.bad")
+                    yield _status(name, "bad")
+                    continue
+                fs.move(draft, target)
+                fs.delete_file(source)
+                yield _status(name, "done")
+
+    listed = spark.createDataFrame([(n,) for n in names], "name string").repartition(max(1, len(names)))
+    return spark.createDataFrame(listed.mapInPandas(run, "name string, status string").collect(), "name string, status string")
+
+
+def _status(name: str, status: str):
+    import pandas as pd
+
+    return pd.DataFrame({"name": [name], "status": [status]})
 
 
 def _row(name: str, n: int):

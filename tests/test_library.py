@@ -5,6 +5,7 @@ import datetime
 import gzip
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from capturelake.api import Archive, IndexError_, UnparsedError
 from capturelake.config import Config, fields
 from capturelake.functions import dates, mime, text, urls
-from capturelake.operators import captures, graph, html, parse, relevance, search
+from capturelake import schema
+from capturelake.operators import captures, extras, graph, html, parse, relevance, search
 from capturelake.sources import export, records, webarchive
 from tests import archives
 
@@ -113,6 +115,56 @@ def test_json_files(spark, tmp_path):
     assert sorted(r["url"] for r in back.collect()) == sorted(r["url"] for r in got.collect())
 
 
+def test_json_compressions_and_decompression(spark, tmp_path):
+    import bz2
+
+    df = spark.createDataFrame([("a.warc.gz", "http://h/")], "filename string, url string")
+    for c, kind in zip(schema.PARSED_RECORD.split(", ")[1:], range(9), strict=False):
+        del kind
+        name = c.split(" ")[0]
+        if name not in df.columns and name.isalpha():
+            df = df.withColumn(name, F.lit(None).cast({"date": "timestamp", "length": "bigint", "outlinks": "array<bigint>", "isRevisit": "boolean"}.get(name, "string")))
+    for name in ("suppliedContentType", "detectedContentType", "isRevisit", "outlinks"):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast("string"))
+    for suffix, opened in ((".json.bz2", bz2.open), (".json", open), (".json.gz", gzip.open)):
+        records.write_json_arrays(df, str(tmp_path / "j"), suffix=suffix)
+        with opened(tmp_path / f"j/a.warc.gz{suffix}", "rb") as f:
+            assert json.load(f) == [{"filename": "a.warc.gz", "url": "http://h/"}]
+    (tmp_path / "j/b.warc.gz.json.gz").write_bytes(gzip.compress(b"[1]"))
+    (tmp_path / "j/c.warc.gz.json.gz").write_bytes(b"no gzip")
+    got = {r["name"]: r["status"] for r in records.decompress(spark, str(tmp_path / "j")).collect()}
+    assert got == {"a.warc.gz.json.gz": "skipped", "b.warc.gz.json.gz": "done", "c.warc.gz.json.gz": "bad"}
+    assert (tmp_path / "j/b.warc.gz.json").read_bytes() == b"[1]" and (tmp_path / "j/c.warc.gz.json.gz.bad").exists() and not (tmp_path / "j/b.warc.gz.json.gz").exists()
+
+
+def test_scratch_folders(spark, tmp_path):
+    from capturelake import scratch
+
+    assert scratch.qualified(spark, "/a/b/") == "file:///a/b" and scratch.shared_dir(spark).startswith("file:///")
+    work = scratch.Scratch(spark, "t")
+    assert work.save(spark.range(3), "x").count() == 3 and os.path.isdir(work.path("x").removeprefix("file://"))
+    kept, scratch._ROOTS[:] = list(scratch._ROOTS), [(spark, work.root)]
+    scratch._clear()
+    scratch._ROOTS[:] = kept
+    assert not os.path.isdir(work.path("x").removeprefix("file://"))
+
+
+def test_extras(spark):
+    df = spark.createDataFrame([("a", 1.0, 52.5, 13.4, "Crème brûlée ﬁn"), ("b", 2.0, 52.6, 13.5, None), ("c", 3.0, -52.5, 179.9, "x")], "id string, score double, lat double, lon double, t string")
+    top = extras.ranked(extras.elevate(df.select("id", "score"), ["a"], ["c"]), 5).collect()
+    assert [(r["id"], r["place"]) for r in top] == [("a", 0), ("b", 1)]
+    assert extras.peek(df.orderBy("id"))["id"] == "a" and extras.peek(df.limit(0)) is None
+    near = lambda at, km: {r["id"] for r in df.where(extras.within(F.col("lat"), F.col("lon"), at, km)).collect()}
+    assert near((52.5, 13.4), 5) == {"a"} and near((52.5, 13.4), 20) == {"a", "b"} and near((-52.5, -179.9), 30) == {"c"} and near((89.9, 0.0), 20_000) == {"a", "b", "c"}
+    assert [r["x"] for r in df.select(extras.fold_accents("t").alias("x")).collect()] == ["Creme brulee fin", None, "x"]
+    assert one(spark, extras.with_synonyms(F.array(F.lit("tv"), F.lit("x")), {"tv": ["television", "x"]})) == ["tv", "television", "x"]
+    assert {r["id"] for r in extras.related(df, spark.createDataFrame([("b",), ("b",)], "other string"), "other", "id").collect()} == {"b"}
+    docs = spark.createDataFrame([(i, ["red", "apple", "fruit"] if i % 2 else ["fast", "car", "road"]) for i in range(20)] + [(99, [])], "id long, w array<string>")
+    got = {r["id"]: r["cluster"] for r in extras.clusters(docs, "id", F.col("w"), 2).collect()}
+    assert len(got) == 20 and len({(i % 2, c) for i, c in got.items()}) == 2
+
+
 def test_merge_and_unmerge(spark, tmp_path):
     """The sizes and dates of three crawls that share pages, and of taking them out again."""
     def crawl(name, pages):
