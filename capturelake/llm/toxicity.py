@@ -117,21 +117,21 @@ class Model:
         rest = SHARED * c.size / total.sum() / (c.size + 1)
         at = np.flatnonzero(own.max(0, initial=0) > 0)
         self.word = tx.Table(c.word[at])
-        self.p_word = (own[:, at] + self.back_word[:, None] * (shared[at] + rest)).astype(np.float64)
+        self.p_word = (own[:, at] + self.back_word[:, None] * (shared[at] + rest)).astype(np.float32)
         over = np.maximum(c.n_pair - d_pair, 0)
         kept = np.stack([np.bincount(c.of_pair, over[y], len(c.context)) for y in (0, 1)]) if len(c.pair) else np.zeros((2, 0))
         n = np.maximum(c.n_context, 1)
         at = np.flatnonzero(kept.max(0, initial=0) > 0)
-        self.context, self.back = tx.Table(c.context[at]), 1 - kept[:, at] / n[:, at]
+        self.context, self.back = tx.Table(c.context[at]), (1 - kept[:, at] / n[:, at]).astype(np.float32)
         at = np.flatnonzero(over.max(0, initial=0) > 0)
         self.pair = tx.Table(c.pair[at])
-        self.p_pair = over[:, at] / n[:, c.of_pair[at]]
+        self.p_pair = (over[:, at] / n[:, c.of_pair[at]]).astype(np.float32)
 
     def ratios(self, word, before) -> np.ndarray:
         """log P(word | before, toxic) - log P(word | before, ordinary)."""
         at = self.word.find(word)
         # what a word without mass of its own has in the shared level cancels
-        p = np.repeat(self.back_word[:, None], len(word), 1)
+        p = np.repeat(self.back_word[:, None].astype(np.float32), len(word), 1)
         known = np.flatnonzero(at >= 0)
         p[:, known] = self.p_word[:, at[known]]
         at = self.context.find(before)
@@ -140,7 +140,7 @@ class Model:
             p[:, have] *= self.back[:, at[have]]
             pair = self.pair.find(pair_key(before[have], word[have]))
             p[:, have[pair >= 0]] += self.p_pair[:, pair[pair >= 0]]
-        return np.log(p[1]) - np.log(p[0])
+        return (np.log(p[1]) - np.log(p[0])).astype(np.float64)
 
     def features(self, part: pa.RecordBatch, column: int) -> np.ndarray:
         """Per row: the mean ratio of its most toxic run of each length, and of the whole text."""
@@ -167,13 +167,17 @@ def _features(counts):
     """Features of labelled rows under every pair of discounts."""
 
     def run(batches):
-        models = None
-        for batch in batches:
-            for part in tx.slices(batch, "text"):
-                models = models or [counts.value.model(*d) for d in DISCOUNTS]
-                found = tokens(part, 1)
-                f = np.column_stack([run_means(m, *found) for m in models])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.FixedSizeListArray.from_arrays(pa.array(f.ravel()), f.shape[1]).cast(pa.list_(pa.float64()))], ["id", "y", "f"])
+        # the words of a part of the sample are held, so that only one model is there at a time
+        held = [(part.column(0), part.column(2), tokens(part, 1)) for batch in batches for part in tx.slices(batch, "text")]
+        found = [[] for _ in held]
+        for d in DISCOUNTS if held else ():
+            model = counts.value.model(*d)
+            for features, (_, _, words) in zip(found, held, strict=True):
+                features.append(run_means(model, *words))
+            del model
+        for features, (ids, y, _) in zip(found, held, strict=True):
+            f = np.column_stack(features)
+            yield pa.RecordBatch.from_arrays([ids, y, pa.FixedSizeListArray.from_arrays(pa.array(f.ravel()), f.shape[1]).cast(pa.list_(pa.float64()))], ["id", "y", "f"])
 
     return run
 
