@@ -88,7 +88,7 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
     )
 
 
-KEPT = 600_000
+KEPT = 400_000
 #: between matches that are encoded together; no character of the byte table
 _BETWEEN = 0xE000
 
@@ -299,7 +299,7 @@ def _encode(source, pattern: str, offsets: bool):
                         names.append(name)
                 yield pa.RecordBatch.from_arrays(fields, names)
 
-    return run
+    return tx.released(run)
 
 
 def _decode(source, pattern: str):
@@ -311,7 +311,7 @@ def _decode(source, pattern: str):
                 [batch.column(0), pa.array(raw, pa.binary()), pa.array([r.decode("utf-8", "replace") for r in raw], pa.string())], ["id", "bytes", "text"]
             )
 
-    return run
+    return tx.released(run)
 
 
 def sources(spark: SparkSession, ranks_path: str, pattern: str):
@@ -362,7 +362,7 @@ def _digests(source, pattern: str, with_ids: bool):
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(fields, names)
 
-    return run
+    return tx.released(run)
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col="doc_id", text_col="text", ids: bool = False) -> DataFrame:

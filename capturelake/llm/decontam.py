@@ -168,7 +168,7 @@ def _search(items, least: float, text: str = "text", at_column: int = 1, only: b
                         pa.schema([("id", pa.int64()), ("item", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("distance", pa.int32()), ("similarity", pa.float64())]),
                     )
 
-    return run
+    return tx.released(run)
 
 
 def _found(it: Items, words: tx.Words, first: np.ndarray, length: int, least: float):
@@ -234,7 +234,7 @@ def _spread(k: int):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[2] for x in found]).view(np.int64)), pa.array(np.full(sum(len(x[2]) for x in found), 0, np.int32))], ["g", "items"])
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(1, np.int64)), pa.array(np.array([len(found)], np.int32))], ["g", "items"])
 
-    return run
+    return tx.released(run)
 
 
 def sent_items(benchmark: DataFrame, shingle_words: int, least: float, item_col: str, item_text: str) -> list:

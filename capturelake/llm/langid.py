@@ -98,6 +98,7 @@ def features(text: str | None):
         yield grams(np.append(tail, np.uint32(32)), len(tail))
 
 
+@tx.released
 def _counted(batches):
     """id, lang, and the sparse counts of the features of labelled texts."""
     for batch in batches:
@@ -194,7 +195,7 @@ def _predicted(model):
                 found = [model.value.predict(t) if model else ("und", 0.0) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["id", "lang_pred", "score"])
 
-    return run
+    return tx.released(run)
 
 
 class LanguageId:

@@ -86,7 +86,7 @@ def _sketch(shingle_words: int):
                     ["id", "digest", "n_shingles", "mark0", "mark1", "sig"],
                 )
 
-    return run
+    return tx.released(run)
 
 
 def _sets(shingle_words: int):
@@ -98,7 +98,7 @@ def _sets(shingle_words: int):
                 lists = pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), pa.array(sets.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists.cast(pa.list_(pa.int64()))], ["class", "shingles"])
 
-    return run
+    return tx.released(run)
 
 
 def least_matches(threshold: float, miss: float, batch: int = BATCH, n_hashes: int = HASHES) -> list[int]:
@@ -138,7 +138,7 @@ def _compare(bars: list[int], batch: int):
                 ["a", "b", "matches"],
             )
 
-    return run
+    return tx.released(run)
 
 
 def components(edges: DataFrame, work: Scratch, tag: str) -> DataFrame:

@@ -71,6 +71,7 @@ def hashed(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words.hash, last * 256 + prior, bounds
 
 
+@tx.released
 def _counts(batches):
     """Partial counts of words: h, tail, n."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -163,7 +164,7 @@ def _leaf_mass(vocabulary):
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))], ["leaf", "n"])
 
-    return run
+    return tx.released(run)
 
 
 def _code(vocabulary):
@@ -194,7 +195,7 @@ def _code(vocabulary):
                     ["row", "key", "id", "n_tokens", "base", "codes", "lost"],
                 )
 
-    return run
+    return tx.released(run)
 
 
 CODED = "row long, key long, id long, n_tokens long, base double, codes binary, lost array<long>"
@@ -419,9 +420,10 @@ def _train(weights):
                 [pa.array(range(CHUNKS), pa.int32()), pa.array([TaskContext.get().partitionId()] * CHUNKS, pa.int32()), pa.array([tokens] * CHUNKS), pa.array([x.tobytes() for x in parts], pa.binary())], ["chunk", "task", "n", "v"]
             )
 
-    return run
+    return tx.released(run)
 
 
+@tx.released
 def _averaged(batches):
     """The mean weights of each chunk."""
     total: dict[int, np.ndarray] = {}
@@ -447,7 +449,7 @@ def _score(weights):
                 score = batch.column(2).to_numpy() + np.concatenate(scores)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(tokens)), pa.array(score)], ["row", "id", "n_tokens", "log_prob"])
 
-    return run
+    return tx.released(run)
 
 
 class PseudoLikelihood:

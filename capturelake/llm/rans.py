@@ -229,7 +229,7 @@ def _write(source, pattern: str, end_id: int, folder: str):
         if held:
             yield flush()
 
-    return run
+    return tx.released(run)
 
 
 NO_ID = -(1 << 63)
@@ -260,7 +260,7 @@ def read_tokens(spark: SparkSession, work: Scratch, handle, kind: str) -> DataFr
                 n = len(s.doc_ids)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, int(part))), *got.values()], ["partition", *got])
 
-    return files.mapInArrow(run, f"partition long, {kind}")
+    return files.mapInArrow(tx.released(run), f"partition long, {kind}")
 
 
 def _digest(ids, segment):

@@ -7,6 +7,8 @@ hashed in pieces of about ``PIECE`` bytes, cut only between words.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +16,23 @@ import pyarrow as pa
 
 PIECE = 1 << 20
 
+
+def released(run):
+    """run over batches; what allocators of the worker still hold afterwards goes back to the system, as workers live on."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -66,6 +66,7 @@ def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return tx.mix(before * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
+@tx.released
 def _count(batches):
     """The different trigrams of labelled texts: label, their first word, before, word."""
     for batch in batches:
@@ -179,7 +180,7 @@ def _features(counts):
             f = np.column_stack(features)
             yield pa.RecordBatch.from_arrays([ids, y, pa.FixedSizeListArray.from_arrays(pa.array(f.ravel()), f.shape[1]).cast(pa.list_(pa.float64()))], ["id", "y", "f"])
 
-    return run
+    return tx.released(run)
 
 
 def _probabilities(model, weights, part: pa.RecordBatch, column: int) -> np.ndarray:
@@ -198,7 +199,7 @@ def _scores(model, weights):
             for part in tx.slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_probabilities(model, weights, part, 1))], ["id", "score"])
 
-    return run
+    return tx.released(run)
 
 
 def logistic(f: np.ndarray, y: np.ndarray, penalty: float = 0.05, steps: int = 60) -> np.ndarray:
@@ -288,7 +289,7 @@ class Toxicity:
                 for part in tx.slices(batch, text_col):
                     yield part.filter(pa.array(_probabilities(model, weights, part, at) < least))
 
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(tx.released(run), docs.schema)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -183,6 +183,20 @@ def test_codec_forgets_and_follows_other_patterns(monkeypatch):
             assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [enc.encode_ordinary(t or "") for t in texts]
 
 
+def test_bpe_of_no_rows_repeated_rows_and_very_long_texts(spark):
+    import tiktoken
+
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    assert bpe.round_trip(docs_of(spark, []), path, pattern).count() == 0 and bpe.encode(docs_of(spark, []), path, pattern).count() == 0
+    long = " ".join(f"wörd{k % 9000} x{k}" for k in range(400_000))
+    rows = [(1, "a b"), (1, "a b"), (None, "c"), (2, long)]
+    got = bpe.round_trip(spark.createDataFrame(rows, "doc_id long, text string"), path, pattern).collect()
+    assert sorted((r["doc_id"] or -1, r["n_tokens"]) for r in got) == [(-1, 1), (1, 2), (1, 2), (2, len(want := enc.encode_ordinary(long)))]
+    (r,) = [r for r in got if r["doc_id"] == 2]
+    assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest() and r["decoded_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+
+
 # 3: quality
 
 

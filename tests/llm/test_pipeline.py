@@ -61,6 +61,28 @@ def test_stages_against_brute_force(spark, tmp_path):
         assert r["decoded_sha256"] == hashlib.sha256((kept["personal_data"][i]["text"] or "").encode()).hexdigest() and r["n_tokens"] == len(r["ids"])
 
 
+def test_stages_take_extra_columns_and_odd_rows(spark, tmp_path):
+    """Columns with names that operators use inside, repeated and null ids with different texts."""
+    sf = str(tmp_path / "sf")
+    write(spark, sf)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rng = random.Random(12)
+    one, two = prose(rng, 80, 9000), prose(rng, 80, 9000)
+    odd = [(7000, one, "en", "s", 1), (7000, two, "en", "s", 1), (7000, two, "en", "s", 1), (None, one, None, None, None), (None, "alone " + prose(rng, 80, 9000), None, None, None), (7001, "x " * 200_000, None, None, None)]
+    docs = spark.createDataFrame(odd, docs.schema)
+    for name in ("id", "row", "component", "key", "matches", "score", "sig", "kept", "ids", "digest", "class"):
+        docs = docs.withColumn(name, F.lit("other"))
+    docs.write.parquet(str(tmp_path / "odd"))
+    docs = spark.read.parquet(str(tmp_path / "odd"))
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, sf).write.parquet(str(tmp_path / f"s{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"s{k}"))
+        if name == "near_duplicates":
+            found = sorted((r["doc_id"] or -1, (r["text"] or "")[:20]) for r in docs.collect())
+            assert found == sorted([(7000, one[:20]), (7000, two[:20]), (-1, odd[4][1][:20]), (7001, odd[5][1][:20])])
+    assert docs.count() == 4
+
+
 def test_run_on_empty_tables(spark, tmp_path):
     sf = str(tmp_path / "sf")
     write(spark, f"{sf}-full")
