@@ -278,7 +278,7 @@ def codec(source: tuple[str, bytes | None], pattern: str) -> Codec:
 
 
 #: bytes of text that are encoded together
-SLICE = 4 * tx.PIECE
+SLICE = 3 * tx.PIECE // 2
 
 
 def _lists(values: np.ndarray, bounds: np.ndarray, kind) -> pa.Array:

@@ -139,6 +139,7 @@ def gather(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.n
     """flat[first[i] : first[i] + sizes[i]] of every i, joined, and where each ends."""
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
-    at = np.repeat(first - (ends - sizes), sizes)
-    at += np.arange(total)
-    return flat[at], ends
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    at = np.repeat((first - (ends - sizes)).astype(kind), sizes)
+    at += np.arange(total, dtype=kind)
+    return flat.take(at), ends
