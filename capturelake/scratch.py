@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,7 +41,12 @@ def qualified(spark: SparkSession, folder: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package where it isn't installed on them."""
+    """Let Python workers import this package where it isn't installed on them, and send them rows in batches that suit whole texts.
+
+    Spark's default of 10,000 rows a batch is held several times over by executor and worker; another setting stays.
+    """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "2000")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
