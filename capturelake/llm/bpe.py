@@ -88,7 +88,7 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
     )
 
 
-KEPT = 400_000
+KEPT = 250_000
 #: between matches that are encoded together; no character of the byte table
 _BETWEEN = 0xE000
 
