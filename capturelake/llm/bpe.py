@@ -88,7 +88,7 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
     )
 
 
-KEPT = 250_000
+KEPT = 1_000_000
 #: between matches that are encoded together; no character of the byte table
 _BETWEEN = 0xE000
 
@@ -129,44 +129,66 @@ class Codec:
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[bytes, int] = {}
+        # of the kept matches: hashes, bytes, ids, and whether one was used since the last clearing
+        self.table = tx.Table(np.zeros(0, np.uint64))
+        self.raw, self.raw_at, self.raw_sizes = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat, self.at, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.used = np.zeros(0, bool)
 
     def _room(self) -> None:
         """Matches that were not used since the last time go when many are kept."""
-        if len(self.slot) > KEPT:
-            kept = [(p, i) for p, i in self.slot.items() if self.used[i]]
-            if len(kept) > KEPT // 2:
+        if len(self.used) > KEPT:
+            old = np.flatnonzero(self.used)
+            if len(old) > KEPT // 2:
                 self._forget()
                 return
-            old = np.array([i for _, i in kept], np.int64)
-            self.flat, ends = split.gather(self.flat, self.at[old], self.sizes[old])
-            self.sizes = self.sizes[old]
-            self.at = ends - self.sizes
-            self.slot = {p: k for k, (p, _) in enumerate(kept)}
-            self.used = np.zeros(len(kept), bool)
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Asks the library for matches that are not kept, all in one call."""
-        sizes = np.array([len(p) for p in new], np.int64)
-        raw = np.frombuffer(b"".join(new), np.uint8)
-        points = np.full(len(raw) + len(new), _BETWEEN, np.uint32)
+            self.table = tx.Table(self.table.keys[old])
+            for text, at, sizes in (("raw", "raw_at", "raw_sizes"), ("flat", "at", "sizes")):
+                joined, ends = split.gather(getattr(self, text), getattr(self, at)[old], getattr(self, sizes)[old])
+                setattr(self, text, joined)
+                setattr(self, sizes, getattr(self, sizes)[old])
+                setattr(self, at, ends - getattr(self, sizes))
+            self.used = np.zeros(len(old), bool)
+
+    def _known(self, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """The places of different matches among the kept ones, after the library has been asked for those that are new."""
+        sizes, keys = np.diff(offs), tx.byte_hashes(raw, offs)
+        place = self.table.find(keys).astype(np.int64)
+        here = np.flatnonzero(place >= 0)
+        # a hash finds a match, its bytes decide
+        here = here[self.raw_sizes[place[here]] == sizes[here]]
+        if len(here):
+            mine, ends = split.gather(raw, offs[here], sizes[here])
+            kept, _ = split.gather(self.raw, self.raw_at[place[here]], sizes[here])
+            here = here[~np.logical_or.reduceat(mine != kept, ends - sizes[here])]
+        new = np.ones(len(sizes), bool)
+        new[here] = False
+        new = np.flatnonzero(new)
+        if len(new):
+            place[new] = len(self.used) + np.arange(len(new))
+            some, ends = split.gather(raw, offs[new], sizes[new])
+            self._learn(some, sizes[new], keys[new])
+        return place
+
+    def _learn(self, raw: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> None:
+        """Asks the library for matches, all in one call, and keeps them."""
+        ends = np.cumsum(sizes)
+        points = np.full(len(raw) + len(sizes), _BETWEEN, np.uint32)
         here = np.ones(len(points), bool)
         here[np.cumsum(sizes + 1) - 1] = False
         points[here] = self.shown[raw]
         encoding = self.apart.encode_batch_fast([points.tobytes().decode("utf-32-le")], add_special_tokens=False)[0]
         ids = np.array(encoding.ids, np.uint32)
         reach = np.concatenate([[0], np.cumsum(self.lengths[ids])])
-        cuts = np.searchsorted(reach, np.concatenate([[0], np.cumsum(sizes)]))
-        if reach[-1] != len(raw) or not np.array_equal(reach[cuts[1:]], np.cumsum(sizes)):
+        cuts = np.searchsorted(reach, np.concatenate([[0], ends]))
+        if reach[-1] != len(raw) or not np.array_equal(reach[cuts[1:]], ends):
             raise ValueError("the model does not give back the bytes of its matches")
-        n, base = len(self.slot), len(self.flat)
+        self.table.add(keys)
+        self.raw_at, self.raw_sizes = np.concatenate([self.raw_at, ends - sizes + len(self.raw)]), np.concatenate([self.raw_sizes, sizes])
+        self.raw = np.concatenate([self.raw, raw])
+        self.at, self.sizes = np.concatenate([self.at, cuts[:-1] + len(self.flat)]), np.concatenate([self.sizes, np.diff(cuts)])
         self.flat = np.concatenate([self.flat, ids])
-        self.at = np.concatenate([self.at, cuts[:-1] + base])
-        self.sizes = np.concatenate([self.sizes, np.diff(cuts)])
-        self.used = np.concatenate([self.used, np.zeros(len(new), bool)])
-        self.slot.update(zip(new, range(n, n + len(new)), strict=True))
+        self.used = np.concatenate([self.used, np.zeros(len(sizes), bool)])
 
     def _cut(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First byte and end of every match."""
@@ -201,12 +223,8 @@ class Codec:
                 edges = np.append(start, end[-1])
             pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf))])
             coded = pieces.dictionary_encode()
-            every = coded.dictionary.to_pylist()
             self._room()
-            new = [p for p in every if p not in self.slot]
-            if new:
-                self._learn(new)
-            slot = np.fromiter(map(self.slot.__getitem__, every), np.int64, len(every))
+            slot = self._known(*tx.string_bytes(coded.dictionary))
             self.used[slot] = True
             code = coded.indices.to_numpy()
             ids, ends = split.gather(self.flat, self.at[slot][code], self.sizes[slot][code])

@@ -66,7 +66,7 @@ def string_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
         column = column.combine_chunks()
         if isinstance(column, pa.ChunkedArray):
             column = column.chunk(0) if column.num_chunks else pa.array([], pa.string())
-    if not pa.types.is_large_string(column.type):
+    if not (pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)):
         column = column.cast(pa.large_string())
     if column.null_count:
         column = column.fill_null("")
@@ -214,19 +214,34 @@ def lookup(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Places of different 64-bit keys that are hashes already: open addressing, at most a quarter full. Picklable."""
+    """Places of 64-bit keys that are hashes already: open addressing, at most half full. Picklable."""
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
-        self.bits = max(4, int(4 * max(len(keys), 1) - 1).bit_length())
+        self._build()
+
+    def _build(self) -> None:
+        self.bits = max(4, int(4 * max(len(self.keys), 1) - 1).bit_length())
         self.place = np.full(1 << self.bits, -1, np.int32)
-        slot = self._slot(keys)
-        wait = np.arange(len(keys))
+        self._insert(0)
+
+    def _insert(self, first: int) -> None:
+        wait = np.arange(first, len(self.keys))
+        slot = self._slot(self.keys[first:])
         while len(wait):
-            free = self.place[slot[wait]] < 0
-            self.place[slot[wait[free]]] = wait[free]
-            wait = wait[self.place[slot[wait]] != wait]
-            slot[wait] = (slot[wait] + 1) & ((1 << self.bits) - 1)
+            free = self.place[slot] < 0
+            self.place[slot[free]] = wait[free]
+            rest = self.place[slot] != wait
+            wait, slot = wait[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+
+    def add(self, keys: np.ndarray) -> None:
+        """More keys, at the places after those there are."""
+        n = len(self.keys)
+        self.keys = np.concatenate([self.keys, keys])
+        if 2 * len(self.keys) > len(self.place):
+            self._build()
+        else:
+            self._insert(n)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -244,3 +259,21 @@ class Table:
             out[open_] = at
             open_ = open_[(at >= 0) & (self.keys[at] != values[open_])]
         return out
+
+
+def byte_hashes(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """A hash of every run buf[offs[i]:offs[i + 1]]; runs are not empty."""
+    out = np.empty(len(offs) - 1, np.uint64)
+    at = 0
+    while at < len(out):
+        to = max(at + 1, int(np.searchsorted(offs, offs[at] + PIECE, "right")) - 1)
+        lo, hi = int(offs[at]), int(offs[to])
+        n = np.diff(offs[at : to + 1])
+        code = buf[lo:hi].astype(np.uint64)
+        code += np.uint64(1)
+        place = np.arange(hi - lo, dtype=np.int64)
+        place -= np.repeat(offs[at:to] - lo, n)
+        code *= _powers(int(n.max()) + 1)[place]
+        out[at:to] = mix(np.add.reduceat(code, offs[at:to] - lo) + n.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        at = to
+    return out
