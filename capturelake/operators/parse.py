@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.functions import dates, mime, urls
+from capturelake.operators import documents
 from capturelake.operators import html as page
 from capturelake.sources.webarchive import WebArchive
 
@@ -36,22 +37,24 @@ def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False) -> Dat
     text = F.when(charset.isin("iso-8859-1", "latin1", "windows-1252"), F.decode(small, "ISO-8859-1")).otherwise(F.try_validate_utf8(F.decode(small, "UTF-8")))
     rows = rows.withColumn("body", F.when(is_text, F.coalesce(text, F.decode(small, "ISO-8859-1"))))
     is_html = F.coalesce(F.col("detected.sub").contains("html"), F.lit(False))
-    rows = rows.withColumn("page", page.extract(F.when(is_html, F.col("body"))))
-    rows = rows.withColumn("targets", page.resolve(F.col("url"), F.transform("page.links", lambda x: x["to"])))
+    is_file = F.coalesce(F.col("detected.sub").isin("pdf", "zip"), F.lit(False))
+    rows = rows.withColumn("page", page.extract(F.when(is_html, F.col("body")))).withColumn("file", documents.extract(F.when(is_file, small)))
+    links = F.transform(F.concat("page.links", "file.links"), lambda x: x["to"])
+    rows = rows.withColumn("targets", page.resolve(F.col("url"), links))
     return rows.select(
         "filename",
         F.coalesce("payload_digest", urls.payload_digest(F.col("payload"))).alias("digest"),
         "url",
         F.coalesce("date", dates.parse(F.col("date_str"))).alias("date"),
-        F.col("page.title").alias("title"),
+        F.coalesce("page.title", "file.title").alias("title"),
         "length",
-        F.when(is_html, F.col("page.text")).otherwise(F.regexp_replace("body", r"[ \t\n\x0B\f\r]+", " ")).alias("content"),
+        F.when(is_html, F.col("page.text")).when(is_file, F.col("file.text")).otherwise(F.regexp_replace("body", r"[ \t\n\x0B\f\r]+", " ")).alias("content"),
         F.col("supplied").alias("suppliedContentType"),
         F.col("detected").alias("detectedContentType"),
         F.when(F.col("format") == "arc", None).otherwise(F.col("warc_type") == "revisit").alias("isRevisit"),
         page.outlinks(F.col("targets")).alias("outlinks"),
         "rec_seq",
-        F.coalesce("error", "page.error").alias("error"),
+        F.coalesce("error", "page.error", "file.error").alias("error"),
     )
 
 

@@ -14,7 +14,7 @@ from capturelake.api import Archive, IndexError_, UnparsedError
 from capturelake.config import Config, fields
 from capturelake.functions import dates, mime, text, urls
 from capturelake import schema
-from capturelake.operators import captures, extras, graph, html, parse, relevance, search
+from capturelake.operators import captures, documents, extras, graph, html, parse, relevance, search
 from capturelake.sources import export, records, webarchive
 from tests import archives
 
@@ -103,6 +103,45 @@ def test_arc_and_warc_agree(spark, tmp_path):
     assert {r["filename"] for r in parse.read_archives(spark, str(tmp_path)).where("filename = 'a.arc.gz' and status = 404").collect()} == {"a.arc.gz"}
 
 
+def a_pdf() -> bytes:
+    import zlib
+
+    shown = zlib.compress(b"BT /F1 12 Tf (Hello \\(PDF\\) ) Tj 0 -14 Td [(wor) 20 (ld) -300 (again)] TJ <414243> Tj ET")
+    return (
+        b"%%PDF-1.4\n1 0 obj << /Title (A \\351t\\351) /Author (x) >> endobj\n"
+        b"2 0 obj << /Type /Annot /A << /S /URI /URI (http://example.org/from-pdf) >> >> endobj\n"
+        b"3 0 obj << /Length %d /Filter /FlateDecode >>\nstream\n" % len(shown) + shown + b"\nendstream endobj\n"
+        b"4 0 obj << /Length 30 >>\nstream\nBT (plain stream) Tj ET\nendstream endobj\n%%EOF"
+    )
+
+
+def a_docx() -> bytes:
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("word/document.xml", '<w:document xmlns:w="w"><w:body><w:p><w:r><w:t>Hel</w:t></w:r><w:r><w:t>lo</w:t></w:r></w:p><w:p><w:t>office</w:t></w:p></w:body></w:document>')
+        z.writestr("docProps/core.xml", '<c:p xmlns:c="c" xmlns:dc="d"><dc:title>T</dc:title></c:p>')
+        z.writestr("word/_rels/document.xml.rels", '<R xmlns="r"><Relationship Type="x/hyperlink" Target="http://example.org/from-docx" TargetMode="External"/></R>')
+    return out.getvalue()
+
+
+def test_files_of_documents():
+    assert documents.document(a_pdf()) == ("A été", "Hello (PDF) world againABC plain stream", [("http://example.org/from-pdf", "")], None)
+    assert documents.document(a_docx()) == ("T", "Hello office", [("http://example.org/from-docx", "")], None)
+    assert documents.document(b"PK\x03\x04 broken")[3].startswith("BadZipFile") and documents.document(None) == documents.document(b"other") == (None, None, [], None)
+    assert documents.document(b"%PDF-1.4 << /Encrypt 3 0 R >>")[3] == "the file is encrypted"
+
+
+def test_documents_in_archives(spark, tmp_path):
+    (tmp_path / "d.warc.gz").write_bytes(archives.warc([(f"http://h/{n}", "20080430204825", archives.http(200, t, b)) for n, t, b in (("p", "application/pdf", a_pdf()), ("o", "application/zip", a_docx()), ("bad", "application/zip", b"PK\x03\x04 broken"))]))
+    got = {r["url"][-1]: r for r in parse.parse(parse.read_archives(spark, f"{tmp_path}/d.warc.gz")).collect()}
+    assert (got["p"]["title"], got["p"]["content"][:11], len(got["p"]["outlinks"])) == ("A été", "Hello (PDF)", 1)
+    assert (got["o"]["content"], len(got["o"]["outlinks"])) == ("Hello office", 1)
+    assert got["d"]["content"] is None and got["d"]["error"].startswith("BadZipFile")
+
+
 def test_json_files(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(archives.warc(RECORDS))
     got = parse.parse(parse.read_archives(spark, str(tmp_path / "a.warc.gz")))
