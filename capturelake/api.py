@@ -137,15 +137,19 @@ class Archive:
             new = [r.path for r in parse.unparsed(requested, self._log()).collect()]
             if not new:
                 return self.spark.createDataFrame([], PARSE_LOG)
-            raw = parse.read_archives(self.spark, ",".join(new), self.config.parse_mode, status=200)
-            # read once: what the log needs is written with the records
-            parsed = parse.parse(raw, self.config.strict_mime, damage=True)
-            parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("filename").parquet(f"{self.base}/parsed")
             names = self.spark.createDataFrame([(name_of(x),) for x in new], "arcname string")
-            written = self._parsed([name_of(x) for x in new])
-            self._append_log(parse.parse_log(requested.join(F.broadcast(names), "arcname", "left_semi"), written))
+            for at in range(0, len(new), self.config.archives_per_job):
+                self._parse_some(requested, new[at : at + self.config.archives_per_job])
             return self._log().join(F.broadcast(names), "arcname", "left_semi")
 
+    def _parse_some(self, requested: DataFrame, paths: Sequence[str]) -> None:
+        """One job: the archives are read once, and what the log needs is written with their records."""
+        raw = parse.read_archives(self.spark, ",".join(paths), self.config.parse_mode, status=200)
+        parsed = parse.parse(raw, self.config.strict_mime, damage=True)
+        parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("filename").parquet(f"{self.base}/parsed")
+        names = self.spark.createDataFrame([(name_of(x),) for x in paths], "arcname string")
+        self._append_log(parse.parse_log(requested.join(F.broadcast(names), "arcname", "left_semi"), self._parsed([name_of(x) for x in paths])))
+
     def _folder(self, arcname: str) -> str:
         return f"parsed/filename={self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(arcname)}"
 
@@ -311,7 +315,8 @@ class Archive:
             parts = self._parts()
             if parts:
                 work = Scratch(self.spark, "fields")
-                ids = work.save(self.search(query).select("id"), "ids")
+                hits = self._hits(parts, query)
+                ids = work.save((self.search(query) if hits is None else hits).select("id"), "ids")
                 mark = ids.withColumn("__hit", F.lit(True))
                 parts = self._changed(parts, ids, lambda d: captures.set_fields(d.join(mark, "id", "left"), F.col("__hit").isNotNull(), fields).drop("__hit"))
                 self._commit(parts)
@@ -331,13 +336,25 @@ class Archive:
             raise IndexError_("nothing is indexed")
         return captures.view(*now)
 
+    def _hits(self, parts: list[dict], query: str) -> DataFrame | None:
+        """The documents, without their arrays, that a query on fields of documents matches; None if it names others."""
+        docs, occurrences = self._tables(parts)
+        if search.fields_of(captures.view(docs, occurrences), query) & set(captures.MERGED):
+            return None
+        terms = self.spark.read.parquet(*[f"{self.base}/index/{p['name']}/terms" for p in parts])
+        return search.search_indexed(docs, terms, query)
+
     def search(self, query: str) -> DataFrame:
-        """Documents that a query matches; text clauses read the inverted index."""
+        """Documents that a query matches; text clauses read the inverted index, and arrays are made for hits alone."""
         parts = self._parts()
         if not parts:
             return search.search(self.documents(), query)
+        docs, occurrences = self._tables(parts)
+        hits = self._hits(parts, query)
+        if hits is not None:
+            return captures.view(hits, occurrences.join(hits.select("id"), "id", "left_semi"))
         terms = self.spark.read.parquet(*[f"{self.base}/index/{p['name']}/terms" for p in parts])
-        return search.search_indexed(captures.view(*self._tables(parts)), terms, query)
+        return search.search_indexed(captures.view(docs, occurrences), terms, query)
 
     def get(self, url: str) -> DataFrame:
         """The documents of a URL in any form."""

@@ -16,6 +16,7 @@ class Config:
     commit_retries: int = 10
     retry_seconds: float = 1.0
     lock_seconds: float = 3600.0
+    archives_per_job: int = 500
     docs_per_page: int = 10_000
     ids_per_page: int = 100_000
 

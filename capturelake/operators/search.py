@@ -37,6 +37,8 @@ class Search:
         self.types, self.default = dict(zip(df.columns, (f.dataType for f in df.schema.fields), strict=True)), default_field
         # text clauses to look up: field, value, whether it is a phrase
         self.indexed, self.clauses = indexed, []
+        # fields that a compiled query reads
+        self.used: set[str] = set()
 
     def compile(self, query: str) -> Column:
         self.tokens = self._split(query)
@@ -131,6 +133,7 @@ class Search:
         name = COPIED.get(field, field)
         if name not in self.types:
             raise QueryError(f"no field {field!r}")
+        self.used.add(name)
         return F.col(f"`{name}`"), self.types[name]
 
     def term(self, field: str, value: str, phrase: bool = False) -> Column:
@@ -211,6 +214,13 @@ def clause_hits(terms: DataFrame, field: str, value: str, phrase: bool) -> DataF
     return held.where(F.exists("p0", follows)).select("id")
 
 
+def fields_of(df: DataFrame, query: str, default_field: str = "content") -> set[str]:
+    """The fields of df that a query reads."""
+    s = Search(df, default_field, indexed=True)
+    s.compile(query)
+    return s.used
+
+
 def search_indexed(df: DataFrame, terms: DataFrame, query: str, default_field: str = "content") -> DataFrame:
     """search(), with the text clauses looked up in an inverted index of df's documents."""
     s = Search(df, default_field, indexed=True)
@@ -247,6 +257,25 @@ def page_after(df: DataFrame, field: str, last, rows: int) -> DataFrame:
     return (df if last is None else df.where(F.col(field) > F.lit(last))).orderBy(field).limit(rows)
 
 
+class Cursor:
+    """The rows of a result in the order of a unique field, page by page; its length is the number of all rows."""
+
+    def __init__(self, df: DataFrame, field: str = "id", rows: int = 10_000):
+        self.df, self.field, self.rows = df, field, rows
+
+    def __len__(self) -> int:
+        return self.df.count()
+
+    def __iter__(self):
+        last = None
+        while True:
+            found = page_after(self.df, self.field, last, self.rows).collect()
+            yield from found
+            if len(found) < self.rows:
+                return
+            last = found[-1][self.field]
+
+
 def terms(df: DataFrame, field: str) -> DataFrame:
     """The distinct values of a field in order, of an array field those of its elements."""
     values = df.select(F.explode(field).alias(field)) if isinstance(df.schema[field].dataType, T.ArrayType) else df.select(field)

@@ -248,7 +248,7 @@ def crawls(spark, tmp_path):
     """An archive service with two parsed crawls that share a page."""
     for name, pages in (("A.warc.gz", ["one", "shared"]), ("B.warc.gz", ["shared", "two"])):
         (tmp_path / name).write_bytes(archives.warc([(f"http://example.org/{p}", "20080430204825", archives.http(200, "text/html", f"<body>{p} text".encode())) for p in pages]))
-    archive = Archive(spark, Config(str(tmp_path / "base"), retry_seconds=0.0))
+    archive = Archive(spark, Config(str(tmp_path / "base"), retry_seconds=0.0, archives_per_job=1))
     archive.parse([str(tmp_path / "A.warc.gz"), str(tmp_path / "B.warc.gz")])
     return archive
 
@@ -303,6 +303,10 @@ def test_changes_write_only_the_parts_they_touch(crawls):
     crawls.set_fields('url:"http://example.org/two"', {"tag": ["t"]})
     assert crawls._parts()[0]["name"] == first and crawls._parts()[1]["name"] != second
     assert crawls.search("tag:t").count() == 1
+    assert sorted(len(r["arcname"]) for r in crawls.search("text").collect()) == [1, 1, 2]
+    assert crawls.search("text AND arcname:B.warc.gz").count() == 2
+    with pytest.raises(search.QueryError):
+        crawls.search("nofield2:[1 TO 2]")
     assert {r["url"][-3:] for r in crawls.search('"two texts"').collect()} == {"two"} and crawls.search('content:"text two"').count() == 0
     crawls.remove(["B.warc.gz"])
     assert [p["name"] for p in crawls._parts()] == [first] and urls_of(crawls) == ["one", "shared"]
@@ -327,6 +331,23 @@ def test_long_bodies_are_read_through(tmp_path):
     assert next(webarchive.records(str(tmp_path / "b.warc.gz")))[12] is None
 
 
+def test_checked_mode_tells_wrong_content_from_broken_files(tmp_path):
+    data = archives.warc(RECORDS)
+    (tmp_path / "cut.warc.gz").write_bytes(data[:-30])
+    (tmp_path / "wrong.warc.gz").write_bytes(data + gzip.compress(b"WARC/1.0\r\nContent-Length: 99\r\n\r\nshort"))
+    (tmp_path / "plain.warc").write_bytes(b"nothing")
+    assert list(webarchive.records(str(tmp_path / "cut.warc.gz"), "CHECKED"))[-1][-1].startswith("EOFError")
+    assert list(webarchive.records(str(tmp_path / "plain.warc"), "CHECKED"))[-1][-1].startswith("Damaged")
+    with pytest.raises(webarchive.Damaged):
+        list(webarchive.records(str(tmp_path / "wrong.warc.gz"), "CHECKED"))
+
+
+def test_cursor(spark):
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(23)], "id long, v string")
+    cursor = search.Cursor(df, rows=5)
+    assert len(cursor) == 23 and [r["id"] for r in cursor] == list(range(23)) and list(search.Cursor(df.limit(0))) == []
+
+
 def test_other_stores_and_zip_entries(tmp_path):
     import zipfile
 
