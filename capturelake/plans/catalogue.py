@@ -206,16 +206,25 @@ _REQUESTED_SQL = "(values " + ", ".join(f"('{a}')" for a in _REQUESTED) + ") t(a
 
 @query("unparsed_archives", f"with {DOC} select arcname from {_REQUESTED_SQL} where arcname not in (select arcname from doc)")
 def unparsed_archives(spark, sf_dir):
-    requested = spark.createDataFrame([(a,) for a in _REQUESTED], "arcname string")
-    return requested.join(captures_doc(spark, sf_dir).select(F.col("filename").alias("arcname")).distinct(), "arcname", "left_anti")
+    requested = spark.createDataFrame([(a, a) for a in _REQUESTED], "arcname string, path string")
+    known = captures_doc(spark, sf_dir).select(F.col("filename").alias("arcname"), F.col("filename").alias("path")).distinct()
+    return parse.unparsed(requested, parse.parse_log(known, _parsed_doc(spark, sf_dir))).select("arcname")
+
+
+def _parsed_doc(spark, sf_dir):
+    return captures_doc(spark, sf_dir).select("filename", "url", "rec_seq", F.lit(None).cast("string").alias("error"))
 
 
 @query("empty_archives", f"with {DOC} select t.arcname, count(rec_seq) as n_records, case when count(rec_seq) = 0 then 'empty' else 'ok' end as status from {_REQUESTED_SQL} left join doc using (arcname) group by 1")
 def empty_archives(spark, sf_dir):
+    requested = spark.createDataFrame([(a, a) for a in _REQUESTED], "arcname string, path string")
+    return parse.parse_log(requested, _parsed_doc(spark, sf_dir)).select("arcname", "n_records", "status")
+
+
+@query("archives_without_records", f"with {DOC} select arcname from {_REQUESTED_SQL} where arcname not in (select arcname from doc)")
+def archives_without_records(spark, sf_dir):
     requested = spark.createDataFrame([(a,) for a in _REQUESTED], "arcname string")
-    found = captures_doc(spark, sf_dir).groupBy(F.col("filename").alias("arcname")).agg(F.count("*").alias("n"))
-    n = F.coalesce("n", F.lit(0))
-    return requested.join(found, "arcname", "left").select("arcname", n.alias("n_records"), F.when(n == 0, "empty").otherwise("ok").alias("status"))
+    return parse.without_records(requested, _parsed_doc(spark, sf_dir))
 
 
 _MIMES = [
@@ -384,6 +393,14 @@ def search_exact(spark, sf_dir):
     return _found(spark, sf_dir, "lang:de")
 
 
+@query("search_text_phrase", r"select conv_id || '-' || turn as id from conversations where regexp_matches(lower(text), '(^|[^\p{L}\p{N}])of[^\p{L}\p{N}]+the([^\p{L}\p{N}]|$)')")
+def search_text_phrase(spark, sf_dir):
+    """A phrase on an analysed field, looked up in an inverted index that is written first."""
+    docs = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("text").alias("content"))
+    terms_ = Scratch(spark, "terms").save(search.inverted(docs), "terms")
+    return search.search_indexed(docs, terms_, 'content:"of the"').select("id")
+
+
 @query("search_phrase", "select doc_id from documents where source = 'src3'")
 def search_phrase(spark, sf_dir):
     return _found(spark, sf_dir, 'source:"src3"')
