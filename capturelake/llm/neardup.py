@@ -42,6 +42,7 @@ from capturelake.llm import text as tx
 from capturelake.scratch import Scratch
 
 BANDS, ROWS, BATCH = 25, 5, 25
+SALTS = 32
 HASHES = BANDS * ROWS
 _A = tx.mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _B = tx.mix(np.arange(1001, HASHES + 1001, dtype=np.uint64))
@@ -266,9 +267,11 @@ class NearDuplicates:
         apart = self.work.save(apart.withColumn("shared", F.col("n") - F.size("extra")), "apart")
         if apart.isEmpty():
             return None
-        least = apart.groupBy("pivot").agg(F.min("n").alias("smallest"))
+        # a large group is dealt to several tasks
+        salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+        least = apart.groupBy("pivot").agg(F.min("n").alias("smallest")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         p, q = self.percent, 100 + self.percent
-        every = apart.join(least, "pivot").select(
+        every = apart.withColumn("salt", salt).join(least, ["pivot", "salt"]).select(
             "pivot",
             "id",
             "comp",
