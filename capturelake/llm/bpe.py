@@ -1,9 +1,9 @@
 """Byte-level BPE with the tokenizers library over Arrow batches.
 
 Method. A file of ranks (base64 token, rank on each line) becomes a tokenizers model:
-bytes are written as the 256 printable characters of the byte table, every split of a
-token into two tokens is a merge, in the order of the ranks, and texts are first split
-by the pattern. Encoding gives ids, and each token's span in bytes and in characters,
+bytes are written as the 256 printable characters of the byte table, each token is the
+merge of the two tokens that lower ranks make of its bytes, and texts are first split by
+the pattern. Encoding gives ids, and each token's span in bytes and in characters,
 from the lengths of the tokens and a byte-to-character map of the text. A token may
 end inside a character; its span in characters then covers that character. Decoding
 joins the bytes of the tokens by the reversed byte table; ids may be decoded in pieces,
@@ -57,6 +57,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def last_merge(ranks: dict[bytes, int], token: bytes, rank: int) -> tuple[bytes, bytes]:
+    """The two tokens that make a token: what merging its bytes by lower ranks leaves.
+
+    Merges within a token's span don't depend on what stands beside it, so this is the only way it comes about.
+    """
+    splits = [i for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
+    if len(splits) == 1:
+        return token[: splits[0]], token[splits[0] :]
+    parts = [token[i : i + 1] for i in range(len(token))]
+    while len(parts) > 2:
+        each = [ranks.get(a + b, rank) for a, b in zip(parts, parts[1:], strict=False)]
+        least = min(each)
+        if least >= rank:
+            raise ValueError(f"no two tokens make {token!r}")
+        i = each.index(least)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts[0], parts[1]
+
+
 def model_json(ranks: dict[bytes, int], pattern: str) -> str:
     """The tokenizers file of a BPE that gives the ids of these ranks."""
     table = byte_table()
@@ -64,13 +83,7 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
     def shown(token: bytes) -> str:
         return "".join(table[b] for b in token)
 
-    merges = []
-    for token, rank in ranks.items():
-        for i in range(1, len(token)):
-            a, b = token[:i], token[i:]
-            if a in ranks and b in ranks:
-                merges.append((rank, ranks[a], ranks[b], shown(a), shown(b)))
-    merges.sort()
+    merges = [(rank, *map(shown, last_merge(ranks, token, rank))) for token, rank in sorted(ranks.items(), key=lambda x: x[1]) if len(token) > 1]
     return json.dumps(
         {
             "version": "1.0",
@@ -83,7 +96,7 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
                 ],
             },
             "decoder": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False},
-            "model": {"type": "BPE", "vocab": {shown(t): r for t, r in ranks.items()}, "merges": [[a, b] for *_, a, b in merges], "ignore_merges": True, "byte_fallback": False},
+            "model": {"type": "BPE", "vocab": {shown(t): r for t, r in ranks.items()}, "merges": [[a, b] for _, a, b in merges], "ignore_merges": True, "byte_fallback": False},
         }
     )
 
