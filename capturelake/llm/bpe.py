@@ -101,7 +101,7 @@ def model_json(ranks: dict[bytes, int], pattern: str) -> str:
     )
 
 
-KEPT = 1_000_000
+KEPT = 300_000
 #: between matches that are encoded together; no character of the byte table
 _BETWEEN = 0xE000
 
@@ -309,7 +309,7 @@ def codec(source: tuple[str, bytes | None], pattern: str) -> Codec:
 
 
 #: bytes of text that are encoded together
-SLICE = 3 * tx.PIECE // 2
+SLICE = tx.PIECE
 
 
 def _lists(values: np.ndarray, bounds: np.ndarray, kind) -> pa.Array:
