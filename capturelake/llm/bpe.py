@@ -349,7 +349,9 @@ def sources(spark: SparkSession, ranks_path: str, pattern: str):
     """The model of a file of ranks, with the classes of the library that such files are made for."""
     ship(spark)
     classes = split.tiktoken_classes().tobytes() if pattern == split.PATTERN else None
-    return spark.sparkContext.broadcast((model_json(read_ranks(ranks_path), pattern), classes))
+    out = spark.sparkContext.broadcast((model_json(read_ranks(ranks_path), pattern), classes))
+    tx.release()
+    return out
 
 
 def file_source(spark: SparkSession, tokenizer_path: str, pattern: str):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +26,20 @@ def released(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            release()
 
     return wrapped
 
 
+def release() -> None:
+    """Gives what allocators hold without need back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -272,6 +272,9 @@ class Toxicity:
         self.model = counts.model(*self.discounts)
         self.sent = self.spark.sparkContext.broadcast(self.model)
         sent.unpersist()
+        # the driver needs the model's broadcast only
+        del counts, kept, contexts, seen, every
+        tx.release()
         work.drop("sample", "pairs", "words")
         return self
 
