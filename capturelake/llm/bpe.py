@@ -140,6 +140,8 @@ class Codec:
         self.name_first = np.cumsum(self.name_lengths) - self.name_lengths
         self.names = np.frombuffer(b"".join(names), np.uint8)
         self._forget()
+        del back, vocab, names
+        tx.release()
 
     def _forget(self) -> None:
         # of the kept matches: hashes, bytes, ids, and whether one was used since the last clearing
