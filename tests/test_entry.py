@@ -24,7 +24,8 @@ def copied(tmp_path):
 
 
 def run(copy, *args):
-    env = os.environ | {"PYTHONPATH": str(copy)}
+    # what the parent finds on its path, the child finds behind the copy
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([str(copy), *(p for p in sys.path if p and os.path.realpath(p) != os.path.realpath(ROOT))])}
     return subprocess.run([sys.executable, *args], cwd=copy, capture_output=True, text=True, timeout=900, env=env)
 
 
