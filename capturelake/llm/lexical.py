@@ -203,7 +203,7 @@ def load(row: dict) -> Shard:
     packed, n = np.frombuffer(_open(row["bits"]), np.uint8), len(impacts)
     size = -(-n // 8)
     levels = max(0, row["n_docs"] - 1).bit_length()
-    bits = [np.unpackbits(packed[i * size : (i + 1) * size], count=n).astype(np.int64) for i in range(levels)]
+    bits = [np.unpackbits(packed[i * size : (i + 1) * size], count=n) for i in range(levels)]
     return Shard(np.frombuffer(_open(row["ids"]), "<i8"), terms, counts, impacts, bits)
 
 
