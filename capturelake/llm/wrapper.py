@@ -280,9 +280,14 @@ def _texts(nodes: list[list], mark: str, inside: bool = False) -> int:
     return total
 
 
+def _differs(slot: list) -> bool:
+    """Whether a slot's texts differ; one text alone may."""
+    return slot[5] == -1 or slot[4] == 1
+
+
 def _mass(nodes: list[list]) -> tuple[float, list | None]:
     """The node whose own slots, and half of those one level down, have most characters that differ and are no links."""
-    own = sum(x[2] - x[3] for x in nodes if x[0] == "#" and x[5] == -1)
+    own = sum(x[2] - x[3] for x in nodes if x[0] == "#" and _differs(x))
     best: tuple[float, list | None] = (0.0, None)
     for x in nodes:
         if x[0] == "(" or x[0] != "#" and mark_of(x[0]) not in ("out", "head"):
@@ -290,7 +295,7 @@ def _mass(nodes: list[list]) -> tuple[float, list | None]:
             if found is None or mass <= 0:
                 continue
             best = max(best, (mass, found), key=lambda t: t[0])
-    near = sum(sum(y[2] - y[3] for y in x[3] if y[0] == "#" and y[5] == -1) for x in nodes if x[0] != "#" and (x[0] == "(" or mark_of(x[0]) not in ("out", "head")))
+    near = sum(sum(y[2] - y[3] for y in x[3] if y[0] == "#" and _differs(y)) for x in nodes if x[0] != "#" and (x[0] == "(" or mark_of(x[0]) not in ("out", "head")))
     here = own + near
     return (here, nodes) if here >= best[0] and here > 0 else best
 
@@ -307,7 +312,7 @@ def chosen(nodes: list[list]) -> list:
         for x in level:
             if x[0] == "#":
                 # where nothing is marked, a text that never differs is part of the template
-                made.append(["#", int(inside and not out and (bool(kind) or x[5] == -1 or x[4] == 1))])
+                made.append(["#", int(inside and not out and (bool(kind) or _differs(x)))])
             elif x[0] == "(":
                 made += walk(x[3], inside, out)
             else:
