@@ -133,7 +133,7 @@ class Archive:
     def parse(self, paths: Sequence[str]) -> DataFrame:
         """Parses the archives that aren't parsed yet; gives their log."""
         with wrapped(ParseError):
-            requested = self.spark.createDataFrame([(name_of(x), x) for p in paths for x in locations(p)], "arcname string, path string").dropDuplicates(["arcname"])
+            requested = self.spark.createDataFrame([(name_of(x), x) for p in paths for x in locations([p])], "arcname string, path string").dropDuplicates(["arcname"])
             new = [r.path for r in parse.unparsed(requested, self._log()).collect()]
             if not new:
                 return self.spark.createDataFrame([], PARSE_LOG)
@@ -144,7 +144,7 @@ class Archive:
 
     def _parse_some(self, requested: DataFrame, paths: Sequence[str]) -> None:
         """One job: the archives are read once, and what the log needs is written with their records."""
-        raw = parse.read_archives(self.spark, ",".join(paths), self.config.parse_mode, status=200)
+        raw = parse.read_archives(self.spark, list(paths), self.config.parse_mode, status=200)
         parsed = parse.parse(raw, self.config.strict_mime, damage=True)
         parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("filename").parquet(f"{self.base}/parsed")
         names = self.spark.createDataFrame([(name_of(x),) for x in paths], "arcname string")

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.functions import dates, mime, urls
 from capturelake.operators import documents
 from capturelake.operators import html as page
-from capturelake.sources.webarchive import WebArchive
+from capturelake.sources.webarchive import SPLIT_BYTES, WebArchive
 
 
-def read_archives(spark: SparkSession, path: str, mode: str = "PERMISSIVE", status: int | None = None) -> DataFrame:
-    """Records of archives, with a status only those that have it and the rows of damage."""
+def read_archives(spark: SparkSession, path: str | Sequence[str], mode: str = "PERMISSIVE", status: int | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Records of archives, with a status only those that have it and the rows of damage; larger files are read by several tasks."""
     spark.dataSource.register(WebArchive)
     # the source takes filters on file names and statuses
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    reader = spark.read.format("webarchive").option("mode", mode).option("maxBytes", page.MOST_BYTES)
-    return (reader if status is None else reader.option("status", status)).load(path)
+    reader = spark.read.format("webarchive").option("mode", mode).option("maxBytes", page.MOST_BYTES).option("splitBytes", split_bytes)
+    reader = reader if status is None else reader.option("status", status)
+    return reader.load(path) if isinstance(path, str) else reader.option("locations", json.dumps(list(path))).load()
 
 
 def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False) -> DataFrame:

@@ -15,6 +15,7 @@ from capturelake.functions import dates, mime, text, urls
 from capturelake.operators import captures, facets, graph, html, lang, parse, relevance, search
 from capturelake.scratch import Scratch
 from capturelake.sources import export
+from capturelake.sources.webarchive import WebArchive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -511,24 +512,22 @@ def extract_outlinks(spark, sf_dir):
     return rows.select("page_id", F.size("targets").cast("bigint").alias("n_links"), F.size("fps").cast("bigint").alias("n_targets"), F.element_at("fps", 1).alias("least_fp"))
 
 
-@query(
-    "parse_archives",
-    rf"""with p as (
+_PARSED_SQL = rf"""with p as (
       select page_id, url, html, replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&') as title,
              {_BASE32} as digest from pages
     ), {_LINKS}, n as (select page_id, count(distinct {canonical_sql("target")}) as n_outlinks from l group by page_id)
     select concat('crawl-', cast(page_id % 4 as varchar), '.warc.gz') as filename, url, digest,
            timestamp '2023-11-14 22:13:20' + to_seconds(page_id) as date, title, 'text/html' as mediatype, 'html' as mediagroup, coalesce(n_outlinks, 0) as n_outlinks
-    from p left join n using (page_id)""",
-)
-def parse_archives(spark, sf_dir):
-    """Pages written as archives, read back by the archive source and parsed: only what the files hold is used."""
-    pages = captures_page(spark, sf_dir)
-    work = Scratch(spark, "archives")
-    # each page has a copy that was not found, which parsing leaves out
-    rows = pages.select("filename", "url", F.timestamp_seconds(F.lit(1700000000) + F.col("rec_seq")).alias("date"), F.explode(F.array(F.lit(200), F.lit(404))).alias("status"), F.col("content_type"), F.encode("html", "UTF-8").alias("payload"), "rec_seq")
-    files = sorted(r["filename"] for r in export.write_warcs(rows, work.path("files")).collect())
-    parsed = parse.parse(parse.read_archives(spark, ",".join(f"{work.path('files')}/{f}" for f in files), "FAILFAST", status=200))
+    from p left join n using (page_id)"""
+
+
+def _page_captures(spark, sf_dir):
+    """Pages as captures to write; each has a copy that was not found, which parsing leaves out."""
+    date = F.timestamp_seconds(F.lit(1700000000) + F.col("rec_seq")).alias("date")
+    return captures_page(spark, sf_dir).select("filename", "url", date, F.explode(F.array(F.lit(200), F.lit(404))).alias("status"), F.col("content_type"), F.encode("html", "UTF-8").alias("payload"), "rec_seq")
+
+
+def _parsed_pages(parsed):
     return parsed.select(
         "filename",
         "url",
@@ -541,6 +540,33 @@ def parse_archives(spark, sf_dir):
     )
 
 
+@query("parse_archives", _PARSED_SQL)
+def parse_archives(spark, sf_dir):
+    """Pages written as archives, read back by the archive source and parsed: only what the files hold is used."""
+    work = Scratch(spark, "archives")
+    files = sorted(r["filename"] for r in export.write_warcs(_page_captures(spark, sf_dir), work.path("files")).collect())
+    return _parsed_pages(parse.parse(parse.read_archives(spark, [f"{work.path('files')}/{f}" for f in files], "FAILFAST", status=200)))
+
+
+@query("parse_archives_split", _PARSED_SQL)
+def parse_archives_split(spark, sf_dir):
+    """The same archives, each read by about 16 tasks."""
+    work = Scratch(spark, "archives")
+    sizes = [r["n_bytes"] for r in export.write_warcs(_page_captures(spark, sf_dir), work.path("files"), sizes=True).collect()]
+    split = max(1 << 12, max(sizes, default=0) // 16)
+    return _parsed_pages(parse.parse(parse.read_archives(spark, work.path("files"), "FAILFAST", status=200, split_bytes=split)))
+
+
+@query("write_archives", _PARSED_SQL)
+def write_archives(spark, sf_dir):
+    """The same captures, written by the archive source itself, which publishes files when all tasks have ended."""
+    spark.dataSource.register(WebArchive)
+    work = Scratch(spark, "archives")
+    rows = _page_captures(spark, sf_dir).repartition("filename").sortWithinPartitions("filename", "rec_seq")
+    rows.write.format("webarchive").mode("append").save(work.path("files"))
+    return _parsed_pages(parse.parse(parse.read_archives(spark, work.path("files"), "FAILFAST", status=200)))
+
+
 _BLOCKS = "|".join(sorted(html.BLOCKS))
 
 

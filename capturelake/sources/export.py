@@ -21,8 +21,8 @@ def record(url: str, date: str, message: bytes, digest: str | None = None) -> by
     return gzip.compress(head.encode() + message + b"\r\n\r\n", mtime=0)
 
 
-def write_warcs(captures: DataFrame, folder: str) -> DataFrame:
-    """Writes (filename, url, date, status, content_type, payload, rec_seq) as ``<folder>/<filename>``; gives (filename, n_records).
+def write_warcs(captures: DataFrame, folder: str, sizes: bool = False) -> DataFrame:
+    """Writes (filename, url, date, status, content_type, payload, rec_seq) as ``<folder>/<filename>``; gives (filename, n_records), with sizes n_bytes too.
 
     folder is a whole URI. Rows of a file meet in one task, sorted by rec_seq, and are streamed to it under a
     temporary name, so memory doesn't grow with a file and a task that runs again leaves the same one.
@@ -36,9 +36,14 @@ def write_warcs(captures: DataFrame, folder: str) -> DataFrame:
         fs.create_dir(root, recursive=True)
 
         def done():
+            size = out.tell()
             out.close()
-            fs.move(draft, f"{root}/{name}")
-            return pd.DataFrame({"filename": [name], "n_records": [n]})
+            target = f"{root}/{name}"
+            # a task that runs again finds its file there, and not every store replaces it
+            if fs.get_file_info(target).type != pafs.FileType.NotFound:
+                fs.delete_file(target)
+            fs.move(draft, target)
+            return pd.DataFrame({"filename": [name], "n_records": [n]} | ({"n_bytes": [size]} if sizes else {}))
 
         for pdf in batches:
             for r in pdf.itertuples(index=False):
@@ -53,4 +58,4 @@ def write_warcs(captures: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             yield done()
 
-    return rows.repartition("filename").sortWithinPartitions("filename", "rec_seq").mapInPandas(run, "filename string, n_records long")
+    return rows.repartition("filename").sortWithinPartitions("filename", "rec_seq").mapInPandas(run, "filename string, n_records long" + ", n_bytes long" * sizes)
