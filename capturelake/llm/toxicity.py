@@ -91,7 +91,7 @@ class Counts:
     """The counts of both classes as arrays; picklable. model() applies discounts."""
 
     def __init__(self, words: pa.Table, pairs: pa.Table, contexts: pa.Table, size: int, totals: list[int]):
-        """Words and pairs above LEAST, contexts of such pairs, the number of all words and the sums of M."""
+        """Words and pairs above LEAST and the words of such pairs, their contexts, the number of all words and the sums of M."""
         at = np.argsort(_u64(words["w"]))
         self.word, self.m = _u64(words["w"])[at], _pair(words, ("m0", "m1"), at)
         at = np.argsort(_u64(contexts["u"]))
@@ -99,6 +99,7 @@ class Counts:
         key = pair_key(_u64(pairs["u"]), _u64(pairs["w"]))
         at = np.argsort(key)
         self.pair, self.n_pair = key[at], _pair(pairs, ("n0", "n1"), at)
+        self.second = tx.lookup(self.word, _u64(pairs["w"])[at])
         self.of_pair = tx.lookup(self.context, _u64(pairs["u"])[at])
         self.size, self.totals = size, np.maximum(np.array(totals, float), 1)
 
@@ -116,10 +117,13 @@ class Model:
         # all words are in the sum of the shared level; those that occur once leave SHARED each
         shared = np.maximum(c.m.sum(0) - SHARED, 0) / total.sum()
         rest = SHARED * c.size / total.sum() / (c.size + 1)
-        at = np.flatnonzero(own.max(0, initial=0) > 0)
+        over = np.maximum(c.n_pair - d_pair, 0)
+        # next to the mass of a pair the shared level of its word doesn't cancel
+        needed = own.max(0, initial=0) > 0
+        needed[c.second[over.max(0, initial=0) > 0]] = True
+        at = np.flatnonzero(needed)
         self.word = tx.Table(c.word[at])
         self.p_word = (own[:, at] + self.back_word[:, None] * (shared[at] + rest)).astype(np.float32)
-        over = np.maximum(c.n_pair - d_pair, 0)
         kept = np.stack([np.bincount(c.of_pair, over[y], len(c.context)) for y in (0, 1)]) if len(c.pair) else np.zeros((2, 0))
         n = np.maximum(c.n_context, 1)
         at = np.flatnonzero(kept.max(0, initial=0) > 0)
@@ -250,9 +254,12 @@ class Toxicity:
 
         words = work.save(pairs.groupBy("w").agg(of(0, F.lit(1)).alias("m0"), of(1, F.lit(1)).alias("m1")), "words")
         size, *totals = words.agg(F.count("*"), F.coalesce(F.sum("m0"), F.lit(0)), F.coalesce(F.sum("m1"), F.lit(0))).first()
-        kept = pairs.groupBy("u", "w").agg(of(0, F.col("n")).alias("n0"), of(1, F.col("n")).alias("n1")).where(f"greatest(n0, n1) > {LEAST}").toArrow()
+        often = work.save(pairs.groupBy("u", "w").agg(of(0, F.col("n")).alias("n0"), of(1, F.col("n")).alias("n1")).where(f"greatest(n0, n1) > {LEAST}"), "often")
+        seconds = often.select("w").distinct().withColumn("second", F.lit(True))
+        held = words.join(seconds, "w", "left").where(f"second or greatest(m0, m1) > {LEAST}").select("w", "m0", "m1").toArrow()
+        kept = often.toArrow()
         contexts = pairs.groupBy("u").agg(of(0, F.col("n")).alias("c0"), of(1, F.col("n")).alias("c1"), F.max("n").alias("most")).where(f"most > {LEAST}").toArrow()
-        counts = Counts(words.where(f"greatest(m0, m1) > {LEAST}").toArrow(), kept, contexts, size, totals)
+        counts = Counts(held, kept, contexts, size, totals)
         sent = self.spark.sparkContext.broadcast(counts)
         kind = "id long, y int, f array<double>"
         seen = sample.where(unseen).mapInArrow(_features(sent), kind).toArrow()
@@ -273,9 +280,9 @@ class Toxicity:
         self.sent = self.spark.sparkContext.broadcast(self.model)
         sent.unpersist()
         # the driver needs the model's broadcast only
-        del counts, kept, contexts, seen, every
+        del counts, held, kept, contexts, seen, every
         tx.release()
-        work.drop("sample", "pairs", "words")
+        work.drop("sample", "pairs", "words", "often")
         return self
 
     def score(self, docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from capturelake.llm import bpe, decontam, langid, neardup, pii, pseudolm, quality, rans, toxicity, urlfilter
 from capturelake.llm import text as tx
-from capturelake.scratch import Scratch
+from capturelake.scratch import Scratch, shared_dir
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -560,11 +561,51 @@ def test_toxicity(spark):
     assert {r["score"] for r in nothing.score(df).collect()} == {0.0} and nothing.keep(df).count() == 403
 
 
-def test_kneser_ney_matches_brute_force(spark, monkeypatch):
-    """Ratios and mass from the definition, counted with sets."""
+def test_pii_key_is_not_written(spark):
+    """Neither the shared folder nor the plan shows the key; null ids and repeated rows are handled each on its own."""
+    key = "0123456789abcdef" * 4
+    df = spark.createDataFrame([(1, "card 4111 1111 1111 1111"), (None, "mail a@b.org"), (None, "mail a@b.org"), (1, None)], "doc_id long, text string")
+    out = pii.pseudonymise(df, key=key)
+    assert key not in out._jdf.queryExecution().toString()
+    rows = out.collect()
+    assert sorted((r["id"] is None, r["text"] is None) for r in rows) == [(False, False), (False, True), (True, False), (True, False)]
+    assert len({r["text"] for r in rows if r["id"] is None}) == 1
+    held = shared_dir(spark).removeprefix("file://")
+    for folder, _, names in os.walk(held):
+        assert "/pii-" not in folder
+        for name in names:
+            with open(os.path.join(folder, name), "rb") as f:
+                assert key.encode() not in f.read()
+
+
+def test_pair_backs_off_to_the_shared_level_of_a_rare_word():
+    """M(b) = 1 and N(a, b) = 20 of 40 in the toxic class alone, discounts 2 and 2."""
+    h = np.array([11, 22], np.uint64).view(np.int64)
+    words = pa.table({"w": h, "m0": [30, 0], "m1": [30, 1]})
+    pairs = pa.table({"u": h[:1], "w": h[1:], "n0": [0], "n1": [20]})
+    contexts = pa.table({"u": h[:1], "c0": [40], "c1": [40]})
+    model = toxicity.Counts(words, pairs, contexts, 100, [1000, 1000]).model(2.0, 2.0)
+    shared = (1 - 0.75) / 2000 + 0.75 * 100 / 2000 / 101
+    back = (1 - 28 / 1000) * shared
+    want = np.log(18 / 40 + 22 / 40 * back) - np.log(back)
+    got = model.ratios(np.array([22], np.uint64), np.array([11], np.uint64))
+    assert got == pytest.approx([want], abs=1e-4) and want > 6
+
+
+def test_labels_of_one_class_only(spark):
+    df = spark.createDataFrame([(i, f"text {i}", 1) for i in range(40)], "doc_id long, text string, toxic int")
+    model = toxicity.Toxicity(spark).fit(df, df, F.lit(True))
+    assert {r["score"] for r in model.score(df).collect()} == {0.0} and model.keep(df).count() == 40
+
+
+@pytest.mark.parametrize("rare", [False, True])
+def test_kneser_ney_matches_brute_force(spark, monkeypatch, rare):
+    """Ratios and mass from the definition, counted with sets; rare: second words that follow one word alone."""
     monkeypatch.setattr(toxicity, "DISCOUNTS", ((2.5, 2.0),))
     rng = random.Random(18)
     rows = [(i, prose(rng, 60, 12), i % 2) for i in range(60)]
+    if rare:
+        rows = [(i, " ".join(f"{x} only{x}" if x in ("w1", "w2") and (y or x == "w2") else x for x in t.split()), y) for i, t, y in rows]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.Toxicity(spark).fit(df, df, F.lit(True))
     unseen = {r["doc_id"] for r in df.where(F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(4)) == 0).collect()}
