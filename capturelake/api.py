@@ -3,9 +3,12 @@
 Tables live under one folder of any store that Spark reaches. Parsed records are partitioned by archive, so
 parsing an archive again or deleting its parse touches its partition alone.
 
-The index is a list of parts, each a folder with docs, occurrences and the inverted index of the docs' texts. Indexing archives adds a part with the
-documents that are new and the occurrences of all; removing archives or setting fields writes again only the
-parts that hold something of them. A version names its parts in a manifest that is written once, under the next
+The index is a list of parts, each a folder with docs, occurrences, a filter of the docs' ids and the inverted index of their
+texts. Indexing archives adds a part with the documents that are new and the occurrences of all; removing archives or
+setting fields writes again only the parts that hold something of them. Docs are dealt to buckets by their id. What is known
+of new documents is found without reading old ones: the manifest has the least and largest id of each part, the filter (a
+blocked Bloom filter as a table of 64-bit words) tells which ids a part may hold, and of the parts and buckets that are left only
+ids and a flag are read, never contents. Occurrences are read of parts that have one of the archives only. A version names its parts in a manifest that is written once, under the next
 number; readers take the highest number and keep the version they opened. A failure before the manifest is in
 place changes nothing, and nothing is ever without a current version. One writer at a time holds a lock file;
 a lock older than ``lock_seconds`` is taken to be left by a writer that died. ``compact`` joins parts.
@@ -22,8 +25,9 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from capturelake.config import Config
 from capturelake.functions import urls
@@ -33,6 +37,23 @@ from capturelake.scratch import Scratch
 from capturelake.sources.webarchive import locations, name_of
 
 
+#: bits of a part's filter for each document; four are set, all in one word
+FILTER_BITS = 16
+
+
+def bucket(n: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+
+
+def probe(words: int) -> tuple[Column, Column]:
+    """The word of a filter of so many words, a power of two, that an id belongs to, and its bits there."""
+    h = F.xxhash64("id", F.lit("filter"))
+    mask = F.lit(0).cast("long")
+    for i in range(4):
+        mask = mask.bitwiseOR(F.expr(f"shiftleft(1L, cast(shiftright(xxhash64(id, 'filter'), {6 * i}) & 63 as int))"))
+    return F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(words - 1).cast("long")), mask
+
+
 class ArchiveError(Exception):
     """The base of the service's own errors."""
 
@@ -73,6 +94,8 @@ class Archive:
         self.spark, self.config = spark, Config(config) if isinstance(config, str) else config
         self.base = self.config.base.rstrip("/")
         self.fs_path = spark._jvm.org.apache.hadoop.fs.Path
+        #: (part, bucket) whose documents the last index() read
+        self.opened: list[tuple[str, int | None]] = []
 
     # files
 
@@ -215,22 +238,69 @@ class Archive:
     def _write_part(self, docs: DataFrame, occurrences: DataFrame) -> dict | None:
         """A new part; None if it has neither documents nor occurrences."""
         name = f"p{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-        docs.write.parquet(f"{self.base}/index/{name}/docs")
-        occurrences.write.parquet(f"{self.base}/index/{name}/occurrences")
+        folder = f"{self.base}/index/{name}"
+        full = F.coalesce(F.col("content") != "", F.lit(False)) if "content" in docs.columns else F.lit(True)
+        dealt = docs.drop("__part").withColumns({"__bucket": bucket(self.config.buckets), "__full": full})
+        dealt.repartition("__bucket", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(16))).sortWithinPartitions("__bucket", "id").write.partitionBy("__bucket").parquet(f"{folder}/docs")
+        occurrences.drop("__part").write.parquet(f"{folder}/occurrences")
+        arcs = sorted(r["arcname"] for r in self.spark.read.schema(occurrences.schema).parquet(f"{folder}/occurrences").select("arcname").distinct().collect())
+        held = self.spark.read.schema(dealt.schema).parquet(f"{folder}/docs")
+        n, least, largest = held.agg(F.count("*"), F.min("id"), F.max("id")).first()
+        part = {"name": name, "arcs": arcs, "n": n, "least": least, "largest": largest, "words": 1 << max(0, (n * FILTER_BITS // 64)).bit_length(), "buckets": self.config.buckets, "docs": dealt.schema.jsonValue()}
+        word, mask = probe(part["words"])
+        held.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits")).select(F.lit(name).alias("part"), "word", "bits").write.parquet(f"{folder}/filter")
         # terms of the written documents, so that nothing is computed twice
-        again = self._part({"name": name})
-        search.inverted(again[0]).write.parquet(f"{self.base}/index/{name}/terms")
-        arcs = sorted(r["arcname"] for r in again[1].select("arcname").distinct().collect())
-        return {"name": name, "arcs": arcs} if arcs or not again[0].isEmpty() else None
-
-    def _part(self, part: dict) -> tuple[DataFrame, DataFrame]:
-        return tuple(self.spark.read.parquet(f"{self.base}/index/{part['name']}/{t}") for t in ("docs", "occurrences"))
-
-    def _tables(self, parts: list[dict]) -> tuple[DataFrame, DataFrame]:
-        """The union of parts; fields that a part lacks are null."""
-        docs, occurrences = zip(*map(self._part, parts), strict=True)
+        search.inverted(held.drop("__bucket", "__full")).write.parquet(f"{folder}/terms")
+        return part if arcs or n else None
+
+    def _part(self, part: dict, tagged: bool = False) -> tuple[DataFrame, DataFrame]:
+        occurrences = self.spark.read.parquet(f"{self.base}/index/{part['name']}/occurrences")
+        docs = self._docs(part).drop("__bucket", "__full")
+        return docs.withColumn("__part", F.lit(part["name"])) if tagged else docs, occurrences
+
+    def _docs(self, part: dict) -> DataFrame:
+        """The documents of a part with __bucket and __full; a part without documents has no file to tell its columns."""
+        reader = self.spark.read.schema(T.StructType.fromJson(part["docs"])) if "docs" in part else self.spark.read
+        return reader.parquet(f"{self.base}/index/{part['name']}/docs")
+
+    def _tables(self, parts: list[dict], tagged: bool = False) -> tuple[DataFrame, DataFrame]:
+        """The union of parts; fields that a part lacks are null. tagged: documents have the name of their part."""
+        docs, occurrences = zip(*(self._part(p, tagged) for p in parts), strict=True)
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), docs), reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), occurrences)
 
+    def _known(self, parts: list[dict], docs: DataFrame, work: Scratch) -> DataFrame:
+        """(id, part, full) of those documents of docs that parts have, read from the parts and buckets alone that may have them."""
+        least, largest = docs.agg(F.min("id"), F.max("id")).first()
+        ids = docs.select("id")
+        near = [p for p in parts if least is not None and (p.get("least") is None or p["least"] <= largest and p["largest"] >= least) and p.get("n", 1)]
+        old = [p for p in near if "words" not in p]
+        found = None
+        for words in sorted({p["words"] for p in near if "words" in p}):
+            own = [p for p in near if p.get("words") == words]
+            filters = self.spark.read.parquet(*[f"{self.base}/index/{p['name']}/filter" for p in own])
+            word, mask = probe(words)
+            hit = ids.select("id", word.alias("word"), mask.alias("mask")).join(filters, "word").where("bits & mask = mask").select("id", "part")
+            found = hit if found is None else found.union(hit)
+        known = None
+        if found is not None:
+            found = work.save(found, "hits")
+            size, named = {p["name"]: p.get("buckets", 1) for p in near}, {p["name"]: p for p in near}
+            # at most a row for each part and bucket
+            sizes = self.spark.createDataFrame(list(size.items()), "part string, n int")
+            places = sorted(map(tuple, found.join(F.broadcast(sizes), "part").select("part", F.expr("cast(pmod(xxhash64(id), n) as int)").alias("bucket")).distinct().collect()))
+            self.opened += places
+            for name in sorted({p for p, _ in places}):
+                at = [b for p, b in places if p == name]
+                rows = self._docs(named[name]).where(F.col("__bucket").isin(at)).select("id", F.lit(name).alias("part"), F.col("__full").alias("full"))
+                own = rows.join(found.where(F.col("part") == name).select("id"), "id", "left_semi")
+                known = own if known is None else known.union(own)
+        for p in old:
+            # parts of earlier versions have neither filter nor flag
+            self.opened.append((p["name"], None))
+            own = self._part(p)[0].join(ids, "id", "left_semi").select("id", F.lit(p["name"]).alias("part"), F.expr("coalesce(content <> '', false)").alias("full"))
+            known = own if known is None else known.union(own)
+        return work.save(known if known is not None else self.spark.createDataFrame([], "id string, part string, full boolean"), "known")
+
     def index_tables(self) -> tuple[DataFrame, DataFrame] | None:
         parts = self._parts()
         if parts is None:
@@ -263,27 +333,32 @@ class Archive:
                 return
             work = Scratch(self.spark, "index")
             docs, occurrences = work.save(docs, "docs"), work.save(occurrences, "occurrences")
-            old_docs, old_occurrences = self._tables(parts)
-            known = old_docs.join(docs.select("id"), "id", "left_semi").select("id", F.length("content").alias("size"))
-            known = work.save(known, "known")
-            fresh = occurrences.join(old_occurrences.select("id", "arcname"), ["id", "arcname"], "left_anti")
+            self.opened = []
+            known = self._known(parts, docs, work)
+            again = [p for p in parts if set(p["arcs"]) & set(full)]
+            fresh = occurrences
+            if again:
+                old = self._tables(again)[1].where(F.col("arcname").isin(*full)).select("id", "arcname")
+                fresh = occurrences.join(old, ["id", "arcname"], "left_anti")
             part = self._write_part(docs.join(known.select("id"), "id", "left_anti"), fresh)
             # a known document without content takes the first that there is
-            fill = docs.where("content <> ''").join(known.where("coalesce(size, 0) = 0").select("id"), "id", "left_semi").select("id", F.col("content").alias("__content"))
-            fill = work.save(fill, "fill")
-            if not fill.isEmpty():
-                parts = self._changed(parts, fill.select("id"), lambda d: d.join(fill, "id", "left").withColumn("content", F.coalesce("__content", "content")).drop("__content"))
+            blank = known.where("not full").select("id", "part")
+            fill = work.save(docs.where("content <> ''").join(blank, "id").select("id", F.col("content").alias("__content"), "part"), "fill")
+            # at most the parts
+            names = {r["part"] for r in fill.select("part").distinct().collect()}
+            content = fill.select("id", "__content").dropDuplicates(["id"])
+            parts = self._changed(parts, names, lambda d: d.join(content, "id", "left").withColumn("content", F.coalesce("__content", "content")).drop("__content"))
             self._commit([*parts, *[p for p in [part] if p]])
-            work.drop("docs", "occurrences", "known", "fill")
+            work.drop("docs", "occurrences", "hits", "known", "fill")
 
-    def _changed(self, parts: list[dict], ids: DataFrame, change) -> list[dict]:
-        """The parts, where those with documents of these ids are written again with change(docs)."""
+    def _changed(self, parts: list[dict], names: set[str], change) -> list[dict]:
+        """The parts, where the named ones are written again with change(docs)."""
         out = []
         for part in parts:
-            docs, occurrences = self._part(part)
-            if docs.join(ids, "id", "left_semi").isEmpty():
+            if part["name"] not in names:
                 out.append(part)
             else:
+                docs, occurrences = self._part(part)
                 new = self._write_part(change(docs), occurrences)
                 out += [new] if new else []
         return out
@@ -296,14 +371,16 @@ class Archive:
                 return
             work = Scratch(self.spark, "remove")
             listed = self.spark.createDataFrame([(a,) for a in sorted(gone)], "arcname string")
-            _, occurrences = self._tables(parts)
+            docs, occurrences = self._tables(parts, tagged=True)
             hit = occurrences.join(F.broadcast(listed), "arcname", "left_semi").select("id").distinct()
             left = occurrences.join(F.broadcast(listed), "arcname", "left_anti").select("id")
             dead = work.save(hit.join(left, "id", "left_anti"), "dead")
+            # at most the parts
+            names = {r["__part"] for r in docs.join(dead, "id", "left_semi").select("__part").distinct().collect()}
             out = []
             for part in parts:
-                docs, own = self._part(part)
-                if gone & set(part["arcs"]) or not docs.join(dead, "id", "left_semi").isEmpty():
+                if gone & set(part["arcs"]) or part["name"] in names:
+                    docs, own = self._part(part)
                     part = self._write_part(docs.join(dead, "id", "left_anti"), own.join(F.broadcast(listed), "arcname", "left_anti"))
                 out += [part] if part else []
             self._commit(out)
@@ -315,10 +392,13 @@ class Archive:
             parts = self._parts()
             if parts:
                 work = Scratch(self.spark, "fields")
-                hits = self._hits(parts, query)
-                ids = work.save((self.search(query) if hits is None else hits).select("id"), "ids")
-                mark = ids.withColumn("__hit", F.lit(True))
-                parts = self._changed(parts, ids, lambda d: captures.set_fields(d.join(mark, "id", "left"), F.col("__hit").isNotNull(), fields).drop("__hit"))
+                hits = self._hits(parts, query, tagged=True)
+                hits = self._search_view(parts, query, tagged=True) if hits is None else hits
+                ids = work.save(hits.select("id", "__part"), "ids")
+                mark = ids.select("id").distinct().withColumn("__hit", F.lit(True))
+                # at most the parts
+                names = {r["__part"] for r in ids.select("__part").distinct().collect()}
+                parts = self._changed(parts, names, lambda d: captures.set_fields(d.join(mark, "id", "left"), F.col("__hit").isNotNull(), fields).drop("__hit"))
                 self._commit(parts)
                 work.drop("ids")
 
@@ -336,25 +416,30 @@ class Archive:
             raise IndexError_("nothing is indexed")
         return captures.view(*now)
 
-    def _hits(self, parts: list[dict], query: str) -> DataFrame | None:
+    def _terms(self, parts: list[dict]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.base}/index/{p['name']}/terms" for p in parts])
+
+    def _hits(self, parts: list[dict], query: str, tagged: bool = False) -> DataFrame | None:
         """The documents, without their arrays, that a query on fields of documents matches; None if it names others."""
-        docs, occurrences = self._tables(parts)
+        docs, occurrences = self._tables(parts, tagged)
         if search.fields_of(captures.view(docs, occurrences), query) & set(captures.MERGED):
             return None
-        terms = self.spark.read.parquet(*[f"{self.base}/index/{p['name']}/terms" for p in parts])
-        return search.search_indexed(docs, terms, query)
+        return search.search_indexed(docs, self._terms(parts), query)
+
+    def _search_view(self, parts: list[dict], query: str, tagged: bool = False) -> DataFrame:
+        return search.search_indexed(captures.view(*self._tables(parts, tagged)), self._terms(parts), query)
 
     def search(self, query: str) -> DataFrame:
         """Documents that a query matches; text clauses read the inverted index, and arrays are made for hits alone."""
-        parts = self._parts()
-        if not parts:
-            return search.search(self.documents(), query)
-        docs, occurrences = self._tables(parts)
-        hits = self._hits(parts, query)
-        if hits is not None:
+        with wrapped(IndexError_):
+            parts = self._parts()
+            if not parts:
+                return search.search(self.documents(), query)
+            hits = self._hits(parts, query)
+            if hits is None:
+                return self._search_view(parts, query)
+            occurrences = self._tables(parts)[1]
             return captures.view(hits, occurrences.join(hits.select("id"), "id", "left_semi"))
-        terms = self.spark.read.parquet(*[f"{self.base}/index/{p['name']}/terms" for p in parts])
-        return search.search_indexed(captures.view(docs, occurrences), terms, query)
 
     def get(self, url: str) -> DataFrame:
         """The documents of a URL in any form."""

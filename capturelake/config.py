@@ -19,6 +19,8 @@ class Config:
     archives_per_job: int = 500
     docs_per_page: int = 10_000
     ids_per_page: int = 100_000
+    #: of a part's documents by id; a part keeps those it was written with
+    buckets: int = 8
 
     @classmethod
     def read(cls, lines: Iterable[str], **overrides) -> Config:

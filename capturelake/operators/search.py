@@ -26,6 +26,12 @@ ADDRESSES = ("hostt", "urlt")
 COPIED = {"hostt": "host", "urlt": "url"}
 
 
+_WHOLE, _NUMBER = r"[+-]?\d{1,18}", r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
+_DAY = r"\d{4}(-\d{1,2}(-\d{1,2}([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?)?)?"
+#: what values of a type look like; other types take every text
+_FORMS = {T.LongType: _WHOLE, T.IntegerType: _WHOLE, T.ShortType: _WHOLE, T.ByteType: _WHOLE, T.DoubleType: _NUMBER, T.FloatType: _NUMBER, T.DecimalType: _NUMBER, T.TimestampType: _DAY, T.TimestampNTZType: _DAY, T.DateType: _DAY, T.BooleanType: "(?i:true|false)"}
+
+
 class QueryError(ValueError):
     pass
 
@@ -152,8 +158,15 @@ class Search:
         if value == "*":
             return column.isNotNull()
         if isinstance(kind, T.ArrayType):
-            return F.array_contains(column, F.lit(value).cast(kind.elementType))
-        return column == F.lit(value).cast(kind)
+            return F.array_contains(column, self._value(field, value, kind.elementType))
+        return column == self._value(field, value, kind)
+
+    def _value(self, field: str, value: str, kind: T.DataType) -> Column:
+        """A value as a field's type has it; one that it hasn't is an error of the query."""
+        form = _FORMS.get(type(kind))
+        if form and not re.fullmatch(form, value.strip()):
+            raise QueryError(f"{field} has no value {value!r}")
+        return F.lit(value).cast(kind)
 
     def _range(self, field: str, body: str) -> Column:
         m = re.match(r"([\[{])\s*(\S+)\s+TO\s+(\S+?)\s*([\]}])$", body)
@@ -165,10 +178,10 @@ class Search:
         def inside(x: Column) -> Column:
             out = x.isNotNull()
             if m[2] != "*":
-                low = F.lit(m[2].strip('"')).cast(element)
+                low = self._value(field, m[2].strip('"'), element)
                 out = out & (x >= low if m[1] == "[" else x > low)
             if m[3] != "*":
-                high = F.lit(m[3].strip('"')).cast(element)
+                high = self._value(field, m[3].strip('"'), element)
                 out = out & (x <= high if m[4] == "]" else x < high)
             return out
 

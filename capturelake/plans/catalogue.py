@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.functions import dates, mime, text, urls
-from capturelake.operators import captures, facets, graph, html, lang, parse, relevance, search
+from capturelake.operators import captures, dictionary, facets, graph, html, lang, parse, postings, relevance, search
 from capturelake.scratch import Scratch
 from capturelake.sources import export
 from capturelake.sources.webarchive import WebArchive
@@ -692,6 +692,40 @@ def score_bm25(spark, sf_dir):
     return scored.select("id", F.round("score", 6).alias("score"))
 
 
+@query(
+    "score_postings",
+    """with a as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') as ws from documents),
+    s as (select count(*) as n, avg(len(ws)) as mean from a), w as (select doc_id, len(ws) as dl, unnest(ws) as term from a),
+    tf as (select doc_id, dl, term, count(*) as tf from w where term in ('worthless', 'moron', 'the') group by all), df as (select term, count(*) as df from tf group by term)
+    select doc_id as id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) as score
+    from tf join df using (term), s group by doc_id order by sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))) desc, doc_id limit 50""",
+)
+def score_postings(spark, sf_dir):
+    """The 50 best documents, from postings that are written first."""
+    held = postings.write_scratch(table(spark, sf_dir, "documents"), "doc_id", _plain_words(F.col("text")))
+    return held.top(["worthless", "moron", "the"], 50).select("id", F.round("score", 6).alias("score"))
+
+
+_TERMS_SQL = "t as (select distinct doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) as term from documents)"
+
+
+def _dictionary(spark, sf_dir):
+    """Terms of documents, a part for each source."""
+    folder = Scratch(spark, "dictionary").path("blocks")
+    return dictionary.Dictionary.write(table(spark, sf_dir, "documents"), _plain_words(F.col("text")), folder, F.coalesce("source", F.lit("")))
+
+
+@query("term_dictionary", f"with {_TERMS_SQL} select term, count(*) as n from t group by term")
+def term_dictionary(spark, sf_dir):
+    return _dictionary(spark, sf_dir).terms()
+
+
+@query("term_page", f"with {_TERMS_SQL} select term, count(*) as n from t where term > 'th' group by term order by term limit 100")
+def term_page(spark, sf_dir):
+    """A page of the dictionary, which reads the blocks that it lies in."""
+    return _dictionary(spark, sf_dir).page("th", 100)
+
+
 @query("highlight", r"select doc_id, md5(regexp_replace(text, '(?i)\b(worthless)\b', '<em>\1</em>', 'g')) as marked from documents where regexp_matches(text, '(?i)\bworthless\b')")
 def highlight(spark, sf_dir):
     d = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"(?i)(?<![A-Za-z0-9])worthless(?![A-Za-z0-9])"))
