@@ -112,3 +112,33 @@ def pagerank(found: DataFrame, iterations: int = 20, damping: float = 0.85, tole
     links.unpersist()
     work.drop("links")
     return ranks.select("url", "rank", (F.col("rank") * n).alias("boost"))
+
+
+def pagerank_push(found: DataFrame, damping: float = 0.85, least: float = 1e-9, rounds: int = 1000) -> DataFrame:
+    """(url, rank, boost) by residuals: a round moves the links of those pages alone whose residual is above least.
+
+    Spreading the mass of pages without links evenly only scales the ranks, so it is left out and the sum made 1 at the end.
+    Each page begins with a residual of 1, counts it and passes damping times it on to its links in equal shares; what is left
+    at the end is at most least a page, so sums are exact to least / (1 - damping). A round is a join of the frontier with its
+    links, a partially aggregated sum, and a merge into the table of pages, which is written to the shared folder.
+    """
+    work = Scratch(found.sparkSession, "push")
+    distinct = work.save(found.select("src", "dst").distinct(), "distinct")
+    degree = distinct.groupBy("src").agg(F.count("*").alias("deg"))
+    links = work.save(distinct.join(degree, "src"), "links")
+    every = links.select(F.col("src").alias("url")).union(links.select("dst")).distinct()
+    state = work.save(every.select("url", F.lit(0.0).alias("sum"), F.lit(1.0).alias("left")), "state-0")
+    work.drop("distinct")
+    for i in range(1, rounds + 1):
+        active = state.where(F.col("left") > least).select(F.col("url").alias("src"), "left")
+        got = links.join(active, "src").groupBy(F.col("dst").alias("url")).agg(F.sum(F.lit(damping) * F.col("left") / F.col("deg")).alias("got"))
+        moved = F.when(F.col("left") > least, F.col("left")).otherwise(0.0)
+        new = state.join(got, "url", "left").select("url", (F.col("sum") + moved).alias("sum"), (F.col("left") - moved + F.coalesce("got", F.lit(0.0))).alias("left"))
+        state = work.save(new, f"state-{i}")
+        work.drop(f"state-{i - 1}")
+        if state.where(F.col("left") > least).isEmpty():
+            break
+    total = state.agg(F.sum(F.col("sum") + F.col("left")), F.count("*")).first()
+    work.drop("links")
+    rank = (F.col("sum") + F.col("left")) / F.lit(total[0] or 1.0)
+    return state.select("url", rank.alias("rank"), (rank * F.lit(total[1])).alias("boost"))

@@ -33,45 +33,60 @@ def write_json_arrays(records: DataFrame, folder: str, empty: list[str] = (), su
 
     The suffix tells the compression: ``.gz``, ``.bz2`` or none.
 
-    Rows of an archive meet in one task and are streamed to its file, so memory doesn't grow with it.
+    Rows of an archive meet in one task and are streamed to its file, so memory doesn't grow with it. Files lie in a
+    staging folder until all tasks have ended well and are moved then; a job that fails leaves none.
     Gives (filename, n_records).
     """
     lines = records.select("filename", as_json().alias("line")).repartition("filename").sortWithinPartitions("filename")
 
     folder = qualified(records.sparkSession, folder)
+    staging = f"_staging-{uuid.uuid4().hex}"
 
-    def opened(name: str):
+    def opened(draft: str):
         fs, root = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(root, recursive=True)
-        raw = fs.open_output_stream(f"{root}/{name}{suffix}", compression=None)
+        fs.create_dir(f"{root}/{staging}", recursive=True)
+        raw = fs.open_output_stream(f"{root}/{staging}/{draft}", compression=None)
         if suffix.endswith(".gz"):
             return _Out(raw, gzip.GzipFile(fileobj=raw, mode="wb", mtime=0))
         return _Out(raw, bz2.BZ2File(raw, "wb") if suffix.endswith(".bz2") else raw)
 
     def run(batches):
-        name, out, n = None, None, 0
+        name, out, n, draft = None, None, 0, ""
         for pdf in batches:
             for filename, line in zip(pdf["filename"], pdf["line"], strict=True):
                 if filename != name:
                     if out is not None:
                         out.write(b"]")
                         out.close()
-                        yield _row(name, n)
-                    name, out, n = filename, opened(filename), 0
+                        yield _row(name, n, draft)
+                    # another attempt has names of its own
+                    draft = uuid.uuid4().hex
+                    name, out, n = filename, opened(draft), 0
                 out.write((b"," if n else b"[") + line.encode())
                 n += 1
         if out is not None:
             out.write(b"]")
             out.close()
-            yield _row(name, n)
+            yield _row(name, n, draft)
 
-    written = lines.mapInPandas(run, "filename string, n_records long").collect()
-    for name in set(empty) - {r["filename"] for r in written}:
-        f = opened(name)
-        f.write(json.dumps([]).encode())
-        f.close()
-        written.append((name, 0))
-    return records.sparkSession.createDataFrame(written, "filename string, n_records long")
+    fs, root = pafs.FileSystem.from_uri(folder)
+    try:
+        # a row for each archive
+        written = [tuple(r) for r in lines.mapInPandas(run, "filename string, n_records long, draft string").collect()]
+        for name in sorted(set(empty) - {w[0] for w in written}):
+            f = opened(draft := uuid.uuid4().hex)
+            f.write(json.dumps([]).encode())
+            f.close()
+            written.append((name, 0, draft))
+        for name, _, draft in written:
+            target = f"{root}/{name}{suffix}"
+            if fs.get_file_info(target).type != pafs.FileType.NotFound:
+                fs.delete_file(target)
+            fs.move(f"{root}/{staging}/{draft}", target)
+    finally:
+        if fs.get_file_info(f"{root}/{staging}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{root}/{staging}")
+    return records.sparkSession.createDataFrame([w[:2] for w in written], "filename string, n_records long")
 
 
 class _Out:
@@ -127,7 +142,7 @@ def _status(name: str, status: str):
     return pd.DataFrame({"name": [name], "status": [status]})
 
 
-def _row(name: str, n: int):
+def _row(name: str, n: int, draft: str):
     import pandas as pd
 
-    return pd.DataFrame({"filename": [name], "n_records": [n]})
+    return pd.DataFrame({"filename": [name], "n_records": [n], "draft": [draft]})
