@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capturelake.functions import dates, mime, urls
+from capturelake.functions import charset, dates, mime, urls
 from capturelake.operators import documents
 from capturelake.operators import html as page
 from capturelake.sources.webarchive import SPLIT_BYTES, WebArchive
@@ -24,11 +24,12 @@ def read_archives(spark: SparkSession, path: str | Sequence[str], mode: str = "P
     return reader.load(path) if isinstance(path, str) else reader.option("locations", json.dumps(list(path))).load()
 
 
-def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False) -> DataFrame:
+def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False, charsets: charset.Model | None = None) -> DataFrame:
     """PARSED_RECORD, rec_seq and error of the HTTP responses with status 200.
 
     Bodies over 5,000,000 bytes and those that can't be read keep their row without text; error says why HTML
-    could not be read. A missing digest is computed. Revisits of WARC files are marked, the mark of ARC records
+    could not be read. Texts are read by their mark, their header, their markup or as UTF-8; where none of these can read them
+    by the model of charsets, if there is one. A missing digest is computed. Revisits of WARC files are marked, the mark of ARC records
     is null. With ``damage`` the rows that stand for damaged archives stay too, without a url.
     """
     rows = raw.where("is_http and status = 200 or error is not null" if damage else "is_http and status = 200")
@@ -37,9 +38,12 @@ def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False) -> Dat
     supplied = mime.force_parse(F.col("headers")["content-type"], strict_mime)
     rows = rows.withColumns({"supplied": supplied, "detected": F.coalesce(mime.sniff(small), F.when(small.isNotNull(), mime.parse(F.col("headers")["content-type"], strict_mime)))})
     is_text = F.coalesce(F.col("detected.top") == "text", F.lit(False)) | F.coalesce(F.col("detected.sub").contains("html"), F.lit(False))
-    charset = F.lower(F.coalesce(F.col("supplied.charset"), F.lit("utf-8")))
-    text = F.when(charset.isin("iso-8859-1", "latin1", "windows-1252"), F.decode(small, "ISO-8859-1")).otherwise(F.try_validate_utf8(F.decode(small, "UTF-8")))
-    rows = rows.withColumn("body", F.when(is_text, F.coalesce(text, F.decode(small, "ISO-8859-1"))))
+    valid = F.try_validate_utf8(small.cast("string"))
+    named = F.lower(F.coalesce(F.col("supplied.charset"), F.lit("utf-8")))
+    # UTF-8 that says so stays in the JVM; marks and zero bytes are no part of it
+    plain = named.isin("utf-8", "utf8") & valid.isNotNull() & ~F.coalesce(valid.rlike("^\uFEFF|\x00"), F.lit(False))
+    other = charset.reader(charsets)(F.when(is_text & ~F.coalesce(plain, F.lit(False)), small), F.col("supplied.charset"))
+    rows = rows.withColumn("read", other).withColumn("body", F.when(is_text, F.when(plain, valid).otherwise(F.col("read.text"))))
     is_html = F.coalesce(F.col("detected.sub").contains("html"), F.lit(False))
     is_file = F.coalesce(F.col("detected.sub").isin("pdf", "zip"), F.lit(False))
     rows = rows.withColumn("page", page.extract(F.when(is_html, F.col("body")))).withColumn("file", documents.extract(F.when(is_file, small)))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capturelake.functions import dates, mime, text, urls
+from capturelake.functions import charset, dates, mime, text, urls
 from capturelake.operators import captures, dictionary, facets, graph, html, lang, ordered, parse, postings, relevance, search
 from capturelake.scratch import Scratch
 from capturelake.sources import export
@@ -567,6 +567,26 @@ def write_archives(spark, sf_dir):
     return _parsed_pages(parse.parse(parse.read_archives(spark, work.path("files"), "FAILFAST", status=200)))
 
 
+_WRITTEN = {"utf-8": b"", "utf-16-le": b"\xff\xfe", "utf-16-be": b"", "windows-1252": b"", "ibm850": b"", "macintosh": b""}
+
+
+@query(
+    "decode_charsets",
+    "select page_id, written, sha256(case when written = 'macintosh' then replace(html, 'charset=\"utf-8\"', 'charset=\"macintosh\"') else html end) as digest"
+    f" from pages, (select unnest([{', '.join(repr(c) for c in _WRITTEN)}]) as written) where html is not null",
+)
+def decode_charsets(spark, sf_dir):
+    """Pages in six charsets, one told by its mark, one by its markup, the others by the bytes, are read back as they were."""
+    model = charset.train(table(spark, sf_dir, "documents"))
+    pages = table(spark, sf_dir, "pages").where("html is not null")
+    out = None
+    for name, mark in _WRITTEN.items():
+        html_ = F.replace("html", F.lit('charset="utf-8"'), F.lit('charset="macintosh"')) if name == "macintosh" else F.col("html")
+        rows = pages.select("page_id", F.lit(name).alias("written"), charset.written(html_, name, mark).alias("data"))
+        out = rows if out is None else out.union(rows)
+    return out.select("page_id", "written", F.sha2(charset.reader(model)("data", F.lit(None).cast("string"))["text"], 256).alias("digest"))
+
+
 _BLOCKS = "|".join(sorted(html.BLOCKS))
 
 
