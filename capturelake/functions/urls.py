@@ -104,6 +104,7 @@ def payload_digest(payload: Column) -> Column:
 
 def extract_arcname(path: Column) -> Column:
     """The archive's file name in a path, null if there is none. An underscore ends the name."""
+    # the pattern is a fixed value of the interface
     return F.nullif(F.regexp_extract(path, r"^.*?([A-Za-z0-9\.-]+arc\.gz)(?:\.open|\.gz)?$", 1), F.lit(""))
 
 

@@ -25,6 +25,14 @@ def ranges(df: DataFrame, name: str, start: float, end: float, gap: float) -> Da
     return df.where(x.isNotNull()).groupBy(label.alias("bucket")).agg(F.count("*").alias("n"))
 
 
+def dates(df: DataFrame, name: str, gap: str = "day") -> DataFrame:
+    """(bucket, n) of the calendar's years, months, days or hours; empty ones are left out."""
+    forms = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd'T'HH"}
+    if gap not in forms:
+        raise ValueError(f"gap is one of {', '.join(forms)}")
+    return df.where(F.col(name).isNotNull()).groupBy(F.date_format(name, forms[gap]).alias("bucket")).agg(F.count("*").alias("n"))
+
+
 def pivot(df: DataFrame, first: str, second: str) -> DataFrame:
     """(first, second, n) with totals of first where second is null."""
     return df.rollup(first, second).agg(F.count("*").alias("n"), F.grouping_id().alias("level")).where("level < 3").select(first, second, "n", "level")

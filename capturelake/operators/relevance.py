@@ -67,3 +67,42 @@ def did_you_mean(terms: DataFrame, word: str, most: int = 2) -> DataFrame:
     """(term, distance, n) of known terms within some edits of a word; lengths that cannot match are not compared."""
     near = terms.where(F.length("term").between(len(word) - most, len(word) + most))
     return near.withColumn("distance", F.levenshtein("term", F.lit(word), most)).where("distance >= 0")
+
+
+PREFIX = 8
+
+
+def deletions(word: Column, most: int = 2, prefix: int = PREFIX) -> Column:
+    """What is left of the first letters of a word without up to so many of them.
+
+    Of two words within so many edits, the first prefix - most letters that they match lie in the prefix of both, so both have
+    them as a key (or the shorter word's whole match, where a word is shorter than the prefix).
+    """
+    keys = F.array(F.left(word, F.lit(prefix)))
+    level = keys
+    for _ in range(most):
+        cut = F.transform(level, lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.concat(F.left(w, i - 1), F.substr(w, i + 1))))
+        level = F.array_distinct(F.flatten(cut))
+        keys = F.array_distinct(F.concat(keys, level))
+    return keys
+
+
+class Corrections:
+    """An index of known terms (term, n) by what is left of them without some letters."""
+
+    def __init__(self, terms: DataFrame, most: int = 2):
+        self.most = most
+        self.keys = terms.where("term is not null").select("term", "n", F.explode(deletions(F.col("term"), most)).alias("key"))
+
+    def of(self, words: DataFrame, column: str = "word") -> DataFrame:
+        """(word, term, distance, n): the known terms within the edits of each word of a column; words meet terms by key alone."""
+        asked = words.where(F.col(column).isNotNull()).select(F.col(column).alias("word")).distinct()
+        probes = asked.select("word", F.explode(deletions(F.col("word"), self.most)).alias("key"))
+        near = F.abs(F.length("word") - F.length("term")) <= self.most
+        pairs = probes.join(self.keys, (probes["key"] == self.keys["key"]) & near).select("word", "term", "n").distinct()
+        return pairs.withColumn("distance", F.levenshtein("word", "term", self.most)).where("distance >= 0").select("word", "term", "distance", "n")
+
+    def best(self, words: DataFrame, column: str = "word") -> DataFrame:
+        """(word, term, distance, n): for each word the nearest term, of those the most frequent, then the least."""
+        first = F.min(F.struct("distance", (-F.col("n")).alias("rare"), "term")).alias("x")
+        return self.of(words, column).groupBy("word").agg(first).select("word", "x.term", "x.distance", (-F.col("x.rare")).alias("n"))

@@ -239,23 +239,28 @@ _MIME_SQL = (
 )
 
 
-def _mimes(spark):
-    return spark.createDataFrame([(m,) for m in _MIMES], "line string")
+#: the header of each page, of a list by its number
+_PAGE_MIME_SQL = f"{_MIME_SQL}, h as (select page_id, m.* exclude (i) from pages join (select *, row_number() over (order by line) - 1 as i from m) m on page_id % {len(_MIMES)} = i)"
 
 
-@query("mime_parse", f"with {_MIME_SQL} select line, top, sub, charset, coalesce(top, 'application') || '/' || coalesce(sub, 'octet-string') || coalesce('; charset=' || charset, '') as forced from m")
+def _page_mimes(spark, sf_dir):
+    lines = F.array(*map(F.lit, sorted(_MIMES)))
+    return table(spark, sf_dir, "pages").select("page_id", F.element_at(lines, (F.col("page_id") % len(_MIMES) + 1).cast("int")).alias("line"))
+
+
+@query("mime_parse", f"with {_PAGE_MIME_SQL} select page_id, line, top, sub, charset, coalesce(top, 'application') || '/' || coalesce(sub, 'octet-string') || coalesce('; charset=' || charset, '') as forced from h")
 def mime_parse(spark, sf_dir):
     t = mime.parse(F.col("line"))
-    return _mimes(spark).select("line", t["top"].alias("top"), t["sub"].alias("sub"), t["charset"].alias("charset"), mime.shown(mime.force_parse(F.col("line"))).alias("forced"))
+    return _page_mimes(spark, sf_dir).select("page_id", "line", t["top"].alias("top"), t["sub"].alias("sub"), t["charset"].alias("charset"), mime.shown(mime.force_parse(F.col("line"))).alias("forced"))
 
 
 @query(
     "mime_group",
-    f"""with {_MIME_SQL} select line, case when top in ('audio', 'video', 'image') then top when top = 'text' and sub = 'html' then 'html' when top <> 'application' then null
-        when sub = 'pdf' then 'pdf' when sub in ('zip', 'x-gzip') then 'compressed' when sub like 'ms%' or sub like 'vnd.ms%' then 'office' end as kind from m""",
+    f"""with {_PAGE_MIME_SQL} select page_id, line, case when top in ('audio', 'video', 'image') then top when top = 'text' and sub = 'html' then 'html' when top <> 'application' then null
+        when sub = 'pdf' then 'pdf' when sub in ('zip', 'x-gzip') then 'compressed' when sub like 'ms%' or sub like 'vnd.ms%' then 'office' end as kind from h""",
 )
 def mime_group(spark, sf_dir):
-    return _mimes(spark).select("line", mime.group(mime.parse(F.col("line"))).alias("kind"))
+    return _page_mimes(spark, sf_dir).select("page_id", "line", mime.group(mime.parse(F.col("line"))).alias("kind"))
 
 
 _INDEXABLE_SQL = "not ({0}.top in ('audio', 'video', 'image') or ({0}.top = 'text' and {0}.sub in ('javascript', 'css')) or ({0}.top = 'application' and {0}.sub = 'zip'))"
@@ -325,18 +330,26 @@ def digest_base32(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.payload_digest(F.col("html").cast("binary")).alias("digest"))
 
 
-_PATHS = ["/a/foo.arc.gz", "hdfs://x/b.warc.gz.open", "b.warc.gz.gz", "a_b.warc.gz", "nothing.txt", "CDL-2012.arc.gz", ""]
+_ENDINGS = [".arc.gz", ".warc.gz.open", ".warc.gz.gz", ".txt", "_x.arc.gz"]
+#: the path of a file for each page, of its URL
+_PATHS_SQL = f"(select page_id, 'hdfs://x/' || regexp_replace(url, '[^A-Za-z0-9.]', '-', 'g') || [{', '.join(repr(e) for e in _ENDINGS)}][page_id % {len(_ENDINGS)} + 1] as p from pages)"
+
+
+def _paths(spark, sf_dir):
+    ending = F.element_at(F.array(*map(F.lit, _ENDINGS)), (F.col("page_id") % len(_ENDINGS) + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("hdfs://x/"), F.regexp_replace("url", "[^A-Za-z0-9.]", "-"), ending).alias("p"))
 
 
-@query("extract_arcname", r"select p, nullif(regexp_extract(p, '^.*?([A-Za-z0-9\.-]+arc\.gz)(?:\.open|\.gz)?$', 1), '') as arcname from (values " + ", ".join(f"('{p}')" for p in _PATHS) + ") t(p)")
+# the pattern is a fixed value of the interface
+@query("extract_arcname", rf"select page_id, p, nullif(regexp_extract(p, '^.*?([A-Za-z0-9\.-]+arc\.gz)(?:\.open|\.gz)?$', 1), '') as arcname from {_PATHS_SQL}")
 def extract_arcname(spark, sf_dir):
-    return spark.createDataFrame([(p,) for p in _PATHS], "p string").select("p", urls.extract_arcname(F.col("p")).alias("arcname"))
+    return _paths(spark, sf_dir).select("page_id", "p", urls.extract_arcname(F.col("p")).alias("arcname"))
 
 
-@query("strip_json_suffix", r"select p, regexp_replace(p || '.json.gz', '\.json(\.gz)?$', '') as a, regexp_replace(p || '.json', '\.json(\.gz)?$', '') as b from (values " + ", ".join(f"('{p}')" for p in _PATHS) + ") t(p)")
+@query("strip_json_suffix", rf"select page_id, p, regexp_replace(p || '.json.gz', '\.json(\.gz)?$', '') as a, regexp_replace(p || '.json', '\.json(\.gz)?$', '') as b from {_PATHS_SQL}")
 def strip_json_suffix(spark, sf_dir):
     p = F.col("p")
-    return spark.createDataFrame([(x,) for x in _PATHS], "p string").select("p", urls.strip_json_suffix(F.concat(p, F.lit(".json.gz"))).alias("a"), urls.strip_json_suffix(F.concat(p, F.lit(".json"))).alias("b"))
+    return _paths(spark, sf_dir).select("page_id", "p", urls.strip_json_suffix(F.concat(p, F.lit(".json.gz"))).alias("a"), urls.strip_json_suffix(F.concat(p, F.lit(".json"))).alias("b"))
 
 
 @query(
@@ -471,7 +484,7 @@ def facet_range(spark, sf_dir):
 
 @query("facet_dates", "select strftime(o_orderdate, '%Y-%m') as bucket, count(*) as n from orders group by 1")
 def facet_dates(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("bucket")).agg(F.count("*").alias("n"))
+    return facets.dates(table(spark, sf_dir, "orders"), "o_orderdate", "month")
 
 
 @query("facet_pivot", "select lang, source, count(*) as n, cast(grouping(lang, source) as bigint) as level from documents group by rollup(lang, source) having grouping(lang, source) < 3")
@@ -796,6 +809,37 @@ def did_you_mean(spark, sf_dir):
     return relevance.did_you_mean(_vocabulary(spark, sf_dir), "thing")
 
 
+_UNKNOWN_SQL = "b as (select distinct unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) as word from benchmark), q as (select word from b where word not in (select term from v))"
+
+
+def _corrections(spark, sf_dir):
+    """Known terms of conversations, and the words of benchmark items that are none of them."""
+    known = _vocabulary(spark, sf_dir)
+    words = table(spark, sf_dir, "benchmark").select(F.explode(_plain_words(F.col("text"))).alias("word")).distinct()
+    return relevance.Corrections(known), words.join(known, words["word"] == known["term"], "left_anti")
+
+
+@query(
+    "did_you_mean_all",
+    f"with {_VOCABULARY}, {_UNKNOWN_SQL} select word, term, cast(levenshtein(word, term) as integer) as distance, n from q join v on abs(length(word) - length(term)) <= 2 and levenshtein(word, term) <= 2",
+)
+def did_you_mean_all(spark, sf_dir):
+    """All terms within two edits of each unknown word, of a whole column at once."""
+    index, words = _corrections(spark, sf_dir)
+    return index.of(words)
+
+
+@query(
+    "corrections",
+    f"""with {_VOCABULARY}, {_UNKNOWN_SQL}, p as (select word, term, cast(levenshtein(word, term) as integer) as distance, n from q join v on abs(length(word) - length(term)) <= 2 and levenshtein(word, term) <= 2)
+    select word, term, distance, n from (select *, row_number() over (partition by word order by distance, n desc, term) as r from p) where r = 1""",
+)
+def corrections(spark, sf_dir):
+    """The best correction of each unknown word."""
+    index, words = _corrections(spark, sf_dir)
+    return index.best(words)
+
+
 @query(
     "more_like_this",
     """with w as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) as term from documents),
