@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+PLAN = "spark.sql.maxPlanStringLength"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,7 +45,10 @@ def ship(spark: SparkSession) -> None:
     """Let Python workers import this package where it isn't installed on them, and send them rows in batches that suit whole texts.
 
     Spark's default of 10,000 rows a batch is held several times over by executor and worker; another setting stays.
+    The driver keeps the texts of the last thousand plans for its pages, by default at any length: they get 20,000 characters.
     """
+    if int(spark.conf.get(PLAN).rstrip("bB")) > 2_000_000_000:
+        spark.conf.set(PLAN, "20000")
     if spark.conf.get(BATCH) == "10000":
         spark.conf.set(BATCH, "2000")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -25,7 +25,7 @@ def test_merge_without_a_shuffle(spark, tmp_path):
     got = sorted((r["url"], r["n"], r["m"]) for r in both.collect())
     assert got == sorted((u, n, int(u[1:])) for u, n in a if u and int(u[1:]) < 25)
     plan = both._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "truncated" not in plan
     grouped = both.groupBy("url").count()
     assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
     assert len(one.join(two, "left").collect()) == len(a)
