@@ -212,6 +212,9 @@ def _write(source, pattern: str, end_id: int, folder: str):
             name = f"{root}/part-{partition:06d}-{segment:06d}.rans"
             with fs.open_output_stream(own_name := f"{root}/.{uuid.uuid4().hex}") as f:
                 f.write(raw)
+            # a task that runs again finds its file there, and not every store replaces it
+            if fs.get_file_info(name).type != pafs.FileType.NotFound:
+                fs.delete_file(name)
             fs.move(own_name, name)
             row = (partition, segment, offset, len(n), held, len(raw))
             doc_ids, counts, ids, segment, offset, held = [], [], [], segment + 1, offset + held, 0

@@ -48,12 +48,13 @@ def _parts(of_path: Column) -> Column:
     return F.filter(F.split(of_path, "/"), lambda x: x != "")
 
 
-def keys(url: Column, most_labels: int, most_parts: int) -> Column:
-    """Patterns of at most so many labels and path parts that cover a url: array<struct<key, host_length, path_length>>."""
+def keys(url: Column, most_labels: int, most_parts: int, least_labels: int = 1) -> Column:
+    """Patterns of so many labels and at most so many path parts that cover a url: array<struct<key, host_length, path_length>>."""
     labels = F.split(host(url), r"\.")
     labels = F.slice(labels, F.greatest(F.size(labels) - most_labels + 1, F.lit(1)), most_labels)
     parts = F.slice(_parts(path(url)), 1, most_parts)
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    fewest = F.size(labels) - least_labels + 1
+    hosts = F.when(fewest > 0, F.transform(F.sequence(F.lit(1), F.greatest(fewest, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).otherwise(F.array().cast("array<string>"))
     paths = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.when(i == 0, "").otherwise(F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/"))))
     every = F.flatten(
         F.transform(hosts, lambda h: F.transform(paths, lambda p: F.struct(F.concat(h, p).alias("key"), F.length(h).alias("host_length"), F.length(p).alias("path_length"))))
@@ -81,10 +82,11 @@ def judge(captures: DataFrame, entries: DataFrame, id_col="page_id", url_col="ur
     rows = captures.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(time_col).cast("timestamp_ntz").alias("at"))
     spans = Scratch(captures.sparkSession, "urlfilter").save(intervals(entries), "spans")
     labels = F.size(F.split(F.substring_index("key", "/", 1), r"\."))
-    n, most_labels, most_parts = spans.agg(F.count("*"), F.coalesce(F.max(labels), F.lit(1)), F.coalesce(F.max(F.size(_parts(F.col("key"))) - 1), F.lit(0))).first()
+    # keys that the list can't have, as a top domain alone, are made of no capture, so that they are no hot key of the join
+    n, most_labels, least_labels, most_parts = spans.agg(F.count("*"), F.coalesce(F.max(labels), F.lit(1)), F.coalesce(F.min(labels), F.lit(1)), F.coalesce(F.max(F.size(_parts(F.col("key"))) - 1), F.lit(0))).first()
     # one row for each distinct url and time carries the keys
     wanted = rows.where("url is not null and at is not null").select("url", "at").distinct()
-    wanted = wanted.select("url", "at", F.explode(keys(F.col("url"), max(most_labels, 1), max(most_parts, 0))).alias("k")).select("url", "at", "k.*")
+    wanted = wanted.select("url", "at", F.explode(keys(F.col("url"), max(most_labels, 1), max(most_parts, 0), max(least_labels, 1))).alias("k")).select("url", "at", "k.*")
     if n <= SMALL:
         met = wanted.join(F.broadcast(spans), "key").select("url", "at", "key", "host_length", "path_length", _active(F.col("spans"), F.col("at")).alias("span"))
     else:
