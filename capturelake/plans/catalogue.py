@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capturelake.functions import charset, dates, mime, text, urls
+from capturelake.functions import charset, dates, mime, synonyms, text, urls
 from capturelake.operators import captures, dictionary, facets, graph, html, lang, ordered, parse, postings, relevance, search
 from capturelake.scratch import Scratch
 from capturelake.sources import export
@@ -792,6 +792,26 @@ def highlight(spark, sf_dir):
     return d.select("doc_id", F.md5(text.highlight(F.col("text"), "worthless")).alias("marked"))
 
 
+_SYNONYMS = ("of the => ofthe", "and, plus also")
+
+
+@query(
+    "synonym_phrases",
+    """with w as (select conv_id, turn, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') as ws from conversations),
+    s as (select conv_id, turn, len(ws) as n, array_to_string(list_transform(ws, lambda x: ' ' || x || ' '), '') as s from w),
+    r as (select *, replace(s, ' of  the ', ' ofthe ') as r from s),
+    c as (select *, (length(s) - length(r)) / 3 as joined, (length(r) - length(replace(r, ' and ', ''))) / 5 as ands, (length(r) - length(replace(r, ' plus  also ', ''))) / 12 as pluses from r)
+    select conv_id, turn, cast(n - joined + 2 * ands + pluses as bigint) as n_terms, contains(r, ' in  ofthe ') as in_ofthe, contains(r, ' in  of ') as in_of,
+           contains(r, ' and  the ') or contains(r, ' plus  also  the ') as plus_also_the from c""",
+)
+def synonym_phrases(spark, sf_dir):
+    """Phrases across synonyms of several words."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", _plain_words(F.col("text")).alias("ws"))
+    found = synonyms.phrases(F.col("ws"), _SYNONYMS, ["in ofthe", "in of", "plus also the"])
+    rows = rows.select("conv_id", "turn", F.size(synonyms.graph(F.col("ws"), _SYNONYMS)).cast("bigint").alias("n_terms"), found.alias("f"))
+    return rows.select("conv_id", "turn", "n_terms", F.col("f")[0].alias("in_ofthe"), F.col("f")[1].alias("in_of"), F.col("f")[2].alias("plus_also_the"))
+
+
 def _vocabulary(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select(F.explode(_plain_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
 
