@@ -800,7 +800,7 @@ _SYNONYMS = ("of the => ofthe", "and, plus also")
     """with w as (select conv_id, turn, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') as ws from conversations),
     s as (select conv_id, turn, len(ws) as n, array_to_string(list_transform(ws, lambda x: ' ' || x || ' '), '') as s from w),
     r as (select *, replace(s, ' of  the ', ' ofthe ') as r from s),
-    c as (select *, (length(s) - length(r)) / 3 as joined, (length(r) - length(replace(r, ' and ', ''))) / 5 as ands, (length(r) - length(replace(r, ' plus  also ', ''))) / 12 as pluses from r)
+    c as (select *, (length(s) - length(r)) / 2 as joined, (length(r) - length(replace(r, ' and ', ''))) / 5 as ands, (length(r) - length(replace(r, ' plus  also ', ''))) / 12 as pluses from r)
     select conv_id, turn, cast(n - joined + 2 * ands + pluses as bigint) as n_terms, contains(r, ' in  ofthe ') as in_ofthe, contains(r, ' in  of ') as in_of,
            contains(r, ' and  the ') or contains(r, ' plus  also  the ') as plus_also_the from c""",
 )
