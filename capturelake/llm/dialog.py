@@ -426,8 +426,8 @@ with recursive crc as (
          case when d = 1 then '' when d = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
   from p, unnest(case when d = 3 then [1, 2] else [1] end) where d <> 0
 ), o as (
-  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
-         row_number() over (partition by conv_id, role, text order by turn nulls first) as again from w
+  select *, row_number() over (partition by conv_id, role, text order by i) as again
+  from (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from w)
 ), f as (
   select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when again > 1 then 'duplicate'
                  when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault,

@@ -130,7 +130,7 @@ def test_a_conversation_without_rows_left(spark):
     assert [tuple(r[c] for c in ("conv_id", *dialog.COUNTS, "audit", "repaired_sha256")) for r in got] == [(dropped[0], 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
 
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
