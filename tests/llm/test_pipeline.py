@@ -91,6 +91,6 @@ def test_run_on_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() == 0
 
 
-def test_registry_has_all_ten():
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 11))
+def test_registry_has_all_thirteen():
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 14))
     assert set(registry.SQL) <= set(registry.QUERIES)
