@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.functions import charset, dates, mime, synonyms, text, urls
-from capturelake.operators import captures, dictionary, facets, graph, html, lang, ordered, parse, postings, relevance, search
+from capturelake.operators import captures, dictionary, facets, graph, html, lang, ordered, parse, phrases, postings, relevance, search
 from capturelake.scratch import Scratch
 from capturelake.sources import export
 from capturelake.sources.webarchive import WebArchive
@@ -872,6 +872,38 @@ def more_like_this(spark, sf_dir):
     return found.select("id", F.round("score", 6).alias("score"))
 
 
+BASES_SQL = r"""s as (
+      select doc_id, regexp_extract_all(u, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from (select doc_id, unnest(string_split_regex(lower(text), '[.!?\n]+')) as u from documents)
+    ), p as (
+      select distinct doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) as phrase from s, range(1, 7) r(n) where len(w) >= n
+    ), c as (select phrase, n, list(doc_id order by doc_id) as ids, count(*) as n_docs from p group by phrase, n having count(*) >= 3),
+    common as (select coalesce(list(phrase), []) as words from c where n = 1 and 100 * n_docs > 40 * (select count(distinct doc_id) from documents)),
+    longest as (select phrase, n, ids, n_docs from c qualify row_number() over (partition by ids order by n desc, phrase) = 1),
+    telling as (select phrase, n, ids, n_docs, len(list_filter(string_split(phrase, ' '), lambda x: not list_contains(words, x))) as e from longest, common),
+    b as (
+      select row_number() over (order by n_docs * (case when e > 1 then 2 * e else e end) desc, phrase) as base, phrase, n as n_words, n_docs, n_docs * (case when e > 1 then 2 * e else e end) as score, ids
+      from telling where e > 0 qualify base <= 500
+    )"""
+
+
+@query("phrase_bases", f"with {BASES_SQL} select base, phrase, n_words, n_docs, score from b")
+def phrase_bases(spark, sf_dir):
+    return phrases.bases(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query(
+    "phrase_clusters",
+    f"""with recursive {BASES_SQL},
+    m as (select base, unnest(ids) as doc_id from b), n as (select x.base as a, y.base as b, count(*) as n from m x join m y on x.doc_id = y.doc_id and x.base <> y.base group by all),
+    e as (select n.a, n.b from n join b x on x.base = n.a join b y on y.base = n.b where 2 * n > x.n_docs and 2 * n > y.n_docs),
+    r as (select base as a, base as b from b union select r.a, e.b from r join e on e.a = r.b),
+    k as (select a as base, min(b) as cluster from r group by a)
+    select doc_id, cluster, label.phrase as label, count(*) as n_bases from m join k using (base) join b label on label.base = cluster group by all""",
+)
+def phrase_clusters(spark, sf_dir):
+    return phrases.clusters(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 @query(
     "lang_detect",
     r"""with t as (
