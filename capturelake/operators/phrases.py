@@ -1,84 +1,163 @@
 """Clusters of documents by the phrases they share, labelled by phrase: suffix-tree clustering as joins and counts.
 
 A phrase is up to ``most_words`` words in a row within a sentence. All phrases that occur in exactly the same documents
-are one base, named by the longest of them; in a suffix tree these are the phrases along one edge. A base's score is
-its documents by its weight: 1 for one word that tells something, twice their number for more of them, where a word of
-more than ``common_percent`` of the documents tells nothing. Of the bases the ``most_bases`` with the highest scores
-are taken, as the method has it. Two of them belong together if each shares more than half of its documents with the
-other, and what hangs together is a cluster. A document may be in several clusters or in none.
-
-Null texts and texts without words have no phrases. Rows of one id are one document, null ids too. Phrases are compared
-as their words; sets of documents by their number and two 64-bit sums of their ids' hashes.
+are one base, named by the longest of them; in a suffix tree these are the phrases along one edge. Of several longest ones
+that with most telling words names it, then the first; a word of more than ``common_percent`` of the documents tells
+nothing. A base's score is its documents by its weight: 1 for one telling word, twice their number for more. Of the bases
+the ``most_bases`` with the highest scores are taken, as the method has it. Two of them belong together if each shares more
+than half of its documents with the other, and what hangs together is a cluster. A document may be in several clusters or
+in none.
+
+Null texts and texts without words have no phrases. Rows of one id are one document, null ids too. Phrases are counted by
+their number of words and a 64-bit hash, sets of documents are compared by their number and two 64-bit sums of hashes.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capturelake.scratch import Scratch
+from capturelake.scratch import Scratch, ship
 
-SENTENCE = r"[.!?\n]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-PIECE = 2048  # words of a sentence that one row holds, so that a text without marks is no single row
+MARKS = ".!?\n"
+TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[.!?\n]")
+PIECE = 100_000  # words and marks that are held at once, of one long text or of many short ones
 MOST_BASES = 4096  # the counts of two bases are a matrix in each task
+BLOCK = 1_000_000  # hashes of phrases whose words one pass looks up
 BASE = "base int, phrase string, n_words int, n_docs long, score long"
 
 
-def _runs(words: Column, most_words: int) -> Column:
-    """(n_words, phrase) of all runs of 1 to most_words words."""
+def hashes(words: list[str]) -> np.ndarray:
+    return pd.util.hash_array(np.array(words, object)) if words else np.zeros(0, np.uint64)
+
+
+def _longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a phrase and one word more."""
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word
+
 
-    def of(n: int) -> Column:
-        some = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.struct(F.lit(n).alias("n_words"), F.array_join(F.slice(words, i, n), " ").alias("phrase")))
-        return F.when(F.size(words) >= n, some).otherwise(F.array().cast("array<struct<n_words:int,phrase:string>>"))
+def phrase_hash(phrase: str) -> int:
+    h = hashes(phrase.split(" "))
+    out = h[:1]
+    for w in h[1:]:
+        out = _longer(out, np.array([w]))
+    return int(out.view(np.int64)[0])
 
-    return F.concat(*map(of, range(1, most_words + 1)))
 
+def _held(batches, most_words: int):
+    """(ids, row of each token, tokens) in pieces of about PIECE tokens; what a piece ends with begins the next one of its text."""
+    rows, tokens, ids = [], [], []
+    for batch in batches:
+        for i, text in enumerate(batch.column(1)):
+            found, tail = TOKEN.finditer(text.as_py() or ""), []
+            while some := [m.group() for m in islice(found, PIECE)]:
+                tokens += [*tail, *some, "."]
+                rows.append(len(tail) + len(some) + 1)
+                ids.append(batch.column(0).slice(i, 1))
+                tail = [*tail, *some][len(tail) + len(some) - most_words + 1 :] if most_words > 1 else []
+                if len(tokens) >= PIECE:
+                    yield pa.concat_arrays(ids), np.repeat(np.arange(len(ids)), rows), tokens
+                    rows, tokens, ids = [], [], []
+    if tokens:
+        yield pa.concat_arrays(ids), np.repeat(np.arange(len(ids)), rows), tokens
 
-def phrases(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6) -> DataFrame:
-    """(id, n_words, phrase), a phrase perhaps more than once for a document."""
-    rows = docs.select(F.col(id_col).alias("id"), F.explode(F.split(F.lower(F.col(text_col).cast("string")), SENTENCE)).alias("sentence"))
-    rows = rows.select("id", F.regexp_extract_all("sentence", F.lit(WORD), F.lit(0)).alias("words")).where("size(words) > 0")
-    starts = F.sequence(F.lit(1), F.size("words"), F.lit(PIECE))
-    rows = rows.select("id", F.explode(F.transform(starts, lambda i: F.slice("words", i, PIECE + most_words - 1))).alias("words"))
-    return rows.select("id", F.explode(_runs(F.col("words"), most_words)).alias("p")).select("id", "p.*")
 
+def _phrases(most_words: int, common: np.ndarray, wanted=None):
+    """(id, n, e, g) of all phrases: words, telling words, hash; with ``wanted``, a broadcast of sorted hashes, only those, and their words."""
+    marks = hashes(list(MARKS))
 
-def counted(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3) -> DataFrame:
-    """(phrase, n_words, n_docs, x, y) of the phrases of least_docs documents or more; x and y stand for the set of documents.
+    def run(batches):
+        for ids, row, tokens in _held(batches, most_words):
+            word = hashes(tokens)
+            mark = np.isin(word, marks)
+            at = np.arange(len(word))
+            left = np.flatnonzero(mark)[np.cumsum(mark) - mark] - at  # words up to the next mark; the last token is one
+            telling = np.append(0, np.cumsum(~np.isin(word, common) & ~mark))
+            h = word
+            for n in range(1, most_words + 1):
+                if n > 1:
+                    h = _longer(h[: len(word) - n + 1], word[n - 1 :])
+                here = np.flatnonzero(left[: len(h)] >= n)
+                g = h[here].view(np.int64)
+                names = []
+                if wanted is not None and len(wanted.value):
+                    hit = wanted.value[np.minimum(np.searchsorted(wanted.value, g), len(wanted.value) - 1)] == g
+                    here, g = here[hit], g[hit]
+                    names = [pa.array([" ".join(tokens[i : i + n]) for i in here], pa.string())]
+                if len(here):
+                    e = (telling[here + n] - telling[here]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row[here])), pa.array(np.full(len(here), n, np.int32)), pa.array(e), pa.array(g), *names], ["id", "n", "e", "g", "phrase"][: 4 + len(names)])
+
+    return run
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("id"), F.lower(F.col(text_col).cast("string")).alias("text")).where("text is not null")
+    return rows, f"id {rows.schema['id'].dataType.simpleString()}, n int, e int, g long"
+
+
+def counted(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common: np.ndarray | None = None) -> DataFrame:
+    """(n, e, g, n_docs, x, y) of the phrases of least_docs documents or more; x and y stand for the set of documents.
 
     A frequent phrase is no hot key: a document counts once by (phrase, id), and counts are combined before the shuffle.
     """
-    once = phrases(docs, id_col, text_col, most_words).distinct()
-    n = once.groupBy("phrase", "n_words").agg(F.count("*").alias("n_docs"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
+    rows, schema = _texts(docs, id_col, text_col)
+    once = rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64) if common is None else common), schema).distinct()
+    n = once.groupBy("n", "e", "g").agg(F.count("*").alias("n_docs"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
     return n.where(F.col("n_docs") >= least_docs)
 
 
+def looked_up(docs: DataFrame, id_col: str, text_col: str, most_words: int, wanted: np.ndarray) -> DataFrame:
+    """(id, phrase) of the phrases with these hashes, perhaps more than once for a document."""
+    rows, schema = _texts(docs, id_col, text_col)
+    sent = docs.sparkSession.sparkContext.broadcast(np.sort(wanted))
+    return rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64), sent), f"{schema}, phrase string").drop("e")
+
+
 def bases(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common_percent: int = 40, most_bases: int = 500) -> DataFrame:
     """(base, phrase, n_words, n_docs, score) of the best bases, numbered from 1 by falling score, ties by phrase.
 
-    The driver gets the common words, which are at most 100 / common_percent times the mean number of different words of a
-    document, and most_bases rows.
+    The driver gets the hashes of common words, which are at most 100 / common_percent times the mean number of different words
+    of a document, those of the phrases that can be among the best, BLOCK at a time, and most_bases rows.
     """
     if not 0 < most_bases <= MOST_BASES:
         raise ValueError(f"most_bases is {most_bases}, not 1 to {MOST_BASES}")
     spark, work = docs.sparkSession, Scratch(docs.sparkSession, "phrases")
-    found = work.save(counted(docs, id_col, text_col, most_words, least_docs), "counted")
     total = docs.select(id_col).distinct().count()
-    common = [r["phrase"] for r in found.where(F.col("n_words") == 1).where(F.col("n_docs") * 100 > F.lit(total) * common_percent).select("phrase").collect()]
-    sets = found.groupBy("n_docs", "x", "y").agg(F.min(F.struct((-F.col("n_words")).alias("n"), "phrase")).alias("p"))
-    telling = F.size(F.filter(F.split("p.phrase", " "), lambda w: ~w.isin(common))) if common else -F.col("p.n")
-    scored = sets.select("p.phrase", (-F.col("p.n")).alias("n_words"), "n_docs", (F.col("n_docs") * F.when(telling > 1, telling * 2).otherwise(telling)).alias("score"))
-    best = scored.where("score > 0").orderBy(F.desc("score"), "phrase").limit(most_bases).collect()
-    work.drop("counted")
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(best, 1)], BASE)
+    words = counted(docs, id_col, text_col, 1, least_docs).where(F.col("n_docs") * 100 > F.lit(total) * common_percent)
+    common = words.select("g").toArrow()["g"].to_numpy().view(np.uint64)
+    found = work.save(counted(docs, id_col, text_col, most_words, least_docs, common), "counted")
+    sets = found.groupBy("n_docs", "x", "y").agg(F.max(F.struct("n", "e")).alias("top")).select("n_docs", "x", "y", "top.n", "top.e")
+    sets = sets.withColumn("score", F.col("n_docs") * F.when(F.col("e") > 1, F.col("e") * 2).otherwise(F.col("e"))).where("score > 0")
+    least = sets.select("score").orderBy(F.desc("score")).limit(most_bases).agg(F.min("score")).first()[0]
+    if least is None:
+        return spark.createDataFrame([], BASE)
+    kept = work.save(found.join(sets.where(F.col("score") >= least), ["n_docs", "x", "y", "n", "e"]), "kept")
+    blocks, best = -(-kept.count() // BLOCK), None
+    for b in range(blocks):
+        some = kept.where(F.pmod(F.xxhash64("g"), F.lit(blocks)) == b)
+        names = looked_up(docs, id_col, text_col, most_words, some.select("g").toArrow()["g"].to_numpy()).select("n", "g", "phrase").distinct()
+        names = work.save(names, f"names{b}")
+        best = names if best is None else best.unionByName(names)
+    named = kept.join(best, ["n", "g"]).groupBy("n_docs", "x", "y", "n", "score").agg(F.min("phrase").alias("phrase"))
+    rows = named.orderBy(F.desc("score"), "phrase").limit(most_bases).select("phrase", "n", "n_docs", "score").collect()
+    work.drop("counted", "kept", *(f"names{b}" for b in range(blocks)))
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows, 1)], BASE)
 
 
 def members(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, most_words: int = 6) -> DataFrame:
     """(id, base) once for each document that has a base's phrase; bases are at most MOST_BASES rows and broadcast."""
-    met = phrases(docs, id_col, text_col, most_words).join(F.broadcast(found.select("base", "phrase")), "phrase")
+    wanted = np.array([phrase_hash(r["phrase"]) for r in found.select("phrase").collect()], np.int64)
+    if not len(wanted):
+        return docs.select(F.col(id_col).alias("id"), F.lit(0).alias("base")).limit(0)
+    met = looked_up(docs, id_col, text_col, most_words, wanted).join(F.broadcast(found.select("base", "phrase")), "phrase")
     return met.select("id", "base").distinct()
 
 

@@ -878,11 +878,11 @@ BASES_SQL = r"""s as (
       select distinct doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) as phrase from s, range(1, 7) r(n) where len(w) >= n
     ), c as (select phrase, n, list(doc_id order by doc_id) as ids, count(*) as n_docs from p group by phrase, n having count(*) >= 3),
     common as (select coalesce(list(phrase), []) as words from c where n = 1 and 100 * n_docs > 40 * (select count(distinct doc_id) from documents)),
-    longest as (select phrase, n, ids, n_docs from c qualify row_number() over (partition by ids order by n desc, phrase) = 1),
-    telling as (select phrase, n, ids, n_docs, len(list_filter(string_split(phrase, ' '), lambda x: not list_contains(words, x))) as e from longest, common),
+    telling as (select phrase, n, ids, n_docs, len(list_filter(string_split(phrase, ' '), lambda x: not list_contains(words, x))) as e from c, common),
+    longest as (select phrase, n, ids, n_docs, e from telling qualify row_number() over (partition by ids order by n desc, e desc, phrase) = 1),
     b as (
       select row_number() over (order by n_docs * (case when e > 1 then 2 * e else e end) desc, phrase) as base, phrase, n as n_words, n_docs, n_docs * (case when e > 1 then 2 * e else e end) as score, ids
-      from telling where e > 0 qualify base <= 500
+      from longest where e > 0 qualify base <= 500
     )"""
 
 

@@ -6,6 +6,7 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,10 +33,10 @@ def by_hand(rows, most_words=6, least_docs=3, common_percent=40, most_bases=500)
     common = {p[0] for p, d in held.items() if len(p) == 1 and 100 * len(d) > common_percent * total}
     named = {}
     for p, d in held.items():
-        named[d] = min(named.get(d, (0, "")), (-len(p), " ".join(p)))
+        named[d] = min(named.get(d, (0, 0, "")), (-len(p), -sum(w not in common for w in p), " ".join(p)))
     found = []
-    for d, (n, p) in named.items():
-        e = sum(w not in common for w in p.split(" "))
+    for d, (n, e, p) in named.items():
+        e = -e
         if e:
             found.append((-len(d) * (2 * e if e > 1 else 1), p.encode(), -n, d))
     found = [(i, p.decode(), n, d, -s) for i, (s, p, n, d) in enumerate(sorted(found, key=lambda x: x[:2])[:most_bases], 1)]
@@ -71,12 +72,16 @@ def test_same_as_by_hand(spark, seed):
 
 
 def test_long_texts_without_marks_lose_no_phrase(spark, monkeypatch):
+    whole = pa.RecordBatch.from_pydict({"id": [1, 2, 1], "text": ["a b c d e f g h i j", "a b. c d", None]})
+    emitted = lambda: {tuple(r.values()) for b in phrases._phrases(6, phrases.hashes(["c"]))([whole]) for r in b.to_pylist()}
+    want = emitted()
     monkeypatch.setattr(phrases, "PIECE", 5)
+    assert emitted() == want and len(want) == 45 + 6
+    assert {(g, n) for _, n, _, g in want if n == 2} >= {(phrases.phrase_hash("a b"), 2), (phrases.phrase_hash("c d"), 2)}
+    monkeypatch.setattr(phrases, "BLOCK", 3)
     shared = "one two three four five six seven eight"
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(i % 7)) + " " + shared) for i in range(9)]
     assert both(spark, rows, common_percent=100) == by_hand(rows, common_percent=100)
-    got = {r["phrase"] for r in phrases.phrases(frame(spark, rows), "key", "body").where("n_words = 6").collect()}
-    assert {"one two three four five six", "three four five six seven eight"} <= got
 
 
 def test_topics_are_clusters_with_labels(spark):
