@@ -29,6 +29,7 @@ MARKS = ".!?\n"
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[.!?\n]")
 PIECE = 100_000  # words and marks that are held at once, of one long text or of many short ones
 MOST_BASES = 4096  # the counts of two bases are a matrix in each task
+MOST_WORDS = 4_000_000  # words of several documents that tasks are sent, 32 MB
 BLOCK = 1_000_000  # hashes of phrases whose words one pass looks up
 BASE = "base int, phrase string, n_words int, n_docs long, score long"
 
@@ -50,6 +51,11 @@ def phrase_hash(phrase: str) -> int:
     return int(out.view(np.int64)[0])
 
 
+def _within(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which hashes are among sorted ones."""
+    return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+
+
 def _held(batches, most_words: int):
     """(ids, row of each token, tokens) in pieces of about PIECE tokens; what a piece ends with begins the next one of its text."""
     rows, tokens, ids = [], [], []
@@ -68,14 +74,20 @@ def _held(batches, most_words: int):
         yield pa.concat_arrays(ids), np.repeat(np.arange(len(ids)), rows), tokens
 
 
-def _phrases(most_words: int, common: np.ndarray, wanted=None):
-    """(id, n, e, g) of all phrases: words, telling words, hash; with ``wanted``, a broadcast of sorted hashes, only those, and their words."""
+def _phrases(most_words: int, common: np.ndarray, wanted=None, words=None):
+    """(id, n, e, g) of all phrases: words, telling words, hash; with ``wanted``, a broadcast of sorted hashes, only those, and their words.
+
+    With ``words``, another such broadcast, only phrases of these words.
+    """
     marks = hashes(list(MARKS))
 
     def run(batches):
         for ids, row, tokens in _held(batches, most_words):
             word = hashes(tokens)
             mark = np.isin(word, marks)
+            if words is not None:
+                mark |= ~_within(word, words.value)
+                mark[-1] = True
             at = np.arange(len(word))
             left = np.flatnonzero(mark)[np.cumsum(mark) - mark] - at  # words up to the next mark; the last token is one
             telling = np.append(0, np.cumsum(~np.isin(word, common) & ~mark))
@@ -86,8 +98,8 @@ def _phrases(most_words: int, common: np.ndarray, wanted=None):
                 here = np.flatnonzero(left[: len(h)] >= n)
                 g = h[here].view(np.int64)
                 names = []
-                if wanted is not None and len(wanted.value):
-                    hit = wanted.value[np.minimum(np.searchsorted(wanted.value, g), len(wanted.value) - 1)] == g
+                if wanted is not None:
+                    hit = _within(g, wanted.value)
                     here, g = here[hit], g[hit]
                     names = [pa.array([" ".join(tokens[i : i + n]) for i in here], pa.string())]
                 if len(here):
@@ -103,13 +115,13 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]
     return rows, f"id {rows.schema['id'].dataType.simpleString()}, n int, e int, g long"
 
 
-def counted(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common: np.ndarray | None = None) -> DataFrame:
+def counted(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common: np.ndarray | None = None, words=None) -> DataFrame:
     """(n, e, g, n_docs, x, y) of the phrases of least_docs documents or more; x and y stand for the set of documents.
 
     A frequent phrase is no hot key: a document counts once by (phrase, id), and counts are combined before the shuffle.
     """
     rows, schema = _texts(docs, id_col, text_col)
-    once = rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64) if common is None else common), schema).distinct()
+    once = rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64) if common is None else common, words=words), schema).distinct()
     n = once.groupBy("n", "e", "g").agg(F.count("*").alias("n_docs"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
     return n.where(F.col("n_docs") >= least_docs)
 
@@ -121,19 +133,26 @@ def looked_up(docs: DataFrame, id_col: str, text_col: str, most_words: int, want
     return rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64), sent), f"{schema}, phrase string").drop("e")
 
 
+def _column(rows: DataFrame) -> np.ndarray:
+    return rows.select("g").toArrow()["g"].to_numpy().view(np.uint64)
+
+
 def bases(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common_percent: int = 40, most_bases: int = 500) -> DataFrame:
     """(base, phrase, n_words, n_docs, score) of the best bases, numbered from 1 by falling score, ties by phrase.
 
     The driver gets the hashes of common words, which are at most 100 / common_percent times the mean number of different words
-    of a document, those of the phrases that can be among the best, BLOCK at a time, and most_bases rows.
+    of a document, of words of least_docs documents if they are at most MOST_WORDS, of the phrases that can be among the best,
+    BLOCK at a time, and most_bases rows.
     """
     if not 0 < most_bases <= MOST_BASES:
         raise ValueError(f"most_bases is {most_bases}, not 1 to {MOST_BASES}")
     spark, work = docs.sparkSession, Scratch(docs.sparkSession, "phrases")
     total = docs.select(id_col).distinct().count()
-    words = counted(docs, id_col, text_col, 1, least_docs).where(F.col("n_docs") * 100 > F.lit(total) * common_percent)
-    common = words.select("g").toArrow()["g"].to_numpy().view(np.uint64)
-    found = work.save(counted(docs, id_col, text_col, most_words, least_docs, common), "counted")
+    words = work.save(counted(docs, id_col, text_col, 1, least_docs), "words")
+    common = _column(words.where(F.col("n_docs") * 100 > F.lit(total) * common_percent))
+    # a phrase with a word of too few documents has too few itself; without the broadcast it is counted and then left out
+    frequent = spark.sparkContext.broadcast(np.sort(_column(words))) if words.count() <= MOST_WORDS else None
+    found = work.save(counted(docs, id_col, text_col, most_words, least_docs, common, frequent), "counted")
     sets = found.groupBy("n_docs", "x", "y").agg(F.max(F.struct("n", "e")).alias("top")).select("n_docs", "x", "y", "top.n", "top.e")
     sets = sets.withColumn("score", F.col("n_docs") * F.when(F.col("e") > 1, F.col("e") * 2).otherwise(F.col("e"))).where("score > 0")
     least = sets.select("score").orderBy(F.desc("score")).limit(most_bases).agg(F.min("score")).first()[0]
@@ -143,12 +162,12 @@ def bases(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, leas
     blocks, best = -(-kept.count() // BLOCK), None
     for b in range(blocks):
         some = kept.where(F.pmod(F.xxhash64("g"), F.lit(blocks)) == b)
-        names = looked_up(docs, id_col, text_col, most_words, some.select("g").toArrow()["g"].to_numpy()).select("n", "g", "phrase").distinct()
+        names = looked_up(docs, id_col, text_col, most_words, _column(some).view(np.int64)).select("n", "g", "phrase").distinct()
         names = work.save(names, f"names{b}")
         best = names if best is None else best.unionByName(names)
     named = kept.join(best, ["n", "g"]).groupBy("n_docs", "x", "y", "n", "score").agg(F.min("phrase").alias("phrase"))
     rows = named.orderBy(F.desc("score"), "phrase").limit(most_bases).select("phrase", "n", "n_docs", "score").collect()
-    work.drop("counted", "kept", *(f"names{b}" for b in range(blocks)))
+    work.drop("words", "counted", "kept", *(f"names{b}" for b in range(blocks)))
     return spark.createDataFrame([(i, *r) for i, r in enumerate(rows, 1)], BASE)
 
 

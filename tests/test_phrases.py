@@ -84,6 +84,12 @@ def test_long_texts_without_marks_lose_no_phrase(spark, monkeypatch):
     assert both(spark, rows, common_percent=100) == by_hand(rows, common_percent=100)
 
 
+def test_many_words_change_nothing(spark, monkeypatch):
+    rows = [(i, f"one two three rare{i} four. two three x{i % 2}") for i in range(8)]
+    monkeypatch.setattr(phrases, "MOST_WORDS", 2)
+    assert both(spark, rows, common_percent=100) == by_hand(rows, common_percent=100)
+
+
 def test_topics_are_clusters_with_labels(spark):
     rows = [(i, f"the solar power plant of town{i}. It opened") for i in range(5)] + [(i, f"a stray cat sleeps at house{i}. It purrs") for i in range(10, 15)] + [(20, "nothing in common")]
     got = {r["id"]: r["label"] for r in phrases.clusters(frame(spark, rows), "key", "body", common_percent=60).where(~F.col("label").isin("it")).collect()}
