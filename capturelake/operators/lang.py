@@ -13,8 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from capturelake.scratch import Scratch
+
 _OTHER = re.compile(r"[^\w]|[\d_]")
 _BITS = 21
+CELLS = 8_000_000  # 64 MB of profiles in a task
+HOT = 100_000
 
 
 def grams(text: str) -> np.ndarray:
@@ -73,12 +77,20 @@ def _counts(batches):
     yield from sent()
 
 
-def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, dict[str, float]]:
-    """Log-probabilities of all n-grams of each language, counted over all labelled documents."""
+def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, g, n) of all n-grams of each language, counted over all labelled documents."""
     labelled = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counts = labelled.mapInArrow(_counts, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
+    return labelled.mapInArrow(_counts, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
+
+
+def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, dict[str, float]]:
+    """Log-probabilities of all n-grams of each language, as dicts of the driver."""
+    return _profiles(counts(docs, text_col, lang_col))
+
+
+def _profiles(counted: DataFrame) -> dict[str, dict[str, float]]:
     out: dict[str, dict[str, float]] = {}
-    for r in counts.collect():
+    for r in counted.collect():
         out.setdefault(r["lang"], {})[shown(r["g"])] = r["n"]
     for lang, own in out.items():
         total = sum(own.values())
@@ -112,3 +124,51 @@ def detector(known: dict[str, dict[str, float]]):
         return texts.map(one)
 
     return detect
+
+
+def _own(batches):
+    """The n-grams of each text: key, g, n."""
+    for batch in batches:
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            g, n = np.unique(grams(text), return_counts=True)
+            if len(g):
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(g), pa.string()), pa.array(g), pa.array(n.astype(np.int64))], ["key", "g", "n"])
+
+
+def _joined(docs: DataFrame, counted: DataFrame, text_col: str, hot: int) -> DataFrame:
+    """(key, detected) of each different text by its digest: n-grams meet the profiles by a join.
+
+    The ``hot`` most frequent n-grams are broadcast, so that none of the others is met by so many texts.
+    """
+    total = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    v = counted.join(F.broadcast(total), "lang").select("lang", "g", "n", F.log(F.col("n") / F.col("total")).alias("v"))
+    unseen = v.agg(F.least(F.lit(-16.0), F.min("v") - F.log(F.lit(2.0)))).first()[0]
+    if unseen is None:
+        return docs.select(F.lit("").alias("key"), F.lit("").alias("detected")).limit(0)
+    by_gram = v.groupBy("g").agg(F.sum("n").alias("times"), F.collect_list(F.struct("lang", (F.col("v") - unseen).alias("more"))).alias("langs"))
+    by_gram = Scratch(docs.sparkSession, "lang").save(by_gram, "profiles")
+    often = by_gram.orderBy(F.desc("times"), "g").limit(hot).select("g")
+    texts = docs.select(F.sha2(text_col, 256).alias("key"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    own = texts.mapInArrow(_own, "key string, g long, n long").groupBy("key", "g").agg(F.any_value("n").alias("n"))
+    own = Scratch(docs.sparkSession, "lang").save(own, "own")
+    first = own.join(F.broadcast(by_gram.join(F.broadcast(often), "g", "left_semi")), "g")
+    rest = own.join(F.broadcast(often), "g", "left_anti").join(by_gram.join(F.broadcast(often), "g", "left_anti"), "g")
+    met = first.unionByName(rest).select("key", "n", "langs")
+    # a language's score above that of one that has none of the n-grams; that of a language without any is 0
+    score = met.select("key", F.col("n"), F.explode("langs").alias("x")).groupBy("key", "x.lang").agg(F.sum(F.col("n") * F.col("x.more")).alias("score"))
+    return score.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("s"), "lang")).alias("best")).select("key", F.col("best.lang").alias("detected"))
+
+
+def with_language(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", name: str = "detected", cells: int = CELLS, hot: int = HOT) -> DataFrame:
+    """docs with the language of each text, learned from all rows of ``labelled`` that have one; null for null, empty where nothing tells.
+
+    Up to ``cells`` numbers (n-grams times languages) the profiles are sent to all tasks as a table; beyond, the n-grams of each
+    different text are joined with them. Both ways give the same languages, but for scores that are equal up to rounding.
+    """
+    counted = Scratch(docs.sparkSession, "lang").save(counts(labelled, text_col, lang_col), "counts")
+    size, langs = counted.agg(F.count("*"), F.count_distinct("lang")).first()
+    if size * langs <= cells:
+        return docs.withColumn(name, detector(_profiles(counted))(F.col(text_col).cast("string")))
+    found = _joined(docs, counted, text_col, hot).select(F.col("key").alias("__key"), F.col("detected").alias("__detected"))
+    out = docs.withColumn("__key", F.sha2(F.col(text_col).cast("string"), 256)).join(found, "__key", "left")
+    return out.withColumn(name, F.when(F.col(text_col).isNotNull(), F.coalesce("__detected", F.lit("")))).drop("__key", "__detected")

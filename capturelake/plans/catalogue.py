@@ -921,4 +921,4 @@ def phrase_clusters(spark, sf_dir):
 )
 def lang_detect(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", "lang", lang.detector(lang.profiles(d))("text").alias("detected"))
+    return lang.with_language(d.select("doc_id", "lang", "text"), d).drop("text")
