@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capturelake.functions import charset, dates, mime, synonyms, text, urls
-from capturelake.operators import captures, dictionary, facets, graph, html, lang, ordered, parse, phrases, postings, relevance, search
+from capturelake.operators import captures, dictionary, extras, facets, graph, html, lang, ordered, parse, phrases, postings, relevance, search
 from capturelake.scratch import Scratch
 from capturelake.sources import export
 from capturelake.sources.webarchive import WebArchive
@@ -456,6 +456,13 @@ def page_keyset(spark, sf_dir):
     return search.page_after(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 100, 25)
 
 
+@query("page_missing_last", "select doc_id, job from (select doc_id, case when doc_id % 5 <> 0 then source end as job from documents) order by job desc nulls last, doc_id limit 100 offset 120")
+def page_missing_last(spark, sf_dir):
+    """A page in the order of a field that some documents lack: they come last in falling order, too."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("job"))
+    return search.page(rows, [search.missing_last("job", True), F.col("doc_id")], 120, 100)
+
+
 @query("terms", "select distinct source from documents where source is not null order by source")
 def terms(spark, sf_dir):
     return search.terms(_docs(spark, sf_dir), "source")
@@ -642,6 +649,24 @@ def successors(spark, sf_dir):
     return graph.successors(found, graph.nodes(found)).select("node_id", F.array_join("successors", ",").alias("successors"))
 
 
+@query("graph_kept", f"with {_EDGES}, n as (select row_number() over (order by url) - 1 as node_id, url from (select src as url from e union select dst from e)) select a.node_id, a.url, string_agg(cast(b.node_id as varchar), ',' order by b.node_id) as successors, 0 as n_faults from e join n a on a.url = src join n b on b.url = dst group by 1, 2")
+def graph_kept(spark, sf_dir):
+    """A graph that was kept and read again, with the number of its faults."""
+    found = graph.edges(_links(spark, sf_dir))
+    folder = Scratch(spark, "graph").path("kept")
+    graph.save(found, graph.nodes(found), folder)
+    numbered, followed = graph.load(spark, folder)
+    faults = len(graph.check(numbered, followed))
+    return followed.join(numbered, "node_id").select("node_id", "url", F.array_join("successors", ",").alias("successors"), F.lit(faults).alias("n_faults"))
+
+
+@query("related_documents", "select doc_id, source, n_chars from documents where doc_id in (select doc_id from labels where toxic = 1)")
+def related_documents(spark, sf_dir):
+    """The documents that the hits of a search in another table name."""
+    hits = table(spark, sf_dir, "labels").where("toxic = 1")
+    return extras.related(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), hits, "doc_id", "doc_id")
+
+
 @query("outdegree", f"with {_EDGES} select src, count(*) as outdegree from e group by src")
 def outdegree(spark, sf_dir):
     return graph.outdegree(graph.edges(_links(spark, sf_dir)))
@@ -740,6 +765,20 @@ def score_topk(spark, sf_dir):
     return relevance.top(scored.select("id", F.round("score", 6).alias("score")), 20)
 
 
+@query(
+    "elevated_ranking",
+    """with w as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) as term from documents),
+    tf as (select doc_id, term, count(*) as tf from w where term in ('worthless', 'moron', 'the') group by all),
+    df as (select term, count(*) as df from tf group by term), n as (select count(*) as n from documents),
+    s as (select doc_id as id, round(sum(sqrt(tf) * (1 + ln(n / (df + 1.0)))), 6) as score from tf join df using (term), n group by doc_id)
+    select id, score, case id when 7 then 0 when 2 then 1 else 2 end as place from s where id not in (1, 6)""",
+)
+def elevated_ranking(spark, sf_dir):
+    """All scored documents with two of them in front and two left out."""
+    scored = relevance.score(table(spark, sf_dir, "documents"), "doc_id", _plain_words(F.col("text")), ["worthless", "moron", "the"])
+    return extras.elevate(scored.select("id", F.round("score", 6).alias("score")), [7, 2], [1, 6])
+
+
 @query(
     "score_bm25",
     """with a as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') as ws from documents),
