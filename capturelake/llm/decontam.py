@@ -19,7 +19,9 @@ That drops no match.
 
 Bounds. Items go to every task in blocks of ``MOST_ITEMS`` (about 10 KB an item); each
 block is one pass over the documents, without a shuffle, and the rarity of shingles is
-counted over all items. Memory is bounded by a slice of text and ``PAIRS`` candidates.
+counted over all items. Of several blocks, one is made, sent, used and given back before
+the next: its matches, or the documents that it leaves, are written in between. So memory
+is bounded by one block of items, a slice of text and ``PAIRS`` candidates.
 
 Cases. Null and empty texts match nothing; items without words are no items; an item of
 fewer than k words has one shingle, its whole sequence, found at windows of its length.
@@ -30,10 +32,12 @@ result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -237,20 +241,21 @@ def _spread(k: int):
     return tx.released(run)
 
 
-def sent_items(benchmark: DataFrame, shingle_words: int, least: float, item_col: str, item_text: str) -> list:
-    """The items as one broadcast for each block."""
+def sent_items(benchmark: DataFrame, shingle_words: int, least: float, item_col: str, item_text: str) -> Iterator[tuple[Broadcast, int]]:
+    """The items as one broadcast for each block, and the number of blocks. A block is made when it is asked for."""
     spark = benchmark.sparkSession
     ship(spark)
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null")
     n = items.count()
     if n <= MOST_ITEMS:
         got = items.toArrow()
-        return [spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words, least))]
+        yield spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words, least)), 1
+        return
     work = Scratch(spark, "decontam")
     items = work.save(items.withColumn("row", F.monotonically_increasing_id()), "items")
     counts = work.save(items.select("text").mapInArrow(_spread(shingle_words), "g long, items int").groupBy("g").agg(F.sum("items").alias("items"), F.count_if(F.col("items") == 0).alias("n")), "spread")
     total = counts.agg(F.sum("items")).first()[0] or 0
-    blocks, out = -(-2 * n // MOST_ITEMS), []
+    blocks = -(-2 * n // MOST_ITEMS)
     # by a digest, with room for uneven blocks
     block = F.pmod(F.xxhash64("row"), F.lit(blocks))
     for b in range(blocks):
@@ -260,24 +265,32 @@ def sent_items(benchmark: DataFrame, shingle_words: int, least: float, item_col:
         spread = counts.join(F.broadcast(own), "g").where("n > 0").select("g", "n").toArrow()
         g, count = spread["g"].to_numpy().view(np.uint64), spread["n"].to_numpy()
         order = np.argsort(g)
-        out.append(spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words, least, (g[order], count[order]), total)))
-    return out
+        yield spark.sparkContext.broadcast(Items(got["item"].to_pylist(), got["text"].to_pylist(), shingle_words, least, (g[order], count[order]), total)), blocks
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle_words: int = 5, id_col="doc_id", text_col="text", item_col="item_id", item_text="text") -> DataFrame:
     """(id, item, first_word, n_words, distance, similarity): the best window of each document for each item it holds."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = None
-    for items in sent_items(benchmark, shingle_words, similarity, item_col, item_text):
+    work, out = Scratch(docs.sparkSession, "matches"), None
+    for i, (items, blocks) in enumerate(sent_items(benchmark, shingle_words, similarity, item_col, item_text)):
         found = texts.mapInArrow(_search(items, similarity), "id long, item long, first_word long, n_words long, distance int, similarity double")
+        if blocks > 1:
+            found = work.save(found, f"block{i}")
+            items.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, shingle_words: int = 5, text_col="text", item_col="item_id", item_text="text") -> DataFrame:
-    """The rows of docs that hold no item, unchanged; in one pass without a shuffle."""
-    for items in sent_items(benchmark, shingle_words, similarity, item_col, item_text):
+    """The rows of docs that hold no item, unchanged; in one pass without a shuffle for each block of items."""
+    work = Scratch(docs.sparkSession, "clean")
+    for i, (items, blocks) in enumerate(sent_items(benchmark, shingle_words, similarity, item_col, item_text)):
         docs = docs.mapInArrow(_search(items, similarity, text_col, docs.columns.index(text_col), only=True), docs.schema)
+        if blocks > 1:
+            docs = work.save(docs, f"block{i}")
+            items.destroy()
+            if i:
+                work.drop(f"block{i - 1}")
     return docs
 
 
