@@ -24,13 +24,13 @@ def read_archives(spark: SparkSession, path: str | Sequence[str], mode: str = "P
     return reader.load(path) if isinstance(path, str) else reader.option("locations", json.dumps(list(path))).load()
 
 
-def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False, charsets: charset.Model | None = None) -> DataFrame:
+def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False, charsets: charset.Model | None = None, closed: bool = False) -> DataFrame:
     """PARSED_RECORD, rec_seq and error of the HTTP responses with status 200.
 
     Bodies over 5,000,000 bytes and those that can't be read keep their row without text; error says why HTML
     could not be read. Texts are read by their mark, their header, their markup or as UTF-8; where none of these can read them
     by the model of charsets, if there is one. A missing digest is computed. Revisits of WARC files are marked, the mark of ARC records
-    is null. With ``damage`` the rows that stand for damaged archives stay too, without a url.
+    is null. With ``damage`` the rows that stand for damaged archives stay too, without a url. ``closed`` is that of ``html.page``.
     """
     rows = raw.where("is_http and status = 200 or error is not null" if damage else "is_http and status = 200")
     # the record's own length guards the text, as a body is part of it
@@ -46,7 +46,7 @@ def parse(raw: DataFrame, strict_mime: bool = True, damage: bool = False, charse
     rows = rows.withColumn("read", other).withColumn("body", F.when(is_text, F.when(plain, valid).otherwise(F.col("read.text"))))
     is_html = F.coalesce(F.col("detected.sub").contains("html"), F.lit(False))
     is_file = F.coalesce(F.col("detected.sub").isin("pdf", "zip"), F.lit(False))
-    rows = rows.withColumn("page", page.extract(F.when(is_html, F.col("body")))).withColumn("file", documents.extract(F.when(is_file, small)))
+    rows = rows.withColumn("page", page.extract(F.when(is_html, F.col("body")), closed)).withColumn("file", documents.extract(F.when(is_file, small)))
     links = F.transform(F.concat("page.links", "file.links"), lambda x: x["to"])
     rows = rows.withColumn("targets", page.resolve(F.col("url"), links))
     return rows.select(
