@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capturelake.scratch import Scratch, ship
+from capturelake.scratch import Scratch, freed, ship
 
 MARKS = ".!?\n"
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[.!?\n]")
 PIECE = 100_000  # words and marks that are held at once, of one long text or of many short ones
 MOST_BASES = 4096  # the counts of two bases are a matrix in each task
-MOST_WORDS = 4_000_000  # words of several documents that tasks are sent, 32 MB
+MOST_WORDS = 4_000_000  # a sieve of hashes has at most as many 64-bit words, 32 MB
 BLOCK = 1_000_000  # hashes of phrases whose words one pass looks up
 BASE = "base int, phrase string, n_words int, n_docs long, score long"
 
@@ -56,6 +56,22 @@ def _within(h: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
 
 
+def _sieve(rows: DataFrame):
+    """A broadcast of bits, one in 16 set by the hashes g of rows, or more if they are many: a hash whose bit is unset is not among them."""
+    size = 64 * min(MOST_WORDS, rows.count() // 4 + 1)
+    at = F.pmod("g", F.lit(size))
+    bits = np.zeros(size // 64, np.int64)
+    found = rows.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(pmod(g, {size}L), 64) as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    bits[found["word"].to_numpy()] = found["bit"].to_numpy()
+    return rows.sparkSession.sparkContext.broadcast(bits)
+
+
+def _sieved(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    at = h.view(np.int64) % (64 * len(bits))
+    return (bits[at >> 6] >> (at & 63)) & 1 == 1
+
+
 def _held(batches, most_words: int):
     """(ids, row of each token, tokens) in pieces of about PIECE tokens; what a piece ends with begins the next one of its text."""
     rows, tokens, ids = [], [], []
@@ -74,10 +90,11 @@ def _held(batches, most_words: int):
         yield pa.concat_arrays(ids), np.repeat(np.arange(len(ids)), rows), tokens
 
 
-def _phrases(most_words: int, common: np.ndarray, wanted=None, words=None):
+def _phrases(most_words: int, common: np.ndarray, wanted=None, words=None, pairs=None, least: int = 1):
     """(id, n, e, g) of all phrases: words, telling words, hash; with ``wanted``, a broadcast of sorted hashes, only those, and their words.
 
-    With ``words``, another such broadcast, only phrases of these words.
+    ``words`` and ``pairs`` are sieves: a phrase with a word or with two words in a row that are not among them is left out.
+    ``least`` is the least number of words. Of a piece, each phrase of a document is given once.
     """
     marks = hashes(list(MARKS))
 
@@ -86,22 +103,34 @@ def _phrases(most_words: int, common: np.ndarray, wanted=None, words=None):
             word = hashes(tokens)
             mark = np.isin(word, marks)
             if words is not None:
-                mark |= ~_within(word, words.value)
+                mark |= ~_sieved(word, words.value)
                 mark[-1] = True
             at = np.arange(len(word))
             left = np.flatnonzero(mark)[np.cumsum(mark) - mark] - at  # words up to the next mark; the last token is one
+            if pairs is not None:
+                # words up to the end of the first pair that is not among them, but for its last word
+                gap = np.append(~_sieved(_longer(word[:-1], word[1:]), pairs.value), True)
+                left = np.minimum(left, np.flatnonzero(gap)[np.cumsum(gap) - gap] - at + 1)
             telling = np.append(0, np.cumsum(~np.isin(word, common) & ~mark))
             h = word
             for n in range(1, most_words + 1):
                 if n > 1:
                     h = _longer(h[: len(word) - n + 1], word[n - 1 :])
+                if n < least:
+                    continue
                 here = np.flatnonzero(left[: len(h)] >= n)
                 g = h[here].view(np.int64)
                 names = []
                 if wanted is not None:
-                    hit = _within(g, wanted.value)
+                    hit = _within(h[here], wanted.value)
                     here, g = here[hit], g[hit]
                     names = [pa.array([" ".join(tokens[i : i + n]) for i in here], pa.string())]
+                else:
+                    # rows ascend with places, so equal phrases of a row are neighbours in a stable order
+                    order = np.argsort(g, kind="stable")
+                    same = (g[order][1:] == g[order][:-1]) & (row[here[order]][1:] == row[here[order]][:-1])
+                    first = order[np.append(True, ~same)] if len(order) else order
+                    here, g = here[first], g[first]
                 if len(here):
                     e = (telling[here + n] - telling[here]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([ids.take(pa.array(row[here])), pa.array(np.full(len(here), n, np.int32)), pa.array(e), pa.array(g), *names], ["id", "n", "e", "g", "phrase"][: 4 + len(names)])
@@ -115,19 +144,23 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]
     return rows, f"id {rows.schema['id'].dataType.simpleString()}, n int, e int, g long"
 
 
-def counted(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common: np.ndarray | None = None, words=None) -> DataFrame:
+def counted(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common: np.ndarray | None = None, words=None, pairs=None, least: int = 1) -> DataFrame:
     """(n, e, g, n_docs, x, y) of the phrases of least_docs documents or more; x and y stand for the set of documents.
 
-    A frequent phrase is no hot key: a document counts once by (phrase, id), and counts are combined before the shuffle.
+    Phrases are shuffled once, by their hash, and a document counts once by (phrase, id). A phrase has at most as many rows as there
+    are documents, of a piece one for each, while a task gets all phrases of its hashes, so a frequent phrase is no hot key.
     """
     rows, schema = _texts(docs, id_col, text_col)
-    once = rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64) if common is None else common, words=words), schema).distinct()
-    n = once.groupBy("n", "e", "g").agg(F.count("*").alias("n_docs"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
-    return n.where(F.col("n_docs") >= least_docs)
+    found = rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64) if common is None else common, words=words, pairs=pairs, least=least), schema)
+    # n and e in one number, as each has eight bytes in a shuffled row
+    once = found.select("id", (F.col("n") * (most_words + 1) + F.col("e")).alias("ne"), "g").repartition("g").distinct()
+    n = once.groupBy("g", "ne").agg(F.count("*").alias("n_docs"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
+    ne = F.floor(F.col("ne") / (most_words + 1)).cast("int").alias("n"), (F.col("ne") % (most_words + 1)).cast("int").alias("e")
+    return n.where(F.col("n_docs") >= least_docs).select(*ne, "g", "n_docs", "x", "y")
 
 
 def looked_up(docs: DataFrame, id_col: str, text_col: str, most_words: int, wanted: np.ndarray) -> DataFrame:
-    """(id, phrase) of the phrases with these hashes, perhaps more than once for a document."""
+    """(id, phrase) of the phrases with these unsigned hashes, perhaps more than once for a document."""
     rows, schema = _texts(docs, id_col, text_col)
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(wanted))
     return rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64), sent), f"{schema}, phrase string").drop("e")
@@ -140,19 +173,30 @@ def _column(rows: DataFrame) -> np.ndarray:
 def bases(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common_percent: int = 40, most_bases: int = 500) -> DataFrame:
     """(base, phrase, n_words, n_docs, score) of the best bases, numbered from 1 by falling score, ties by phrase.
 
+    Words are counted first, then pairs of words of enough documents, then longer phrases of pairs of enough documents: a phrase has
+    at most the documents of its parts. What a step shuffled is deleted before the next.
+
     The driver gets the hashes of common words, which are at most 100 / common_percent times the mean number of different words
-    of a document, of words of least_docs documents if they are at most MOST_WORDS, of the phrases that can be among the best,
-    BLOCK at a time, and most_bases rows.
+    of a document, two sieves of up to 32 MB, the hashes of the phrases that can be among the best, BLOCK at a time, and most_bases rows.
     """
     if not 0 < most_bases <= MOST_BASES:
         raise ValueError(f"most_bases is {most_bases}, not 1 to {MOST_BASES}")
+    with freed(docs.sparkSession):
+        return _bases(docs, id_col, text_col, most_words, least_docs, common_percent, most_bases)
+
+
+def _bases(docs: DataFrame, id_col: str, text_col: str, most_words: int, least_docs: int, common_percent: int, most_bases: int) -> DataFrame:
     spark, work = docs.sparkSession, Scratch(docs.sparkSession, "phrases")
     total = docs.select(id_col).distinct().count()
     words = work.save(counted(docs, id_col, text_col, 1, least_docs), "words")
-    common = _column(words.where(F.col("n_docs") * 100 > F.lit(total) * common_percent))
-    # a phrase with a word of too few documents has too few itself; without the broadcast it is counted and then left out
-    frequent = spark.sparkContext.broadcast(np.sort(_column(words))) if words.count() <= MOST_WORDS else None
-    found = work.save(counted(docs, id_col, text_col, most_words, least_docs, common, frequent), "counted")
+    is_common = F.col("n_docs") * 100 > F.lit(total) * common_percent
+    common = _column(words.where(is_common))
+    found, sieve, pairs = words.withColumn("e", F.when(is_common, 0).otherwise(1)), _sieve(words), None
+    for least, most, name in ((2, min(2, most_words), "pairs"), (3, most_words, "longer")):
+        if least <= most:
+            part = work.save(counted(docs, id_col, text_col, most, least_docs, common, sieve, pairs, least), name)
+            found = found.unionByName(part)
+            pairs = _sieve(part) if name == "pairs" and most_words > 2 else pairs
     sets = found.groupBy("n_docs", "x", "y").agg(F.max(F.struct("n", "e")).alias("top")).select("n_docs", "x", "y", "top.n", "top.e")
     sets = sets.withColumn("score", F.col("n_docs") * F.when(F.col("e") > 1, F.col("e") * 2).otherwise(F.col("e"))).where("score > 0")
     least = sets.select("score").orderBy(F.desc("score")).limit(most_bases).agg(F.min("score")).first()[0]
@@ -162,18 +206,18 @@ def bases(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, leas
     blocks, best = -(-kept.count() // BLOCK), None
     for b in range(blocks):
         some = kept.where(F.pmod(F.xxhash64("g"), F.lit(blocks)) == b)
-        names = looked_up(docs, id_col, text_col, most_words, _column(some).view(np.int64)).select("n", "g", "phrase").distinct()
+        names = looked_up(docs, id_col, text_col, most_words, _column(some)).select("n", "g", "phrase").distinct()
         names = work.save(names, f"names{b}")
         best = names if best is None else best.unionByName(names)
     named = kept.join(best, ["n", "g"]).groupBy("n_docs", "x", "y", "n", "score").agg(F.min("phrase").alias("phrase"))
     rows = named.orderBy(F.desc("score"), "phrase").limit(most_bases).select("phrase", "n", "n_docs", "score").collect()
-    work.drop("words", "counted", "kept", *(f"names{b}" for b in range(blocks)))
+    work.drop("words", "pairs", "longer", "kept", *(f"names{b}" for b in range(blocks)))
     return spark.createDataFrame([(i, *r) for i, r in enumerate(rows, 1)], BASE)
 
 
 def members(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, most_words: int = 6) -> DataFrame:
     """(id, base) once for each document that has a base's phrase; bases are at most MOST_BASES rows and broadcast."""
-    wanted = np.array([phrase_hash(r["phrase"]) for r in found.select("phrase").collect()], np.int64)
+    wanted = np.array([phrase_hash(r["phrase"]) for r in found.select("phrase").collect()], np.int64).view(np.uint64)
     if not len(wanted):
         return docs.select(F.col(id_col).alias("id"), F.lit(0).alias("base")).limit(0)
     met = looked_up(docs, id_col, text_col, most_words, wanted).join(F.broadcast(found.select("base", "phrase")), "phrase")

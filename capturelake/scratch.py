@@ -7,12 +7,14 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PLAN = "spark.sql.maxPlanStringLength"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -58,6 +60,17 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = f"{root}:{have}" if have else root
 
 
+@contextmanager
+def freed(spark: SparkSession):
+    """Within it, what a job shuffled is deleted when the job ends, not when the driver's JVM next collects garbage."""
+    old = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, old)
+
+
 _ROOTS: list[tuple[SparkSession, str]] = []
 
 

@@ -111,3 +111,16 @@ def test_counts_of_any_partitions_agree(spark):
     belongs = phrases.members(df, found, "key", "body")
     one = {tuple(r) for r in phrases.merged(belongs.coalesce(1), found).collect()}
     assert one == {tuple(r) for r in phrases.merged(belongs.repartition(7), found).collect()} and len({c for _, c in one}) > 1
+
+
+def test_phrases_are_shuffled_once_and_only_where_their_parts_are_frequent(spark):
+    rows = [(i, f"one two three rare{i} four five{i % 4} six. two three") for i in range(8)]
+    df = frame(spark, rows)
+    counted = phrases.counted(df, "key", "body")
+    assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    words, pairs = (phrases._sieve(phrases.counted(df, "key", "body", n, least=n)) for n in (1, 2))
+    emitted = [tuple(r.values()) for b in phrases._phrases(4, phrases.hashes([]), words=words, pairs=pairs, least=3)([pa.RecordBatch.from_pydict({"id": [1, 1], "text": [rows[0][1]] * 2})]) for r in b.to_pylist()]
+    found = {g for _, _, _, g in emitted}
+    assert phrases.phrase_hash("one two three") in found and {n for _, n, _, _ in emitted} <= {3, 4}
+    # a sieve lets some others through, but few; of two equal rows of one piece each gives its own
+    assert len(found) <= 3 and len(emitted) <= 6
