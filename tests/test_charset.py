@@ -62,3 +62,14 @@ def test_parsing_reads_other_charsets(spark, tmp_path, model):
     (tmp_path / "a.warc.gz").write_bytes(archives.warc([(u, "20080430204825", archives.http(200, kind, body)) for u, kind, body in rows]))
     got = {r["url"]: r["title"] for r in parse.parse(parse.read_archives(spark, str(tmp_path / "a.warc.gz")), charsets=model).collect()}
     assert got == {u: russian[:10].strip() if u != "http://h/latin" else "déjà vu" for u, _, _ in rows}
+
+
+def test_a_repeated_line_does_not_outweigh_the_rest_of_a_text(spark):
+    texts = ["Ein ö ö ist ein ö. Die schöne Größe für Mädchen, Übermut und Äpfel, grüßt heiß."] * 20 + ["L'été à côté, ça va. Señor, está aquí.", "Übung. Ü"]
+    model = charset.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    text = "Die schöne Größe für Mädchen, Übermut und Äpfel. " + "Ü Ü " * 200
+    data = text.encode("ibm850")
+    assert charset.read(data, None, model)[1] == text
+    key, n = charset.pairs(data)
+    # by the number of times that pairs occur it would be another charset
+    assert model.names[int((model.log[:, key] @ n).argmax())] != "ibm850"
