@@ -67,6 +67,16 @@ def test_stemmer_and_analysis(spark):
     assert one(spark, text.analyze_url(F.lit("http://A.org/b-c"))) == ["http", "a", "org", "b", "c"]
 
 
+def test_words_are_analysed_once_a_worker(monkeypatch):
+    calls, stem = [], text.stem
+    monkeypatch.setattr(text, "stem", lambda w: calls.append(w) or stem(w))
+    text._known.cache_clear()
+    long = "x" * (text.LONG + 1)
+    assert text.positions(f"Wi-Fi stopworda {long} " * 2 + "...") == [("wi", 0), ("fi", 1), ("wifi", 1), (long, 3), ("wi", 4), ("fi", 5), ("wifi", 5), (long, 7)]
+    assert sorted(calls) == sorted(["wi", "fi", "wifi", long, long])
+    text._known.cache_clear()
+
+
 def test_html():
     title, body, links, error = html.page('<html><head><title>A &amp; B</title><style>x</style></head><body>One<p>two\n three<a href="/x">li<b>nk</b></a><a href="mailto:q">m</a><a>n</a><script>s</script>')
     assert (title, body, links, error) == ("A & B", "One two threelinkmn", [("/x", "link")], None)
