@@ -15,6 +15,7 @@ their number of words and a 64-bit hash, sets of documents are compared by their
 from __future__ import annotations
 
 import re
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -31,6 +32,9 @@ PIECE = 100_000  # words and marks that are held at once, of one long text or of
 MOST_BASES = 4096  # the counts of two bases are a matrix in each task
 MOST_WORDS = 4_000_000  # a sieve of hashes has at most as many 64-bit words, 32 MB
 BLOCK = 1_000_000  # hashes of phrases whose words one pass looks up
+SHARES = 2  # phrases of a length are shuffled in as many shares of their hashes, one after another
+SMALL = 1_000_000  # all lengths are counted at once for fewer words
+DICTIONARY = 16 << 20  # bytes of the Parquet dictionary of a file's hashes, so that a hash that repeats takes few bytes
 BASE = "base int, phrase string, n_words int, n_docs long, score long"
 
 
@@ -77,8 +81,9 @@ def _held(batches, most_words: int):
     rows, tokens, ids = [], [], []
     for batch in batches:
         for i, text in enumerate(batch.column(1)):
-            found, tail = TOKEN.finditer(text.as_py() or ""), []
-            while some := [m.group() for m in islice(found, PIECE)]:
+            text = text.as_py() or ""
+            found, tail = iter(TOKEN.findall(text)) if len(text) <= PIECE else (m.group() for m in TOKEN.finditer(text)), []
+            while some := list(islice(found, PIECE)):
                 tokens += [*tail, *some, "."]
                 rows.append(len(tail) + len(some) + 1)
                 ids.append(batch.column(0).slice(i, 1))
@@ -138,6 +143,62 @@ def _phrases(most_words: int, common: np.ndarray, wanted=None, words=None, pairs
     return run
 
 
+def _hashed(most_words: int, words):
+    """(id, words) of pieces of texts: hashes of the words that a sieve lets through, 0 for whatever lies between them, and at the end."""
+    marks = hashes(list(MARKS))
+
+    def run(batches):
+        for ids, row, tokens in _held(batches, most_words):
+            word = hashes(tokens)
+            word[np.isin(word, marks) | ~_sieved(word, words.value)] = 0
+            last = np.append(row[1:] != row[:-1], True)
+            word[last] = 0
+            # one 0 for several; a text without words that count gives no row
+            keep = (word != 0) | np.append(False, word[:-1] != 0)
+            word, row = word[keep], row[keep]
+            at = np.append(np.flatnonzero(np.diff(row, prepend=-1)), len(row)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row[at[:-1]])), pa.ListArray.from_arrays(pa.array(at), pa.array(word.view(np.int64)))], ["id", "words"])
+
+    return run
+
+
+def _of_lengths(lengths: list[int], common: np.ndarray, parts=None, share: int = 0, shares: int = 1):
+    """(id, n, e, g) of the phrases of these lengths in rows of ``_hashed``, of the hashes of one share.
+
+    With one length and a sieve ``parts``, a phrase with a part of one word less that is not among them is left out. Of a piece, each
+    phrase of a document is given once.
+    """
+
+    def run(batches):
+        for batch in batches:
+            lists, at = batch.column(1), 0
+            bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            every = lists.flatten().to_numpy().view(np.uint64)
+            while at < len(lists):
+                to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + PIECE, "right")) - 1)
+                word, row = every[bounds[at] : bounds[to]], np.repeat(np.arange(at, to), np.diff(bounds[at : to + 1]))
+                at, h = to, word
+                gaps, telling = (np.append(0, np.cumsum(x)) for x in (word == 0, ~np.isin(word, common)))
+                for n in range(2, min(lengths[-1], len(word)) + 1):
+                    known = _sieved(h, parts.value) if parts is not None and n == lengths[-1] else None
+                    h = _longer(h[:-1], word[n - 1 :])
+                    if n not in lengths:
+                        continue
+                    here = gaps[n:] == gaps[:-n]
+                    here = np.flatnonzero(here if known is None else here & known[:-1] & known[1:])
+                    here = here[h[here] % np.uint64(shares) == share]
+                    g = h[here].view(np.int64)
+                    # rows ascend with places, so equal phrases of a row are neighbours in a stable order
+                    order = np.argsort(g, kind="stable")
+                    g, here = g[order], here[order]
+                    first = np.append(True, (g[1:] != g[:-1]) | (row[here[1:]] != row[here[:-1]]))[: len(g)]
+                    g, here = g[first], here[first]
+                    e = (telling[here + n] - telling[here]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[here])), pa.array(np.full(len(here), n, np.int32)), pa.array(e), pa.array(g)], ["id", "n", "e", "g"])
+
+    return run
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.lower(F.col(text_col).cast("string")).alias("text")).where("text is not null")
@@ -152,6 +213,10 @@ def counted(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, le
     """
     rows, schema = _texts(docs, id_col, text_col)
     found = rows.mapInArrow(_phrases(most_words, np.zeros(0, np.uint64) if common is None else common, words=words, pairs=pairs, least=least), schema)
+    return _counted(found, most_words, least_docs)
+
+
+def _counted(found: DataFrame, most_words: int, least_docs: int) -> DataFrame:
     # n and e in one number, as each has eight bytes in a shuffled row
     once = found.select("id", (F.col("n") * (most_words + 1) + F.col("e")).alias("ne"), "g").repartition("g").distinct()
     n = once.groupBy("g", "ne").agg(F.count("*").alias("n_docs"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
@@ -173,11 +238,13 @@ def _column(rows: DataFrame) -> np.ndarray:
 def bases(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, least_docs: int = 3, common_percent: int = 40, most_bases: int = 500) -> DataFrame:
     """(base, phrase, n_words, n_docs, score) of the best bases, numbered from 1 by falling score, ties by phrase.
 
-    Words are counted first, then pairs of words of enough documents, then longer phrases of pairs of enough documents: a phrase has
-    at most the documents of its parts. What a step shuffled is deleted before the next.
+    Words are counted first. The hashes of those of enough documents are written in the order of the texts, and from them pairs are
+    counted, then one length after another, of which each phrase is made of two of enough documents: a phrase has at most the
+    documents of its parts. A length is counted in SHARES of its hashes; what a share shuffled is deleted before the next.
+    Of fewer than SMALL words all lengths are counted at once.
 
     The driver gets the hashes of common words, which are at most 100 / common_percent times the mean number of different words
-    of a document, two sieves of up to 32 MB, the hashes of the phrases that can be among the best, BLOCK at a time, and most_bases rows.
+    of a document, a sieve of each length of up to 32 MB, the hashes of the phrases that can be among the best, BLOCK at a time, and most_bases rows.
     """
     if not 0 < most_bases <= MOST_BASES:
         raise ValueError(f"most_bases is {most_bases}, not 1 to {MOST_BASES}")
@@ -191,12 +258,25 @@ def _bases(docs: DataFrame, id_col: str, text_col: str, most_words: int, least_d
     words = work.save(counted(docs, id_col, text_col, 1, least_docs), "words")
     is_common = F.col("n_docs") * 100 > F.lit(total) * common_percent
     common = _column(words.where(is_common))
-    found, sieve, pairs = words.withColumn("e", F.when(is_common, 0).otherwise(1)), _sieve(words), None
-    for least, most, name in ((2, min(2, most_words), "pairs"), (3, most_words, "longer")):
-        if least <= most:
-            part = work.save(counted(docs, id_col, text_col, most, least_docs, common, sieve, pairs, least), name)
+    found, sieve, names = words.withColumn("e", F.when(is_common, 0).otherwise(1)), _sieve(words), ["words"]
+    if most_words > 1:
+        rows, schema = _texts(docs, id_col, text_col)
+        hashed = rows.mapInArrow(_hashed(most_words, sieve), f"id {rows.schema['id'].dataType.simpleString()}, words array<long>")
+        texts = work.save(hashed, "texts", **{"parquet.dictionary.page.size": DICTIONARY})
+        small = (texts.agg(F.sum(F.size("words"))).first()[0] or 0) < SMALL
+        for lengths in [[*range(2, most_words + 1)]] if small else [[n] for n in range(2, most_words + 1)]:
+            parts, shares = [], 1 if small else SHARES
+            for i in range(shares):
+                some = texts.mapInArrow(_of_lengths(lengths, common, sieve if lengths[0] > 2 else None, i, shares), schema)
+                names.append(f"length{lengths[0]}_{i}")
+                parts.append(work.save(_counted(some, most_words, least_docs), names[-1]))
+            part = reduce(DataFrame.unionByName, parts)
             found = found.unionByName(part)
-            pairs = _sieve(part) if name == "pairs" and most_words > 2 else pairs
+            if lengths[-1] < most_words:
+                sieve.destroy()
+                sieve = _sieve(part)
+        work.drop("texts")
+    sieve.destroy()
     sets = found.groupBy("n_docs", "x", "y").agg(F.max(F.struct("n", "e")).alias("top")).select("n_docs", "x", "y", "top.n", "top.e")
     sets = sets.withColumn("score", F.col("n_docs") * F.when(F.col("e") > 1, F.col("e") * 2).otherwise(F.col("e"))).where("score > 0")
     least = sets.select("score").orderBy(F.desc("score")).limit(most_bases).agg(F.min("score")).first()[0]
@@ -206,12 +286,12 @@ def _bases(docs: DataFrame, id_col: str, text_col: str, most_words: int, least_d
     blocks, best = -(-kept.count() // BLOCK), None
     for b in range(blocks):
         some = kept.where(F.pmod(F.xxhash64("g"), F.lit(blocks)) == b)
-        names = looked_up(docs, id_col, text_col, most_words, _column(some)).select("n", "g", "phrase").distinct()
-        names = work.save(names, f"names{b}")
-        best = names if best is None else best.unionByName(names)
+        met = looked_up(docs, id_col, text_col, most_words, _column(some)).select("n", "g", "phrase").distinct()
+        met = work.save(met, f"names{b}")
+        best = met if best is None else best.unionByName(met)
     named = kept.join(best, ["n", "g"]).groupBy("n_docs", "x", "y", "n", "score").agg(F.min("phrase").alias("phrase"))
     rows = named.orderBy(F.desc("score"), "phrase").limit(most_bases).select("phrase", "n", "n_docs", "score").collect()
-    work.drop("words", "pairs", "longer", "kept", *(f"names{b}" for b in range(blocks)))
+    work.drop(*names, "kept", *(f"names{b}" for b in range(blocks)))
     return spark.createDataFrame([(i, *r) for i, r in enumerate(rows, 1)], BASE)
 
 
@@ -267,11 +347,13 @@ def merged(belongs: DataFrame, found: DataFrame) -> DataFrame:
 def clusters(docs: DataFrame, id_col: str, text_col: str, most_words: int = 6, **more) -> DataFrame:
     """(id, cluster, label, n_bases): a document's clusters with the phrase of the best base, and how many of its bases the document has.
 
-    ``more`` are the parameters of ``bases``. Texts are read twice: once to count phrases, once to look up those that were taken.
+    ``more`` are the parameters of ``bases``. Besides what that reads, texts are read once more for the members.
     """
     found = bases(docs, id_col, text_col, most_words, **more)
     work = Scratch(docs.sparkSession, "clusters")
-    belongs = work.save(members(docs, found, id_col, text_col, most_words), "members")
+    with freed(docs.sparkSession):
+        belongs = work.save(members(docs, found, id_col, text_col, most_words), "members")
+        of = merged(belongs, found)
     names = found.select(F.col("base").alias("cluster"), F.col("phrase").alias("label"))
-    named = merged(belongs, found).join(F.broadcast(names), "cluster")
-    return belongs.join(F.broadcast(named), "base").groupBy("id", "cluster", "label").agg(F.count("*").alias("n_bases"))
+    n = belongs.join(F.broadcast(of), "base").groupBy("id", "cluster").agg(F.count("*").alias("n_bases"))
+    return n.join(F.broadcast(names), "cluster").select("id", "cluster", "label", "n_bases")

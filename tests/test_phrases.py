@@ -124,3 +124,31 @@ def test_phrases_are_shuffled_once_and_only_where_their_parts_are_frequent(spark
     assert phrases.phrase_hash("one two three") in found and {n for _, n, _, _ in emitted} <= {3, 4}
     # a sieve lets some others through, but few; of two equal rows of one piece each gives its own
     assert len(found) <= 3 and len(emitted) <= 6
+
+
+def test_no_shuffle_holds_several_lengths(spark, monkeypatch):
+    """Of many words each length is counted by itself, in shares, and only of parts that are frequent."""
+    counted, save = [], phrases.Scratch.save
+
+    def saved(self, df, name, **more):
+        out = save(self, df, name, **more)
+        if "n_docs" in df.columns and name != "kept":
+            counted.append((name, {r["n"] for r in out.select("n").distinct().collect()}))
+        return out
+
+    monkeypatch.setattr(phrases.Scratch, "save", saved)
+    monkeypatch.setattr(phrases, "SMALL", 0, raising=False)
+    rows = [(i, f"one two three rare{i} four five six seven eight{i % 2}. two three") for i in range(8)] + [(3, "one two three. six seven"), (None, "five six seven")]
+    assert both(spark, rows, common_percent=100) == by_hand(rows, common_percent=100)
+    assert all(len(lengths) <= 1 for _, lengths in counted)
+    assert set().union(*(lengths for _, lengths in counted)) == {1, 2, 3, 4, 5}
+
+
+def test_phrases_of_rare_parts_are_not_shuffled(spark):
+    rows = [(1, [*map(phrases.phrase_hash, ["a", "b", "c", "d"]), 0, *map(phrases.phrase_hash, ["a", "b", "c"]), 0])]
+    batch = pa.RecordBatch.from_pydict({"id": [1], "words": [rows[0][1]]})
+    pairs = phrases._sieve(spark.createDataFrame([(phrases.phrase_hash(p),) for p in ("a b", "b c")], "g long"))
+    emitted = [r for b in phrases._of_lengths([3], phrases.hashes(["b"]), pairs)([batch]) for r in b.to_pylist()]
+    assert emitted == [{"id": 1, "n": 3, "e": 2, "g": phrases.phrase_hash("a b c")}]
+    shares = [{r["g"] for b in phrases._of_lengths([2, 3], phrases.hashes([]), None, i, 2)([batch]) for r in b.to_pylist()} for i in range(2)]
+    assert not shares[0] & shares[1] and shares[0] | shares[1] == {phrases.phrase_hash(p) for p in ("a b", "b c", "c d", "a b c", "b c d")}
