@@ -2,8 +2,9 @@
 
 A posting's impact is the part of its BM25 score that doesn't depend on the query: tf (k1 + 1) / (tf + k1 (1 - b + b dl / mean)).
 The postings of a term lie in blocks of ``BLOCK`` by falling impact, each with its largest one, in a table that is dealt and
-sorted by term and impact, so the filters below reach row groups. A term that every document has is dealt to many tasks: the
-order is made by ranges of (term, impact, id), and no task holds a term.
+sorted by term and level of impact, so the filters below reach row groups. What is shuffled are short lists: a batch of documents
+gives one for each term and level. A term that every document has is dealt to many tasks: the order is made by ranges of
+(term, first impact, first id), and no task holds a term. Lists of one term that meet in a batch are sorted together by impact.
 
 A query for the k best first reads what it needs to know a score that k documents reach: the first blocks of each term. A
 document that reaches it has, for each of its terms, a share of at least that score less the largest shares of all other terms,
@@ -21,32 +22,71 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capturelake.scratch import Scratch, ship
+from capturelake.scratch import Scratch, freed, ship
 
 BLOCK = 128
+LEVELS = 8  # of impacts, which are between 0 and k1 + 1
+LISTS = "term string, ids array<long>, impacts array<double>"
 STORED = "term string, most double, n int, ids array<long>, impacts array<double>"
 
 
+def _lists(k1: float, b: float, mean: float):
+    def run(batches):
+        """Of each batch of documents a list for each term and level, by falling impact and rising id."""
+        for batch in batches:
+            words, ids = batch.column("words"), batch.column("id").to_numpy()
+            if not len(words):
+                continue
+            dl, flat = np.diff(words.offsets.to_numpy()), words.flatten()
+            row = np.repeat(np.arange(len(words)), dl)
+            if flat.null_count:
+                row, flat = row[flat.is_valid().to_numpy(zero_copy_only=False)], flat.drop_null()
+            coded = flat.dictionary_encode()
+            both, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * len(words) + row, return_counts=True)
+            term, row = np.divmod(both, len(words))
+            impact = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[row] / mean))
+            order = np.lexsort((ids[row], -impact, term))
+            term, impact, own = term[order], impact[order], ids[row[order]]
+            level = (impact * LEVELS / (k1 + 1)).astype(np.int32)
+            at = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (level[1:] != level[:-1]))[: len(term)])
+            offsets = pa.array(np.append(at, len(term)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [coded.dictionary.take(pa.array(term[at])), pa.ListArray.from_arrays(offsets, pa.array(own)), pa.ListArray.from_arrays(offsets, pa.array(impact))],
+                ["term", "ids", "impacts"],
+            )
+
+    return run
+
+
 def _blocks(size: int):
     def run(batches):
-        """Blocks of sorted (term, impact, id); a block ends with its term, with its size or with its batch."""
+        """Blocks of lists that are sorted by term; a block ends with its term, with its size or with its batch."""
         for b in batches:
             if not b.num_rows:
                 continue
-            term = b.column("term").to_pylist()
-            ends = np.flatnonzero([x != y for x, y in zip(term, term[1:], strict=False)]) + 1
-            bounds = np.concatenate([[0], ends, [len(term)]])
-            cuts = np.unique(np.concatenate([np.arange(x, y, size) for x, y in zip(bounds, bounds[1:], strict=False)] + [[len(term)]])).astype(np.int32)
-            impact = b.column("impact").to_numpy()
-            offsets = pa.array(cuts)
+            coded = b.column("term").dictionary_encode()
+            # terms are numbered as they come
+            term = np.repeat(coded.indices.to_numpy(), np.diff(b.column("ids").offsets.to_numpy()))
+            ids, impact = (b.column(c).flatten().to_numpy() for c in ("ids", "impacts"))
+            order = np.lexsort((ids, -impact, term))
+            begins = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+            place = np.arange(len(term)) - np.repeat(begins, np.diff(np.append(begins, len(term))))
+            cuts = np.flatnonzero(place % size == 0)
+            ids, impact, offsets = ids[order], impact[order], pa.array(np.append(cuts, len(term)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([term[i] for i in cuts[:-1]], pa.string()), pa.array(impact[cuts[:-1]]), pa.array(np.diff(cuts)), pa.ListArray.from_arrays(offsets, b.column("id")), pa.ListArray.from_arrays(offsets, b.column("impact"))],
+                [coded.dictionary.take(pa.array(term[cuts])), pa.array(impact[cuts]), pa.array(np.diff(offsets).astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.ListArray.from_arrays(offsets, pa.array(impact))],
                 ["term", "most", "n", "ids", "impacts"],
             )
 
     return run
 
 
+def _reaching(first: Sequence, k: int) -> float:
+    """The impact down to which blocks (most, n), the largest first, hold k postings."""
+    held = np.cumsum([x["n"] for x in first])
+    return first[min(int(np.searchsorted(held, k)), len(first) - 1)]["most"]
+
+
 class Postings:
     """Written postings; n and mean are the number of documents and their mean length."""
 
@@ -68,18 +108,12 @@ class Postings:
         # two numbers
         n, mean = rows.agg(F.count("*"), F.avg(F.size("words"))).first()
         spark.createDataFrame([(n, float(mean or 1.0), k1, b)], "n long, mean double, k1 double, b double").write.parquet(f"{folder}/known")
-        # terms are counted within their row, before anything is shuffled
-        rows = rows.where("id is not null and size(words) > 0").select("id", F.size("words").alias("dl"), F.array_sort("words").alias("words"))
-        begins = F.filter(F.sequence(F.lit(1), F.col("dl")), lambda i: F.when(i == 1, True).otherwise(F.element_at("words", i) != F.element_at("words", i - 1)))
-        rows = rows.select("id", "dl", "words", begins.alias("at"))
-        ends = F.concat(F.slice("at", F.lit(2), F.size("at")), F.array(F.col("dl") + 1))
-        runs = F.zip_with("at", ends, lambda x, y: F.struct(F.element_at("words", x).alias("term"), (y - x).alias("tf")))
-        found = rows.select("id", "dl", F.explode(runs).alias("x")).select("x.term", "id", "dl", "x.tf")
-        impact = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(float(mean or 1.0))))
-        found = found.select("term", "id", impact.alias("impact"))
+        # terms are counted and joined to lists before anything is shuffled
+        found = rows.where("id is not null").mapInArrow(_lists(k1, b, float(mean or 1.0)), LISTS)
         parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        order = [F.asc("term"), F.desc("impact"), F.asc("id")]
-        found.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_blocks(block), STORED).write.parquet(f"{folder}/blocks")
+        order = [F.asc("term"), F.desc(F.element_at("impacts", 1)), F.asc(F.element_at("ids", 1))]
+        with freed(spark):
+            found.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_blocks(block), STORED).write.parquet(f"{folder}/blocks")
         blocks = spark.read.schema(STORED).parquet(f"{folder}/blocks")
         frequencies = blocks.groupBy("term").agg(F.sum("n").cast("long").alias("df"))
         frequencies.repartitionByRange(parts, "term").sortWithinPartitions("term").write.parquet(f"{folder}/terms")
@@ -107,13 +141,13 @@ class Postings:
         """(id, score) of the k best, by falling score and rising id."""
         weights = self._weights(query)
         own = self.blocks.where(F.col("term").isin(*weights)) if weights else self.blocks.where("false")
-        # a row for each query term: the largest impact, the blocks, and the least impact of the first blocks that hold k postings
-        heads = own.groupBy("term").agg(F.max("most").alias("most"), F.count("*").alias("blocks"), F.slice(F.sort_array(F.collect_list("most"), False), 1, 1 + k // BLOCK + 1).alias("first")).collect() if weights and k else []
+        # a row for each query term: the largest impact, the blocks, and the first ones, of which k hold k postings at least
+        heads = own.groupBy("term").agg(F.max("most").alias("most"), F.count("*").alias("blocks"), F.slice(F.sort_array(F.collect_list(F.struct("most", "n")), False), 1, k).alias("first")).collect() if weights and k else []
         if not heads:
             self.read = self.all = 0
             return self._summed(own, weights).limit(0)
         largest = {r["term"]: weights[r["term"]] * r["most"] for r in heads}
-        first = self._chosen({r["term"]: min(r["first"]) for r in heads})
+        first = self._chosen({r["term"]: _reaching(r["first"], k) for r in heads})
         reached = self._summed(first, weights).orderBy(F.desc("score")).limit(k).agg(F.min("score"), F.count("*")).first()
         # sums of shares in another order may differ in the last digits
         least = reached[0] * (1 - 1e-9) if reached[1] == k else 0.0

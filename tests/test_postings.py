@@ -57,6 +57,24 @@ def test_only_blocks_that_can_matter_are_read(spark, tmp_path):
     assert held.all > 150 and held.read < held.all / 3
 
 
+def test_terms_of_a_batch_are_shuffled_as_lists(spark, tmp_path):
+    """What is shuffled grows with the terms of a batch, not with its postings, and no list mixes levels."""
+    rows = [(i, f"common common{i % 2} " + "filler " * (i % 9)) for i in range(900)] + [(None, "lost"), (3, "common"), (901, None), (902, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    sent = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), words().alias("words")).mapInArrow(postings._lists(1.2, 0.75, 5.0), postings.LISTS).collect()
+    assert len(sent) <= 4 * postings.LEVELS < sum(len(r["ids"]) for r in sent) / 50
+    assert all([*r["impacts"]] == sorted(r["impacts"], reverse=True) and len({int(x * postings.LEVELS / 2.2) for x in r["impacts"]}) == 1 for r in sent)
+    held = postings.Postings.write(docs, "doc_id", words(), str(tmp_path / "p"), block=7)
+    assert held.blocks.agg(F.max("n")).first()[0] == 7
+    assert {r["id"]: r["score"] for r in held.score(["common", "filler"]).collect()}.keys() == set(range(900))
+    assert {r["term"]: r["df"] for r in held.frequencies.collect()} == {"common": 901, "common0": 450, "common1": 450, "filler": 800}
+
+
+def test_blocks_that_end_early_hold_enough():
+    first = [{"most": 9.0 - i, "n": n} for i, n in enumerate([1, 2, 128, 128])]
+    assert [postings._reaching(first, k) for k in (1, 3, 4, 131, 132, 1000)] == [9.0, 8.0, 7.0, 7.0, 6.0, 6.0]
+
+
 def test_nothing_to_index(spark, tmp_path):
     held = postings.Postings.write(spark.createDataFrame([], "doc_id long, text string"), "doc_id", words(), str(tmp_path / "p"))
     assert held.top(["a"], 3).count() == 0 and held.score(["a"]).count() == 0
