@@ -45,6 +45,7 @@ PAD = LEAVES
 VOCABULARY = 200_000
 SPAN, WIDTH, HIDDEN = 3, 12, 24
 ROUNDS, BATCH, SHARD = 2, 8192, 1 << 20
+PART = 2048  # tokens whose logits of classes are held at once
 MOST_TASKS = 20_000
 CHUNKS = 64
 PLACES = [*range(-SPAN, 0), *range(1, SPAN + 1)]
@@ -89,8 +90,11 @@ def _counts(batches):
         for part in tx.slices(batch, "text"):
             h, tail, _ = hashed(part.column(0))
             if len(h):
-                u, first, n = np.unique(h, return_index=True, return_counts=True)
-                held.append((u, tail[first], n))
+                # sorting values alone is much faster than sorting their places
+                u, n = np.unique(h, return_counts=True)
+                own = np.empty(len(u), tail.dtype)
+                own[tx.Table(u).find(h)] = tail
+                held.append((u, own, n))
                 size += len(u)
             if size > 400_000:
                 held = [merged()]
@@ -178,7 +182,7 @@ def _code(vocabulary):
                 leaf, within, known = own.look(h, tail)
                 sums = np.concatenate([[0.0], np.cumsum(within)])
                 lost = np.concatenate([[0], np.cumsum(~known)])[bounds].astype(np.int32)
-                raw = pa.py_buffer(leaf.astype("<u2").tobytes())
+                raw = pa.py_buffer(leaf.astype("<i2").tobytes())
                 codes = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((2 * bounds).astype(np.int32)), raw])
                 rows = np.arange(row, row + part.num_rows)
                 row += part.num_rows
@@ -215,7 +219,7 @@ def leaves_of(column) -> tuple[np.ndarray, np.ndarray]:
     """Joined leaf numbers of a binary column and the bounds of its rows."""
     offs = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
     raw = np.frombuffer(column.buffers()[2], np.uint8, int(offs[-1] - offs[0]), int(offs[0])) if offs[-1] > offs[0] else np.zeros(0, np.uint8)
-    return raw.view("<u2").astype(np.int64), (offs - offs[0]).astype(np.int64) // 2
+    return raw.view("<i2"), (offs - offs[0]).astype(np.int64) // 2
 
 
 def neighbours(leaf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -261,25 +265,25 @@ def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def framed(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Biases above weights, as hidden() begins with ones."""
+    return np.concatenate([bias[..., None, :], weights], -2)
+
+
 def hidden(p, near):
-    """Joined embeddings of the neighbours, and the hidden layer."""
+    """Joined embeddings of the neighbours, and the hidden layer behind a column of ones."""
     x = p["e"].take(near.ravel(), 0).reshape(len(near), -1)
-    h = x @ p["w"]
-    h += p["b"]
+    h = x @ np.pad(p["w"], ((0, 0), (1, 0)))
+    # tanh(40) is 1
+    h += np.pad(p["b"], (1, 0), constant_values=40)
     return x, np.tanh(h, out=h)
 
 
-def runs(kind: np.ndarray):
-    """(group, places of its tokens) of every group that occurs."""
-    inside = np.flatnonzero(kind >= HEADS)
-    if not len(inside):
-        return
-    group = (kind[inside] - HEADS).astype(np.int16)
-    order = np.argsort(group, kind="stable")
-    inside, group = inside[order], group[order]
-    first = np.flatnonzero(np.diff(group, prepend=-1))
-    for a, b in zip(first, np.append(first[1:], len(group)), strict=True):
-        yield int(group[a]), inside[a:b]
+def by_leaf(leaf: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of tokens by leaf, and (group, from, to) in it of every group that occurs."""
+    order = np.argsort(leaf.astype(np.int16, copy=False), kind="stable")
+    at = np.searchsorted(leaf[order], HEADS + MEMBERS * np.arange(GROUPS + 1)).tolist()
+    return order, [(g, lo, hi) for g, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)) if hi > lo]
 
 
 def split_leaf(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -293,68 +297,110 @@ def bounded(p) -> bool:
     return all(float(np.abs(p[u]).sum(-2).max() + np.abs(p[c]).max()) < 60 for u, c in (("u", "c"), ("v", "d")))
 
 
-def _exp(z: np.ndarray, own: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray]:
-    """exp(z) in place, up to a factor for each row: log-probability of the own column, and sums of rows."""
+def parts(n: int):
+    return (slice(at, min(at + PART, n)) for at in range(0, n, PART))
+
+
+def _exp(z: np.ndarray, safe: bool) -> np.ndarray:
+    """exp(z) in place, up to a factor for each row: the sums of rows."""
     if not safe:
         z -= z.max(1, keepdims=True)
-    at = z[np.arange(len(z)), own]
     np.exp(z, out=z)
-    total = z @ np.ones(z.shape[1], z.dtype)
-    return at - np.log(total), total
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
+def _places(z: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Of the own column of each row, in z as one row."""
+    return np.arange(0, z.size, z.shape[1]) + own
+
+
+def _log_probs(h: np.ndarray, weights: np.ndarray, own: np.ndarray, safe: bool) -> np.ndarray:
+    z = h @ weights
+    if not safe:
+        z -= z.max(1, keepdims=True)
+    at = z.ravel()[_places(z, own)]
+    return at - np.log(_exp(z, True))
 
 
 def log_probs(p, leaf: np.ndarray, near: np.ndarray, batch: int = 2 * BATCH) -> np.ndarray:
     """log P(leaf | neighbours) of each token."""
     out, safe = np.empty(len(leaf)), bounded(p)
+    u, v = framed(p["u"], p["c"]), framed(p["v"], p["d"])
     for at in range(0, len(leaf), batch):
-        part = slice(at, at + batch)
-        kind, member = split_leaf(leaf[part])
-        _, h = hidden(p, near[part])
-        z = h @ p["u"]
-        z += p["c"]
-        here = _exp(z, kind, safe)[0].astype(np.float64)
-        for g, rows in runs(kind):
-            z = h[rows] @ p["v"][g]
-            z += p["d"][g]
-            here[rows] += _exp(z, member[rows], safe)[0]
-        out[part] = here
+        here, around = leaf[at : at + batch], near[at : at + batch]
+        order, groups = by_leaf(here)
+        kind, member = split_leaf(here[order])
+        h = np.concatenate([hidden(p, around[x])[1] for x in parts(len(here))]).take(order, 0)
+        logs = np.concatenate([_log_probs(h[x], u, kind[x], safe) for x in parts(len(here))]).astype(np.float64)
+        for g, lo, hi in groups:
+            logs[lo:hi] += _log_probs(h[lo:hi], v[g], member[lo:hi], safe)
+        out[at + order] = logs
     return out
 
 
-def _loss_slope(z: np.ndarray, own: np.ndarray, n: int, safe: bool) -> np.ndarray:
-    """Of the logits, in place, for a mean over n tokens."""
-    total = _exp(z, own, safe)[1]
-    z *= (1 / (n * total))[:, None]
-    z[np.arange(len(z)), own] -= 1 / n
-    return z
+def _slopes(h: np.ndarray, weights: np.ndarray, own: np.ndarray, n: int, safe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of the hidden layer and of the weights, for a mean over n tokens."""
+    z = h @ weights
+    total = _exp(z, safe)
+    z.ravel()[_places(z, own)] -= total
+    # the narrow factors are scaled, not the logits
+    scale = (1 / (n * total))[:, None]
+    back = z @ weights.T
+    back *= scale
+    return back, (h * scale).T @ z
 
 
-def gradient(p, leaf, near) -> dict[str, np.ndarray]:
-    """Of the mean negative log-likelihood; that of the embeddings only for the rows in "at"."""
+def _embedded(p, dh: np.ndarray, leaf: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves and the slopes of their embeddings.
+
+    A neighbour that is a token of the batch, as nearly all are, gets its slope at that token's place, so that one row a token
+    is sorted and not one a neighbour.
+    """
     n = len(leaf)
-    kind, member = split_leaf(leaf)
-    x, h = hidden(p, near)
-    safe = bounded(p)
-    z = h @ p["u"]
-    z += p["c"]
-    dz = _loss_slope(z, kind, n, safe)
-    dh = dz @ p["u"].T
-    dv, dd = np.zeros_like(p["v"]), np.zeros_like(p["d"])
-    for g, rows in runs(kind):
-        here = h[rows]
-        z = here @ p["v"][g]
-        z += p["d"][g]
-        d = _loss_slope(z, member[rows], n, safe)
-        dv[g], dd[g] = here.T @ d, d.sum(0)
-        dh[rows] += d @ p["v"][g].T
-    dh *= 1 - h * h
-    dx = (dh @ p["w"].T).reshape(-1, WIDTH)
-    # sums by neighbour over sorted runs
-    at = near.ravel()
+    # rows are numbers of the embeddings, columns are tokens
+    dx = (p["w"] @ dh.T).reshape(len(PLACES), WIDTH, n)
+    at, slopes = [leaf.astype(np.int16)], [np.zeros((WIDTH, n), dx.dtype)]
+    for k, d in enumerate(PLACES):
+        lo, hi = max(0, -d), min(n, n - d)
+        other = np.ones(n, bool)
+        if hi > lo:
+            other[lo:hi] = near[lo:hi, k] != leaf[lo + d : hi + d]
+        rest = np.flatnonzero(other)
+        at.append(near[rest, k])
+        slopes.append(dx[k][:, rest])
+        dx[k][:, rest] = 0
+        if hi > lo:
+            slopes[0][:, lo + d : hi + d] += dx[k][:, lo:hi]
+    at = np.concatenate(at)
     order = np.argsort(at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.diff(at, prepend=-1))
-    return {"at": at[first], "e": np.add.reduceat(dx.take(order, 0), first), "w": x.T @ dh, "b": dh.sum(0), "u": h.T @ dz, "c": dz.sum(0), "v": dv, "d": dd}
+    return at[first], np.add.reduceat(np.concatenate(slopes, 1).take(order, 1), first, 1).T
+
+
+def gradient(p, leaf, near) -> dict[str, np.ndarray]:
+    """Of the mean negative log-likelihood; that of the embeddings only for the rows in "at"."""
+    n, safe = len(leaf), bounded(p)
+    # the logits of a group are those of neighbouring rows
+    order, groups = by_leaf(leaf)
+    kind, member = split_leaf(leaf[order])
+    x, h = hidden(p, near)
+    h = h.take(order, 0)
+    u, v = framed(p["u"], p["c"]), framed(p["v"], p["d"])
+    back, du, dv = np.empty_like(h), np.zeros_like(u), np.zeros_like(v)
+    for here in parts(n):
+        back[here], more = _slopes(h[here], u, kind[here], n, safe)
+        du += more
+    for g, lo, hi in groups:
+        more, dv[g] = _slopes(h[lo:hi], v[g], member[lo:hi], n, safe)
+        back[lo:hi] += more
+    h *= h
+    back *= np.subtract(1, h, out=h)
+    dh = np.empty_like(back)
+    dh[order] = back
+    dw = x.T @ dh
+    at, e = _embedded(p, dh[:, 1:], leaf, near)
+    return {"at": at, "e": e, "w": dw[:, 1:], "b": (np.ones(n, dh.dtype) @ dh)[1:], "u": du[1:], "c": du[0], "v": dv[:, 1:], "d": dv[:, 0]}
 
 
 class Trainer:
@@ -370,9 +416,17 @@ class Trainer:
         g = gradient(self.p, leaf, near)
         at = g.pop("at")
         for k, d in g.items():
-            rows = at if k == "e" else slice(None)
-            self.seen[k][rows] += d * d
-            self.p[k][rows] -= self.rate * d / np.sqrt(self.seen[k][rows])
+            if k == "e":
+                seen = self.seen[k][at] + d * d
+                self.seen[k][at] = seen
+                self.p[k][at] -= self.rate * d / np.sqrt(seen)
+            else:
+                size = d * d
+                self.seen[k] += size
+                np.sqrt(self.seen[k], out=size)
+                np.divide(d, size, out=size)
+                size *= self.rate
+                self.p[k] -= size
         self.tokens += len(leaf)
 
     def take(self, leaf, bounds) -> None:

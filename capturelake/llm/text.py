@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20
+SHORT = 16  # bytes of a word that are hashed place by place
 
 
 def released(run):
@@ -67,6 +68,13 @@ def _powers(n: int, cache: dict[str, np.ndarray] = {}) -> np.ndarray:  # noqa: B
     return have
 
 
+@functools.cache
+def _codes(lower: bool) -> np.ndarray:
+    """What each byte adds to a word's sum at each of its first places."""
+    byte = (_LOWER if lower else np.arange(256)).astype(np.uint64) + np.uint64(1)
+    return _powers(SHORT)[:SHORT, None] * byte
+
+
 def string_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -118,30 +126,38 @@ class Words:
         last[edges] = solid[edges]
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
-        self.doc = (np.searchsorted(offs, self.start, "right") - 1).astype(np.int32)
+        self.doc = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(np.searchsorted(self.start, offs)))
         self.hash = self._hash(buf, lower)
 
     def _hash(self, buf: np.ndarray, lower: bool) -> np.ndarray:
-        n = len(self.start)
-        out = np.empty(n, np.uint64)
+        """The sum of (byte + 1) times the power of its place, mixed with the length."""
+        out = np.empty(len(self.start), np.uint64)
         at = 0
-        while at < n:
+        while at < len(out):
             to = max(at + 1, int(np.searchsorted(self.end, self.start[at] + PIECE, "right")))
-            s, e = self.start[at:to], self.end[at:to]
-            lo = int(s[0])
-            part = buf[lo : int(e[-1])]
-            code = (_LOWER[part] if lower else part).astype(np.uint64)
-            code += np.uint64(1)
-            code[_SPACE[part]] = 0
-            sizes = np.diff(np.append(s, e[-1]))
-            place = np.arange(len(part), dtype=np.int64)
-            place -= np.repeat(s - lo, sizes)
-            code *= _powers(int(sizes.max()) + 1)[place]
-            h = np.add.reduceat(code, s - lo)
-            out[at:to] = mix(h + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            start, sizes = self.start[at:to], self.end[at:to] - self.start[at:to]
+            # one place of all words after the other, the longest words first, as most are short
+            order = np.argsort(np.maximum(SHORT + 1 - sizes, 0).astype(np.uint8), kind="stable")
+            first, codes, h = start[order], _codes(lower), np.zeros(to - at, np.uint64)
+            for k, n in enumerate(len(sizes) - np.cumsum(np.bincount(np.minimum(sizes, SHORT), minlength=SHORT))[:SHORT]):
+                h[:n] += codes[k][buf[first[:n] + k]]
+            h[order] = h.copy()
+            longer = np.flatnonzero(sizes > SHORT)
+            if len(longer):
+                h[longer] += self._rest(buf, start[longer] + SHORT, sizes[longer] - SHORT, lower)
+            out[at:to] = mix(h + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             at = to
         return out
 
+    @staticmethod
+    def _rest(buf: np.ndarray, start: np.ndarray, sizes: np.ndarray, lower: bool) -> np.ndarray:
+        """The sum from the place SHORT on, of words that have one."""
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+        code = buf[np.repeat(start, sizes) + place]
+        code = (_LOWER[code] if lower else code).astype(np.uint64) + np.uint64(1)
+        return np.add.reduceat(code * _powers(int(sizes.max()) + SHORT)[place + SHORT], first)
+
     def __len__(self) -> int:
         return len(self.start)
 

@@ -759,6 +759,43 @@ def test_gradient():
         assert g[k][at] == pytest.approx(slope, rel=1e-3, abs=1e-7)
 
 
+def test_slopes_of_neighbours_are_summed_at_their_tokens(monkeypatch):
+    """What is sorted in a batch grows with its tokens, not with their neighbours, and the sums are those of all places."""
+    rng = np.random.default_rng(4)
+    leaf = rng.integers(0, 90, 2000).astype(np.int16)
+    near = pseudolm.neighbours(leaf, np.array([0, 3, 900, 2000]))[:1990]
+    leaf = leaf[:1990]
+    p = {k: v.astype(np.float64) for k, v in pseudolm.start(np.ones(pseudolm.LEAVES)).items()}
+    lengths, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **k: lengths.append(len(x)) or argsort(x, *a, **k))
+    g = pseudolm.gradient(p, leaf, near)
+    assert lengths and max(lengths) < 1.1 * len(leaf)
+    dh = rng.standard_normal((len(leaf), pseudolm.HIDDEN))
+    at, e = pseudolm._embedded(p, dh, leaf, near)
+    want = np.zeros_like(p["e"])
+    np.add.at(want, near.ravel(), (dh @ p["w"].T).reshape(-1, pseudolm.WIDTH))
+    dense = np.zeros_like(want)
+    dense[at] = e
+    assert len(set(at.tolist())) == len(at) == len(g["at"])
+    assert dense == pytest.approx(want, abs=1e-9)
+
+
+def test_words_of_all_lengths_have_their_hash():
+    """Words are hashed place by place up to SHORT bytes, the rest at once."""
+    texts = [" ".join(c * n for n in (1, 2, 15, 16, 17, 18, 40) for c in "aB"), None, "", " \t", "Ab" * 3000, "é" * 9 + " z"]
+    buf, offs = tx.string_bytes(pa.array(texts))
+    for lower in (True, False):
+        words = tx.Words(buf, offs, lower)
+        seen = 0
+        for row, t in enumerate(texts):
+            for w in WORD.findall(t or ""):
+                raw = (w.translate({c: c + 32 for c in range(65, 91)}) if lower else w).encode()
+                h = sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(raw)) + len(raw) * 0xD6E8FEB86659FD93
+                assert words.hash[seen] == tx.mix(np.array([h % (1 << 64)], np.uint64))[0] and words.doc[seen] == row
+                seen += 1
+        assert seen == len(words)
+
+
 def test_table_finds_what_it_holds():
     rng = np.random.default_rng(2)
     keys = np.unique(tx.mix(rng.integers(0, 1 << 60, 5000).astype(np.uint64)))
