@@ -3,8 +3,9 @@
 A posting's impact is the part of its BM25 score that doesn't depend on the query: tf (k1 + 1) / (tf + k1 (1 - b + b dl / mean)).
 The postings of a term lie in blocks of ``BLOCK`` by falling impact, each with its largest one, in a table that is dealt and
 sorted by term and level of impact, so the filters below reach row groups. What is shuffled are short lists: a batch of documents
-gives one for each term and level. A term that every document has is dealt to many tasks: the order is made by ranges of
-(term, first impact, first id), and no task holds a term. Lists of one term that meet in a batch are sorted together by impact.
+gives one for each term and level. A term that every document has is dealt to many tasks: tasks are ranges of (first bytes of
+the term, level, digest of the first id) with about as many postings each, as told by the postings of a few documents, and no task
+holds a term. Lists of one term that meet in a batch are sorted together by impact.
 
 A query for the k best first reads what it needs to know a score that k documents reach: the first blocks of each term. A
 document that reaches it has, for each of its terms, a share of at least that score less the largest shares of all other terms,
@@ -26,6 +27,7 @@ from capturelake.scratch import Scratch, freed, ship
 
 BLOCK = 128
 LEVELS = 8  # of impacts, which are between 0 and k1 + 1
+STEP = 32  # postings of the sample for each point that goes to the driver
 LISTS = "term string, ids array<long>, impacts array<double>"
 STORED = "term string, most double, n int, ids array<long>, impacts array<double>"
 
@@ -37,16 +39,24 @@ def _lists(k1: float, b: float, mean: float):
             words, ids = batch.column("words"), batch.column("id").to_numpy()
             if not len(words):
                 continue
-            dl, flat = np.diff(words.offsets.to_numpy()), words.flatten()
-            row = np.repeat(np.arange(len(words)), dl)
+            dl, flat, by_id = np.diff(words.offsets.to_numpy()), words.flatten(), np.argsort(ids, kind="stable")
+            # rows are numbered by rising id
+            row = np.empty(len(words), np.int64)
+            row[by_id] = np.arange(len(words))
+            row, ids, sizes = np.repeat(row, dl), ids[by_id], dl[by_id]
             if flat.null_count:
                 row, flat = row[flat.is_valid().to_numpy(zero_copy_only=False)], flat.drop_null()
             coded = flat.dictionary_encode()
-            both, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * len(words) + row, return_counts=True)
-            term, row = np.divmod(both, len(words))
-            impact = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[row] / mean))
-            order = np.lexsort((ids[row], -impact, term))
-            term, impact, own = term[order], impact[order], ids[row[order]]
+            bits = len(words).bit_length()
+            both, tf = np.unique(coded.indices.to_numpy().astype(np.int64) << bits | row, return_counts=True)
+            term, row = both >> bits, both & (1 << bits) - 1
+            impact = tf * (k1 + 1) / (tf + (k1 * (1 - b + b * sizes / mean))[row])
+            # term, place of the impact and row are one number: numbers alone are sorted fast
+            values = np.unique(-impact)
+            deep = len(values).bit_length()
+            both = (term << deep | np.searchsorted(values, -impact)) << bits | row
+            both.sort()
+            term, impact, own = both >> bits + deep, -values[both >> bits & (1 << deep) - 1], ids[both & (1 << bits) - 1]
             level = (impact * LEVELS / (k1 + 1)).astype(np.int32)
             at = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (level[1:] != level[:-1]))[: len(term)])
             offsets = pa.array(np.append(at, len(term)).astype(np.int32))
@@ -58,6 +68,43 @@ def _lists(k1: float, b: float, mean: float):
     return run
 
 
+def _places(lists: pa.RecordBatch, k1: float) -> np.ndarray:
+    """A number for each list that grows with the first bytes of its term and with falling level; lists of one level differ by id."""
+    term, first = lists.column("term").cast(pa.large_binary()), lists.column("ids").offsets.to_numpy()[:-1]
+    _, offsets, raw = term.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(term) + 1, 8 * term.offset)
+    raw = np.append(np.frombuffer(raw or b"", np.uint8), np.zeros(1, np.uint8))
+    out = np.zeros(len(term), np.uint64)
+    for k in range(6):
+        at = offsets[:-1] + k
+        out = out << np.uint64(8) | np.where(at < offsets[1:], raw[np.minimum(at, len(raw) - 1)], 0).astype(np.uint64)
+    ids, impact = (lists.column(c).values.to_numpy()[first] for c in ("ids", "impacts"))
+    level = np.minimum(impact * LEVELS / (k1 + 1), 15).astype(np.uint64)
+    return out << np.uint64(16) | (np.uint64(15) - level) << np.uint64(12) | ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(52)
+
+
+def _points(k1: float, b: float, mean: float):
+    def run(batches):
+        """The places of every ``STEP``-th posting."""
+        for lists in _lists(k1, b, mean)(batches):
+            place, held = _places(lists, k1), np.diff(lists.column("ids").offsets.to_numpy())
+            order = np.argsort(place)
+            last = np.cumsum(held[order])
+            yield pa.RecordBatch.from_arrays([pa.array(place[order][np.searchsorted(last, np.arange(STEP // 2, last[-1], STEP), "right")].view(np.int64))], ["place"])
+
+    return run
+
+
+def _dealt(k1: float, b: float, mean: float, bounds: np.ndarray):
+    def run(batches):
+        """Lists with their task."""
+        for lists in _lists(k1, b, mean)(batches):
+            task = np.searchsorted(bounds, _places(lists, k1), "right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*lists.columns, pa.array(task)], [*lists.schema.names, "task"])
+
+    return run
+
+
 def _blocks(size: int):
     def run(batches):
         """Blocks of lists that are sorted by term; a block ends with its term, with its size or with its batch."""
@@ -68,7 +115,9 @@ def _blocks(size: int):
             # terms are numbered as they come
             term = np.repeat(coded.indices.to_numpy(), np.diff(b.column("ids").offsets.to_numpy()))
             ids, impact = (b.column(c).flatten().to_numpy() for c in ("ids", "impacts"))
-            order = np.lexsort((ids, -impact, term))
+            order = np.argsort(-impact)
+            # a number of two bytes is sorted in one pass
+            order = order[np.argsort(term[order].astype(np.int16 if len(coded.dictionary) < 1 << 15 else np.int32), kind="stable")]
             begins = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
             place = np.arange(len(term)) - np.repeat(begins, np.diff(np.append(begins, len(term))))
             cuts = np.flatnonzero(place % size == 0)
@@ -108,12 +157,18 @@ class Postings:
         # two numbers
         n, mean = rows.agg(F.count("*"), F.avg(F.size("words"))).first()
         spark.createDataFrame([(n, float(mean or 1.0), k1, b)], "n long, mean double, k1 double, b double").write.parquet(f"{folder}/known")
-        # terms are counted and joined to lists before anything is shuffled
-        found = rows.where("id is not null").mapInArrow(_lists(k1, b, float(mean or 1.0)), LISTS)
         parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        known = k1, b, float(mean or 1.0)
+        # the bounds of tasks are places of a few documents' postings, so that no other document is read for them
+        share = min(1.0, (2000 + 20 * parts) / max(n, 1))
+        some = docs.sample(False, share, 7).select(F.col(id_col).cast("long").alias("id"), words.alias("words")).where("id is not null")
+        points = np.sort(some.mapInArrow(_points(*known), "place long").toArrow()["place"].to_numpy().view(np.uint64))
+        bounds = points[len(points) * np.arange(1, parts) // parts] if len(points) else points
+        # terms are counted and joined to lists before anything is shuffled
+        found = rows.where("id is not null").mapInArrow(_dealt(*known, bounds), f"{LISTS}, task int")
         order = [F.asc("term"), F.desc(F.element_at("impacts", 1)), F.asc(F.element_at("ids", 1))]
         with freed(spark):
-            found.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_blocks(block), STORED).write.parquet(f"{folder}/blocks")
+            found.repartitionById(parts, "task").select("term", "ids", "impacts").sortWithinPartitions(*order).mapInArrow(_blocks(block), STORED).write.parquet(f"{folder}/blocks")
         blocks = spark.read.schema(STORED).parquet(f"{folder}/blocks")
         frequencies = blocks.groupBy("term").agg(F.sum("n").cast("long").alias("df"))
         frequencies.repartitionByRange(parts, "term").sortWithinPartitions("term").write.parquet(f"{folder}/terms")

@@ -6,6 +6,8 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,31 @@ def test_terms_of_a_batch_are_shuffled_as_lists(spark, tmp_path):
     assert {r["term"]: r["df"] for r in held.frequencies.collect()} == {"common": 901, "common0": 450, "common1": 450, "filler": 800}
 
 
+def test_texts_are_read_twice_and_a_few_for_the_bounds(spark, tmp_path):
+    """Words are told for the mean, for the lists and for some documents; tasks are even in postings, also within one term."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def split(text):
+        seen.add(1)
+        return text.split()
+
+    rng, n = random.Random(3), 6000
+    rows = [(i, " ".join(["common", "other"] + [f"r{rng.randrange(10**6)}" for _ in range(rng.randrange(2))] + ["filler"] * rng.randrange(6))) for i in range(n)]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = postings.Postings.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "doc_id", split("text"), str(tmp_path / "p"), block=16)
+    assert 2 * n < seen.value < 2 * n + 1.2 * (2000 + 20 * parts) < 3 * n
+    found = [r["n"] for r in held.blocks.groupBy(F.input_file_name()).agg(F.sum("n").alias("n")).collect()]
+    assert sum(found) == sum(len(set(t.split())) for _, t in rows) and max(found) < 2.5 * sum(found) / parts
+    assert {r["id"]: r["score"] for r in held.score(["common", "filler"]).collect()} == pytest.approx(brute(rows, ["common", "filler"]))
+
+
+def test_places_follow_term_and_falling_impact():
+    lists = [("a", 9, 2.1), ("a", 9, 0.2), ("ab", 1, 0.1), ("abcdef", 1, 1.5), ("b", -4, 2.0), ("thé", 0, 1.0)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t for t, _, _ in lists]), pa.array([[i, 5] for _, i, _ in lists]), pa.array([[x, 0.0] for _, _, x in lists])], ["term", "ids", "impacts"])
+    assert (np.diff(postings._places(batch, 1.2)) > 0).all()
+
+
 def test_blocks_that_end_early_hold_enough():
     first = [{"most": 9.0 - i, "n": n} for i, n in enumerate([1, 2, 128, 128])]
     assert [postings._reaching(first, k) for k in (1, 3, 4, 131, 132, 1000)] == [9.0, 8.0, 7.0, 7.0, 6.0, 6.0]
