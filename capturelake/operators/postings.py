@@ -2,10 +2,10 @@
 
 A posting's impact is the part of its BM25 score that doesn't depend on the query: tf (k1 + 1) / (tf + k1 (1 - b + b dl / mean)).
 The postings of a term lie in blocks of ``BLOCK`` by falling impact, each with its largest one, in a table that is dealt and
-sorted by term and level of impact, so the filters below reach row groups. What is shuffled are short lists: a batch of documents
-gives one for each term and level. A term that every document has is dealt to many tasks: tasks are ranges of (first bytes of
-the term, level, digest of the first id) with about as many postings each, as told by the postings of a few documents, and no task
-holds a term. Lists of one term that meet in a batch are sorted together by impact.
+sorted by term and level of impact, so the filters below reach row groups. What is shuffled are short lists: some batches of
+documents give one for each term, and for each level of a frequent term. A term that every document has is dealt to many tasks:
+tasks are ranges of (first bytes of the term, level, digest of the first id) with about as many postings each, as told by the
+postings of a few documents, and no task holds a term. Lists of one term that meet in a batch are sorted together by impact.
 
 A query for the k best first reads what it needs to know a score that k documents reach: the first blocks of each term. A
 document that reaches it has, for each of its terms, a share of at least that score less the largest shares of all other terms,
@@ -27,18 +27,32 @@ from capturelake.scratch import Scratch, freed, ship
 
 BLOCK = 128
 LEVELS = 8  # of impacts, which are between 0 and k1 + 1
+FREQUENT = 16  # postings in some batches from which on a term has a list for each level
+JOINED = 1 << 22  # words whose postings are joined to lists at once
 STEP = 32  # postings of the sample for each point that goes to the driver
 LISTS = "term string, ids array<long>, impacts array<double>"
 STORED = "term string, most double, n int, ids array<long>, impacts array<double>"
 
 
+def _joined(batches):
+    """Words and ids of consecutive batches with about ``JOINED`` words in all."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append((batch.column("words"), batch.column("id")))
+            size += len(held[-1][0].values)
+        if size >= JOINED:
+            yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+
+
 def _lists(k1: float, b: float, mean: float):
     def run(batches):
-        """Of each batch of documents a list for each term and level, by falling impact and rising id."""
-        for batch in batches:
-            words, ids = batch.column("words"), batch.column("id").to_numpy()
-            if not len(words):
-                continue
+        """Of some batches of documents a list for each term, or for each level of a frequent one, by falling impact and rising id."""
+        for words, ids in _joined(batches):
+            ids = ids.to_numpy()
             dl, flat, by_id = np.diff(words.offsets.to_numpy()), words.flatten(), np.argsort(ids, kind="stable")
             # rows are numbered by rising id
             row = np.empty(len(words), np.int64)
@@ -46,6 +60,8 @@ def _lists(k1: float, b: float, mean: float):
             row, ids, sizes = np.repeat(row, dl), ids[by_id], dl[by_id]
             if flat.null_count:
                 row, flat = row[flat.is_valid().to_numpy(zero_copy_only=False)], flat.drop_null()
+            if not len(flat):
+                continue
             coded = flat.dictionary_encode()
             bits = len(words).bit_length()
             both, tf = np.unique(coded.indices.to_numpy().astype(np.int64) << bits | row, return_counts=True)
@@ -58,7 +74,9 @@ def _lists(k1: float, b: float, mean: float):
             both.sort()
             term, impact, own = both >> bits + deep, -values[both >> bits & (1 << deep) - 1], ids[both & (1 << bits) - 1]
             level = (impact * LEVELS / (k1 + 1)).astype(np.int32)
-            at = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (level[1:] != level[:-1]))[: len(term)])
+            begins = np.flatnonzero(np.diff(term, prepend=-1))
+            frequent = np.repeat(np.diff(begins, append=len(term)) >= FREQUENT, np.diff(begins, append=len(term)))
+            at = np.flatnonzero((np.diff(term, prepend=-1) != 0) | frequent & (np.diff(level, prepend=-1) != 0))
             offsets = pa.array(np.append(at, len(term)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [coded.dictionary.take(pa.array(term[at])), pa.ListArray.from_arrays(offsets, pa.array(own)), pa.ListArray.from_arrays(offsets, pa.array(impact))],

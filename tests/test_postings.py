@@ -91,6 +91,24 @@ def test_texts_are_read_twice_and_a_few_for_the_bounds(spark, tmp_path):
     assert {r["id"]: r["score"] for r in held.score(["common", "filler"]).collect()} == pytest.approx(brute(rows, ["common", "filler"]))
 
 
+def test_documents_without_words(spark, tmp_path):
+    rows = [(i, (None, "", " ")[i % 3]) for i in range(60)]
+    held = postings.Postings.write(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", words(), str(tmp_path / "p"))
+    assert held.n == 60 and held.top(["a"], 3).count() == 0
+
+
+def test_batches_are_joined_to_longer_lists(monkeypatch):
+    """A rare term has one list, whatever its levels, and one for all batches that are joined."""
+    ids, texts = [5, 3, 9, 1, 4], [["a"], ["a", "b", "b", "b"], ["a"] * 9, ["b"], []]
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[k : k + 1]), pa.array(texts[k : k + 1], pa.list_(pa.string()))], ["id", "words"]) for k in range(5)]
+    got = [r for x in postings._lists(1.2, 0.75, 3.0)(batches) for r in x.to_pylist()]
+    assert [(r["term"], r["ids"]) for r in got] == [("a", [9, 5, 3]), ("b", [3, 1])]
+    monkeypatch.setattr(postings, "JOINED", 5)
+    assert [r["ids"] for x in postings._lists(1.2, 0.75, 3.0)(batches) for r in x.to_pylist()] == [[5, 3], [3], [9], [1]]
+    monkeypatch.setattr(postings, "FREQUENT", 2)
+    assert [r["ids"] for x in postings._lists(1.2, 0.75, 3.0)(batches[:3]) for r in x.to_pylist()][:2] == [[5], [3]]
+
+
 def test_places_follow_term_and_falling_impact():
     lists = [("a", 9, 2.1), ("a", 9, 0.2), ("ab", 1, 0.1), ("abcdef", 1, 1.5), ("b", -4, 2.0), ("thé", 0, 1.0)]
     batch = pa.RecordBatch.from_arrays([pa.array([t for t, _, _ in lists]), pa.array([[i, 5] for _, i, _ in lists]), pa.array([[x, 0.0] for _, _, x in lists])], ["term", "ids", "impacts"])
