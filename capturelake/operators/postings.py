@@ -28,7 +28,7 @@ from capturelake.scratch import Scratch, freed, ship
 BLOCK = 128
 LEVELS = 8  # of impacts, which are between 0 and k1 + 1
 FREQUENT = 16  # postings in some batches from which on a term has a list for each level
-JOINED = 1 << 22  # words whose postings are joined to lists at once
+JOINED = 1 << 21  # words whose postings are joined to lists at once
 STEP = 32  # postings of the sample for each point that goes to the driver
 LISTS = "term string, ids array<long>, impacts array<double>"
 STORED = "term string, most double, n int, ids array<long>, impacts array<double>"
@@ -37,15 +37,21 @@ STORED = "term string, most double, n int, ids array<long>, impacts array<double
 def _joined(batches):
     """Words and ids of consecutive batches with about ``JOINED`` words in all."""
     held, size = [], 0
+
+    def taken():
+        whole = tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+        held.clear()
+        return whole
+
     for batch in batches:
         if batch.num_rows:
             held.append((batch.column("words"), batch.column("id")))
             size += len(held[-1][0].values)
         if size >= JOINED:
-            yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
-            held, size = [], 0
+            yield taken()
+            size = 0
     if held:
-        yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+        yield taken()
 
 
 def _lists(k1: float, b: float, mean: float):
